@@ -53,7 +53,7 @@ def state_share(df: DataFrame, column: str, key: str | None = None) -> DataFrame
 
 
 def exact_quantiles(
-    df: DataFrame, key: str, column: str, probabilities: dict[str, float], bin_width: float = 1.0
+    df: DataFrame, key: str, column: str, probabilities: dict[str, float], bin_width: float = 0.1
 ) -> DataFrame:
     """Linearly interpolated quantiles per key without ordering a whole key in one task.
 

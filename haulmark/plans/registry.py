@@ -71,12 +71,12 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("deliveries", s.deliveries, "delivery_id", "delivery_id"),
         ("incidents", s.incidents, "incident_id", "incident_id"),
     )
-    frames = []
-    for topic, df, offset, key in parts:
-        text = envelopes.extract_dimension(df).withColumn("offset", F.col(offset))
-        keyed = envelopes.encode_envelope(text.drop("offset"), F.col(key), topic=topic)
-        frames.append(keyed.withColumn("offset", F.get_json_object("value", f"$.{offset}").cast("bigint")))
-    return joins.union_all(frames)
+    return joins.union_all(
+        [
+            envelopes.encode_envelope(envelopes.extract_dimension(df), F.col(key), topic=topic, offset=F.col(offset))
+            for topic, df, offset, key in parts
+        ]
+    )
 
 
 QUERIES["stream_ingest"] = jobs.ingest
@@ -397,7 +397,7 @@ def predicate_mix(s):
         & F.col("distance_km").between(5, 30)
         & (F.col("package_weight") > 0)
         & (F.col("warehouse_id") != 3)
-        & (F.col("pickup_time") >= reports.last_days(AS_OF, 14))
+        & (F.col("pickup_time") >= month())
     )
     return d.select("delivery_id", "status", "warehouse_id", "distance_km")
 
@@ -553,7 +553,7 @@ def fleet_avg_minutely(s):
 
 @star("recent_rollup")
 def recent_rollup(s):
-    return rollups.recent_rollup(s.telemetry, "2024-01-30 23:58:00", 5)
+    return rollups.recent_rollup(s.telemetry, AS_OF, 60)
 
 
 @star("dup_keys")
@@ -787,15 +787,15 @@ star("kpi_maintenance_age")(lambda s: kpis.maintenance_age_kpi(s, AS_OF))
 # --- reports ---------------------------------------------------------------------------------
 
 star("showcase_q1")(lambda s: reports.driver_performance(s, month(), 5, 30))
-star("showcase_q2")(lambda s: reports.route_efficiency(s, reports.last_days(AS_OF, 7)))
+star("showcase_q2")(lambda s: reports.route_efficiency(s, month()))
 star("showcase_q3")(lambda s: reports.incident_analysis(s, month()))
-star("showcase_q4")(lambda s: reports.delivery_spread(s, reports.last_days(AS_OF, 14), 2))
+star("showcase_q4")(lambda s: reports.delivery_spread(s, month(), 2))
 star("showcase_q5")(lambda s: reports.fuel_pattern(s, month(), 5, 10, 1))
 star("showcase_q1_all")(reports.driver_performance_all)
 star("showcase_q2_all")(reports.route_efficiency_all)
 star("showcase_q3_all")(reports.incident_analysis_all)
 star("doc_q1")(lambda s: reports.drivers_with_incidents(s, month(), 30, 30))
-star("doc_q2")(lambda s: reports.city_routes(s, reports.last_days(AS_OF, 7)))
+star("doc_q2")(lambda s: reports.city_routes(s, month()))
 star("doc_q3")(lambda s: reports.incidents_by_severity(s, month()))
 star("doc_q4")(lambda s: reports.low_fuel_by_road(s, month(), 55))
 star("doc_q5")(lambda s: reports.delivery_by_experience(s, month()))

@@ -51,11 +51,16 @@ def decode(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(data, *[F.col(c).cast("string").alias(c) if c == "key" else F.col(c).alias(n) for c, n in broker.items()]).select("data.*", *broker.values())
 
 
-def encode_envelope(df: DataFrame, key: Column, *, topic: str | None = None) -> DataFrame:
-    """Key and JSON value of every record, ready for a broker or a file sink."""
+def encode_envelope(df: DataFrame, key: Column, *, topic: str | None = None, offset: Column | None = None) -> DataFrame:
+    """Key and JSON value of every record, ready for a broker or a file sink.
+
+    Topic and offset are what a broker adds; give them to build a log of files.
+    """
     out = [key.cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value")]
     if topic is not None:
         out.insert(0, F.lit(topic).alias("topic"))
+    if offset is not None:
+        out.append(offset.cast("bigint").alias("offset"))
     return df.select(*out)
 
 

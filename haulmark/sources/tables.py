@@ -15,13 +15,21 @@ EPOCH = "2024-01-01 00:00:00"
 AS_OF = "2024-01-31 00:00:00"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Stored schema with zone-less timestamps read as TIMESTAMP.
+    """Stored schema with zone-less timestamps read as TIMESTAMP, looked up once per path.
 
     Declaring the type on the reader, instead of casting after it, keeps time
     filters in the Parquet scan and lets streams set a watermark on the column.
     """
-    stored = spark.read.parquet(path).schema
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = _with_zoned_times(spark.read.parquet(path).schema)
+    return _SCHEMAS[path]
+
+
+def _with_zoned_times(stored: T.StructType) -> T.StructType:
     return T.StructType(
         [
             T.StructField(
