@@ -21,23 +21,29 @@ HOUR = 3600
 def with_previous(df: DataFrame, key: str, order: list[str], columns: list[str], slice: Column) -> DataFrame:
     """Adds ``prev_<column>`` from the preceding row of the same key.
 
-    ``slice`` must not decrease along ``order``.
+    ``slice`` must not decrease along ``order``. The last row of every slice is
+    found by an aggregate and put in front of the key's next slice as a marker;
+    a lag inside each slice then sees across the border.
     """
-    row, last = F.struct(*columns), F.struct(*order)
+    row = F.struct(*columns)
     sliced = df.withColumn("_slice", slice)
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    rows = sliced.withColumn("_prev", F.lag(row).over(in_slice))
     # One row per slice: the number of slices is bounded by time, not by readings.
-    by_slice = Window.partitionBy(key).orderBy("_slice")
-    edges = (
+    next_slice = F.lead("_slice").over(Window.partitionBy(key).orderBy("_slice"))
+    markers = (
         sliced.groupBy(key, "_slice")
-        .agg(F.max_by(row, last).alias("_last"))
-        .select(key, "_slice", F.lag("_last").over(by_slice).alias("_carry"))
+        .agg(F.max_by(row, F.struct(*order)).alias("_last"))
+        .select(key, next_slice.alias("_slice"), "_last", F.lit(0).alias("_mark"))
+        .filter(F.col("_slice").isNotNull())
+        .select(key, "_slice", "_mark", "_last.*")
     )
-    linked = rows.join(edges, [key, "_slice"]).withColumn("_prev", F.coalesce("_prev", "_carry"))
-    return linked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop(
-        "_slice", "_prev", "_carry"
+    in_slice = Window.partitionBy(key, "_slice").orderBy("_mark", *order)
+    linked = (
+        sliced.withColumn("_mark", F.lit(1))
+        .unionByName(markers, allowMissingColumns=True)
+        .withColumn("_prev", F.lag(row).over(in_slice))
+        .filter(F.col("_mark") == 1)
     )
+    return linked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_slice", "_prev", "_mark")
 
 
 def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id", seconds: int = HOUR) -> DataFrame:

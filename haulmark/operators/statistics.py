@@ -57,23 +57,21 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per key without ordering a whole key in one task.
 
-    Equal values are counted first. Counts per value bin tell which bins hold
-    the wanted ranks; only those bins are ordered, each as its own group.
+    Counts per value bin tell which bins hold the wanted ranks. Equal values are
+    counted, and only the values of those bins are ordered, each bin on its own.
     """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(key), F.col(column).alias("v"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("bin", F.floor(F.col("v") / bin_width))
-    )
+    values = df.filter(F.col(column).isNotNull()).select(key, F.col(column).alias("v"))
+    values = values.withColumn("bin", F.floor(F.col("v") / bin_width))
     by_bin = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per bin: at most the value range over the bin width per key.
     bins = (
-        counts.groupBy(key, "bin")
-        .agg(F.sum("n").alias("in_bin"))
+        values.groupBy(key, "bin")
+        .agg(F.count("*").alias("in_bin"))
         .withColumn("upto", F.sum("in_bin").over(by_bin))
         .withColumn("total", F.sum("in_bin").over(Window.partitionBy(key)))
         .withColumn("start", F.col("upto") - F.col("in_bin"))
     )
+    counts = values.groupBy(key, "bin", "v").agg(F.count("*").alias("n"))
     # Two ranks per quantile: the readings below and above the wanted position.
     ranks = []
     for name, p in probabilities.items():

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from haulmark.functions.labels import motion_status, road_type
 from haulmark.schemas import ENTITIES
 
 EPOCH = "2024-01-01 00:00:00"
@@ -45,155 +43,119 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(table_schema(spark, path)).parquet(path)
 
 
-def _plus_minutes(minutes: Column) -> Column:
-    return F.timestamp_add("MINUTE", minutes, F.lit(EPOCH).cast("timestamp"))
-
-
-def _props_number() -> Column:
-    return F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+# Views as SQL expressions over the stored columns.
+PROPS_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+SEGMENT = f"element_at(array('warehouse', 'highway', 'urban', 'customer'), {PROPS_NUMBER} % 4 + 1)"
+PICKUP = f"timestampadd(MINUTE, o_orderkey % 43200, TIMESTAMP '{EPOCH}')"
+
+VEHICLES = (
+    "p_partkey AS vehicle_id",
+    "p_type AS vehicle_type",
+    "p_brand AS make",
+    "p_name AS model",
+    "p_size % 16 + 2010 AS year",
+    "p_size * 100 AS capacity_kg",
+    "p_size * 4 AS fuel_capacity",
+    "CASE WHEN p_partkey % 20 < 17 THEN 'Active' WHEN p_partkey % 20 < 19 THEN 'Maintenance' ELSE 'Retired' END AS status",
+    f"date_sub(TIMESTAMP '{EPOCH}', CAST(p_partkey % 180 AS INT)) AS last_maintenance",
+)
+DRIVERS = (
+    "s_suppkey AS driver_id",
+    "s_name AS name",
+    "concat('LIC-', s_suppkey) AS license_number",
+    "CAST(s_suppkey % 25 + 1 AS INT) AS experience_years",
+    "s_suppkey % 21 / 10D + 3D AS rating",
+    "element_at(array('OnRoute', 'Available', 'OnBreak', 'OffDuty'), CAST(s_suppkey % 4 + 1 AS INT)) AS status",
+)
+LOCATION = (
+    "named_struct('latitude', CAST({key} % 20 + 22 AS DOUBLE), 'longitude', CAST({key} % 25 + 58 AS DOUBLE)) AS location"
+)
+WAREHOUSES = (
+    "n_nationkey AS warehouse_id",
+    "n_name AS name",
+    "r_name AS city",
+    LOCATION.format(key="n_nationkey"),
+    "(n_nationkey + 1) * 1000 AS capacity_sqft",
+)
+CUSTOMERS = (
+    "c_custkey AS customer_id",
+    "c_name AS name",
+    "n_name AS city",
+    "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Wholesale' "
+    "WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Individual' ELSE 'Retail' END AS customer_type",
+    LOCATION.format(key="c_custkey"),
+)
+TELEMETRY = (
+    "event_id",
+    "user_id AS vehicle_id",
+    "user_id AS driver_id",
+    "ts AS timestamp",
+    "event_id % 1000 / 1000D + 24.8607D AS latitude",
+    "event_id * 7 % 1000 / 1000D + 67.0011D AS longitude",
+    "value AS speed",
+    f"CAST({PROPS_NUMBER} AS DOUBLE) AS fuel_level",
+    "CAST(event_id % 100 + 30 AS DOUBLE) AS engine_temp",
+    "CAST(event_id % 5000 AS INT) AS rpm",
+    "event_id * 0.5D + 1000D AS odometer",
+    "CASE WHEN value > 5 THEN 'Moving' ELSE 'Idle' END AS status",
+    f"{SEGMENT} AS segment",
+    f"CASE {SEGMENT} WHEN 'highway' THEN 'highway' ELSE 'urban' END AS road_type",
+)
+DELIVERIES = (
+    "o_orderkey AS delivery_id",
+    "o_custkey AS vehicle_id",
+    "o_orderkey % 120 AS driver_id",
+    "CAST(o_orderkey % 25 AS INT) AS warehouse_id",
+    "o_custkey AS customer_id",
+    "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'InProgress' ELSE 'Cancelled' END AS status",
+    f"{PICKUP} AS pickup_time",
+    f"timestampadd(MINUTE, o_custkey % 91 + 30, {PICKUP}) AS estimated_delivery",
+    f"CASE WHEN o_orderstatus = 'F' THEN timestampadd(MINUTE, o_orderkey % 121 + 20, {PICKUP}) END AS completion_time",
+    "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 121 + 20 AS INT) END AS delivery_minutes",
+    "CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 121 + 20 <= o_custkey % 91 + 30 END AS on_time",
+    "o_totalprice / 10000D AS distance_km",
+    "o_totalprice / 5000D AS package_weight",
+)
+INCIDENTS = (
+    "event_id AS incident_id",
+    "user_id AS vehicle_id",
+    "user_id AS driver_id",
+    "ts AS timestamp",
+    "element_at(array('harsh_braking', 'speeding', 'harsh_acceleration', 'sharp_turn', 'idling_excessive'), "
+    f"{PROPS_NUMBER} % 5 + 1) AS incident_type",
+    f"element_at(array('Low', 'Medium', 'High'), {PROPS_NUMBER} % 3 + 1) AS severity",
+    "value AS speed_at_incident",
+)
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return read_table(spark, sf_dir, "part").select(
-        key.alias("vehicle_id"),
-        F.col("p_type").alias("vehicle_type"),
-        F.col("p_brand").alias("make"),
-        F.col("p_name").alias("model"),
-        (F.col("p_size") % 16 + 2010).alias("year"),
-        (F.col("p_size") * 100).alias("capacity_kg"),
-        (F.col("p_size") * 4).alias("fuel_capacity"),
-        F.when(key % 20 < 17, "Active").when(key % 20 < 19, "Maintenance").otherwise("Retired").alias("status"),
-        F.date_sub(F.lit(EPOCH).cast("date"), (key % 180).cast("int")).alias("last_maintenance"),
-    )
+    return read_table(spark, sf_dir, "part").selectExpr(*VEHICLES)
 
 
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return read_table(spark, sf_dir, "supplier").select(
-        key.alias("driver_id"),
-        F.col("s_name").alias("name"),
-        F.concat(F.lit("LIC-"), key.cast("string")).alias("license_number"),
-        (key % 25 + 1).cast("int").alias("experience_years"),
-        ((key % 21) / 10.0 + 3.0).alias("rating"),
-        F.when(key % 4 == 0, "OnRoute")
-        .when(key % 4 == 1, "Available")
-        .when(key % 4 == 2, "OnBreak")
-        .otherwise("OffDuty")
-        .alias("status"),
-    )
-
-
-def _location(key: Column) -> Column:
-    return F.struct(
-        ((key % 20) + 22).cast("double").alias("latitude"), ((key % 25) + 58).cast("double").alias("longitude")
-    ).alias("location")
+    return read_table(spark, sf_dir, "supplier").selectExpr(*DRIVERS)
 
 
 def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = read_table(spark, sf_dir, "region")
-    return (
-        read_table(spark, sf_dir, "nation")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("n_nationkey").alias("warehouse_id"),
-            F.col("n_name").alias("name"),
-            F.col("r_name").alias("city"),
-            _location(F.col("n_nationkey")),
-            ((F.col("n_nationkey") + 1) * 1000).alias("capacity_sqft"),
-        )
-    )
+    region = read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    return read_table(spark, sf_dir, "nation").join(region, "n_regionkey").selectExpr(*WAREHOUSES)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = F.col("c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation")
-    return (
-        read_table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.col("n_name").alias("city"),
-            F.when(segment.isin("BUILDING", "MACHINERY"), "Wholesale")
-            .when(segment == "HOUSEHOLD", "Individual")
-            .otherwise("Retail")
-            .alias("customer_type"),
-            _location(F.col("c_custkey")),
-        )
-    )
-
-
-def telemetry_columns() -> list[Column]:
-    """Columns of the telemetry view over an events table or stream."""
-    event = F.col("event_id")
-    k = _props_number()
-    state = F.element_at(
-        F.array(F.lit("warehouse"), F.lit("highway"), F.lit("urban"), F.lit("customer")), (k % 4 + 1).cast("int")
-    )
-    return [
-        event.alias("event_id"),
-        F.col("user_id").alias("vehicle_id"),
-        F.col("user_id").alias("driver_id"),
-        F.col("ts").alias("timestamp"),
-        ((event % 1000) / 1000.0 + 24.8607).alias("latitude"),
-        ((event * 7 % 1000) / 1000.0 + 67.0011).alias("longitude"),
-        F.col("value").alias("speed"),
-        k.cast("double").alias("fuel_level"),
-        (event % 100 + 30).cast("double").alias("engine_temp"),
-        (event % 5000).cast("int").alias("rpm"),
-        (event * 0.5 + 1000.0).alias("odometer"),
-        motion_status(F.col("value")).alias("status"),
-        state.alias("segment"),
-        road_type(state).alias("road_type"),
-    ]
+    nation = read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    return read_table(spark, sf_dir, "customer").join(nation, "c_nationkey").selectExpr(*CUSTOMERS)
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events").select(*telemetry_columns())
+    return read_table(spark, sf_dir, "events").selectExpr(*TELEMETRY)
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, cust, state = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-    pickup = order % 43200
-    completion = F.when(state == "F", _plus_minutes(pickup + 20 + order % 121))
-    estimate = _plus_minutes(pickup + 30 + cust % 91)
-    return read_table(spark, sf_dir, "orders").select(
-        order.alias("delivery_id"),
-        cust.alias("vehicle_id"),
-        (order % 120).alias("driver_id"),
-        (order % 25).cast("int").alias("warehouse_id"),
-        cust.alias("customer_id"),
-        F.when(state == "F", "Completed").when(state == "O", "InProgress").otherwise("Cancelled").alias("status"),
-        _plus_minutes(pickup).alias("pickup_time"),
-        estimate.alias("estimated_delivery"),
-        completion.alias("completion_time"),
-        F.when(state == "F", order % 121 + 20).cast("int").alias("delivery_minutes"),
-        (completion <= estimate).alias("on_time"),
-        (F.col("o_totalprice") / 10000.0).alias("distance_km"),
-        (F.col("o_totalprice") / 5000.0).alias("package_weight"),
-    )
-
-
-def incident_columns() -> list[Column]:
-    """Columns of the incidents view over the error rows of an events table or stream."""
-    k = _props_number()
-    kinds = ["harsh_braking", "speeding", "harsh_acceleration", "sharp_turn", "idling_excessive"]
-    levels = ["Low", "Medium", "High"]
-    return [
-        F.col("event_id").alias("incident_id"),
-        F.col("user_id").alias("vehicle_id"),
-        F.col("user_id").alias("driver_id"),
-        F.col("ts").alias("timestamp"),
-        F.element_at(F.array(*[F.lit(x) for x in kinds]), (k % 5 + 1).cast("int")).alias("incident_type"),
-        F.element_at(F.array(*[F.lit(x) for x in levels]), (k % 3 + 1).cast("int")).alias("severity"),
-        F.col("value").alias("speed_at_incident"),
-    ]
+    return read_table(spark, sf_dir, "orders").selectExpr(*DELIVERIES)
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
-    return events.filter(F.col("event_type") == "error").select(*incident_columns())
+    return read_table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(*INCIDENTS)
 
 
 VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -16,8 +16,8 @@ from haulmark.operators.checks import anomalies, validate
 from haulmark.operators.rollups import sliding_rollup
 from haulmark.schemas import schema_for
 from haulmark.session import run_dir
-from haulmark.sources.envelopes import encode_envelope, read_stream, decode
-from haulmark.sources.tables import load, read_table, table_schema, telemetry_columns
+from haulmark.sources.envelopes import decode, encode_envelope, read_stream
+from haulmark.sources.tables import TELEMETRY, load, read_table, table_schema
 from haulmark.streaming import sinks
 
 
@@ -32,7 +32,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_stream(spark, sf_dir).select(*telemetry_columns())
+    return event_stream(spark, sf_dir).selectExpr(*TELEMETRY)
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
