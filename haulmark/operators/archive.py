@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,38 +29,74 @@ def _spread(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in parts])
 
 
-def archive_warm(df: DataFrame, root: str, cutoff: Column) -> None:
-    """Rows older than the cutoff to Parquet by day; a re-run replaces the same days."""
-    old = _with_parts(archive_candidates(df, cutoff))
+def stored(spark: SparkSession, root: str, fmt: str) -> DataFrame | None:
+    """The tier under a folder, or None before its first write."""
+    try:
+        return spark.read.format(fmt).load(root)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _same_span(tier: DataFrame, rows: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """The folders of a tier that can hold any of the rows."""
+    first, last = rows.agg(F.min(TIME), F.max(TIME)).first()
+    if first is None:
+        return tier.limit(0)
+    number = F.col("year") * 100 + F.col("month")
+    low, high = first.year * 100 + first.month, last.year * 100 + last.month
+    if "day" in parts:
+        number = number * 100 + F.col("day")
+        low, high = low * 100 + first.day, high * 100 + last.day
+    return tier.filter(number.between(low, high))
+
+
+def _append_missing(rows: DataFrame, root: str, fmt: str, codec: str, parts: tuple[str, ...], keys: list[str]) -> None:
+    """Append the rows a tier does not hold yet.
+
+    Nothing stored is rewritten, so rows that arrive for an old day and repeated
+    or broken-off runs neither lose nor double any.
+    """
+    tier = stored(rows.sparkSession, root, fmt)
+    if tier is not None:
+        known = _same_span(tier, rows, parts).select(*keys)
+        rows = rows.join(known, keys, "left_anti")
     (
-        _spread(old, DAY_PARTS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*DAY_PARTS)
-        .parquet(root)
+        _spread(rows, parts)
+        .write.format(fmt)
+        .mode("append")
+        .option("compression", codec)
+        .partitionBy(*parts)
+        .save(root)
     )
 
 
-def retain_hot(df: DataFrame, cutoff: Column, archived: int) -> DataFrame:
+def archive_warm(df: DataFrame, root: str, cutoff: Column, keys: list[str], codec: str = "snappy") -> None:
+    """Rows older than the cutoff to Parquet by day."""
+    _append_missing(_with_parts(archive_candidates(df, cutoff)), root, "parquet", codec, DAY_PARTS, keys)
+
+
+def retain_hot(df: DataFrame, warm: DataFrame, cutoff: Column, keys: list[str]) -> DataFrame:
     """Rows that stay hot; refuses to drop rows the archive does not hold."""
-    due = archive_candidates(df, cutoff).count()
-    if due != archived:
-        raise ValueError(f"{due} rows are due but {archived} are archived; nothing removed")
+    due = archive_candidates(df, cutoff)
+    if not due.join(_same_span(warm, due, DAY_PARTS).select(*keys), keys, "left_anti").isEmpty():
+        raise ValueError("rows older than the cutoff are missing in the archive; nothing removed")
     return df.filter((F.col(TIME) >= cutoff) | F.col(TIME).isNull())
 
 
-def archive_cold(spark: SparkSession, warm_root: str, cold_root: str, cutoff: Column, codec: str = "zlib") -> None:
+def hot_to_warm(df: DataFrame, root: str, cutoff: Column, keys: list[str]) -> DataFrame:
+    """Archive, verify, and return the rows that stay hot."""
+    archive_warm(df, root, cutoff, keys)
+    return retain_hot(df, df.sparkSession.read.parquet(root), cutoff, keys)
+
+
+def archive_cold(
+    spark: SparkSession, warm_root: str, cold_root: str, cutoff: Column, keys: list[str], codec: str = "zlib"
+) -> None:
     """Warm rows older than the cutoff to ORC by month."""
-    old = spark.read.parquet(warm_root).filter(F.col(TIME) < cutoff).drop("day")
-    (
-        _spread(old, MONTH_PARTS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec)
-        .partitionBy(*MONTH_PARTS)
-        .orc(cold_root)
-    )
+    old = archive_candidates(spark.read.parquet(warm_root), cutoff).drop("day")
+    _append_missing(old, cold_root, "orc", codec, MONTH_PARTS, keys)
 
 
 def warm_scan(spark: SparkSession, root: str, year: int, month: int, day: int | None = None) -> DataFrame:
@@ -72,9 +109,8 @@ def warm_scan(spark: SparkSession, root: str, year: int, month: int, day: int |
 
 def tiered_read(hot: DataFrame, warm: DataFrame, cold: DataFrame) -> DataFrame:
     """All tiers as one table."""
-    parts = [c for c in DAY_PARTS]
-    frames = [df.drop(*parts).withColumn("tier", F.lit(name)) for name, df in
-              (("hot", hot), ("warm", warm), ("cold", cold))]
+    tiers = {"hot": hot, "warm": warm, "cold": cold}
+    frames = [df.drop(*DAY_PARTS).withColumn("tier", F.lit(name)) for name, df in tiers.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 

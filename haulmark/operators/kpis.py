@@ -321,6 +321,7 @@ PANELS = (
     (6, "Delivery Success Rate", "delivery_success_rate_percent"),
     (7, "Average Driver Rating", "avg_driver_rating"),
     (8, "Total Deliveries", "total_deliveries"),
+    (9, "Vehicles by Type", "vehicles_by_type"),
     (10, "Fleet Utilization", "fleet_utilization_percent"),
 )
 
@@ -333,15 +334,22 @@ def kpi_bands(kpis: DataFrame) -> DataFrame:
     return kpis.join(bands, "kpi").filter(reached).groupBy("kpi", "value").agg(F.max_by("band", floor).alias("band"))
 
 
-def dashboard_feed(snapshot: DataFrame, as_of: str) -> DataFrame:
-    """Every panel with the latest live value of its KPI."""
+def dashboard_feed(snapshot: DataFrame, vehicles: DataFrame, as_of: str) -> DataFrame:
+    """Every panel with the latest live value of its KPI; the table panel lists vehicles by type."""
     panels = snapshot.sparkSession.createDataFrame(list(PANELS), "panel int, title string, kpi string")
     live = (
         snapshot.filter(F.col("expires_at") > at(as_of))
         .groupBy("kpi")
-        .agg(F.max_by("value", "computed_at").alias("value"))
+        .agg(F.max_by("value", "computed_at").alias("value"), F.lit(None).cast("string").alias("detail"))
     )
-    return panels.join(live, "kpi", "left").select("panel", "title", "kpi", "value")
+    # One entry per vehicle type.
+    by_type = vehicles.groupBy("vehicle_type").agg(F.count("*").alias("n")).select(
+        F.concat_ws("=", "vehicle_type", F.col("n").cast("string")).alias("entry")
+    )
+    table = by_type.agg(F.array_join(F.sort_array(F.collect_list("entry")), ", ").alias("detail")).select(
+        F.lit("vehicles_by_type").alias("kpi"), F.lit(None).cast("double").alias("value"), "detail"
+    )
+    return panels.join(live.unionByName(table), "kpi", "left").select("panel", "title", "kpi", "value", "detail")
 
 
 def snapshot_kpis(kpis: DataFrame, as_of: str, ttl: int = 300) -> DataFrame:

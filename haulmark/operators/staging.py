@@ -56,6 +56,11 @@ def clear_staging(staged: DataFrame, prefixes: tuple[str, ...] = ("staging:", "c
     return staged.filter(~hit), removed
 
 
+def export_json(df: DataFrame, path: str) -> None:
+    """A table as JSON lines, times as ISO text."""
+    extract_dimension(df).write.mode("overwrite").json(path)
+
+
 def json_document(top: DataFrame) -> DataFrame:
     """A short, already limited result as one JSON array."""
     return top.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*top.columns)))).alias("document"))

@@ -195,8 +195,12 @@ SQL["upsert_keys_dedup"] = """SELECT 'telemetry' AS entity, COUNT(*) AS rows FRO
         (SELECT DISTINCT vehicle_id, "timestamp" FROM telemetry)
     UNION ALL SELECT 'incidents', COUNT(DISTINCT incident_id) FROM incidents
     UNION ALL SELECT 'whole_row', COUNT(*) FROM (SELECT DISTINCT name, status FROM drivers)"""
-SQL["append_counts"] = """SELECT event_type, COUNT(*) AS rows FROM events WHERE event_type IN ('error', 'view')
-    GROUP BY event_type"""
+SQL["append_counts"] = " UNION ALL ".join(
+    f"""SELECT '{e}' AS entity, '{part}' AS part, COUNT(*) AS written, (SELECT COUNT(*) FROM {e}) AS stored FROM {e}
+    WHERE "timestamp" {op} {WARM}"""
+    for e in ("telemetry", "incidents")
+    for part, op in (("early", "<"), ("late", ">="))
+)
 SQL["stage_records"] = " UNION ALL ".join(
     f"""SELECT '{e}' AS entity, 'staging:{e}:' || {key} AS key, {AS_OF} AS written_at,
     {AS_OF} + to_seconds({ttl}) AS expires_at FROM {e} {cond}"""
@@ -639,8 +643,10 @@ SQL["kpi_bands"] = f"""SELECT f.kpi, f.value, arg_max(b.band, COALESCE(b.low, '-
     FROM ({long(FLEET)}) f JOIN (VALUES {BANDS}) b(kpi, low, band) ON f.kpi = b.kpi AND (b.low IS NULL OR f.value >= b.low)
     GROUP BY f.kpi, f.value"""
 PANELS = ", ".join(f"({n}, '{t}', '{k}')" for n, t, k in kpis.PANELS)
-SQL["dashboard_feed"] = f"""SELECT p.panel, p.title, p.kpi, f.value FROM (VALUES {PANELS}) p(panel, title, kpi)
-    LEFT JOIN ({long(FLEET)}) f ON f.kpi = p.kpi"""
+SQL["dashboard_feed"] = f"""SELECT p.panel, p.title, p.kpi, f.value, CASE WHEN p.panel = 9 THEN (SELECT
+    string_agg(vehicle_type || '=' || n, ', ' ORDER BY vehicle_type) FROM
+    (SELECT vehicle_type, COUNT(*) AS n FROM vehicles GROUP BY vehicle_type)) END AS detail
+    FROM (VALUES {PANELS}) p(panel, title, kpi) LEFT JOIN ({long(FLEET)}) f ON f.kpi = p.kpi"""
 SCORE = "CASE lower(severity) WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 END"
 SQL["kpi_severity_score"] = f"""SELECT COUNT(*) AS incidents, COALESCE({rnd(davg(SCORE), 2)}, 0) AS avg_severity_score
     FROM incidents"""

@@ -19,7 +19,7 @@ from haulmark.schemas import DIMENSIONS, ENTITIES, KEYS
 from haulmark.session import run_dir
 from haulmark.sources import envelopes
 from haulmark.sources.tables import AS_OF, Star, load, read_table
-from haulmark.streaming import jobs
+from haulmark.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,9 @@ def warm_from():
     return timing.before(AS_OF, days=10)
 
 
+TELEMETRY_ROW = ["event_id", "vehicle_id", "timestamp", "speed", "fuel_level", "engine_temp"]
+
+
 def query(name: str) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -157,30 +160,37 @@ def topic_counts(spark, sf_dir):
 # --- tiers -------------------------------------------------------------------
 
 
-def _archived(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Hot telemetry, and the warm folder with everything older than 48 hours."""
-    hot = load(spark, sf_dir, "telemetry").select(
-        "event_id", "vehicle_id", "timestamp", "speed", "fuel_level", "engine_temp"
-    )
+ARCHIVE_KEYS = ["event_id"]
+
+
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "telemetry").select(*TELEMETRY_ROW)
+
+
+def _archived(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the warm tier with all telemetry older than 48 hours."""
     root = f"{run_dir(spark, 'warm')}/telemetry"
-    archive.archive_warm(hot, root, hot_from())
-    return hot, root
+    archive.archive_warm(_hot(spark, sf_dir), root, hot_from(), ARCHIVE_KEYS)
+    return root
+
+
+def _cooled(spark: SparkSession, warm_root: str) -> str:
+    root = f"{run_dir(spark, 'cold')}/telemetry"
+    archive.archive_cold(spark, warm_root, root, warm_from(), ARCHIVE_KEYS)
+    return root
 
 
 @query("warm_scan")
 def warm_scan(spark, sf_dir):
-    _, root = _archived(spark, sf_dir)
-    return archive.warm_scan(spark, root, 2024, 1, 15)
+    return archive.warm_scan(spark, _archived(spark, sf_dir), 2024, 1, 15)
 
 
 @query("tiered_read")
 def tiered_read(spark, sf_dir):
-    hot, warm_root = _archived(spark, sf_dir)
-    cold_root = f"{run_dir(spark, 'cold')}/telemetry"
-    archive.archive_cold(spark, warm_root, cold_root, warm_from())
-    warm = spark.read.parquet(warm_root)
-    kept = archive.retain_hot(hot, hot_from(), warm.count())
-    return archive.tiered_read(kept, warm.filter(F.col("timestamp") >= warm_from()), spark.read.orc(cold_root))
+    warm_root = f"{run_dir(spark, 'warm')}/telemetry"
+    kept = archive.hot_to_warm(_hot(spark, sf_dir), warm_root, hot_from(), ARCHIVE_KEYS)
+    cold = spark.read.orc(_cooled(spark, warm_root))
+    return archive.tiered_read(kept, spark.read.parquet(warm_root).filter(F.col("timestamp") >= warm_from()), cold)
 
 
 @star("archive_candidates")
@@ -191,34 +201,28 @@ def archive_candidates(s):
 
 @query("archive_warm")
 def archive_warm(spark, sf_dir):
-    _, root = _archived(spark, sf_dir)
-    return spark.read.parquet(root)
+    return spark.read.parquet(_archived(spark, sf_dir))
 
 
 @query("archive_retain")
 def archive_retain(spark, sf_dir):
-    hot, root = _archived(spark, sf_dir)
-    return archive.retain_hot(hot, hot_from(), spark.read.parquet(root).count())
+    warm = spark.read.parquet(_archived(spark, sf_dir))
+    return archive.retain_hot(_hot(spark, sf_dir), warm, hot_from(), ARCHIVE_KEYS)
 
 
 @query("archive_cold")
 def archive_cold(spark, sf_dir):
-    _, warm_root = _archived(spark, sf_dir)
-    cold_root = f"{run_dir(spark, 'cold')}/telemetry"
-    archive.archive_cold(spark, warm_root, cold_root, warm_from())
-    return spark.read.orc(cold_root)
+    return spark.read.orc(_cooled(spark, _archived(spark, sf_dir)))
 
 
 @query("tier_inventory")
 def tier_inventory(spark, sf_dir):
-    _, root = _archived(spark, sf_dir)
-    return archive.tier_inventory(spark.read.parquet(root), archive.DAY_PARTS)
+    return archive.tier_inventory(spark.read.parquet(_archived(spark, sf_dir)), archive.DAY_PARTS)
 
 
 @query("partition_stats")
 def partition_stats(spark, sf_dir):
-    _, root = _archived(spark, sf_dir)
-    return archive.column_stats(spark.read.parquet(root), ["vehicle_id", "speed", "fuel_level"])
+    return archive.column_stats(spark.read.parquet(_archived(spark, sf_dir)), ["vehicle_id", "speed", "fuel_level"])
 
 
 @star("tier_assign")
@@ -275,10 +279,15 @@ def upsert_keys_dedup(s):
 @query("append_counts")
 def append_counts(spark, sf_dir):
     root = run_dir(spark, "append")
-    for part in ("error", "view"):
-        part_rows = read_table(spark, sf_dir, "events").filter(F.col("event_type") == part)
-        part_rows.write.mode("append").parquet(f"{root}/events")
-    return spark.read.parquet(f"{root}/events").groupBy("event_type").agg(F.count("*").alias("rows"))
+    written = []
+    for entity in ("telemetry", "incidents"):
+        df = load(spark, sf_dir, entity)
+        first = F.col("timestamp") < warm_from()
+        for part, rows in (("early", df.filter(first)), ("late", df.filter(~first))):
+            written.append((entity, part, sinks.append_counted(rows, f"{root}/{entity}")))
+    stored = statistics.table_counts({e: spark.read.parquet(f"{root}/{e}") for e in ("telemetry", "incidents")})
+    counters = spark.createDataFrame(written, "entity string, part string, written bigint")
+    return counters.join(stored.withColumnRenamed("rows", "stored"), "entity")
 
 
 @star("kpi_snapshot")
@@ -339,7 +348,7 @@ def json_export(spark, sf_dir):
     root = run_dir(spark, "export")
     frames = []
     for e in DIMENSIONS:
-        envelopes.extract_dimension(load(spark, sf_dir, e)).write.json(f"{root}/{e}")
+        staging.export_json(load(spark, sf_dir, e), f"{root}/{e}")
         back = spark.read.schema("name string, make string").json(f"{root}/{e}")
         frames.append(
             back.agg(F.count("*").alias("rows"), F.count_distinct(F.coalesce("name", "make")).alias("labels"))
@@ -362,9 +371,6 @@ def json_document(s):
 
 # --- predicates and labels -----------------------------------------------------
 
-TELEMETRY_ROW = ["event_id", "vehicle_id", "timestamp", "speed", "fuel_level", "engine_temp"]
-
-
 @star("validate_telemetry")
 def validate_telemetry(s):
     return checks.validate(s.telemetry, "telemetry").select(*TELEMETRY_ROW)
@@ -448,7 +454,8 @@ def kpi_bands(s):
 
 @star("dashboard_feed")
 def dashboard_feed(s):
-    return kpis.dashboard_feed(kpis.snapshot_kpis(kpis.kpi_fleet(s), "2024-01-30 23:58:00"), AS_OF)
+    snapshot = kpis.snapshot_kpis(kpis.kpi_fleet(s), "2024-01-30 23:58:00")
+    return kpis.dashboard_feed(snapshot, s.vehicles, AS_OF)
 
 
 # --- joins ---------------------------------------------------------------------

@@ -68,17 +68,28 @@ def route(df: DataFrame, topic: str) -> DataFrame:
     return df.filter(F.col("topic") == topic)
 
 
+def publish(coded: DataFrame, *, servers: str | None = None, path: str | None = None) -> None:
+    """Send encoded records to a broker, compressed, or to a folder of files."""
+    if servers:
+        writer = coded.write.format("kafka").option("kafka.bootstrap.servers", servers)
+        writer.option("kafka.compression.type", "gzip").save()
+    else:
+        coded.write.mode("append").parquet(path)
+
+
 def peek(df: DataFrame, n: int = 5, width: int = 200) -> DataFrame:
     """Newest n messages per topic with a shortened value.
 
-    ``row_number() <= n`` becomes a group limit that runs before the shuffle,
-    so a topic with most of the rows still sends only n rows per task.
+    The places are found on topic and offset alone: ``row_number() <= n`` becomes
+    a group limit that runs before the shuffle, so a topic with most of the rows
+    sends n rows per task. The n places per topic are then broadcast to pick the
+    messages; no payload is sorted.
     """
-    newest = Window.partitionBy("topic").orderBy(F.col("offset").desc())
-    return (
-        df.withColumn("rank", F.row_number().over(newest))
-        .filter(F.col("rank") <= n)
-        .select("topic", "rank", "offset", "key", F.substring("value", 1, width).alias("preview"))
+    place = [c for c in ("topic", "partition", "offset") if c in df.columns]
+    newest = Window.partitionBy("topic").orderBy(F.col("offset").desc(), *[c for c in place if c == "partition"])
+    ranks = df.select(*place).withColumn("rank", F.row_number().over(newest)).filter(F.col("rank") <= n)
+    return df.join(F.broadcast(ranks), place).select(
+        "topic", "rank", "offset", "key", F.substring("value", 1, width).alias("preview")
     )
 
 

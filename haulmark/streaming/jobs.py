@@ -16,7 +16,7 @@ from haulmark.operators.checks import anomalies, validate
 from haulmark.operators.rollups import sliding_rollup
 from haulmark.schemas import schema_for
 from haulmark.session import run_dir
-from haulmark.sources.envelopes import decode, encode_envelope, read_stream
+from haulmark.sources.envelopes import decode, encode_envelope, publish, read_stream
 from haulmark.sources.tables import TELEMETRY, load, read_table, table_schema
 from haulmark.streaming import sinks
 
@@ -41,7 +41,7 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = load(spark, sf_dir, "telemetry")
     fields = [f for f in schema_for("telemetry").fieldNames() if f != "timestamp"]
     messages = readings.select(*fields, iso_text(F.col("timestamp")).alias("timestamp"))
-    encode_envelope(messages, F.col("vehicle_id"), topic="vehicle-telemetry").write.parquet(f"{root}/topic")
+    publish(encode_envelope(messages, F.col("vehicle_id"), topic="vehicle-telemetry"), path=f"{root}/topic")
     raw = read_stream(
         spark, f"{root}/topic", "telemetry", fmt="parquet", schema=spark.read.parquet(f"{root}/topic").schema
     )

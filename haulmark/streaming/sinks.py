@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,8 +15,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def large_state(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB, off the Java heap."""
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    """On a cluster, keep stream state in RocksDB, off the Java heap."""
+    if not spark.sparkContext.master.startswith("local"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
 
 
 def _trigger(writer, every: str | None):
@@ -104,6 +105,13 @@ def compact(spark: SparkSession, target: str, into: str, keys: list[str]) -> Non
     read_upserted(spark, target, keys).write.mode("overwrite").parquet(batch_folder(into, -1))
 
 
+def append_counted(df: DataFrame, path: str) -> int:
+    """Append rows and return how many were written, counted on the way."""
+    counter = Observation()
+    df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return counter.get["rows"]
+
+
 def append_batches(*outputs: tuple[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
     """Callback that feeds several outputs from one read of each batch."""
 
