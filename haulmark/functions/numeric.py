@@ -74,8 +74,12 @@ def gaussian_pdf(x: Column, mean: Column, std: Column) -> Column:
 
 
 def sample_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation; NULL for fewer than two pairs or a constant side."""
+    """Pearson correlation; NULL for fewer than two pairs or a constant side.
+
+    ``corr`` itself divides by zero for a constant side, an error in ANSI mode.
+    """
     paired_x = F.when(y.isNotNull(), x)
     paired_y = F.when(x.isNotNull(), y)
     varies = (F.min(paired_x) < F.max(paired_x)) & (F.min(paired_y) < F.max(paired_y))
-    return F.when(varies, F.corr(x, y))
+    spread = F.stddev_pop(paired_x) * F.stddev_pop(paired_y)
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), spread))
