@@ -54,7 +54,7 @@ def merged_avg(name: str, weight: Column | None = None) -> Column:
 
 
 def ratio(num: Column, den: Column, factor: float = 1.0) -> Column:
-    """``num / den * factor``; 0 when the denominator is 0 or missing."""
+    """``num / den * factor``; 0 when the denominator is 0 or a side is missing."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")) * factor, F.lit(0.0))
 
 

@@ -17,11 +17,18 @@ from pyspark.sql import functions as F
 HOUR = 3600
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which a missing key matches a missing key, as in GROUP BY; still a hash or merge join."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, same), how).drop(*[f"_r_{k}" for k in keys])
+
+
 def join_per_key(df: DataFrame, stats: DataFrame, key: str, spread: Column, parts: int = 16) -> DataFrame:
     """Join rows to one-row-per-key figures with every key split over ``parts`` tasks."""
     salted = df.withColumn("_part", F.pmod(F.hash(spread), F.lit(parts)))
     copies = stats.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return salted.join(copies, [key, "_part"]).drop("_part")
+    return join_same(salted, copies, [key, "_part"]).drop("_part")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:

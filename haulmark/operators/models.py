@@ -116,7 +116,7 @@ def rpm_from_speed(speed: Column) -> Column:
         .when(speed < 60, (speed - 20) * 25 + 1500)
         .otherwise((speed - 60) * 15 + 2500)
     )
-    return F.least(F.floor(rpm), F.lit(4500)).cast("int")
+    return F.when(speed.isNotNull(), F.least(F.floor(rpm), F.lit(4500))).cast("int")
 
 
 def fuel_rate(speed: Column, rpm: Column, throttle: Column, temp: Column, mean_temp: float = 85.0) -> Column:

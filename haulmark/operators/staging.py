@@ -15,7 +15,8 @@ FACT_TTL = 1800
 def stage(df: DataFrame, entity: str, key_columns: list[str], as_of: str, ttl: int) -> DataFrame:
     """Records under ``staging:<entity>:<key>`` with times as ISO text in the payload."""
     text = extract_dimension(df)
-    keys = [F.col(c).cast("string") for c in key_columns]
+    # A missing key part stays visible, so that two keys never fall together.
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in key_columns]
     return text.select(
         F.lit(entity).alias("entity"),
         F.concat_ws(":", F.lit("staging"), F.lit(entity), *keys).alias("key"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.functions.numeric import ratio, settle, steady_avg
-from haulmark.operators.joins import join_per_key, union_all
+from haulmark.operators.joins import join_per_key, join_same, union_all
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -90,7 +90,7 @@ def exact_quantiles(
     )
     in_bin = Window.partitionBy(key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
-        counts.join(wanted, [key, "bin"])
+        join_same(counts, wanted, [key, "bin"])
         .withColumn("to", F.sum("n").over(in_bin) + F.col("start"))
         .withColumn("r", F.explode("ranks"))
         .filter((F.col("r.rank") < F.col("to")) & (F.col("r.rank") >= F.col("to") - F.col("n")))
@@ -120,7 +120,7 @@ def profile_stats(df: DataFrame, key: str, column: str) -> DataFrame:
     )
     quartiles = exact_quantiles(df, key, column, {"q25": 0.25, "median": 0.5, "q75": 0.75})
     rounded = quartiles.select(key, *[settle(F.col(q), 2).alias(q) for q in ("q25", "median", "q75")])
-    return moments.join(rounded, key)
+    return join_same(moments, rounded, [key])
 
 
 def normality_check(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -17,7 +17,7 @@ DAY = "TIMESTAMP '2024-01-30 00:00:00'"
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,15)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
 def stl(x: str, n: int) -> str:
@@ -209,7 +209,7 @@ SQL["stage_records"] = " UNION ALL ".join(
         ("drivers", "driver_id", 3600, ""),
         ("warehouses", "warehouse_id", 3600, ""),
         ("customers", "customer_id", 3600, ""),
-        ("telemetry", "vehicle_id || ':' || strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f')", 1800,
+        ("telemetry", "COALESCE(CAST(vehicle_id AS VARCHAR), 'None') || ':' || strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f')", 1800,
          f'WHERE "timestamp" >= {DAY}'),
         ("deliveries", "delivery_id", 1800, ""),
         ("incidents", "incident_id", 1800, ""),
@@ -260,7 +260,7 @@ ANOMALY_TYPE = """CASE WHEN speed > 140 THEN 'OVER_SPEED' WHEN speed < 0 THEN 'I
 SQL["anomaly_filter"] = f"SELECT {ROW} FROM telemetry WHERE {ANOMALY}"
 SQL["anomaly_classify"] = f"SELECT {ROW}, {ANOMALY_TYPE} FROM telemetry WHERE {ANOMALY}"
 SQL["stream_anomalies"] = f"""SELECT {ROW}, {ANOMALY_TYPE} FROM telemetry WHERE {ANOMALY}
-    AND speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"""
+    AND vehicle_id IS NOT NULL AND speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"""
 SQL["predicate_mix"] = f"""SELECT delivery_id, status, warehouse_id, distance_km FROM deliveries
     WHERE status IN ('InProgress', 'Completed') AND distance_km BETWEEN 5 AND 30 AND package_weight > 0
     AND warehouse_id <> 3 AND pickup_time >= {MONTH}"""
@@ -337,16 +337,18 @@ SQL["speed_profile_stats"] = f"""SELECT vehicle_id, COUNT(speed) AS readings, {r
     {stl('quantile_cont(speed, 0.25)', 2)} AS q25, {stl('quantile_cont(speed, 0.5)', 2)} AS median,
     {stl('quantile_cont(speed, 0.75)', 2)} AS q75 FROM telemetry GROUP BY vehicle_id"""
 AWAY = rnd("ABS(t.speed - s.mu)", 8)
-WITHIN = {k: f"(COUNT(*) FILTER (WHERE {AWAY} <= {rnd(f's.sd * {k}', 8)})) / CAST(COUNT(*) AS DOUBLE)" for k in (1, 2, 3)}
-SQL["normality_check"] = f"""SELECT vehicle_id, {WITHIN[1]} BETWEEN 0.6 AND 0.75 AS rule_68,
+WITHIN = {
+    k: f"(COUNT(*) FILTER (WHERE {AWAY} <= {rnd(f's.sd * {k}', 8)})) / CAST(COUNT(t.speed) AS DOUBLE)" for k in (1, 2, 3)
+}
+SQL["normality_check"] = f"""SELECT t.vehicle_id, {WITHIN[1]} BETWEEN 0.6 AND 0.75 AS rule_68,
     {WITHIN[2]} BETWEEN 0.9 AND 0.98 AS rule_95, {WITHIN[3]} BETWEEN 0.95 AND 1 AS rule_99,
     {", ".join(rnd(WITHIN[k] + ' * 100', 2) + f' AS actual_{k}std' for k in (1, 2, 3))}
     FROM telemetry t JOIN (SELECT vehicle_id, {davg('speed')} AS mu, stddev_pop(speed) AS sd FROM telemetry
-    GROUP BY vehicle_id) s USING (vehicle_id) GROUP BY vehicle_id"""
+    GROUP BY vehicle_id) s ON t.vehicle_id IS NOT DISTINCT FROM s.vehicle_id WHERE t.speed IS NOT NULL GROUP BY t.vehicle_id"""
 SQL["incident_dispersion"] = f"""WITH days AS (SELECT UNNEST(generate_series(MIN(CAST("timestamp" AS DATE)),
         MAX(CAST("timestamp" AS DATE)), INTERVAL 1 DAY)) AS day FROM incidents),
     grid AS (SELECT v.vehicle_id, d.day, COUNT(i.incident_id) AS n FROM (SELECT DISTINCT vehicle_id FROM incidents) v
-        CROSS JOIN days d LEFT JOIN incidents i ON i.vehicle_id = v.vehicle_id AND CAST(i."timestamp" AS DATE) = d.day
+        CROSS JOIN days d LEFT JOIN incidents i ON i.vehicle_id IS NOT DISTINCT FROM v.vehicle_id AND CAST(i."timestamp" AS DATE) = d.day
         GROUP BY 1, 2),
     moments AS (SELECT vehicle_id, CAST(COUNT(*) AS INTEGER) AS days, avg(n) AS m, var_pop(n) AS v, MIN(n) AS lo, MAX(n) AS hi
         FROM grid GROUP BY vehicle_id)
@@ -430,11 +432,11 @@ SQL["scalar_text"] = f"""SELECT incident_id, {TITLE} AS title, severity AS capit
     CASE WHEN incident_id % 2 = 0 THEN {TITLE} ELSE 'N/A' END AS or_na, lower(severity) AS lower,
     'VEH-' || printf('%05d', vehicle_id) AS vehicle, 'INC-' || printf('%08d', incident_id) AS incident,
     incident_type AS preview FROM incidents"""
-GUARD = "CASE WHEN fuel_level = 0 THEN 0 ELSE speed / fuel_level * 100 END"
+GUARD = "CASE WHEN fuel_level = 0 THEN 0 ELSE COALESCE(speed / fuel_level * 100, 0) END"
 DENSITY = "exp(-((speed - 50) * (speed - 50)) / (225 * 2.0::DOUBLE)) / sqrt(225 * 2.0::DOUBLE * pi())"
 SQL["scalar_math"] = f"""SELECT event_id, {rnd('speed', 1)} AS r1, {rnd('speed', 0)} AS r0, {stl(GUARD, 6)} AS guarded,
     {stl('speed / NULLIF(fuel_level, 0)', 6)} AS null_if_zero,
-    CAST(GREATEST(10, LEAST(140, speed)) AS DOUBLE) AS clipped, CAST(sign(speed - 50) AS DOUBLE) AS side,
+    CASE WHEN speed IS NOT NULL THEN CAST(GREATEST(10, LEAST(140, speed)) AS DOUBLE) END AS clipped, CAST(sign(speed - 50) AS DOUBLE) AS side,
     {stl('ABS(speed - 50)', 6)} AS distance_from_50, {stl('(speed - 50) * (speed - 50)', 6)} AS squared,
     {stl(haversine('24.8607::DOUBLE', '67.0011::DOUBLE', 'latitude', 'longitude'), 6)} AS km,
     {stl(DENSITY, 6)} AS density, CASE WHEN fuel_level > 50 THEN fuel_level ELSE 0 END AS defaulted FROM telemetry"""
@@ -459,7 +461,7 @@ SQL["stream_append_vs_update"] = f"""SELECT 'append' AS mode, COUNT(*) AS window
 SQL["stream_late_data"] = f"""SELECT COUNT(*) AS windows, CAST(SUM(n) AS BIGINT) AS records, TRUE AS late_dropped FROM
     (SELECT window_start, vehicle_id, COUNT(*) AS n FROM {TUMBLING}
     WHERE NOT ("timestamp" < TIMESTAMP '2024-01-16' AND event_id % 10 = 0) GROUP BY 1, 2) WHERE {CLOSED}"""
-VALID = "speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"
+VALID = "vehicle_id IS NOT NULL AND speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"
 SQL["stream_multi"] = f"""SELECT 'valid' AS output, COUNT(*) AS rows FROM telemetry WHERE {VALID}
     UNION ALL SELECT 'anomalies', COUNT(*) FROM telemetry WHERE {VALID} AND {ANOMALY}
     UNION ALL SELECT 'incidents', COUNT(*) FROM incidents"""
@@ -813,11 +815,11 @@ SIGMA = case_of("road_type", models.SPEED_STD, "10.0::DOUBLE") + \
     " * (CASE WHEN time_of_day IN ('morning_rush', 'evening_rush') THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END)"
 SQL["speed_zscore"] = f"""SELECT event_id, vehicle_id, speed, {stl(MU, 4)} AS expected_speed, {stl(SIGMA, 4)} AS expected_std,
     {stl(f'(speed - {MU}) / ({SIGMA})', 4)} AS z_score FROM {CONDITIONS}"""
-RPM = """CAST(LEAST(floor(CASE WHEN speed < 20 THEN speed * 40 + 800 WHEN speed < 60 THEN (speed - 20) * 25 + 1500
-    ELSE (speed - 60) * 15 + 2500 END), 4500) AS INTEGER)"""
+RPM = """CAST(CASE WHEN speed IS NOT NULL THEN LEAST(floor(CASE WHEN speed < 20 THEN speed * 40 + 800 WHEN speed < 60 THEN (speed - 20) * 25 + 1500
+    ELSE (speed - 60) * 15 + 2500 END), 4500) END AS INTEGER)"""
 LITRES = """GREATEST(2, LEAST(30, 8 + (speed / 100) * (speed / 100) * 3 + (CAST(rpm2 AS DOUBLE) / 1000) * 0.5::DOUBLE
     + LEAST(100, fuel_level) / 100 * 4 + CASE WHEN engine_temp < 85 THEN (85 - engine_temp) * 0.05::DOUBLE ELSE 0 END))"""
-SQL["fuel_rate"] = f"""SELECT event_id, rpm2 AS rpm, {stl(LITRES, 2)} AS litres_per_hour FROM
+SQL["fuel_rate"] = f"""SELECT event_id, rpm2 AS rpm, CASE WHEN speed IS NOT NULL THEN {stl(LITRES, 2)} END AS litres_per_hour FROM
     (SELECT *, {RPM} AS rpm2 FROM telemetry)"""
 
 
@@ -832,7 +834,7 @@ def log_density(state: str) -> str:
 STATES = ("normal", "aggressive", "tired")
 SQL["driver_state"] = f"""SELECT event_id, p_normal, p_aggressive, p_tired,
     CASE WHEN p_normal >= p_aggressive AND p_normal >= p_tired THEN 'normal'
-         WHEN p_aggressive >= p_tired THEN 'aggressive' ELSE 'tired' END AS state FROM (
+         WHEN p_aggressive >= p_tired THEN 'aggressive' WHEN p_tired IS NOT NULL THEN 'tired' END AS state FROM (
     SELECT event_id, {", ".join(stl(f'exp(l_{s} - top) / (exp(l_normal - top) + exp(l_aggressive - top) + exp(l_tired - top))', 6)
                                + f' AS p_{s}' for s in STATES)} FROM (
     SELECT *, GREATEST(l_normal, l_aggressive, l_tired) AS top FROM (
