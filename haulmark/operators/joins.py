@@ -108,13 +108,8 @@ def deliveries_by_vehicle_day(deliveries: DataFrame, warehouses: DataFrame | Non
     keys = ["vehicle_id", F.to_date("pickup_time").alias("day")]
     if warehouses is None:
         return deliveries.groupBy(*keys).agg(F.count("*").alias("matches"))
-    per_origin = deliveries.groupBy(*keys, "warehouse_id").agg(F.count("*").alias("matches"))
     origin = warehouses.select("warehouse_id", F.col("city").alias("origin_city"))
-    return (
-        per_origin.join(origin, "warehouse_id", "left")
-        .groupBy("vehicle_id", "day", "origin_city")
-        .agg(F.sum("matches").alias("matches"))
-    )
+    return deliveries.join(origin, "warehouse_id", "left").groupBy(*keys, "origin_city").agg(F.count("*").alias("matches"))
 
 
 def merge_partial(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -235,7 +235,9 @@ def fuel_pattern(
     t = s.telemetry.filter(
         (F.col("timestamp") >= cutoff) & (F.col("speed") > 0) & (F.col("fuel_level") > 0)
     )
-    days = deliveries_by_vehicle_day(s.deliveries, s.warehouses)
+    # Only deliveries of the days read can match.
+    d = s.deliveries.filter(F.col("pickup_time") >= F.date_trunc("day", cutoff))
+    days = deliveries_by_vehicle_day(d, s.warehouses)
     weight = F.coalesce("matches", F.lit(1))
     fuel, speed = merged_avg("fuel_level", weight), merged_avg("speed", weight)
     span = F.max("fuel_max") - F.min("fuel_min")
