@@ -50,28 +50,30 @@ def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id",
     return with_previous(df, key, ["timestamp", "event_id"], columns, slice_of(F.col("timestamp"), seconds))
 
 
-def route_distance(df: DataFrame) -> DataFrame:
+def route_distance(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Kilometres along the GPS points of each vehicle."""
-    steps = previous_reading(df.select("vehicle_id", "timestamp", "event_id", "latitude", "longitude"),
-                             ["latitude", "longitude"])
+    steps = previous_reading(df.select(key, "timestamp", "event_id", "latitude", "longitude"),
+                             ["latitude", "longitude"], key)
     km = haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))
-    return steps.groupBy("vehicle_id").agg(
+    return steps.groupBy(key).agg(
         F.count("*").alias("points"), F.coalesce(F.round(steady_sum(km), 3), F.lit(0.0)).alias("distance_km")
     )
 
 
-def ar1_check(df: DataFrame, column: str = "engine_temp", phi: float = 0.95, mean: float = 85, sigma: float = 5):
+def ar1_check(
+    df: DataFrame, column: str = "engine_temp", phi: float = 0.95, mean: float = 85, sigma: float = 5, key: str = "vehicle_id"
+) -> DataFrame:
     """Sample moments and lag-1 correlation per vehicle against the AR(1) parameters."""
-    pairs = previous_reading(df.select("vehicle_id", "timestamp", "event_id", column), [column])
+    pairs = previous_reading(df.select(key, "timestamp", "event_id", column), [column], key)
     x, before = F.col(column), F.col(f"prev_{column}")
-    found = pairs.groupBy("vehicle_id").agg(
+    found = pairs.groupBy(key).agg(
         F.count("*").alias("readings"),
         F.round(steady_avg(x), 2).alias("sample_mean"),
         settle(F.var_pop(x), 2).alias("sample_variance"),
         sample_corr(before, x).alias("corr"),
     )
     return found.select(
-        "vehicle_id",
+        key,
         "readings",
         "sample_mean",
         F.lit(float(mean)).alias("theoretical_mean"),
@@ -83,49 +85,51 @@ def ar1_check(df: DataFrame, column: str = "engine_temp", phi: float = 0.95, mea
     )
 
 
-def ar1_residual(df: DataFrame, column: str = "engine_temp", phi: float = 0.95, mean: float = 85, sigma: float = 5):
+def ar1_residual(
+    df: DataFrame, column: str = "engine_temp", phi: float = 0.95, mean: float = 85, sigma: float = 5, key: str = "vehicle_id"
+) -> DataFrame:
     """Readings further than 3 sigma from their AR(1) forecast."""
-    pairs = previous_reading(df.select("vehicle_id", "timestamp", "event_id", column), [column])
+    pairs = previous_reading(df.select(key, "timestamp", "event_id", column), [column], key)
     forecast = (F.col(f"prev_{column}") - float(mean)) * phi + float(mean)
     return (
         pairs.withColumn("residual", settle(F.col(column) - forecast, 6))
         .filter(F.abs("residual") > 3.0 * sigma)
-        .select("event_id", "vehicle_id", "timestamp", column, "residual")
+        .select("event_id", key, "timestamp", column, "residual")
     )
 
 
-def speed_jump(df: DataFrame, limit: float = 15) -> DataFrame:
+def speed_jump(df: DataFrame, limit: float = 15, key: str = "vehicle_id") -> DataFrame:
     """Readings whose speed differs from the one before by more than the limit.
 
     ``allowed_speed`` is the previous speed moved by the limit in the same direction.
     """
-    steps = previous_reading(df.select("vehicle_id", "timestamp", "event_id", "speed"), ["speed"])
+    steps = previous_reading(df.select(key, "timestamp", "event_id", "speed"), ["speed"], key)
     change = F.col("speed") - F.col("prev_speed")
     return (
         steps.withColumn("change", settle(change, 6))
         .filter(F.abs("change") > limit)
         .withColumn("allowed_speed", settle(F.col("prev_speed") + F.signum("change") * limit, 2))
-        .select("event_id", "vehicle_id", "timestamp", "speed", "prev_speed", "change", "allowed_speed")
+        .select("event_id", key, "timestamp", "speed", "prev_speed", "change", "allowed_speed")
     )
 
 
-def ts_monotonic(df: DataFrame, arrivals_per_slice: int = 100_000) -> DataFrame:
+def ts_monotonic(df: DataFrame, arrivals_per_slice: int = 100_000, key: str = "vehicle_id") -> DataFrame:
     """Per vehicle, readings that arrive with an earlier time than the one before."""
     slice = F.floor(F.col("event_id") / arrivals_per_slice).cast("long")
     steps = with_previous(
-        df.select("vehicle_id", "timestamp", "event_id"), "vehicle_id", ["event_id"], ["timestamp"], slice
+        df.select(key, "timestamp", "event_id"), key, ["event_id"], ["timestamp"], slice
     )
     late = F.count_if(F.col("timestamp") < F.col("prev_timestamp"))
-    return steps.groupBy("vehicle_id").agg(
+    return steps.groupBy(key).agg(
         F.count("*").alias("readings"), late.alias("out_of_order"), (late == 0).alias("passed")
     )
 
 
-def fuel_monotonic(df: DataFrame) -> DataFrame:
+def fuel_monotonic(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Per vehicle, steps where fuel falls, stays or rises; a rise is a refuel."""
-    steps = previous_reading(df.select("vehicle_id", "timestamp", "event_id", "fuel_level"), ["fuel_level"])
+    steps = previous_reading(df.select(key, "timestamp", "event_id", "fuel_level"), ["fuel_level"], key)
     now, before = F.col("fuel_level"), F.col("prev_fuel_level")
-    return steps.groupBy("vehicle_id").agg(
+    return steps.groupBy(key).agg(
         F.count_if(now < before).alias("falls"),
         F.count_if(now == before).alias("flat"),
         F.count_if(now > before).alias("refuels"),
@@ -133,9 +137,11 @@ def fuel_monotonic(df: DataFrame) -> DataFrame:
     )
 
 
-def transition_matrix(df: DataFrame, column: str, expected: dict[tuple[str, str], float]) -> DataFrame:
+def transition_matrix(
+    df: DataFrame, column: str, expected: dict[tuple[str, str], float], key: str = "vehicle_id"
+) -> DataFrame:
     """Observed share of every state change, next to the configured one."""
-    steps = previous_reading(df.select("vehicle_id", "timestamp", "event_id", column), [column])
+    steps = previous_reading(df.select(key, "timestamp", "event_id", column), [column], key)
     moves = (
         steps.filter(F.col(f"prev_{column}").isNotNull())
         .groupBy(F.col(f"prev_{column}").alias("from_state"), F.col(column).alias("to_state"))

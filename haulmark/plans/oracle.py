@@ -417,6 +417,9 @@ SQL["recent_incidents"] = """SELECT incident_id, vehicle_id, driver_id, incident
     ORDER BY "timestamp" DESC NULLS LAST, incident_id DESC LIMIT 10"""
 SQL["latest_telemetry"] = f'SELECT {ROW} FROM telemetry ORDER BY "timestamp" DESC NULLS LAST, event_id DESC LIMIT 5'
 
+SQL["latest_deliveries"] = """SELECT delivery_id, vehicle_id, status, pickup_time FROM deliveries
+    ORDER BY pickup_time DESC NULLS LAST, delivery_id DESC LIMIT 5"""
+
 # --- scalars ------------------------------------------------------------------------------------
 
 SQL["scalar_time"] = f"""SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN "timestamp" END AS parsed,
@@ -451,6 +454,7 @@ SLIDING = """(SELECT *, date_trunc('minute', "timestamp") - to_minutes(i) AS win
 TUMBLING = """(SELECT *, time_bucket(INTERVAL 5 MINUTES, "timestamp") AS window_start FROM telemetry)"""
 SQL["sliding_rollup"] = f"""SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, {ROLLUP} FROM {SLIDING}
     GROUP BY window_start, vehicle_id"""
+SQL["latest_aggregations"] = SQL["sliding_rollup"] + " ORDER BY window_start DESC, vehicle_id NULLS LAST LIMIT 5"
 SQL["tumbling_rollup"] = f"""SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, {ROLLUP} FROM {TUMBLING}
     GROUP BY window_start, vehicle_id"""
 CLOSED = "window_start + INTERVAL 5 MINUTES <= (SELECT MAX(\"timestamp\") - INTERVAL 10 MINUTES FROM telemetry)"

@@ -648,6 +648,18 @@ def latest_telemetry(s):
     return newest.select(*TELEMETRY_ROW)
 
 
+@star("latest_deliveries")
+def latest_deliveries(s):
+    newest = s.deliveries.orderBy(F.desc_nulls_last("pickup_time"), F.desc("delivery_id")).limit(5)
+    return newest.select("delivery_id", "vehicle_id", "status", "pickup_time")
+
+
+@star("latest_aggregations")
+def latest_aggregations(s):
+    windows = rollups.sliding_rollup(s.telemetry)
+    return windows.orderBy(F.desc("window_start"), F.asc_nulls_last("vehicle_id")).limit(5)
+
+
 # --- scalars -------------------------------------------------------------------------
 
 
