@@ -52,8 +52,8 @@ def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id",
 
 def route_distance(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Kilometres along the GPS points of each vehicle."""
-    steps = previous_reading(df.select(key, "timestamp", "event_id", "latitude", "longitude"),
-                             ["latitude", "longitude"], key)
+    place = ["latitude", "longitude"]
+    steps = previous_reading(df.select(key, "timestamp", "event_id", *place), place, key)
     km = haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))
     return steps.groupBy(key).agg(
         F.count("*").alias("points"), F.coalesce(F.round(steady_sum(km), 3), F.lit(0.0)).alias("distance_km")
@@ -116,9 +116,7 @@ def speed_jump(df: DataFrame, limit: float = 15, key: str = "vehicle_id") -> Dat
 def ts_monotonic(df: DataFrame, arrivals_per_slice: int = 100_000, key: str = "vehicle_id") -> DataFrame:
     """Per vehicle, readings that arrive with an earlier time than the one before."""
     slice = F.floor(F.col("event_id") / arrivals_per_slice).cast("long")
-    steps = with_previous(
-        df.select(key, "timestamp", "event_id"), key, ["event_id"], ["timestamp"], slice
-    )
+    steps = with_previous(df.select(key, "timestamp", "event_id"), key, ["event_id"], ["timestamp"], slice)
     late = F.count_if(F.col("timestamp") < F.col("prev_timestamp"))
     return steps.groupBy(key).agg(
         F.count("*").alias("readings"), late.alias("out_of_order"), (late == 0).alias("passed")
