@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from haulmark.operators.joins import combine_updates
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+WIDTH = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -20,6 +21,23 @@ def large_state(spark: SparkSession) -> None:
         spark.conf.set(STATE_STORE, ROCKSDB)
 
 
+def _start(writer, spark: SparkSession) -> StreamingQuery:
+    """Start a query; a local one gets no more state partitions than cores.
+
+    A query takes its width from the session as it starts and keeps it with the
+    checkpoint. On a cluster the width is the session's own setting.
+    """
+    large_state(spark)
+    width = spark.conf.get(WIDTH)
+    if not spark.sparkContext.master.startswith("local"):
+        return writer.start()
+    spark.conf.set(WIDTH, str(min(int(width), spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(WIDTH, width)
+
+
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -31,7 +49,6 @@ def start(
 
     Without ``every`` the query works off what is there and ends.
     """
-    large_state(df.sparkSession)
     writer = (
         df.writeStream.format("parquet")
         .outputMode(mode)
@@ -39,19 +56,19 @@ def start(
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _trigger(writer, every).start()
+    return _start(_trigger(writer, every), df.sparkSession)
 
 
 def to_console(df: DataFrame, name: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
     """Debug sink with full column width."""
     writer = df.writeStream.format("console").outputMode(mode).option("truncate", "false").queryName(name)
-    return _trigger(writer, every).start()
+    return _start(_trigger(writer, every), df.sparkSession)
 
 
 def to_memory(df: DataFrame, name: str, mode: str = "complete", every: str | None = None) -> StreamingQuery:
     """Small results as an in-memory table of that name; the rows live on the driver."""
     writer = df.writeStream.format("memory").outputMode(mode).queryName(name)
-    return _trigger(writer, every).start()
+    return _start(_trigger(writer, every), df.sparkSession)
 
 
 def per_batch(
@@ -59,14 +76,13 @@ def per_batch(
     every: str | None = None,
 ) -> StreamingQuery:
     """Run a function on every batch. An error fails the query, so no batch is lost."""
-    large_state(df.sparkSession)
     writer = (
         df.writeStream.foreachBatch(fn)
         .outputMode(mode)
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _trigger(writer, every).start()
+    return _start(_trigger(writer, every), df.sparkSession)
 
 
 def batch_folder(path: str, batch_id: int) -> str:
