@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import fingerprints, sharding
+from haulmark.llm import fingerprints, pii, sharding
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,5 +33,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_sharding, op8_fingerprints)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(pii.of_kind("base", no)).cast("bigint").alias(f"n_{kind}") for no, kind in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.array_sort(F.concat("base", "found"))).alias("spans"),
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_sharding, op8_fingerprints, op10_pii)}
 ORACLE: dict[str, str] = {}

@@ -31,12 +31,10 @@ def shards(docs: DataFrame, n_shards: int) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (place in its shard) and start (bytes before the row)."""
     rows = stored(sized(docs), "shard-sizes")
     placed = numbered(rows, ["doc_id", "text_crc32", "size"], "size")
-    total = rows.agg(F.sum("size").alias("total"))  # one row
+    total = rows.agg(F.sum("size")).first()[0] or 1
     middle = F.col("start") + F.floor(F.col("size") / 2)
-    placed = placed.join(F.broadcast(total)).withColumn(
-        "shard", F.least(F.lit(n_shards - 1), F.floor(middle * F.lit(n_shards) / F.col("total"))).cast("int")
-    )
-    placed = stored(placed.drop("total"), "shard-places")
+    shard = F.least(F.lit(n_shards - 1), F.floor(middle * n_shards / F.lit(total))).cast("int")
+    placed = stored(placed.withColumn("shard", shard), "shard-places")
     first = placed.groupBy("shard").agg(F.min("rank").alias("first_rank"))  # n_shards rows
     return placed.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("rank") - F.col("first_rank")).alias("slot"), "start"
