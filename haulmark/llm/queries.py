@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import fingerprints, pii, sharding
+from haulmark.llm import bpe, fingerprints, pii, sharding, token_counts, token_files
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), 40)
     return placed.select(
@@ -33,6 +42,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(table(spark, sf_dir, "documents"))
     counts = [F.size(pii.of_kind("base", no)).cast("bigint").alias(f"n_{kind}") for no, kind in enumerate(pii.KINDS)]
@@ -43,5 +56,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_sharding, op8_fingerprints, op10_pii)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op4_token_counts, op5_token_files, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
+}
 ORACLE: dict[str, str] = {}
