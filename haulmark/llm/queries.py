@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, fingerprints, pii, sharding, simhash, token_counts, token_files
+from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, token_counts, token_files
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
@@ -63,6 +67,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_simhash, op4_token_counts, op5_token_files, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
+    for f in (op2_simhash, op3_importance, op4_token_counts, op5_token_files, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
 }
 ORACLE: dict[str, str] = {}
