@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, token_counts, token_files
+from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, templates, token_counts, token_files
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("h")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), 40)
     return placed.select(
@@ -67,6 +72,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_simhash, op3_importance, op4_token_counts, op5_token_files, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
+    for f in (op2_simhash, op3_importance, op4_token_counts, op5_token_files, op6_templates, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
 }
 ORACLE: dict[str, str] = {}
