@@ -37,6 +37,7 @@ OCTET = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 
 REACH = 64  # characters before an entity in which its two words are looked for
 SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
+PART = 16
 
 SPAN = "struct<start:bigint,end:bigint,value:string>"
 
@@ -111,7 +112,7 @@ def before(text: Column, start: Column) -> Column:
 
 def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), base spans, and instances with the pattern before them; no texts."""
-    rows = texts_of(docs).withColumn("h", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
+    rows = docs.withColumn("h", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
     rows = rows.withColumn("tokens", matches(F.col("text"), TOKEN, "[0-9]"))
     base, text = F.col("base"), F.col("text")
     free = F.filter("tokens", lambda t: ~F.exists(base, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
@@ -129,7 +130,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often each pattern (two words) is followed by a word, over all texts."""
-    words = texts_of(docs).select(F.array_remove(F.split(F.lower("text"), r"\s+"), "").alias("w"))
+    words = docs.select(F.array_remove(F.split(F.lower("text"), r"\s+"), "").alias("w"))
     rest = F.greatest(F.size("w") - 2, F.lit(0))
     pairs = F.arrays_zip(F.slice("w", 1, rest).alias("a"), F.slice("w", 2, rest).alias("b"))
     each = words.select(F.explode(pairs).alias("p")).select(F.xxhash64("p.a", "p.b").alias("ph"))
@@ -139,13 +140,29 @@ def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return each.join(wanted, "ph").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
 
 
+def counted(docs: DataFrame, patterns: DataFrame, trust: float) -> DataFrame:
+    """pattern, total: exact for every pattern that can be trusted, others are left out.
+
+    A pattern that occurs too often for its hits in one PART-th of the texts can
+    never reach the trust, so only the rest is counted in the other texts.
+    """
+    part = F.pmod(F.xxhash64("text"), F.lit(PART)) == 0
+    patterns = stored(patterns, "pii-wanted")
+    few = patterns.join(occurrences(docs.filter(part), patterns), "pattern", "left").fillna(0, ["total"])
+    few = stored(few.filter(F.col("hits") >= trust * F.col("total")), "pii-few")
+    more = occurrences(docs.filter(~part), few).withColumnRenamed("total", "more")
+    both = few.join(more, "pattern", "left").select("pattern", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
+    return both.filter(F.col("total") > 0)
+
+
 def bootstrap(docs: DataFrame, scan: DataFrame, support: int, trust: float, rounds: int) -> DataFrame:
     """Values that trusted patterns have made known, other than the seeds."""
     cases = scan.select(F.explode("cases").alias("c")).select("c.pattern", "c.value", "c.seed")
     edges = cases.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
     edges = stored(edges.filter(F.col("pattern").isNotNull()), "pii-edges")
     likely = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("values")).filter(F.col("values") >= support), "pii-patterns")
-    totals = stored(occurrences(docs, likely.select("pattern")), "pii-totals")
+    hits = edges.groupBy("pattern").agg(F.sum("n").alias("hits"))
+    totals = counted(docs, likely.join(hits, "pattern").select("pattern", "hits"), trust)
     graph = stored(edges.join(totals, "pattern"), "pii-graph")
     known = graph.filter("seed").select("value").distinct()
     for _ in range(rounds):
@@ -164,6 +181,7 @@ def bootstrap(docs: DataFrame, scan: DataFrame, support: int, trust: float, roun
 
 def spans(docs: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, h, base and found spans: arrays of (start, kind_no, end); kind_no counts KINDS, then FOUND."""
+    docs = texts_of(docs)
     scan = stored(scanned(docs), "pii-scan")
     new = bootstrap(docs, scan, support, trust, rounds)
     cases = scan.select("doc_id", "h", F.explode("cases").alias("c")).select("doc_id", "h", "c.start", "c.end", "c.value")

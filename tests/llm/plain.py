@@ -73,3 +73,10 @@ def components(n, links):
         a, b = sorted((root(a), root(b)))
         at[b] = a
     return [root(i) for i in range(n)]
+
+
+HARD = [
+    (None, None), (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "one"), (5, "one"),
+    (6, "The quick brown fox jumps over the lazy dog. " * 40), (7, "The quick brown fox jumps over the lazy dog. " * 40),
+    (8, "x" * 5000), (None, "no id at all, but some words in a row"), (9, "naïve café 日本語 \U0001f600 ünïcode"),
+]
