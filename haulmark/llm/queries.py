@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, templates, token_counts, token_files
+from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, suffix_dedup, templates, token_counts, token_files
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -72,6 +76,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_simhash, op3_importance, op4_token_counts, op5_token_files, op6_templates, op7_sharding, op8_fingerprints, op9_bpe, op10_pii)
+    for f in (
+        op1_suffix_dedup, op2_simhash, op3_importance, op4_token_counts, op5_token_files, op6_templates, op7_sharding,
+        op8_fingerprints, op9_bpe, op10_pii,
+    )
 }
 ORACLE: dict[str, str] = {}

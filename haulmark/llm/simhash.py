@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.components import roots
-from haulmark.llm.tables import stored, texts_of
+from haulmark.llm.tables import order_key, stored, texts_of
 
 WORDS, BITS, SEED = 4, 4, 42
 SHARD = 1 << 14  # fingerprints that live in one shard
@@ -55,14 +55,14 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp."""
+    """doc_id, h (hash of the text), fp."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), words) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(fps, pa.int64())], ["doc_id", "h", "fp"])
 
-    return texts_of(docs).mapInArrow(task, "doc_id bigint, fp bigint")
+    return texts_of(docs).withColumn("h", F.xxhash64("text")).mapInArrow(task, "doc_id bigint, h bigint, fp bigint")
 
 
 def apart(points: np.ndarray, other) -> np.ndarray:
@@ -196,10 +196,20 @@ def links(fps: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest id reachable through links)."""
+    """doc_id, h, fp, root (least fingerprint of the component), component_id (the smallest id reachable through links)."""
     found = stored(fingerprints(docs, words), "simhash")
     nodes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     root = stored(roots(links(nodes, bits)), "simhash-roots")
     named = nodes.join(root, nodes["fp"] == root["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return found.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    named = named.join(ids, "root").select("fp", "root", "component_id")
+    return found.join(named, "fp").select("doc_id", "h", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """The document of smallest id of each component, with its own columns; of equal rows one."""
+    found = near_duplicates(docs, words, bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")).alias("first")
+    kept = found.groupBy("root").agg(first).select(order_key("first.doc_id").alias("kept_id"), F.col("first.h").alias("kept_h"))
+    rows = docs.withColumns({"kept_id": order_key(), "kept_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return rows.join(kept, ["kept_id", "kept_h"]).dropDuplicates(["kept_id", "kept_h"]).select(docs.columns)
