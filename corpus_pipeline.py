@@ -1,4 +1,8 @@
-"""Corpus pipeline: filter, deduplicate, decontaminate, redact, encode."""
+"""Corpus pipeline: filter, deduplicate, decontaminate, redact, encode.
+
+Each stage takes the documents that the stage before it kept and returns
+documents with the same columns; the last returns the encoded documents.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.llm.tables import table
+from haulmark.llm import bpe, importance, pii, simhash, templates
+from haulmark.llm.tables import stored, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return importance.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs, words=4, bits=4)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return templates.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redacted(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(docs)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
