@@ -22,6 +22,12 @@ CAPACITY = (
     (3000, "Large (2000-3000kg)"),
     (None, "Extra Large (3000kg+)"),
 )
+# Incident types above 100, above 60 and up to 60.
+SPEED_BANDS = (
+    ("speeding", "harsh_acceleration", "sharp_turn"),
+    ("harsh_braking", "sharp_turn", "sudden_lane_change", "speeding"),
+    ("harsh_braking", "harsh_acceleration", "sudden_lane_change"),
+)
 ROAD_TYPES = {"warehouse": "urban", "highway": "highway", "urban": "urban", "customer": "urban"}
 SEVERITY_SCORES = {"high": 3, "medium": 2, "low": 1}
 
@@ -57,12 +63,9 @@ def motion_status(speed: Column, moving_above: float = 5) -> Column:
 
 
 def speed_band(speed: Column) -> Column:
-    """Incident types a reading of this speed can lead to."""
-    return (
-        F.when(speed > 100, "speeding|harsh_acceleration|sharp_turn")
-        .when(speed > 60, "harsh_braking|sharp_turn|sudden_lane_change|speeding")
-        .otherwise("harsh_braking|harsh_acceleration|sudden_lane_change")
-    )
+    """Incident types a reading of this speed can lead to, as an array."""
+    fast, medium, slow = (F.array(*[F.lit(kind) for kind in band]) for band in SPEED_BANDS)
+    return F.when(speed > 100, fast).when(speed > 60, medium).otherwise(slow)
 
 
 def temp_zone(temp: Column) -> Column:

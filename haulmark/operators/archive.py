@@ -52,16 +52,26 @@ def _same_span(tier: DataFrame, rows: DataFrame, parts: tuple[str, ...]) -> Data
     return tier.filter(number.between(low, high))
 
 
+def _not_in(rows: DataFrame, tier: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key and content the tier does not hold; a missing key equals a missing key."""
+    content = F.xxhash64(*sorted(c for c in rows.columns if c not in DAY_PARTS))
+    known = tier.select(*[F.col(k).alias(f"_k_{k}") for k in keys], content.alias("_held"))
+    same = F.col("_content") == F.col("_held")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.withColumn("_content", content).join(known, same, "left_anti").drop("_content")
+
+
 def _append_missing(rows: DataFrame, root: str, fmt: str, codec: str, parts: tuple[str, ...], keys: list[str]) -> None:
     """Append the rows a tier does not hold yet.
 
     Nothing stored is rewritten, so rows that arrive for an old day and repeated
-    or broken-off runs neither lose nor double any.
+    or broken-off runs neither lose nor double any. A corrected row is kept
+    beside the one it corrects.
     """
     tier = stored(rows.sparkSession, root, fmt)
     if tier is not None:
-        known = _same_span(tier, rows, parts).select(*keys)
-        rows = rows.join(known, keys, "left_anti")
+        rows = _not_in(rows, _same_span(tier, rows, parts), keys)
     (
         _spread(rows, parts)
         .write.format(fmt)
@@ -80,7 +90,7 @@ def archive_warm(df: DataFrame, root: str, cutoff: Column, keys: list[str], code
 def retain_hot(df: DataFrame, warm: DataFrame, cutoff: Column, keys: list[str]) -> DataFrame:
     """Rows that stay hot; refuses to drop rows the archive does not hold."""
     due = archive_candidates(df, cutoff)
-    if not due.join(_same_span(warm, due, DAY_PARTS).select(*keys), keys, "left_anti").isEmpty():
+    if not _not_in(due, _same_span(warm, due, DAY_PARTS), keys).isEmpty():
         raise ValueError("rows older than the cutoff are missing in the archive; nothing removed")
     return df.filter((F.col(TIME) >= cutoff) | F.col(TIME).isNull())
 

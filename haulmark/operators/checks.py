@@ -66,5 +66,5 @@ def anomalies(df: DataFrame, **limits: float) -> DataFrame:
 
 
 def tier(ts: Column, hot_from: Column, warm_from: Column) -> Column:
-    """hot within the short window, warm within the long one, cold beyond."""
-    return F.when(ts >= hot_from, "hot").when(ts >= warm_from, "warm").otherwise("cold")
+    """hot within the short window, warm within the long one, cold beyond; a row without time stays hot."""
+    return F.when(ts.isNull() | (ts >= hot_from), "hot").when(ts >= warm_from, "warm").otherwise("cold")

@@ -62,6 +62,7 @@ def interval_counts(
     into slices as long as the interval: an incident is open in its own slice
     from its time on, and in the next slice from the start until it closes, so
     slices need nothing from each other and a hot key spreads over all of them.
+    Incidents without time match nothing; readings without time count 0.
     """
     width = F.lit(seconds * 1_000_000)
     columns = columns or []
@@ -71,7 +72,7 @@ def interval_counts(
         F.col(key), us.alias("us"), F.lit(1).alias("step"), F.lit(0).alias("change"), payload.alias("row")
     ).withColumn("slice", F.floor(F.col("us") / width))
     marks = (
-        incidents.filter(F.col(key).isNotNull())
+        incidents.filter(F.col(key).isNotNull() & F.col("timestamp").isNotNull())
         .select(F.col(key), us.alias("t"), F.floor(us / width).alias("s"))
         .select(
             key,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.labels import severity_score
-from haulmark.functions.numeric import ratio, settle, steady_avg, steady_sum
+from haulmark.functions.numeric import ratio, steady_avg, steady_sum
 from haulmark.functions.timing import at, before, minutes_between
 from haulmark.operators.joins import union_all
 from haulmark.operators.rollups import mean_of_minutes
@@ -190,8 +190,8 @@ def delivery_variance_kpi(s) -> DataFrame:
         .groupBy("status")
         .agg(
             F.count("m").alias("deliveries"),
-            settle(F.stddev_samp("m"), 2).alias("stddev_minutes"),
-            settle(F.var_samp("m"), 2).alias("variance_minutes"),
+            F.round(F.stddev_samp("m"), 2).alias("stddev_minutes"),
+            F.round(F.var_samp("m"), 2).alias("variance_minutes"),
         )
     )
 
@@ -274,7 +274,7 @@ def driver_score_kpi(s, speed_limit: float = 120.0) -> DataFrame:
     for t, w in SCORE_WEIGHTS.items():
         z = F.coalesce(F.try_divide(F.col(t) - F.col(f"m.{t}_mean"), F.col(f"m.{t}_std")), F.lit(0.0))
         score = score + z * w
-    return scaled.select("driver_id", "name", "rating", "incident_rate", "over_speed", settle(score, 4).alias("score"))
+    return scaled.select("driver_id", "name", "rating", "incident_rate", "over_speed", F.round(score, 4).alias("score"))
 
 
 def maintenance_age_kpi(s, as_of: str) -> DataFrame:

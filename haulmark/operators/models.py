@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.labels import bucket, lookup
-from haulmark.functions.numeric import clip, gaussian_pdf, settle, steady_avg, steady_sum
+from haulmark.functions.numeric import clip, gaussian_pdf, steady_avg, steady_sum
 from haulmark.functions.timing import time_of_day
 
 # Multipliers of the incident rate.
@@ -103,9 +103,9 @@ def speed_zscore(readings: DataFrame) -> DataFrame:
         "event_id",
         "vehicle_id",
         "speed",
-        settle(mean, 4).alias("expected_speed"),
-        settle(speed_std(road, when), 4).alias("expected_std"),
-        settle((F.col("speed") - mean) / speed_std(road, when), 4).alias("z_score"),
+        F.round(mean, 4).alias("expected_speed"),
+        F.round(speed_std(road, when), 4).alias("expected_std"),
+        F.round((F.col("speed") - mean) / speed_std(road, when), 4).alias("z_score"),
     )
 
 
@@ -124,7 +124,7 @@ def fuel_rate(speed: Column, rpm: Column, throttle: Column, temp: Column, mean_t
     air = (speed / 100.0) * (speed / 100.0) * 3.0
     cold = F.when(temp < mean_temp, (F.lit(mean_temp) - temp) * 0.05).otherwise(0.0)
     total = F.lit(8.0) + air + (rpm / 1000.0) * 0.5 + (throttle / 100.0) * 4.0 + cold
-    return settle(clip(total, 2.0, 30.0), 2)
+    return F.round(clip(total, 2.0, 30.0), 2)
 
 
 def driver_state(df: DataFrame, deviation: str = "speed_deviation", reaction: str = "reaction_time_ms") -> DataFrame:
@@ -144,7 +144,7 @@ def driver_state(df: DataFrame, deviation: str = "speed_deviation", reaction: st
     top = F.greatest(*[F.col(f"_log_{s}") for s in logs])
     out = out.withColumns({f"_w_{s}": F.exp(F.col(f"_log_{s}") - top) for s in logs})
     total = sum([F.col(f"_w_{s}") for s in logs], F.lit(0.0))
-    out = out.withColumns({f"p_{s}": settle(F.col(f"_w_{s}") / total, 6) for s in logs})
+    out = out.withColumns({f"p_{s}": F.round(F.col(f"_w_{s}") / total, 6) for s in logs})
     best = F.when(
         (F.col("p_normal") >= F.col("p_aggressive")) & (F.col("p_normal") >= F.col("p_tired")), "normal"
     ).when(F.col("p_aggressive") >= F.col("p_tired"), "aggressive").otherwise("tired")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.functions.geo import haversine_km
-from haulmark.functions.numeric import ratio, sample_corr, settle, steady_avg, steady_sum
+from haulmark.functions.numeric import ratio, sample_corr, steady_avg, steady_sum
 from haulmark.functions.timing import slice_of
 
 HOUR = 3600
@@ -69,7 +69,7 @@ def ar1_check(
     found = pairs.groupBy(key).agg(
         F.count("*").alias("readings"),
         F.round(steady_avg(x), 2).alias("sample_mean"),
-        settle(F.var_pop(x), 2).alias("sample_variance"),
+        F.round(F.var_pop(x), 2).alias("sample_variance"),
         sample_corr(before, x).alias("corr"),
     )
     return found.select(
@@ -79,7 +79,7 @@ def ar1_check(
         F.lit(float(mean)).alias("theoretical_mean"),
         "sample_variance",
         F.lit(round(sigma**2 / (1 - phi**2), 2)).alias("theoretical_variance"),
-        settle(F.col("corr"), 3).alias("lag1_autocorrelation"),
+        F.round(F.col("corr"), 3).alias("lag1_autocorrelation"),
         F.lit(float(phi)).alias("theoretical_phi"),
         F.coalesce(F.abs(F.col("corr") - phi) < 0.1, F.lit(False)).alias("ar1_property_holds"),
     )
@@ -92,7 +92,7 @@ def ar1_residual(
     pairs = previous_reading(df.select(key, "timestamp", "event_id", column), [column], key)
     forecast = (F.col(f"prev_{column}") - float(mean)) * phi + float(mean)
     return (
-        pairs.withColumn("residual", settle(F.col(column) - forecast, 6))
+        pairs.withColumn("residual", F.round(F.col(column) - forecast, 6))
         .filter(F.abs("residual") > 3.0 * sigma)
         .select("event_id", key, "timestamp", column, "residual")
     )
@@ -106,9 +106,9 @@ def speed_jump(df: DataFrame, limit: float = 15, key: str = "vehicle_id") -> Dat
     steps = previous_reading(df.select(key, "timestamp", "event_id", "speed"), ["speed"], key)
     change = F.col("speed") - F.col("prev_speed")
     return (
-        steps.withColumn("change", settle(change, 6))
+        steps.withColumn("change", F.round(change, 6))
         .filter(F.abs("change") > limit)
-        .withColumn("allowed_speed", settle(F.col("prev_speed") + F.signum("change") * limit, 2))
+        .withColumn("allowed_speed", F.round(F.col("prev_speed") + F.signum("change") * limit, 2))
         .select("event_id", key, "timestamp", "speed", "prev_speed", "change", "allowed_speed")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.functions.numeric import steady_avg
+from haulmark.functions.numeric import avg_parts, merged_avg, parts_avg, steady_avg
 from haulmark.functions.timing import at, before, minute_text
 
 
@@ -68,22 +68,27 @@ def minute_series(df: DataFrame, column: str, cutoff: Column) -> DataFrame:
 
 
 def _minute_means(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(minute_text(F.col("timestamp")).alias("minute")).agg(
+    minutes = df.groupBy(F.date_trunc("minute", "timestamp").alias("minute")).agg(
         steady_avg(F.col(column)).alias(f"avg_{column}")
     )
+    return minutes.withColumn("minute", minute_text(F.col("minute")))
 
 
 def mean_of_minutes(df: DataFrame, columns: list[str], as_of: str, hours: int = 24) -> DataFrame:
     """Unweighted mean of minute means over the last hours, one row.
 
-    With no reading in that span, the mean of all readings is used. The check
-    for an empty span looks for one row in the pruned scan; only then is the
-    whole table read.
+    With no reading in that span, the mean of all readings is used. Both come
+    from one pass: readings are added up per minute of the span, all older ones
+    together.
     """
-    recent = df.filter(F.col("timestamp") >= before(as_of, hours=hours))
-    if recent.isEmpty():
-        return df.agg(*[steady_avg(F.col(c)).alias(f"avg_{c}") for c in columns])
-    minutes = recent.groupBy(minute_text(F.col("timestamp")).alias("minute")).agg(
-        *[steady_avg(F.col(c)).alias(f"avg_{c}") for c in columns]
+    recent = F.col("timestamp") >= before(as_of, hours=hours)
+    minutes = df.groupBy(F.when(recent, F.date_trunc("minute", "timestamp")).alias("minute")).agg(
+        *[p for c in columns for p in avg_parts(c, F.col(c))]
+    )
+    inside = F.col("minute").isNotNull()
+    return minutes.agg(
+        *[
+            F.when(F.max(inside), steady_avg(F.when(inside, parts_avg(c)))).otherwise(merged_avg(c)).alias(f"avg_{c}")
+            for c in columns
+        ]
     )
-    return minutes.agg(*[steady_avg(F.col(f"avg_{c}")).alias(f"avg_{c}") for c in columns])

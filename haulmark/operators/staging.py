@@ -30,16 +30,23 @@ def write_staged(staged: DataFrame, path: str) -> None:
     staged.write.mode("append").partitionBy("entity").parquet(path)
 
 
+def newest(staged: DataFrame) -> DataFrame:
+    """The last written record of each key: staging a key again replaces it."""
+    fields = [c for c in staged.columns if c not in ("entity", "key")]
+    last = F.max_by(F.struct(*fields), F.struct("written_at", "expires_at", "payload"))
+    return staged.groupBy("entity", "key").agg(last.alias("_row")).select("entity", "key", "_row.*").select(*staged.columns)
+
+
 def get_staged(staged: DataFrame, entity: str, as_of: str, schema: str) -> DataFrame:
     """Live records of one entity, decoded."""
-    live = staged.filter((F.col("entity") == entity) & (F.col("expires_at") > at(as_of)))
+    live = newest(staged.filter(F.col("entity") == entity)).filter(F.col("expires_at") > at(as_of))
     return live.select("key", F.from_json("payload", schema).alias("data")).select("key", "data.*")
 
 
 def staging_counts(staged: DataFrame, entities: list[str], as_of: str) -> DataFrame:
     """Live records per expected entity, 0 for those without any."""
     found = (
-        staged.filter(F.col("expires_at") > at(as_of)).groupBy("entity").agg(F.count("*").alias("n"))
+        newest(staged).filter(F.col("expires_at") > at(as_of)).groupBy("entity").agg(F.count("*").alias("n"))
     )
     wanted = staged.sparkSession.createDataFrame([(e,) for e in entities], "entity string")
     n = F.coalesce("n", F.lit(0))
@@ -47,13 +54,13 @@ def staging_counts(staged: DataFrame, entities: list[str], as_of: str) -> DataFr
 
 
 def clear_staging(staged: DataFrame, prefixes: tuple[str, ...] = ("staging:", "cache:")) -> tuple[DataFrame, DataFrame]:
-    """Records left after removing all keys with a prefix, and the number removed per prefix."""
+    """Records left after removing all keys with a prefix, and the number of keys removed per prefix."""
     hit = F.lit(False)
     name = F.lit(None).cast("string")
     for p in prefixes:
         hit = hit | F.col("key").startswith(p)
         name = F.when(F.col("key").startswith(p), F.lit(p)).otherwise(name)
-    removed = staged.filter(hit).groupBy(name.alias("prefix")).agg(F.count("*").alias("removed"))
+    removed = staged.filter(hit).groupBy(name.alias("prefix")).agg(F.count_distinct("key").alias("removed"))
     return staged.filter(~hit), removed
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmark.functions.numeric import ratio, settle, steady_avg
-from haulmark.operators.joins import join_per_key, join_same, union_all
+from haulmark.functions.numeric import ratio, steady_avg
+from haulmark.operators.joins import join_same, union_all
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -16,21 +16,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def scan_report(tables: dict[str, tuple[DataFrame, DataFrame, int]]) -> DataFrame:
-    """Rows of the whole table beside the rows a capped load returns."""
-    out = []
-    for name, (full, capped, cap) in tables.items():
-        both = full.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(
-            capped.select(F.lit(0).alias("a"), F.lit(1).alias("b"))
-        )
-        out.append(
-            both.agg(F.sum("a").alias("total_rows"), F.sum("b").alias("loaded_rows")).select(
-                F.lit(name).alias("entity"), "total_rows", F.lit(cap).cast("bigint").alias("cap"), "loaded_rows"
-            )
-        )
-    return union_all(out)
-
-
 def counts_by(df: DataFrame, column: str, entity: str) -> DataFrame:
     return df.groupBy(F.col(column).cast("string").alias("category")).agg(F.count("*").alias("rows")).select(
         F.lit(entity).alias("entity"), F.lit(column).alias("column"), "category", "rows"
@@ -61,7 +46,9 @@ def exact_quantiles(
     counted, and only the values of those bins are ordered, each bin on its own.
     """
     values = df.filter(F.col(column).isNotNull()).select(key, F.col(column).alias("v"))
-    values = values.withColumn("bin", F.floor(F.col("v") / bin_width))
+    # NaN is above every other value, as in percentile.
+    above = F.lit(2**63 - 1).cast("bigint")
+    values = values.withColumn("bin", F.when(F.isnan("v"), above).otherwise(F.floor(F.nanvl(F.col("v"), F.lit(0.0)) / bin_width)))
     by_bin = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per bin: at most the value range over the bin width per key.
     bins = (
@@ -71,7 +58,6 @@ def exact_quantiles(
         .withColumn("total", F.sum("in_bin").over(Window.partitionBy(key)))
         .withColumn("start", F.col("upto") - F.col("in_bin"))
     )
-    counts = values.groupBy(key, "bin", "v").agg(F.count("*").alias("n"))
     # Two ranks per quantile: the readings below and above the wanted position.
     ranks = []
     for name, p in probabilities.items():
@@ -88,6 +74,8 @@ def exact_quantiles(
         .filter(F.size("ranks") > 0)
         .select(key, "bin", "start", "ranks")
     )
+    # Only the values of the wanted bins, a few of each key, are counted.
+    counts = join_same(values, wanted.select(key, "bin"), [key, "bin"], "left_semi").groupBy(key, "bin", "v").agg(F.count("*").alias("n"))
     in_bin = Window.partitionBy(key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
         join_same(counts, wanted, [key, "bin"])
@@ -113,32 +101,26 @@ def profile_stats(df: DataFrame, key: str, column: str) -> DataFrame:
         .agg(
             F.count(c).alias("readings"),
             F.round(steady_avg(c), 2).alias("mean"),
-            settle(F.stddev_pop(c), 2).alias("std"),
+            F.round(F.stddev_pop(c), 2).alias("std"),
             F.round(F.min(c), 2).alias("min"),
             F.round(F.max(c), 2).alias("max"),
         )
     )
     quartiles = exact_quantiles(df, key, column, {"q25": 0.25, "median": 0.5, "q75": 0.75})
-    rounded = quartiles.select(key, *[settle(F.col(q), 2).alias(q) for q in ("q25", "median", "q75")])
+    rounded = quartiles.select(key, *[F.round(F.col(q), 2).alias(q) for q in ("q25", "median", "q75")])
     return join_same(moments, rounded, [key])
 
 
 def normality_check(df: DataFrame, key: str, column: str) -> DataFrame:
     """Share of readings within 1, 2 and 3 standard deviations per key, with pass flags."""
-    counts = (
-        df.filter(F.col(column).isNotNull()).groupBy(F.col(key), F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    )
+    values = df.filter(F.col(column).isNotNull()).select(key, F.col(column).alias("v"))
     stats = df.groupBy(key).agg(steady_avg(F.col(column)).alias("mu"), F.stddev_pop(column).alias("sd"))
     away = F.round(F.abs(F.col("v") - F.col("mu")), 8)
+    # One row per key joins the readings, which are counted as they are read.
     shares = (
-        join_per_key(counts, stats, key, F.col("v"))
+        join_same(values, stats, [key])
         .groupBy(key)
-        .agg(
-            *[
-                (F.sum(F.when(away <= F.round(F.col("sd") * k, 8), F.col("n")).otherwise(0)) / F.sum("n")).alias(f"w{k}")
-                for k in (1, 2, 3)
-            ]
-        )
+        .agg(*[(F.count_if(away <= F.round(F.col("sd") * k, 8)) / F.count("v")).alias(f"w{k}") for k in (1, 2, 3)])
     )
     # Tolerated shares within 1, 2 and 3 standard deviations.
     return shares.select(
@@ -175,10 +157,10 @@ def incident_dispersion(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     return moments.select(
         key,
         "days",
-        settle(F.col("m"), 3).alias("mean"),
-        settle(F.col("v"), 3).alias("variance"),
-        settle(spread, 3).alias("variance_to_mean_ratio"),
-        settle(F.sqrt(F.greatest(F.col("v"), F.lit(0.0))), 3).alias("std"),
+        F.round(F.col("m"), 3).alias("mean"),
+        F.round(F.col("v"), 3).alias("variance"),
+        F.round(spread, 3).alias("variance_to_mean_ratio"),
+        F.round(F.sqrt(F.greatest(F.col("v"), F.lit(0.0))), 3).alias("std"),
         F.when(F.col("busy") < days, 0).otherwise(F.col("low")).alias("min"),
         F.col("max"),
         F.round(spread, 8).between(0.8, 1.2).alias("follows_poisson"),

@@ -20,12 +20,8 @@ def rnd(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
-def stl(x: str, n: int) -> str:
-    return rnd(rnd(x, 8), n)
-
-
 def dsum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def davg(x: str) -> str:
@@ -125,10 +121,8 @@ SQL["stream_ingest"] = """SELECT CAST(vehicle_id AS VARCHAR) AS vehicle_id, "tim
     FROM telemetry"""
 SQL["json_decode"] = """SELECT vehicle_id, "timestamp", speed, fuel_level, CAST(rpm AS DOUBLE) AS rpm, driver_id,
     CAST(vehicle_id AS VARCHAR) AS key, event_id AS "offset" FROM telemetry"""
-SQL["scan_limited"] = " UNION ALL ".join(
-    f"SELECT '{e}' AS entity, COUNT(*) AS total_rows, CAST({cap} AS BIGINT) AS cap, LEAST(COUNT(*), {cap}) AS loaded_rows "
-    f"FROM {e}"
-    for e, cap in {"customers": 1000, "telemetry": 5000, "deliveries": 1000, "incidents": 1000}.items()
+SQL["scan_full"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, COUNT(*) AS rows FROM {e}" for e in ("customers", "telemetry", "deliveries", "incidents")
 )
 SQL["flatten_location"] = """SELECT 'warehouse' AS kind, CAST(warehouse_id AS BIGINT) AS id, location.latitude AS latitude,
     location.longitude AS longitude FROM warehouses
@@ -150,7 +144,7 @@ PARTS = """CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") A
 DAY_PART = """CAST(day("timestamp") AS INTEGER) AS day"""
 SQL["warm_scan"] = f"""SELECT {ROW}, {PARTS}, {DAY_PART} FROM telemetry
     WHERE CAST("timestamp" AS DATE) = DATE '2024-01-15'"""
-TIER = f"CASE WHEN \"timestamp\" >= {HOT} THEN 'hot' WHEN \"timestamp\" >= {WARM} THEN 'warm' ELSE 'cold' END"
+TIER = f"CASE WHEN \"timestamp\" IS NULL OR \"timestamp\" >= {HOT} THEN 'hot' WHEN \"timestamp\" >= {WARM} THEN 'warm' ELSE 'cold' END"
 SQL["tiered_read"] = f"SELECT {ROW}, {TIER} AS tier FROM telemetry"
 SQL["archive_candidates"] = f"""SELECT COUNT(*) AS rows, MIN("timestamp") AS oldest, MAX("timestamp") AS newest
     FROM telemetry WHERE "timestamp" < {HOT}"""
@@ -269,9 +263,11 @@ SQL["experience_buckets"] = f"""SELECT driver_id, {levels('experience_years', *E
 SQL["capacity_class"] = f"SELECT vehicle_id, {levels('capacity_kg', *CAP)} AS capacity_class FROM vehicles"
 SQL["motion_status"] = """SELECT event_id, CASE WHEN speed > 5 THEN 'Moving' ELSE 'Idle' END AS status,
     CASE WHEN speed > 10 THEN 'Moving' ELSE 'Idle' END AS incident_status FROM telemetry"""
-SQL["speed_band"] = """SELECT event_id, CASE WHEN speed > 100 THEN 'speeding|harsh_acceleration|sharp_turn'
-    WHEN speed > 60 THEN 'harsh_braking|sharp_turn|sudden_lane_change|speeding'
-    ELSE 'harsh_braking|harsh_acceleration|sudden_lane_change' END AS candidates FROM telemetry"""
+# Incident types above 100, above 60 and up to 60.
+SQL["speed_band"] = """SELECT event_id, array_to_string(CASE
+    WHEN speed > 100 THEN ['speeding', 'harsh_acceleration', 'sharp_turn']
+    WHEN speed > 60 THEN ['harsh_braking', 'sharp_turn', 'sudden_lane_change', 'speeding']
+    ELSE ['harsh_braking', 'harsh_acceleration', 'sudden_lane_change'] END, ', ') AS candidates FROM telemetry"""
 SQL["temp_zone"] = """SELECT event_id, CASE WHEN engine_temp < 75 THEN NULL WHEN engine_temp < 95 THEN 'normal'
     WHEN engine_temp < 105 THEN 'warning' WHEN engine_temp <= 120 THEN 'critical' END AS zone FROM telemetry"""
 SQL["road_type_map"] = """SELECT event_id, segment, CASE segment WHEN 'highway' THEN 'highway' ELSE 'urban' END AS mapped
@@ -333,9 +329,9 @@ SQL["recent_rollup"] = f"""SELECT vehicle_id, {rnd(davg('speed'), 2)} AS avg_spe
     FROM telemetry WHERE "timestamp" >= TIMESTAMP '2024-01-30 23:00:00' GROUP BY vehicle_id"""
 SQL["dup_keys"] = """SELECT vehicle_id, fuel_level, COUNT(*) AS rows FROM telemetry GROUP BY 1, 2 HAVING COUNT(*) > 1"""
 SQL["speed_profile_stats"] = f"""SELECT vehicle_id, COUNT(speed) AS readings, {rnd(davg('speed'), 2)} AS mean,
-    {stl('stddev_pop(speed)', 2)} AS std, {rnd('MIN(speed)', 2)} AS min, {rnd('MAX(speed)', 2)} AS max,
-    {stl('quantile_cont(speed, 0.25)', 2)} AS q25, {stl('quantile_cont(speed, 0.5)', 2)} AS median,
-    {stl('quantile_cont(speed, 0.75)', 2)} AS q75 FROM telemetry GROUP BY vehicle_id"""
+    {rnd('stddev_pop(speed)', 2)} AS std, {rnd('MIN(speed)', 2)} AS min, {rnd('MAX(speed)', 2)} AS max,
+    {rnd('quantile_cont(speed, 0.25)', 2)} AS q25, {rnd('quantile_cont(speed, 0.5)', 2)} AS median,
+    {rnd('quantile_cont(speed, 0.75)', 2)} AS q75 FROM telemetry GROUP BY vehicle_id"""
 AWAY = rnd("ABS(t.speed - s.mu)", 8)
 WITHIN = {
     k: f"(COUNT(*) FILTER (WHERE {AWAY} <= {rnd(f's.sd * {k}', 8)})) / CAST(COUNT(t.speed) AS DOUBLE)" for k in (1, 2, 3)
@@ -352,8 +348,8 @@ SQL["incident_dispersion"] = f"""WITH days AS (SELECT UNNEST(generate_series(MIN
         GROUP BY 1, 2),
     moments AS (SELECT vehicle_id, CAST(COUNT(*) AS INTEGER) AS days, avg(n) AS m, var_pop(n) AS v, MIN(n) AS lo, MAX(n) AS hi
         FROM grid GROUP BY vehicle_id)
-    SELECT vehicle_id, days, {stl('m', 3)} AS mean, {stl('v', 3)} AS variance,
-        {stl('v / m', 3)} AS variance_to_mean_ratio, {stl('sqrt(v)', 3)} AS std, lo AS min, hi AS max,
+    SELECT vehicle_id, days, {rnd('m', 3)} AS mean, {rnd('v', 3)} AS variance,
+        {rnd('v / m', 3)} AS variance_to_mean_ratio, {rnd('sqrt(v)', 3)} AS std, lo AS min, hi AS max,
         {rnd('v / m', 8)} BETWEEN 0.8 AND 1.2 AS follows_poisson FROM moments"""
 SQL["state_share"] = f"""SELECT vehicle_id, segment, COUNT(*) AS rows,
     {rnd('COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (PARTITION BY vehicle_id)', 2)} AS share_percent
@@ -382,16 +378,16 @@ SQL["route_distance"] = f"""SELECT vehicle_id, COUNT(*) AS points, COALESCE({rnd
 PAIR_CORR = """CASE WHEN MIN(engine_temp) FILTER (WHERE prev IS NOT NULL) < MAX(engine_temp) FILTER (WHERE prev IS NOT NULL)
     AND MIN(prev) < MAX(prev) THEN corr(prev, engine_temp) END"""
 SQL["ar1_check"] = f"""SELECT vehicle_id, readings, sample_mean, 85.0::DOUBLE AS theoretical_mean, sample_variance,
-    256.41::DOUBLE AS theoretical_variance, {stl('c', 3)} AS lag1_autocorrelation, 0.95::DOUBLE AS theoretical_phi,
+    256.41::DOUBLE AS theoretical_variance, {rnd('c', 3)} AS lag1_autocorrelation, 0.95::DOUBLE AS theoretical_phi,
     COALESCE(ABS(c - 0.95::DOUBLE) < 0.1, FALSE) AS ar1_property_holds FROM (
     SELECT vehicle_id, COUNT(*) AS readings, {rnd(davg('engine_temp'), 2)} AS sample_mean,
-    {stl('var_pop(engine_temp)', 2)} AS sample_variance, {PAIR_CORR} AS c FROM {previous('engine_temp')} GROUP BY vehicle_id)"""
+    {rnd('var_pop(engine_temp)', 2)} AS sample_variance, {PAIR_CORR} AS c FROM {previous('engine_temp')} GROUP BY vehicle_id)"""
 SQL["ar1_residual"] = f"""SELECT event_id, vehicle_id, "timestamp", engine_temp, residual FROM (
-    SELECT *, {stl('engine_temp - ((prev - 85) * 0.95::DOUBLE + 85)', 6)} AS residual FROM {previous('engine_temp')})
+    SELECT *, {rnd('engine_temp - ((prev - 85) * 0.95::DOUBLE + 85)', 6)} AS residual FROM {previous('engine_temp')})
     WHERE ABS(residual) > 15"""
 SQL["speed_jump"] = f"""SELECT event_id, vehicle_id, "timestamp", speed, prev AS prev_speed, change,
-    {stl('prev + sign(change) * 15', 2)} AS allowed_speed FROM (
-    SELECT *, {stl('speed - prev', 6)} AS change FROM {previous('speed')}) WHERE ABS(change) > 15"""
+    {rnd('prev + sign(change) * 15', 2)} AS allowed_speed FROM (
+    SELECT *, {rnd('speed - prev', 6)} AS change FROM {previous('speed')}) WHERE ABS(change) > 15"""
 SQL["ts_monotonic"] = """SELECT vehicle_id, COUNT(*) AS readings, COUNT(*) FILTER (WHERE "timestamp" < prev) AS out_of_order,
     COUNT(*) FILTER (WHERE "timestamp" < prev) = 0 AS passed FROM (
     SELECT *, lag("timestamp") OVER (PARTITION BY vehicle_id ORDER BY event_id) AS prev FROM telemetry) GROUP BY vehicle_id"""
@@ -437,12 +433,12 @@ SQL["scalar_text"] = f"""SELECT incident_id, {TITLE} AS title, severity AS capit
     incident_type AS preview FROM incidents"""
 GUARD = "CASE WHEN fuel_level = 0 THEN 0 ELSE COALESCE(speed / fuel_level * 100, 0) END"
 DENSITY = "exp(-((speed - 50) * (speed - 50)) / (225 * 2.0::DOUBLE)) / sqrt(225 * 2.0::DOUBLE * pi())"
-SQL["scalar_math"] = f"""SELECT event_id, {rnd('speed', 1)} AS r1, {rnd('speed', 0)} AS r0, {stl(GUARD, 6)} AS guarded,
-    {stl('speed / NULLIF(fuel_level, 0)', 6)} AS null_if_zero,
+SQL["scalar_math"] = f"""SELECT event_id, {rnd('speed', 1)} AS r1, {rnd('speed', 0)} AS r0, {rnd(GUARD, 6)} AS guarded,
+    {rnd('speed / NULLIF(fuel_level, 0)', 6)} AS null_if_zero,
     CASE WHEN speed IS NOT NULL THEN CAST(GREATEST(10, LEAST(140, speed)) AS DOUBLE) END AS clipped, CAST(sign(speed - 50) AS DOUBLE) AS side,
-    {stl('ABS(speed - 50)', 6)} AS distance_from_50, {stl('(speed - 50) * (speed - 50)', 6)} AS squared,
-    {stl(haversine('24.8607::DOUBLE', '67.0011::DOUBLE', 'latitude', 'longitude'), 6)} AS km,
-    {stl(DENSITY, 6)} AS density, CASE WHEN fuel_level > 50 THEN fuel_level ELSE 0 END AS defaulted FROM telemetry"""
+    {rnd('ABS(speed - 50)', 6)} AS distance_from_50, {rnd('(speed - 50) * (speed - 50)', 6)} AS squared,
+    {rnd(haversine('24.8607::DOUBLE', '67.0011::DOUBLE', 'latitude', 'longitude'), 6)} AS km,
+    {rnd(DENSITY, 6)} AS density, CASE WHEN fuel_level > 50 THEN fuel_level ELSE 0 END AS defaulted FROM telemetry"""
 
 # --- windows --------------------------------------------------------------------------------------
 
@@ -662,8 +658,8 @@ SQL["kpi_on_time"] = f"""SELECT warehouse_id, COUNT(*) AS completed, COUNT(*) FI
     {rnd('COUNT(*) FILTER (WHERE on_time) / CAST(COUNT(*) AS DOUBLE) * 100', 2)} AS on_time_percent
     FROM deliveries WHERE completion_time IS NOT NULL GROUP BY warehouse_id"""
 SPENT = "date_sub('minute', pickup_time, COALESCE(completion_time, estimated_delivery))"
-SQL["kpi_delivery_variance"] = f"""SELECT status, COUNT({SPENT}) AS deliveries, {stl(f'stddev_samp({SPENT})', 2)} AS
-    stddev_minutes, {stl(f'var_samp({SPENT})', 2)} AS variance_minutes FROM deliveries GROUP BY status"""
+SQL["kpi_delivery_variance"] = f"""SELECT status, COUNT({SPENT}) AS deliveries, {rnd(f'stddev_samp({SPENT})', 2)} AS
+    stddev_minutes, {rnd(f'var_samp({SPENT})', 2)} AS variance_minutes FROM deliveries GROUP BY status"""
 SQL["kpi_distance"] = f"""SELECT vehicle_id, {rnd(dsum('speed') + ' * 0.001::DOUBLE', 2)} AS speed_distance_km,
     {rnd('MAX(odometer) - MIN(odometer)', 2)} AS odometer_km FROM telemetry GROUP BY vehicle_id"""
 SPAN = "MAX(fuel_level) - MIN(fuel_level)"
@@ -688,7 +684,7 @@ SQL["kpi_driver_score"] = f"""WITH terms AS (SELECT d.driver_id, d.name, d.ratin
         LEFT JOIN (SELECT driver_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE speed > 120) AS fast FROM telemetry GROUP BY 1) r
             USING (driver_id)
         LEFT JOIN (SELECT driver_id, COUNT(*) AS n FROM incidents GROUP BY 1) i USING (driver_id))
-    SELECT driver_id, name, rating, incident_rate, over_speed, {stl(Z, 4)} AS score FROM terms"""
+    SELECT driver_id, name, rating, incident_rate, over_speed, {rnd(Z, 4)} AS score FROM terms"""
 SQL["kpi_maintenance_age"] = """SELECT vehicle_id, last_maintenance,
     CAST(DATE '2024-01-31' - last_maintenance AS INTEGER) AS days_since FROM vehicles"""
 
@@ -704,7 +700,7 @@ def performance(extra: str, where: str, having: str, order: str) -> str:
 
 
 SQL["showcase_q1"] = performance(
-    f", {stl(dsum('t.speed') + ' * 0.001::DOUBLE', 2)} AS total_distance_km",
+    f", {rnd(dsum('t.speed') + ' * 0.001::DOUBLE', 2)} AS total_distance_km",
     f"AND t.\"timestamp\" >= {MONTH} AND d.status = 'OnRoute'",
     f"COUNT(t.vehicle_id) > 5 AND {davg('t.speed')} > 30",
     "driver_rating DESC, total_distance_km DESC, d.driver_id, v.vehicle_type",
@@ -717,7 +713,7 @@ FROM_Q2 = """FROM warehouses w JOIN deliveries d ON w.warehouse_id = d.warehouse
 SQL["showcase_q2"] = f"""SELECT w.warehouse_id, w.name AS warehouse_name, w.city AS warehouse_city, c.customer_type,
     COUNT(DISTINCT d.delivery_id) AS total_deliveries, {rnd(davg('d.distance_km'), 2)} AS avg_distance_km,
     {rnd(davg(MINUTES), 2)} AS avg_delivery_time_minutes, {rnd(davg('d.package_weight'), 2)} AS avg_package_weight,
-    {stl(f"{davg('d.distance_km')} / {davg(MINUTES)} * 60", 2)} AS avg_speed_kmh {FROM_Q2}
+    {rnd(f"{davg('d.distance_km')} / {davg(MINUTES)} * 60", 2)} AS avg_speed_kmh {FROM_Q2}
     WHERE d.status IN ('InProgress', 'Completed') AND d.pickup_time >= {MONTH} AND d.distance_km > 0
     GROUP BY w.warehouse_id, w.name, w.city, c.customer_type
     HAVING COUNT(DISTINCT d.delivery_id) >= 5 AND {davg('d.distance_km')} > 10"""
@@ -740,7 +736,7 @@ SQL["showcase_q3_all"] = f"""SELECT v.vehicle_type, {levels('d.experience_years'
     COUNT(DISTINCT i.incident_id) AS total_incidents {FROM_Q3} GROUP BY 1, 2"""
 SQL["showcase_q4"] = f"""SELECT c.city, c.customer_type, {levels('v.capacity_kg', *CAP)} AS vehicle_capacity_class,
     COUNT(d.delivery_id) AS total_deliveries, {rnd(davg(MINUTES), 2)} AS avg_delivery_time_min,
-    {stl(f'stddev_samp({MINUTES})', 2)} AS delivery_time_variance, MIN({MINUTES}) AS min_delivery_time,
+    {rnd(f'stddev_samp({MINUTES})', 2)} AS delivery_time_variance, MIN({MINUTES}) AS min_delivery_time,
     MAX({MINUTES}) AS max_delivery_time, {rnd(davg('d.package_weight'), 2)} AS avg_package_weight,
     {rnd(davg('d.distance_km'), 2)} AS avg_distance FROM deliveries d JOIN customers c ON d.customer_id = c.customer_id
     JOIN vehicles v ON d.vehicle_id = v.vehicle_id JOIN drivers r ON d.driver_id = r.driver_id
@@ -752,7 +748,7 @@ SQL["showcase_q5"] = f"""SELECT v.make, v.vehicle_type, v.year, r.experience_yea
     {rnd(davg('t.engine_temp'), 2)} AS avg_engine_temp,
     {rnd('(MAX(t.fuel_level) - MIN(t.fuel_level)) / NULLIF(COUNT(DISTINCT CAST(t."timestamp" AS DATE)), 0)', 2)}
         AS avg_daily_fuel_consumption,
-    {stl(f"{davg('t.speed')} / NULLIF({davg('t.fuel_level')}, 0) * 100", 2)} AS fuel_efficiency_index,
+    {rnd(f"{davg('t.speed')} / NULLIF({davg('t.fuel_level')}, 0) * 100", 2)} AS fuel_efficiency_index,
     COUNT(*) FILTER (WHERE t.fuel_level < 20) AS low_fuel_instances
     FROM telemetry t JOIN vehicles v ON t.vehicle_id = v.vehicle_id LEFT JOIN drivers r ON t.driver_id = r.driver_id
     LEFT JOIN deliveries d ON t.vehicle_id = d.vehicle_id AND CAST(t."timestamp" AS DATE) = CAST(d.pickup_time AS DATE)
@@ -768,7 +764,7 @@ SQL["doc_q1"] = f"""SELECT d.name AS driver_name, d.rating AS driver_rating, v.v
     HAVING {davg('t.speed')} > 30 AND COUNT(i.incident_id) < 30 ORDER BY d.rating DESC, d.driver_id, v.vehicle_type LIMIT 10"""
 SQL["doc_q2"] = f"""SELECT w.city AS origin_city, c.city AS destination_city, {rnd(davg('d.distance_km'), 4)} AS avg_distance,
     {rnd(davg('d.delivery_minutes'), 4)} AS avg_delivery_time,
-    {stl('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS on_time_rate FROM deliveries d
+    {rnd('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS on_time_rate FROM deliveries d
     JOIN warehouses w ON d.warehouse_id = w.warehouse_id JOIN customers c ON d.customer_id = c.customer_id
     WHERE d.pickup_time > {MONTH} GROUP BY 1, 2 HAVING COUNT(*) > 5"""
 SQL["doc_q3"] = f"""SELECT v.vehicle_type, i.incident_type, i.severity, COUNT(*) AS incident_count,
@@ -781,7 +777,7 @@ SQL["doc_q4"] = f"""SELECT v.vehicle_type, t.road_type, {rnd(davg('t.fuel_level'
     HAVING {davg('t.fuel_level')} < 55"""
 SQL["doc_q5"] = f"""SELECT {levels('r.experience_years', *EXP3S)} AS experience_level,
     COUNT(d.delivery_id) AS total_deliveries, {rnd(davg('d.delivery_minutes'), 4)} AS avg_delivery_time,
-    {stl('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS success_rate FROM deliveries d
+    {rnd('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS success_rate FROM deliveries d
     JOIN drivers r ON d.driver_id = r.driver_id WHERE d.pickup_time > {MONTH} GROUP BY 1 HAVING COUNT(d.delivery_id) > 10"""
 SQL["incidents_formatted"] = f"""SELECT incident_id, strftime("timestamp", '%H:%M:%S') AS time,
     CAST(vehicle_id AS VARCHAR) AS vehicle, {TITLE} AS type, severity FROM incidents
@@ -817,13 +813,13 @@ MU = " * ".join(
 )
 SIGMA = case_of("road_type", models.SPEED_STD, "10.0::DOUBLE") + \
     " * (CASE WHEN time_of_day IN ('morning_rush', 'evening_rush') THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END)"
-SQL["speed_zscore"] = f"""SELECT event_id, vehicle_id, speed, {stl(MU, 4)} AS expected_speed, {stl(SIGMA, 4)} AS expected_std,
-    {stl(f'(speed - {MU}) / ({SIGMA})', 4)} AS z_score FROM {CONDITIONS}"""
+SQL["speed_zscore"] = f"""SELECT event_id, vehicle_id, speed, {rnd(MU, 4)} AS expected_speed, {rnd(SIGMA, 4)} AS expected_std,
+    {rnd(f'(speed - {MU}) / ({SIGMA})', 4)} AS z_score FROM {CONDITIONS}"""
 RPM = """CAST(CASE WHEN speed IS NOT NULL THEN LEAST(floor(CASE WHEN speed < 20 THEN speed * 40 + 800 WHEN speed < 60 THEN (speed - 20) * 25 + 1500
     ELSE (speed - 60) * 15 + 2500 END), 4500) END AS INTEGER)"""
 LITRES = """GREATEST(2, LEAST(30, 8 + (speed / 100) * (speed / 100) * 3 + (CAST(rpm2 AS DOUBLE) / 1000) * 0.5::DOUBLE
     + LEAST(100, fuel_level) / 100 * 4 + CASE WHEN engine_temp < 85 THEN (85 - engine_temp) * 0.05::DOUBLE ELSE 0 END))"""
-SQL["fuel_rate"] = f"""SELECT event_id, rpm2 AS rpm, CASE WHEN speed IS NOT NULL THEN {stl(LITRES, 2)} END AS litres_per_hour FROM
+SQL["fuel_rate"] = f"""SELECT event_id, rpm2 AS rpm, CASE WHEN speed IS NOT NULL THEN {rnd(LITRES, 2)} END AS litres_per_hour FROM
     (SELECT *, {RPM} AS rpm2 FROM telemetry)"""
 
 
@@ -839,7 +835,7 @@ STATES = ("normal", "aggressive", "tired")
 SQL["driver_state"] = f"""SELECT event_id, p_normal, p_aggressive, p_tired,
     CASE WHEN p_normal >= p_aggressive AND p_normal >= p_tired THEN 'normal'
          WHEN p_aggressive >= p_tired THEN 'aggressive' WHEN p_tired IS NOT NULL THEN 'tired' END AS state FROM (
-    SELECT event_id, {", ".join(stl(f'exp(l_{s} - top) / (exp(l_normal - top) + exp(l_aggressive - top) + exp(l_tired - top))', 6)
+    SELECT event_id, {", ".join(rnd(f'exp(l_{s} - top) / (exp(l_normal - top) + exp(l_aggressive - top) + exp(l_tired - top))', 6)
                                + f' AS p_{s}' for s in STATES)} FROM (
     SELECT *, GREATEST(l_normal, l_aggressive, l_tired) AS top FROM (
     SELECT event_id, {", ".join(f'{log_density(s)} AS l_{s}' for s in STATES)} FROM (

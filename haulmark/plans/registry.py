@@ -95,15 +95,10 @@ def json_decode(spark, sf_dir):
 
 
 
-# Row caps of a quick load.
-LOAD_CAPS = {"customers": 1000, "telemetry": 5000, "deliveries": 1000, "incidents": 1000}
-
-
-@query("scan_limited")
-def scan_limited(spark, sf_dir):
-    return statistics.scan_report(
-        {e: (load(spark, sf_dir, e), load(spark, sf_dir, e, cap), cap) for e, cap in LOAD_CAPS.items()}
-    )
+@query("scan_full")
+def scan_full(spark, sf_dir):
+    """Whole tables that a dashboard load reads."""
+    return statistics.table_counts({e: load(spark, sf_dir, e) for e in ("customers", "telemetry", "deliveries", "incidents")})
 
 
 @star("flatten_location")
@@ -434,7 +429,7 @@ def motion_status(s):
 
 @star("speed_band")
 def speed_band(s):
-    return s.telemetry.select("event_id", labels.speed_band(F.col("speed")).alias("candidates"))
+    return s.telemetry.select("event_id", F.array_join(labels.speed_band(F.col("speed")), ", ").alias("candidates"))
 
 
 @star("temp_zone")
@@ -656,7 +651,9 @@ def latest_deliveries(s):
 
 @star("latest_aggregations")
 def latest_aggregations(s):
-    windows = rollups.sliding_rollup(s.telemetry)
+    # The last reading lies in five windows, so the five latest rows need nothing before the first of them.
+    newest = s.telemetry.agg(F.date_trunc("minute", F.max("timestamp")).alias("t")).scalar()
+    windows = rollups.sliding_rollup(s.telemetry.filter(F.col("timestamp") >= newest - F.expr("INTERVAL 4 MINUTES")))
     return windows.orderBy(F.desc("window_start"), F.asc_nulls_last("vehicle_id")).limit(5)
 
 
@@ -703,14 +700,14 @@ def scalar_math(s):
         "event_id",
         F.round(speed, 1).alias("r1"),
         F.round(speed, 0).alias("r0"),
-        numeric.settle(numeric.ratio(speed, fuel, 100.0), 6).alias("guarded"),
-        numeric.settle(speed / F.nullif(fuel, F.lit(0.0)), 6).alias("null_if_zero"),
+        F.round(numeric.ratio(speed, fuel, 100.0), 6).alias("guarded"),
+        F.round(speed / F.nullif(fuel, F.lit(0.0)), 6).alias("null_if_zero"),
         numeric.clip(speed, 10, 140).alias("clipped"),
         F.signum(speed - 50).alias("side"),
-        numeric.settle(F.abs(speed - 50), 6).alias("distance_from_50"),
-        numeric.settle(F.pow(speed - 50, F.lit(2)), 6).alias("squared"),
-        numeric.settle(km, 6).alias("km"),
-        numeric.settle(numeric.gaussian_pdf(speed, F.lit(50.0), F.lit(15.0)), 6).alias("density"),
+        F.round(F.abs(speed - 50), 6).alias("distance_from_50"),
+        F.round(F.pow(speed - 50, F.lit(2)), 6).alias("squared"),
+        F.round(km, 6).alias("km"),
+        F.round(numeric.gaussian_pdf(speed, F.lit(50.0), F.lit(15.0)), 6).alias("density"),
         F.coalesce(F.when(fuel > 50, fuel), F.lit(0.0)).alias("defaulted"),
     )
 

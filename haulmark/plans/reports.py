@@ -19,7 +19,7 @@ from haulmark.functions.labels import (
     capital_text,
     title_text,
 )
-from haulmark.functions.numeric import avg_parts, merged_avg, merged_sum, settle, steady_avg
+from haulmark.functions.numeric import avg_parts, merged_avg, merged_sum, steady_avg
 from haulmark.functions.timing import before, clock_text, day_before, minutes_between
 from haulmark.operators.joins import deliveries_by_vehicle_day, interval_counts
 
@@ -62,7 +62,7 @@ def driver_performance(
             _merged_count().alias("total_trips"),
             merged_avg("speed").alias("speed"),
             F.round(merged_avg("fuel_level"), 2).alias("avg_fuel_remaining"),
-            settle(merged_sum("speed") * 0.001, 2).alias("total_distance_km"),
+            F.round(merged_sum("speed") * 0.001, 2).alias("total_distance_km"),
         )
         .filter((F.col("total_trips") > min_readings) & (F.col("speed") > min_speed))
         .withColumn("avg_speed", F.round("speed", 2))
@@ -102,7 +102,7 @@ def route_efficiency(s, cutoff: Column, min_deliveries: int = 5, min_distance: f
             {
                 "avg_distance_km": F.round("distance", 2),
                 "avg_delivery_time_minutes": F.round("minutes", 2),
-                "avg_speed_kmh": settle(F.try_divide(F.col("distance"), F.col("minutes")) * 60, 2),
+                "avg_speed_kmh": F.round(F.try_divide(F.col("distance"), F.col("minutes")) * 60, 2),
             }
         )
         .drop("distance", "minutes")
@@ -136,7 +136,7 @@ def incident_analysis(s, cutoff: Column, min_incidents: int = 3, unknown: str |
     """
     level = bucket(F.col("experience_years"), EXPERIENCE_4, unknown)
     kind = lambda name: F.count_if(F.col("incident_type") == name)
-    high = F.count_if(F.col("severity") == "High")
+    high = F.count_if(F.lower("severity") == "high")
     out = (
         s.incidents.filter(F.col("timestamp") >= cutoff)
         .join(s.vehicles.select("vehicle_id", "vehicle_type"), "vehicle_id")
@@ -191,7 +191,7 @@ def delivery_spread(s, cutoff: Column, min_deliveries: int = 10) -> DataFrame:
         .agg(
             F.count("delivery_id").alias("total_deliveries"),
             steady_avg(m.cast("double")).alias("mean"),
-            settle(F.stddev_samp(m), 2).alias("delivery_time_variance"),
+            F.round(F.stddev_samp(m), 2).alias("delivery_time_variance"),
             F.min(m).alias("min_delivery_time"),
             F.max(m).alias("max_delivery_time"),
             F.round(steady_avg(F.col("package_weight")), 2).alias("avg_package_weight"),
@@ -255,7 +255,7 @@ def fuel_pattern(
             F.round(speed, 2).alias("avg_speed"),
             F.round(merged_avg("engine_temp", weight), 2).alias("avg_engine_temp"),
             F.round(F.try_divide(span, F.count_distinct("day")), 2).alias("avg_daily_fuel_consumption"),
-            settle(F.try_divide(speed, fuel) * 100, 2).alias("fuel_efficiency_index"),
+            F.round(F.try_divide(speed, fuel) * 100, 2).alias("fuel_efficiency_index"),
             _merged_count("low_fuel", weight).alias("low_fuel_instances"),
         )
         .filter(
@@ -289,12 +289,8 @@ def drivers_with_incidents(
     i = s.incidents.filter(F.col("timestamp") >= cutoff - F.expr("INTERVAL 1 HOUR"))
     counted = interval_counts(t, i, columns=["vehicle_id", "speed"])
     weight = F.greatest(F.col("incidents"), F.lit(1))
-    whole, micro = F.floor("speed"), F.floor((F.col("speed") - F.floor("speed")) * 1e6 + 0.5)
     pre = counted.groupBy("driver_id", "vehicle_id").agg(
-        F.sum("incidents").alias("incidents"),
-        F.sum(whole * weight).alias("speed_whole"),
-        F.sum(micro * weight).alias("speed_micro"),
-        F.sum(F.when(F.col("speed").isNotNull(), weight)).alias("speed_n"),
+        F.sum("incidents").alias("incidents"), *avg_parts("speed", F.col("speed"), weight)
     )
     return (
         pre.join(s.drivers.select("driver_id", "name", "rating"), "driver_id")
@@ -330,7 +326,7 @@ def city_routes(s, cutoff: Column, min_deliveries: int = 5) -> DataFrame:
         .agg(
             F.round(merged_avg("distance_km"), 4).alias("avg_distance"),
             F.round(merged_avg("delivery_minutes"), 4).alias("avg_delivery_time"),
-            settle(F.sum("on_time") * F.lit(100.0) / F.sum("rows"), 4).alias("on_time_rate"),
+            F.round(F.sum("on_time") * F.lit(100.0) / F.sum("rows"), 4).alias("on_time_rate"),
             F.sum("rows").alias("rows"),
         )
         .filter(F.col("rows") > min_deliveries)
@@ -393,7 +389,7 @@ def delivery_by_experience(s, cutoff: Column, min_deliveries: int = 10) -> DataF
         .agg(
             F.sum("n").alias("total_deliveries"),
             F.round(merged_avg("delivery_minutes"), 4).alias("avg_delivery_time"),
-            settle(F.sum("on_time") * F.lit(100.0) / F.sum("rows"), 4).alias("success_rate"),
+            F.round(F.sum("on_time") * F.lit(100.0) / F.sum("rows"), 4).alias("success_rate"),
         )
         .filter(F.col("total_deliveries") > min_deliveries)
         .orderBy(F.desc("success_rate"), "experience_level")

@@ -8,6 +8,8 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+# Stream state off the Java heap, locally as on a cluster.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -19,6 +21,7 @@ def build_session(app: str = "haulmark", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

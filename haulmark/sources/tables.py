@@ -180,10 +180,9 @@ SQL_NAMES = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, entity: str, limit: int | None = None) -> DataFrame:
-    """One star view; a row cap only when the caller asks for it."""
-    df = VIEWS[entity](spark, sf_dir)
-    return df if limit is None else df.limit(limit)
+def load(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """One star view."""
+    return VIEWS[entity](spark, sf_dir)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

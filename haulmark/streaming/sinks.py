@@ -2,40 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from haulmark.operators.joins import combine_updates
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-WIDTH = "spark.sql.shuffle.partitions"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def large_state(spark: SparkSession) -> None:
-    """On a cluster, keep stream state in RocksDB, off the Java heap."""
-    if not spark.sparkContext.master.startswith("local"):
-        spark.conf.set(STATE_STORE, ROCKSDB)
-
-
-def _start(writer, spark: SparkSession) -> StreamingQuery:
-    """Start a query; a local one gets no more state partitions than cores.
-
-    A query takes its width from the session as it starts and keeps it with the
-    checkpoint. On a cluster the width is the session's own setting.
-    """
-    large_state(spark)
-    width = spark.conf.get(WIDTH)
-    if not spark.sparkContext.master.startswith("local"):
-        return writer.start()
-    spark.conf.set(WIDTH, str(min(int(width), spark.sparkContext.defaultParallelism)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(WIDTH, width)
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def _trigger(writer, every: str | None):
@@ -56,19 +29,19 @@ def start(
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _start(_trigger(writer, every), df.sparkSession)
+    return _trigger(writer, every).start()
 
 
 def to_console(df: DataFrame, name: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
     """Debug sink with full column width."""
     writer = df.writeStream.format("console").outputMode(mode).option("truncate", "false").queryName(name)
-    return _start(_trigger(writer, every), df.sparkSession)
+    return _trigger(writer, every).start()
 
 
 def to_memory(df: DataFrame, name: str, mode: str = "complete", every: str | None = None) -> StreamingQuery:
     """Small results as an in-memory table of that name; the rows live on the driver."""
     writer = df.writeStream.format("memory").outputMode(mode).queryName(name)
-    return _start(_trigger(writer, every), df.sparkSession)
+    return _trigger(writer, every).start()
 
 
 def per_batch(
@@ -82,43 +55,97 @@ def per_batch(
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _start(_trigger(writer, every), df.sparkSession)
+    return _trigger(writer, every).start()
 
 
 def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def upsert_batch(target: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    """Callback that stores one row per key of a batch; a repeated batch replaces itself."""
+FOLD_EVERY = 16  # batches between snapshots of an upsert target
+
+
+def _upsert_folder(target: str, kind: str, batch_id: int) -> str:
+    return f"{target}/kind={kind}/batch_id={batch_id}"
+
+
+def _versions(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key and field the newest non-NULL value with its order columns.
+
+    The newest is the greatest (order, value), so the result does not depend on
+    how messages are split into batches or how often they are repeated.
+    """
+    fields = [c for c in batch.columns if c not in keys and c not in order]
+    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("value")))).alias(c) for c in fields]
+    return batch.groupBy(*keys).agg(*newest)
+
+
+def live_versions(spark: SparkSession, target: str, upto: int | None = None) -> DataFrame | None:
+    """Rows of the last snapshot and the batches after it; None before the first batch."""
+    try:
+        stored = spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if upto is not None:
+        stored = stored.filter(F.col("batch_id") <= upto)
+    # Folder names alone tell the last snapshot; older folders are not read.
+    last = stored.filter(F.col("kind") == "snapshot").agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        snapshot = (F.col("kind") == "snapshot") & (F.col("batch_id") == last)
+        stored = stored.filter(snapshot | ((F.col("kind") == "batch") & (F.col("batch_id") > last)))
+    return stored
+
+
+def _current(spark: SparkSession, target: str, keys: list[str], upto: int | None = None) -> DataFrame | None:
+    stored = live_versions(spark, target, upto)
+    if stored is None:
+        return None
+    fields = [c for c in stored.columns if c not in keys and c not in ("kind", "batch_id")]
+    return stored.groupBy(*keys).agg(*[F.max(c).alias(c) for c in fields])
+
+
+def upsert_batch(
+    target: str, keys: list[str], order: list[str], fold_every: int = FOLD_EVERY
+) -> Callable[[DataFrame, int], None]:
+    """Callback that stores the newest versions of a batch; a repeated batch replaces itself.
+
+    Every ``fold_every`` batches all versions are folded into a snapshot, so a
+    read merges one snapshot and fewer than ``fold_every`` batches.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        fields = [c for c in batch.columns if c not in keys and c not in order]
-        combine_updates(batch, keys, order, fields).write.mode("overwrite").parquet(batch_folder(target, batch_id))
+        _versions(batch, keys, order).write.mode("overwrite").parquet(_upsert_folder(target, "batch", batch_id))
+        if (batch_id + 1) % fold_every == 0:
+            fold(batch.sparkSession, target, keys, batch_id)
 
     return write
 
 
+def fold(spark: SparkSession, target: str, keys: list[str], batch_id: int) -> None:
+    """Snapshot of all versions up to a batch."""
+    versions = _current(spark, target, keys, batch_id)
+    if versions is not None:
+        versions.write.mode("overwrite").parquet(_upsert_folder(target, "snapshot", batch_id))
+
+
 def start_upsert(
     df: DataFrame, target: str, name: str, checkpoint_root: str, keys: list[str], order: list[str],
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keyed upsert of partial rows: later batches win, NULL never overwrites."""
+    """Keyed upsert of partial rows: the latest by the order columns wins, NULL never overwrites."""
     return per_batch(df, upsert_batch(target, keys, order), name, checkpoint_root, every=every)
 
 
-def read_upserted(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
-    """Current rows of an upsert target."""
-    stored = spark.read.parquet(target)
-    fields = [c for c in stored.columns if c not in keys and c != "batch_id"]
-    return combine_updates(stored, keys, ["batch_id"], fields)
-
-
-def compact(spark: SparkSession, target: str, into: str, keys: list[str]) -> None:
-    """Merged rows of all batches as the single first batch of a new target."""
-    read_upserted(spark, target, keys).write.mode("overwrite").parquet(batch_folder(into, -1))
+def read_upserted(spark: SparkSession, target: str, keys: list[str], like: DataFrame | None = None) -> DataFrame:
+    """Current rows of an upsert target; before the first batch an empty table like the given one."""
+    versions = _current(spark, target, keys)
+    if versions is None:
+        if like is None:
+            raise ValueError(f"nothing has been written to {target}")
+        return spark.createDataFrame([], like.schema)
+    return versions.select(*keys, *[F.col(f"{c}.value").alias(c) for c in versions.columns if c not in keys])
 
 
 def append_counted(df: DataFrame, path: str) -> int:
@@ -142,20 +169,51 @@ def append_batches(*outputs: tuple[str, Callable[[DataFrame], DataFrame]]) -> Ca
     return write
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple[str, int, int, int]]:
-    """Name, batch, input rows and late rows of the recent batches of a query."""
-    out = []
-    for p in query.recentProgress:
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every batch: name, batch, input rows and late rows, one tuple each."""
+
+    def __init__(self):
+        self.rows: dict[str, list[tuple[str, int, int, int]]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
         late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        out.append((query.name, p.batchId, p.numInputRows, late))
-    return out
+        self.rows.setdefault(str(p.runId), []).append((p.name, p.batchId, p.numInputRows, late))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.runId))
+
+    def of(self, *queries: StreamingQuery, seconds: float = 60) -> list[tuple[str, int, int, int]]:
+        """Batches of ended queries; waits until their last report has arrived."""
+        until = time.monotonic() + seconds
+        while not all(str(q.runId) in self.ended for q in queries):
+            if time.monotonic() > until:
+                raise TimeoutError("progress of an ended query has not arrived")
+            time.sleep(0.05)
+        return [row for q in queries for row in self.rows.get(str(q.runId), [])]
+
+
+def watch(spark: SparkSession) -> ProgressLog:
+    """Start to log progress; call before the queries start."""
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    return log
 
 
 PROGRESS = "query string, batch_id bigint, input_rows bigint, late_rows bigint"
 
 
-def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    return spark.createDataFrame([r for q in queries for r in progress_rows(q)], PROGRESS)
+def progress_table(spark: SparkSession, log: ProgressLog, *queries: StreamingQuery) -> DataFrame:
+    rows = log.of(*queries)
+    spark.streams.removeListener(log)
+    return spark.createDataFrame(rows, PROGRESS)
 
 
 def await_all(*queries: StreamingQuery) -> None:

@@ -101,3 +101,24 @@ def test_tier_of_a_row(spark):
         "tier", checks.tier(F.col("timestamp"), at("2024-02-02"), at("2024-02-01"))
     )
     assert [r.tier for r in df.orderBy("event_id").collect()] == ["cold", "warm", "hot"]
+
+
+def test_missing_keys_and_corrected_rows(spark, tmp_path):
+    root = str(tmp_path / "warm")
+    text = "event_id long, vehicle_id long, timestamp timestamp, speed double"
+    old = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(None, 1, old, 1.0), (2, None, old, 2.0)], text)
+    for _ in range(2):
+        archive.archive_warm(df, root, at(CUT), KEYS)
+    assert spark.read.parquet(root).count() == 2
+    assert archive.retain_hot(df, spark.read.parquet(root), at(CUT), KEYS).count() == 0
+    corrected = spark.createDataFrame([(2, None, old, 3.0)], text)
+    with pytest.raises(ValueError, match="missing in the archive"):
+        archive.retain_hot(corrected, spark.read.parquet(root), at(CUT), KEYS)
+    archive.archive_warm(corrected, root, at(CUT), KEYS)
+    assert sorted(r.speed for r in spark.read.parquet(root).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_a_row_without_time_is_hot(spark):
+    df = spark.createDataFrame([(None,)], "timestamp timestamp")
+    assert df.select(checks.tier(F.col("timestamp"), at(CUT), at(CUT))).first()[0] == "hot"

@@ -86,3 +86,9 @@ def test_vehicle_day_weights(spark, rows):
     w = spark.createDataFrame([(7, "A"), (8, "B")], "warehouse_id int, city string")
     out = joins.deliveries_by_vehicle_day(d, w).select("vehicle_id", "origin_city", "matches")
     assert rows(out) == [(1, "A", 2), (1, "B", 1), (2, None, 1)]
+
+
+def test_interval_counts_without_times(spark, rows):
+    left = spark.createDataFrame([(1, 7, None), (2, 7, START)], "event_id long, driver_id long, timestamp timestamp")
+    right = spark.createDataFrame([(1, 7, None), (2, 7, START)], "incident_id long, driver_id long, timestamp timestamp")
+    assert rows(joins.interval_counts(left, right), "event_id", "incidents") == [(1, 0), (2, 1)]

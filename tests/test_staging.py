@@ -39,3 +39,15 @@ def test_partitioned_store(spark, staged, tmp_path):
     path = str(tmp_path / "staged")
     staging.write_staged(staged, path)
     assert spark.read.parquet(path).filter("entity = 'telemetry'").count() == 2
+
+
+def test_staging_a_key_again_replaces_it(spark, rows):
+    text = "delivery_id long, status string"
+    parts = [
+        staging.stage(spark.createDataFrame([(1, status), (2, status)], text), "deliveries", ["delivery_id"], when, 3600)
+        for status, when in (("Open", "2024-01-01 11:30:00"), ("Done", "2024-01-01 11:45:00"))
+    ]
+    both = parts[1].unionAll(parts[0])
+    assert rows(staging.get_staged(both, "deliveries", NOW, text), "delivery_id", "status") == [(1, "Done"), (2, "Done")]
+    assert rows(staging.staging_counts(both, ["deliveries"], NOW), "records") == [(2,)]
+    assert rows(staging.clear_staging(both, ("staging:",))[1]) == [("staging:", 2)]

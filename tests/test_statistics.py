@@ -2,8 +2,9 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from haulmark.functions.numeric import steady_avg, steady_sum
+from haulmark.functions.numeric import avg_parts, merged_avg, merged_sum, steady_avg, steady_sum
 from haulmark.operators import statistics
 
 
@@ -80,7 +81,20 @@ def test_duplicates_and_share(spark, rows):
     assert rows(statistics.state_share(df, "s")) == [("a", 2, 50.0), ("b", 2, 50.0)]
 
 
-def test_scan_report(spark, rows):
-    df = spark.range(10).toDF("id")
-    out = statistics.scan_report({"t": (df, df.limit(4), 4), "u": (df, df.limit(20), 20)})
-    assert rows(out) == [("t", 10, 4, 4), ("u", 10, 20, 10)]
+@pytest.mark.parametrize("values", [[4e-7] * 1000, [1e19, 1e19], [float("inf"), 1.0], [float("nan"), 10.0], [None, 2.5], [-0.3, 1e-12, 7e5, 2e6]])
+def test_sums_lose_nothing(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.agg(steady_sum(df.x), steady_avg(df.x), F.sum("x"), F.avg("x")).first()
+    assert got[:2] == pytest.approx(got[2:], rel=1e-12, nan_ok=True)
+
+
+def test_merged_sums_lose_nothing(spark):
+    values = [(1, 4e-7), (1, 1e19), (2, 0.25), (2, None), (3, -1.5)]
+    df = spark.createDataFrame(values, "k int, x double")
+    got = df.groupBy("k").agg(*avg_parts("x", df.x)).agg(merged_sum("x"), merged_avg("x")).first()
+    assert got[:] == pytest.approx((1e19, 2.5e18), rel=1e-12)
+
+
+def test_quantiles_put_nan_last(spark):
+    df = spark.createDataFrame([("a", v) for v in (-5.0, 5.0, float("nan"))], "k string, v double")
+    assert statistics.exact_quantiles(df, "k", "v", {"median": 0.5}).first()["median"] == 5.0

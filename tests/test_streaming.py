@@ -34,12 +34,14 @@ def test_sliding_windows_on_batch(spark, rows):
 def test_append_holds_back_open_windows_and_late_rows_are_dropped(spark, rows):
     root = run_dir(spark, "t-late")
     late = []
+    log = sinks.watch(spark)
     for phase, part in enumerate((readings(spark, [0, 1]), readings(spark, [60], 10), readings(spark, [2], 20))):
         sinks.lit_phase(part, f"{root}/src", phase)
         windows = rollups.sliding_rollup(sinks.phase_stream(spark, f"{root}/src", part), slide=None)
         query = sinks.start(windows, "late", f"{root}/out", f"{root}/ckpt")
         sinks.await_all(query)
-        late.append(sum(r[3] for r in sinks.progress_rows(query)))
+        late.append(sum(r[3] for r in log.of(query)))
+    spark.streams.removeListener(log)
     assert rows(spark.read.parquet(f"{root}/out"), "record_count") == [(2,)]
     assert late == [0, 0, 1]
 
@@ -55,17 +57,53 @@ def test_upsert_replay_and_partial_rows(spark, rows):
     write(second.limit(0), 2)
     wanted = [("a", "Done", 5.0), ("b", "Open", 6.0)]
     assert rows(sinks.read_upserted(spark, f"{root}/target", ["id"])) == wanted
-    sinks.compact(spark, f"{root}/target", f"{root}/compacted", ["id"])
-    assert rows(sinks.read_upserted(spark, f"{root}/compacted", ["id"])) == wanted
+    sinks.fold(spark, f"{root}/target", ["id"], 2)
+    assert rows(sinks.read_upserted(spark, f"{root}/target", ["id"])) == wanted
 
 
-def test_compacted_target_takes_new_batches(spark, rows):
-    root = run_dir(spark, "t-compact")
-    text = "id string, status string, at int"
-    sinks.upsert_batch(f"{root}/a", ["id"], ["at"])(spark.createDataFrame([("a", "Open", 1)], text), 7)
-    sinks.compact(spark, f"{root}/a", f"{root}/b", ["id"])
-    sinks.upsert_batch(f"{root}/b", ["id"], ["at"])(spark.createDataFrame([("a", "Done", 1)], text), 0)
-    assert rows(sinks.read_upserted(spark, f"{root}/b", ["id"])) == [("a", "Done")]
+def test_upsert_does_not_depend_on_batch_borders(spark, rows):
+    """Out of order, repeated and tied messages, split in several ways, with and without snapshots."""
+    text = "id string, status string, km double, at int, seen int"
+    messages = [("a", "Done", None, 9, 1), ("a", "Open", 5.0, 1, 2), ("b", "Open", 1.0, 4, 3), ("b", "Late", 2.0, 4, 4),
+                ("a", "Moving", 6.0, 3, 5), ("a", "Done", None, 9, 1), ("c", None, None, None, 6)]
+    results = []
+    for n, splits in enumerate(([7], [1] * 7, [3, 4], [2, 2, 3])):
+        for fold_every in (100, 2):
+            target, at = f"{run_dir(spark, 't-split')}/target", 0
+            write = sinks.upsert_batch(target, ["id"], ["at", "seen"], fold_every)
+            for batch_id, size in enumerate(splits):
+                part = messages[at : at + size] if n % 2 else messages[::-1][at : at + size]
+                write(spark.createDataFrame(part, text), batch_id)
+                at += size
+            results.append(rows(sinks.read_upserted(spark, target, ["id"])))
+    assert results == [[("a", "Done", 6.0), ("b", "Late", 2.0), ("c", None, None)]] * 8
+
+
+def test_reading_merges_the_last_snapshot_only(spark):
+    target = f"{run_dir(spark, 't-fold')}/target"
+    write = sinks.upsert_batch(target, ["id"], ["at"], 4)
+    for batch_id in range(11):
+        write(spark.createDataFrame([(batch_id % 3, batch_id, batch_id)], "id int, v int, at int"), batch_id)
+    read = {(r.kind, r.batch_id) for r in sinks.live_versions(spark, target).select("kind", "batch_id").collect()}
+    assert read == {("snapshot", 7), ("batch", 8), ("batch", 9), ("batch", 10)}
+    assert "PartitionFilters: [" in sinks.live_versions(spark, target)._jdf.queryExecution().toString()
+
+
+def test_upsert_target_before_the_first_batch(spark):
+    like = spark.createDataFrame([], "id int, v int")
+    assert sinks.read_upserted(spark, f"{run_dir(spark, 't-none')}/target", ["id"], like).schema == like.schema
+
+
+def test_progress_is_complete_beyond_the_recent_entries(spark, tmp_path):
+    src = str(tmp_path / "src")
+    for i in range(115):
+        spark.range(i, i + 3).coalesce(1).write.mode("append").parquet(src)
+    log = sinks.watch(spark)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+    query = sinks.to_memory(stream, "many", "append")
+    sinks.await_all(query)
+    table = sinks.progress_table(spark, log, query)
+    assert table.agg(F.sum("input_rows"), F.count_distinct("batch_id")).first()[:] == (345, 115)
 
 
 def test_a_failing_batch_fails_the_query(spark):
@@ -93,9 +131,10 @@ def test_json_folder_as_a_topic(spark, tmp_path, rows):
     sinks.await_all(query)
     assert rows(spark.table("tagged")) == [("a", "OVER_SPEED")]
     # Progress counts rows that leave the scan, so it is read off a query without filters to push down.
+    log = sinks.watch(spark)
     plain = sinks.to_memory(stream, "plain", "append")
     sinks.await_all(plain)
-    assert rows(sinks.progress_table(spark, plain), "query", "input_rows") == [("plain", 2)]
+    assert rows(sinks.progress_table(spark, log, plain), "query", "input_rows") == [("plain", 2)]
 
 
 def test_console_runs(spark, tmp_path):
