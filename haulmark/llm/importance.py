@@ -8,7 +8,7 @@ the two; an n-gram counts only if its two rates differ by more than chance
 more good text. Gumbel noise is added and the top k are kept. k is the number of
 documents that score at least what all but LOSS of the labelled good ones do.
 
-Only the ids of good documents are a sample, of at most LABELLED rows; both
+Only the ids of good documents are a sample, of about LABELLED rows at most; both
 models and all scores cover every document. Counts leave a task as SLICES
 arrays of fixed size and are added up slice by slice.
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm import blocks
-from haulmark.llm.tables import numbered, stored
+from haulmark.llm.tables import hash_sample, numbered, stored
 
 LABELLED = 200_000
 UNIGRAMS, BIGRAMS = 1 << 20, 1 << 18
@@ -78,9 +78,9 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def good_ids(labels: DataFrame) -> np.ndarray:
-    """Sorted ids of at most LABELLED labelled documents that are good and not toxic."""
+    """Sorted ids of about LABELLED labelled documents that are good and not toxic."""
     good = labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
-    picked = good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id")).limit(LABELLED)
+    picked = hash_sample(good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "doc_id", LABELLED)
     return np.sort(picked.toArrow().column("doc_id").to_numpy().astype(np.int64))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.components import roots
-from haulmark.llm.tables import order_key, stored, texts_of
+from haulmark.llm.tables import hash_sample, order_key, stored, texts_of
 
 WORDS, BITS, SEED = 4, 4, 42
 SHARD = 1 << 14  # fingerprints that live in one shard
@@ -77,8 +77,8 @@ def shared_tree(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
     for node in range(1, size):
         points = held.pop(node)
         if len(points):
-            vantage[node] = points[0]
-            d = apart(points, points[0])
+            vantage[node] = points[len(points) // 2]
+            d = apart(points, vantage[node])
             middle[node] = int(np.median(d))
             near = d <= middle[node]
             if near.all():
@@ -174,8 +174,8 @@ def links(fps: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
     """a, b: links that join the same fingerprints as all pairs within the distance do. fps: distinct, column fp."""
     n = fps.count()
     depth = min(DEEPEST, max(0, (-(-n // shard) - 1).bit_length()))
-    sample = fps.orderBy(F.xxhash64("fp")).limit(PER_LEAF << depth).toArrow().column("fp").to_numpy()  # bounded by DEEPEST
-    vantage, middle = shared_tree(sample.astype(np.int64).view(np.uint64), depth)
+    sample = hash_sample(fps.select("fp"), "fp", PER_LEAF << depth).toArrow().column("fp").to_numpy()  # bounded by DEEPEST
+    vantage, middle = shared_tree(np.sort(sample.astype(np.int64).view(np.uint64)), depth)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, column: str, wanted: int) -> DataFrame:
+    """About `wanted` rows, chosen by a hash of the column, so the same ones each time; all rows if there are fewer."""
+    rows = df.count()
+    if rows <= wanted:
+        return df
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(1 << 30)) < F.lit((1 << 30) * wanted // rows))
+
+
 def literal(values: list[int], kind: str = "bigint") -> Column:
     """A constant array; small, as its length is bounded by the number of buckets."""
     body = ",".join(f"{v}L" if v > NO_ID else "-9223372036854775807L - 1L" for v in values)

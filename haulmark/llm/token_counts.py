@@ -110,6 +110,19 @@ def frequencies(texts: DataFrame, heavy) -> DataFrame:
     return texts.mapInArrow(count, kinds)
 
 
+def most_frequent(vocab: DataFrame, heavy: int) -> DataFrame:
+    """token, pieces of the short pre-tokens whose frequency class is in the top ones with at most `heavy` members."""
+    rank = F.floor(F.log2("n") * 16).alias("class")  # about 700 classes at most
+    short = vocab.filter(F.octet_length("token") <= HEAVY_BYTES).select("token", "pieces", rank)
+    floor, held = None, 0
+    for row in short.groupBy("class").count().orderBy(F.desc("class")).collect():
+        held += row["count"]
+        if held > heavy:
+            break
+        floor = row["class"]
+    return short.filter(F.lit(False) if floor is None else F.col("class") >= floor).drop("class")
+
+
 def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_bytes, n_tokens."""
     spark, path = docs.sparkSession, public_tokenizers.path(model)
@@ -118,8 +131,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", heavy: int
         F.when(F.col("text") != "", F.concat(F.lit(" "), "text")).otherwise("").alias("text"),
     )
     vocab = stored(vocabulary(texts, path), "pre-tokens")
-    short = vocab.filter(F.octet_length("token") <= HEAVY_BYTES)
-    top = short.orderBy(F.desc("n")).limit(heavy).select("token", "pieces").toArrow()  # at most `heavy` short rows
+    top = most_frequent(vocab, heavy).toArrow()  # at most `heavy` short rows
     known = dict(zip(top.column("token").to_pylist(), top.column("pieces").to_pylist(), strict=True))
     rows = frequencies(texts, spark.sparkContext.broadcast(known))
     joined = rows.join(vocab.select("token", "pieces"), "token", "left")
