@@ -40,7 +40,7 @@ WIDTH, ANCHOR = 200, 50
 CROWD = 1 << 15
 FILTER_BITS, PROBES = 1 << 27, 3
 PLACE = np.uint64((1 << 27) - 1)
-SORT_BYTES = 8 << 20
+BLOCK, SORT_BYTES = 1 << 20, 2 << 20  # bytes of text and of contexts that a task works on at once
 _inverse: dict[int, np.ndarray] = {}
 
 
@@ -164,7 +164,7 @@ def counted_anchors(texts: DataFrame, width: int, size: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in blocks.blocks(batch.column("text")):
+            for _, _, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 hashes, n = np.unique(anchors(data, offsets, width, size)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([signed(hashes), pa.array(n)], ["key", "n"])
 
@@ -183,7 +183,7 @@ def contexts(texts: DataFrame, repeated, width: int, size: int) -> DataFrame:
         names = ["anchor", "context", "key", "n", "doc_id", "h", "low", "high"]
         for batch in batches:
             ids, texts_h = keyed(batch)
-            for row0, _, data, offsets in blocks.blocks(batch.column("text")):
+            for row0, _, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 row, anchor, first, last, hashes = anchors(data, offsets, width, size)
                 keep = passes(repeated.value, hashes)
                 row, anchor, first, last, hashes = (x[keep] for x in (row, anchor, first, last, hashes))
@@ -219,7 +219,7 @@ def border_contexts(texts: DataFrame, wanted, width: int, size: int) -> DataFram
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts_h = keyed(batch)
-            for row0, _, data, offsets in blocks.blocks(batch.column("text")):
+            for row0, _, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 row, anchor, first, last, hashes = anchors(data, offsets, width, size)
                 key = occurrence_keys(ids[row0 + row], texts_h[row0 + row], anchor - offsets[row])
                 keep = passes(wanted.value, key)
