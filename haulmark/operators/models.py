@@ -59,7 +59,7 @@ def conditions(readings: DataFrame) -> DataFrame:
     fuel, event = F.col("fuel_level").cast("int"), F.col("event_id")
     return readings.withColumns(
         {
-            "weather": pick(fuel, ["clear", "rain", "fog", "dust", "snow"]),
+            "weather": F.when(fuel.isNotNull(), pick(fuel, ["clear", "rain", "fog", "dust", "snow"])),
             "traffic": pick(event, ["light", "moderate", "heavy", "congested"]),
             "behaviour": F.when(F.col("speed") > 100, "aggressive").when(F.col("speed") < 20, "cautious").otherwise("normal"),
             "time_of_day": time_of_day(F.col("timestamp")),

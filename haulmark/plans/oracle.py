@@ -12,7 +12,7 @@ from haulmark.operators.quality import FOREIGN_KEYS
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 HOT = "TIMESTAMP '2024-01-29 00:00:00'"
 WARM = "TIMESTAMP '2024-01-21 00:00:00'"
-MONTH = "TIMESTAMP '2024-01-01 00:00:00'"
+LOOKBACK = "TIMESTAMP '2024-01-11 00:00:00'"
 DAY = "TIMESTAMP '2024-01-30 00:00:00'"
 
 
@@ -58,7 +58,9 @@ def location(key: str) -> str:
 
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
 SEGMENT = f"(['warehouse', 'highway', 'urban', 'customer'])[{K} % 4 + 1]"
-PICKUP = "TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(o_orderkey % 43200 AS BIGINT))"
+PICKUP = "TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(o_orderkey * 37 % 43200 AS BIGINT))"
+DRIVER = "CASE WHEN event_id % 499 <> 7 THEN user_id + event_id % 2 + 1 END"
+SPEED = "CASE WHEN event_id % 211 = 5 THEN CAST(0 AS DOUBLE) WHEN event_id % 307 <> 11 THEN value END"
 
 VIEWS = {
     "vehicles": """SELECT p_partkey AS vehicle_id, p_type AS vehicle_type, p_brand AS make, p_name AS model,
@@ -76,26 +78,26 @@ VIEWS = {
         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Wholesale'
              WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Individual' ELSE 'Retail' END AS customer_type,
         {location('c_custkey')} FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "telemetry": f"""SELECT event_id, user_id AS vehicle_id, user_id AS driver_id, ts AS "timestamp",
-        CAST(event_id % 1000 AS DOUBLE) / 1000 + CAST(24.8607 AS DOUBLE) AS latitude,
+    "telemetry": f"""SELECT event_id, CASE WHEN event_id % 997 <> 3 THEN user_id END AS vehicle_id, {DRIVER} AS driver_id,
+        ts AS "timestamp", CAST(event_id % 1000 AS DOUBLE) / 1000 + CAST(24.8607 AS DOUBLE) AS latitude,
         CAST(event_id * 7 % 1000 AS DOUBLE) / 1000 + CAST(67.0011 AS DOUBLE) AS longitude,
-        value AS speed, CAST({K} AS DOUBLE) AS fuel_level, CAST(event_id % 100 + 30 AS DOUBLE) AS engine_temp,
+        {SPEED} AS speed, CASE WHEN event_id % 401 <> 13 THEN CAST({K} AS DOUBLE) END AS fuel_level, CAST(event_id % 100 + 30 AS DOUBLE) AS engine_temp,
         CAST(event_id % 5000 AS INTEGER) AS rpm, event_id * CAST(0.5 AS DOUBLE) + 1000 AS odometer,
-        CASE WHEN value > 5 THEN 'Moving' ELSE 'Idle' END AS status, {SEGMENT} AS segment,
+        CASE WHEN {SPEED} > 5 THEN 'Moving' ELSE 'Idle' END AS status, {SEGMENT} AS segment,
         CASE WHEN {SEGMENT} = 'highway' THEN 'highway' ELSE 'urban' END AS road_type FROM events""",
     "deliveries": f"""SELECT *, completion_time <= estimated_delivery AS on_time FROM (SELECT o_orderkey AS delivery_id,
         o_custkey AS vehicle_id, o_orderkey % 120 AS driver_id, CAST(o_orderkey % 25 AS INTEGER) AS warehouse_id,
-        o_custkey AS customer_id,
+        o_custkey + 1 AS customer_id,
         CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'InProgress' ELSE 'Cancelled' END AS status,
         {PICKUP} AS pickup_time, {PICKUP} + to_minutes(CAST(30 + o_custkey % 91 AS BIGINT)) AS estimated_delivery,
         CASE WHEN o_orderstatus = 'F' THEN {PICKUP} + to_minutes(CAST(20 + o_orderkey % 121 AS BIGINT)) END
             AS completion_time,
         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 121 + 20 AS INTEGER) END AS delivery_minutes,
         o_totalprice / 10000 AS distance_km, o_totalprice / 5000 AS package_weight FROM orders)""",
-    "incidents": f"""SELECT event_id AS incident_id, user_id AS vehicle_id, user_id AS driver_id, ts AS "timestamp",
+    "incidents": f"""SELECT event_id AS incident_id, user_id AS vehicle_id, {DRIVER} AS driver_id, ts AS "timestamp",
         (['harsh_braking', 'speeding', 'harsh_acceleration', 'sharp_turn', 'idling_excessive'])[{K} % 5 + 1]
             AS incident_type,
-        (['Low', 'Medium', 'High'])[{K} % 3 + 1] AS severity, value AS speed_at_incident
+        (['Low', 'Medium', 'High', 'low', 'medium', 'high'])[{K} % 6 + 1] AS severity, value AS speed_at_incident
         FROM events WHERE event_type = 'error'""",
 }
 
@@ -257,7 +259,7 @@ SQL["stream_anomalies"] = f"""SELECT {ROW}, {ANOMALY_TYPE} FROM telemetry WHERE
     AND vehicle_id IS NOT NULL AND speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"""
 SQL["predicate_mix"] = f"""SELECT delivery_id, status, warehouse_id, distance_km FROM deliveries
     WHERE status IN ('InProgress', 'Completed') AND distance_km BETWEEN 5 AND 30 AND package_weight > 0
-    AND warehouse_id <> 3 AND pickup_time >= {MONTH}"""
+    AND warehouse_id <> 3 AND pickup_time >= {LOOKBACK}"""
 SQL["experience_buckets"] = f"""SELECT driver_id, {levels('experience_years', *EXP4)} AS four_levels,
     {levels('experience_years', *EXP3)} AS three_levels, {levels('experience_years', *EXP3S)} AS short_levels FROM drivers"""
 SQL["capacity_class"] = f"SELECT vehicle_id, {levels('capacity_kg', *CAP)} AS capacity_class FROM vehicles"
@@ -427,7 +429,7 @@ SQL["scalar_time"] = f"""SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN "time
 TITLE = """(CASE incident_type WHEN 'harsh_braking' THEN 'Harsh Braking' WHEN 'speeding' THEN 'Speeding'
     WHEN 'harsh_acceleration' THEN 'Harsh Acceleration' WHEN 'sharp_turn' THEN 'Sharp Turn'
     WHEN 'idling_excessive' THEN 'Idling Excessive' ELSE 'N/A' END)"""
-SQL["scalar_text"] = f"""SELECT incident_id, {TITLE} AS title, severity AS capital,
+SQL["scalar_text"] = f"""SELECT incident_id, {TITLE} AS title, upper(severity[1]) || lower(severity[2:]) AS capital,
     CASE WHEN incident_id % 2 = 0 THEN {TITLE} ELSE 'N/A' END AS or_na, lower(severity) AS lower,
     'VEH-' || printf('%05d', vehicle_id) AS vehicle, 'INC-' || printf('%08d', incident_id) AS incident,
     incident_type AS preview FROM incidents"""
@@ -581,7 +583,7 @@ N = {e: one("COUNT(*)", e) for e in VIEWS}
 ACTIVE = one("COUNT(DISTINCT vehicle_id)", "telemetry")
 COMPLETED = one("COUNT(*)", "deliveries WHERE status = 'Completed'")
 ON_ROUTE = one("COUNT(*)", "drivers WHERE status = 'OnRoute'")
-HIGH = one("COUNT(*)", "incidents WHERE severity = 'High'")
+HIGH = one("COUNT(*)", "incidents WHERE lower(severity) = 'high'")
 RATING = f"COALESCE({one(rnd(davg('rating'), 2), 'drivers')}, 0)"
 SPEED = f"COALESCE({one(rnd(davg('speed'), 2), 'telemetry WHERE speed > 0')}, 0)"
 FUEL = f"COALESCE({one(rnd(davg('fuel_level'), 2), 'telemetry')}, 0)"
@@ -701,7 +703,7 @@ def performance(extra: str, where: str, having: str, order: str) -> str:
 
 SQL["showcase_q1"] = performance(
     f", {rnd(dsum('t.speed') + ' * 0.001::DOUBLE', 2)} AS total_distance_km",
-    f"AND t.\"timestamp\" >= {MONTH} AND d.status = 'OnRoute'",
+    f"AND t.\"timestamp\" >= {LOOKBACK} AND d.status = 'OnRoute'",
     f"COUNT(t.vehicle_id) > 5 AND {davg('t.speed')} > 30",
     "driver_rating DESC, total_distance_km DESC, d.driver_id, v.vehicle_type",
 )
@@ -714,7 +716,7 @@ SQL["showcase_q2"] = f"""SELECT w.warehouse_id, w.name AS warehouse_name, w.city
     COUNT(DISTINCT d.delivery_id) AS total_deliveries, {rnd(davg('d.distance_km'), 2)} AS avg_distance_km,
     {rnd(davg(MINUTES), 2)} AS avg_delivery_time_minutes, {rnd(davg('d.package_weight'), 2)} AS avg_package_weight,
     {rnd(f"{davg('d.distance_km')} / {davg(MINUTES)} * 60", 2)} AS avg_speed_kmh {FROM_Q2}
-    WHERE d.status IN ('InProgress', 'Completed') AND d.pickup_time >= {MONTH} AND d.distance_km > 0
+    WHERE d.status IN ('InProgress', 'Completed') AND d.pickup_time >= {LOOKBACK} AND d.distance_km > 0
     GROUP BY w.warehouse_id, w.name, w.city, c.customer_type
     HAVING COUNT(DISTINCT d.delivery_id) >= 5 AND {davg('d.distance_km')} > 10"""
 SQL["showcase_q2_all"] = f"""SELECT w.warehouse_id, w.name AS warehouse_name, w.city, c.customer_type,
@@ -729,9 +731,9 @@ SQL["showcase_q3"] = f"""SELECT v.vehicle_type, {levels('d.experience_years', *E
     COUNT(*) FILTER (WHERE i.incident_type = 'harsh_braking') AS harsh_braking_count,
     COUNT(*) FILTER (WHERE i.incident_type = 'speeding') AS speeding_count,
     COUNT(*) FILTER (WHERE i.incident_type = 'harsh_acceleration') AS harsh_accel_count,
-    COUNT(*) FILTER (WHERE i.severity = 'High') AS high_severity_count,
-    {rnd("COUNT(*) FILTER (WHERE i.severity = 'High') * 100.0 / COUNT(*)", 2)} AS high_severity_percentage {FROM_Q3}
-    WHERE i."timestamp" >= {MONTH} GROUP BY 1, 2 HAVING COUNT(DISTINCT i.incident_id) >= 3"""
+    COUNT(*) FILTER (WHERE lower(i.severity) = 'high') AS high_severity_count,
+    {rnd("COUNT(*) FILTER (WHERE lower(i.severity) = 'high') * 100.0 / COUNT(*)", 2)} AS high_severity_percentage {FROM_Q3}
+    WHERE i."timestamp" >= {LOOKBACK} GROUP BY 1, 2 HAVING COUNT(DISTINCT i.incident_id) >= 3"""
 SQL["showcase_q3_all"] = f"""SELECT v.vehicle_type, {levels('d.experience_years', *EXP3)} AS experience_level,
     COUNT(DISTINCT i.incident_id) AS total_incidents {FROM_Q3} GROUP BY 1, 2"""
 SQL["showcase_q4"] = f"""SELECT c.city, c.customer_type, {levels('v.capacity_kg', *CAP)} AS vehicle_capacity_class,
@@ -740,7 +742,7 @@ SQL["showcase_q4"] = f"""SELECT c.city, c.customer_type, {levels('v.capacity_kg'
     MAX({MINUTES}) AS max_delivery_time, {rnd(davg('d.package_weight'), 2)} AS avg_package_weight,
     {rnd(davg('d.distance_km'), 2)} AS avg_distance FROM deliveries d JOIN customers c ON d.customer_id = c.customer_id
     JOIN vehicles v ON d.vehicle_id = v.vehicle_id JOIN drivers r ON d.driver_id = r.driver_id
-    WHERE d.status = 'Completed' AND d.pickup_time >= {MONTH} AND d.distance_km > 0 GROUP BY 1, 2, 3
+    WHERE d.status = 'Completed' AND d.pickup_time >= {LOOKBACK} AND d.distance_km > 0 GROUP BY 1, 2, 3
     HAVING COUNT(d.delivery_id) >= 2 AND {davg(MINUTES)} > 0"""
 SQL["showcase_q5"] = f"""SELECT v.make, v.vehicle_type, v.year, r.experience_years, w.city AS origin_city,
     COUNT(DISTINCT t.vehicle_id) AS unique_vehicles, COUNT(*) AS total_readings,
@@ -753,34 +755,35 @@ SQL["showcase_q5"] = f"""SELECT v.make, v.vehicle_type, v.year, r.experience_yea
     FROM telemetry t JOIN vehicles v ON t.vehicle_id = v.vehicle_id LEFT JOIN drivers r ON t.driver_id = r.driver_id
     LEFT JOIN deliveries d ON t.vehicle_id = d.vehicle_id AND CAST(t."timestamp" AS DATE) = CAST(d.pickup_time AS DATE)
     LEFT JOIN warehouses w ON d.warehouse_id = w.warehouse_id
-    WHERE t."timestamp" >= {MONTH} AND t.speed > 0 AND t.fuel_level > 0 GROUP BY 1, 2, 3, 4, 5
+    WHERE t."timestamp" >= {LOOKBACK} AND t.speed > 0 AND t.fuel_level > 0 GROUP BY 1, 2, 3, 4, 5
     HAVING COUNT(*) >= 5 AND {davg('t.fuel_level')} > 10 AND COUNT(DISTINCT t.vehicle_id) >= 1
     ORDER BY fuel_efficiency_index DESC NULLS LAST, avg_daily_fuel_consumption ASC NULLS LAST, v.make, v.vehicle_type,
         v.year, r.experience_years NULLS LAST, origin_city NULLS LAST LIMIT 50"""
 SQL["doc_q1"] = f"""SELECT d.name AS driver_name, d.rating AS driver_rating, v.vehicle_type,
     {rnd(davg('t.speed'), 4)} AS avg_speed, COUNT(i.incident_id) AS incident_count FROM telemetry t
     JOIN drivers d ON t.driver_id = d.driver_id JOIN vehicles v ON t.vehicle_id = v.vehicle_id LEFT JOIN {INTERVAL}
-    WHERE t."timestamp" > {MONTH} GROUP BY d.driver_id, d.name, d.rating, v.vehicle_type
+    WHERE t."timestamp" > {LOOKBACK} GROUP BY d.driver_id, d.name, d.rating, v.vehicle_type
     HAVING {davg('t.speed')} > 30 AND COUNT(i.incident_id) < 30 ORDER BY d.rating DESC, d.driver_id, v.vehicle_type LIMIT 10"""
 SQL["doc_q2"] = f"""SELECT w.city AS origin_city, c.city AS destination_city, {rnd(davg('d.distance_km'), 4)} AS avg_distance,
     {rnd(davg('d.delivery_minutes'), 4)} AS avg_delivery_time,
     {rnd('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS on_time_rate FROM deliveries d
     JOIN warehouses w ON d.warehouse_id = w.warehouse_id JOIN customers c ON d.customer_id = c.customer_id
-    WHERE d.pickup_time > {MONTH} GROUP BY 1, 2 HAVING COUNT(*) > 5"""
+    WHERE d.pickup_time > {LOOKBACK} GROUP BY 1, 2 HAVING COUNT(*) > 5"""
 SQL["doc_q3"] = f"""SELECT v.vehicle_type, i.incident_type, i.severity, COUNT(*) AS incident_count,
     {rnd(davg('i.speed_at_incident'), 4)} AS avg_speed_at_incident FROM incidents i
     JOIN vehicles v ON i.vehicle_id = v.vehicle_id JOIN drivers d ON i.driver_id = d.driver_id
-    WHERE i."timestamp" > {MONTH} AND lower(i.severity) IN ('medium', 'high') GROUP BY 1, 2, 3 HAVING COUNT(*) > 2"""
+    WHERE i."timestamp" > {LOOKBACK} AND lower(i.severity) IN ('medium', 'high') GROUP BY 1, 2, 3 HAVING COUNT(*) > 2"""
 SQL["doc_q4"] = f"""SELECT v.vehicle_type, t.road_type, {rnd(davg('t.fuel_level'), 4)} AS avg_fuel_level,
     {rnd(davg('t.speed'), 4)} AS avg_speed, COUNT(DISTINCT t.vehicle_id) AS vehicle_count FROM telemetry t
-    JOIN vehicles v ON t.vehicle_id = v.vehicle_id WHERE t."timestamp" > {MONTH} GROUP BY 1, 2
+    JOIN vehicles v ON t.vehicle_id = v.vehicle_id WHERE t."timestamp" > {LOOKBACK} GROUP BY 1, 2
     HAVING {davg('t.fuel_level')} < 55"""
 SQL["doc_q5"] = f"""SELECT {levels('r.experience_years', *EXP3S)} AS experience_level,
     COUNT(d.delivery_id) AS total_deliveries, {rnd(davg('d.delivery_minutes'), 4)} AS avg_delivery_time,
     {rnd('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS success_rate FROM deliveries d
-    JOIN drivers r ON d.driver_id = r.driver_id WHERE d.pickup_time > {MONTH} GROUP BY 1 HAVING COUNT(d.delivery_id) > 10"""
+    JOIN drivers r ON d.driver_id = r.driver_id WHERE d.pickup_time > {LOOKBACK} GROUP BY 1 HAVING COUNT(d.delivery_id) > 10"""
 SQL["incidents_formatted"] = f"""SELECT incident_id, strftime("timestamp", '%H:%M:%S') AS time,
-    CAST(vehicle_id AS VARCHAR) AS vehicle, {TITLE} AS type, severity FROM incidents
+    CAST(vehicle_id AS VARCHAR) AS vehicle, {TITLE} AS type,
+    upper(severity[1]) || lower(severity[2:]) AS severity FROM incidents
     ORDER BY "timestamp" DESC, incident_id DESC LIMIT 10"""
 
 # --- models --------------------------------------------------------------------------------------------------

@@ -25,8 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def month():
-    return reports.last_days(AS_OF, 30)
+def lookback():
+    """Twenty days, so that part of the month lies before it."""
+    return reports.last_days(AS_OF, 20)
 
 
 def hot_from():
@@ -398,7 +399,7 @@ def predicate_mix(s):
         & F.col("distance_km").between(5, 30)
         & (F.col("package_weight") > 0)
         & (F.col("warehouse_id") != 3)
-        & (F.col("pickup_time") >= month())
+        & (F.col("pickup_time") >= lookback())
     )
     return d.select("delivery_id", "status", "warehouse_id", "distance_km")
 
@@ -802,19 +803,19 @@ star("kpi_maintenance_age")(lambda s: kpis.maintenance_age_kpi(s, AS_OF))
 
 # --- reports ---------------------------------------------------------------------------------
 
-star("showcase_q1")(lambda s: reports.driver_performance(s, month(), 5, 30))
-star("showcase_q2")(lambda s: reports.route_efficiency(s, month()))
-star("showcase_q3")(lambda s: reports.incident_analysis(s, month()))
-star("showcase_q4")(lambda s: reports.delivery_spread(s, month(), 2))
-star("showcase_q5")(lambda s: reports.fuel_pattern(s, month(), 5, 10, 1))
+star("showcase_q1")(lambda s: reports.driver_performance(s, lookback(), 5, 30))
+star("showcase_q2")(lambda s: reports.route_efficiency(s, lookback()))
+star("showcase_q3")(lambda s: reports.incident_analysis(s, lookback()))
+star("showcase_q4")(lambda s: reports.delivery_spread(s, lookback(), 2))
+star("showcase_q5")(lambda s: reports.fuel_pattern(s, lookback(), 5, 10, 1))
 star("showcase_q1_all")(reports.driver_performance_all)
 star("showcase_q2_all")(reports.route_efficiency_all)
 star("showcase_q3_all")(reports.incident_analysis_all)
-star("doc_q1")(lambda s: reports.drivers_with_incidents(s, month(), 30, 30))
-star("doc_q2")(lambda s: reports.city_routes(s, month()))
-star("doc_q3")(lambda s: reports.incidents_by_severity(s, month()))
-star("doc_q4")(lambda s: reports.low_fuel_by_road(s, month(), 55))
-star("doc_q5")(lambda s: reports.delivery_by_experience(s, month()))
+star("doc_q1")(lambda s: reports.drivers_with_incidents(s, lookback(), 30, 30))
+star("doc_q2")(lambda s: reports.city_routes(s, lookback()))
+star("doc_q3")(lambda s: reports.incidents_by_severity(s, lookback()))
+star("doc_q4")(lambda s: reports.low_fuel_by_road(s, lookback(), 55))
+star("doc_q5")(lambda s: reports.delivery_by_experience(s, lookback()))
 star("incidents_formatted")(reports.incidents_formatted)
 
 

@@ -46,7 +46,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Views as SQL expressions over the stored columns.
 PROPS_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 SEGMENT = f"element_at(array('warehouse', 'highway', 'urban', 'customer'), {PROPS_NUMBER} % 4 + 1)"
-PICKUP = f"timestampadd(MINUTE, o_orderkey % 43200, TIMESTAMP '{EPOCH}')"
+PICKUP = f"timestampadd(MINUTE, o_orderkey * 37 % 43200, TIMESTAMP '{EPOCH}')"
+# Drivers change between readings of a vehicle; some keys and measures are missing.
+DRIVER = "CASE WHEN event_id % 499 <> 7 THEN user_id + event_id % 2 + 1 END"
+SPEED = "CASE WHEN event_id % 211 = 5 THEN 0D WHEN event_id % 307 <> 11 THEN value END"
 
 VEHICLES = (
     "p_partkey AS vehicle_id",
@@ -87,17 +90,17 @@ CUSTOMERS = (
 )
 TELEMETRY = (
     "event_id",
-    "user_id AS vehicle_id",
-    "user_id AS driver_id",
+    "CASE WHEN event_id % 997 <> 3 THEN user_id END AS vehicle_id",
+    f"{DRIVER} AS driver_id",
     "ts AS timestamp",
     "event_id % 1000 / 1000D + 24.8607D AS latitude",
     "event_id * 7 % 1000 / 1000D + 67.0011D AS longitude",
-    "value AS speed",
-    f"CAST({PROPS_NUMBER} AS DOUBLE) AS fuel_level",
+    f"{SPEED} AS speed",
+    f"CASE WHEN event_id % 401 <> 13 THEN CAST({PROPS_NUMBER} AS DOUBLE) END AS fuel_level",
     "CAST(event_id % 100 + 30 AS DOUBLE) AS engine_temp",
     "CAST(event_id % 5000 AS INT) AS rpm",
     "event_id * 0.5D + 1000D AS odometer",
-    "CASE WHEN value > 5 THEN 'Moving' ELSE 'Idle' END AS status",
+    f"CASE WHEN {SPEED} > 5 THEN 'Moving' ELSE 'Idle' END AS status",
     f"{SEGMENT} AS segment",
     f"CASE {SEGMENT} WHEN 'highway' THEN 'highway' ELSE 'urban' END AS road_type",
 )
@@ -106,7 +109,7 @@ DELIVERIES = (
     "o_custkey AS vehicle_id",
     "o_orderkey % 120 AS driver_id",
     "CAST(o_orderkey % 25 AS INT) AS warehouse_id",
-    "o_custkey AS customer_id",
+    "o_custkey + 1 AS customer_id",
     "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'InProgress' ELSE 'Cancelled' END AS status",
     f"{PICKUP} AS pickup_time",
     f"timestampadd(MINUTE, o_custkey % 91 + 30, {PICKUP}) AS estimated_delivery",
@@ -119,11 +122,11 @@ DELIVERIES = (
 INCIDENTS = (
     "event_id AS incident_id",
     "user_id AS vehicle_id",
-    "user_id AS driver_id",
+    f"{DRIVER} AS driver_id",
     "ts AS timestamp",
     "element_at(array('harsh_braking', 'speeding', 'harsh_acceleration', 'sharp_turn', 'idling_excessive'), "
     f"{PROPS_NUMBER} % 5 + 1) AS incident_type",
-    f"element_at(array('Low', 'Medium', 'High'), {PROPS_NUMBER} % 3 + 1) AS severity",
+    f"element_at(array('Low', 'Medium', 'High', 'low', 'medium', 'high'), {PROPS_NUMBER} % 6 + 1) AS severity",
     "value AS speed_at_incident",
 )
 

@@ -60,3 +60,24 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_filters_remove_rows_and_keep_rows(star):
+    """The rows that the reports filter on; otherwise a wrong comparison would not show."""
+    from pyspark.sql import functions as F
+
+    from haulmark.plans.registry import lookback
+
+    def splits(df, condition):
+        kept, rows = df.filter(condition).count(), df.count()
+        assert 0 < kept < rows, condition
+
+    splits(star.telemetry, F.col("timestamp") >= lookback())
+    splits(star.deliveries, F.col("pickup_time") >= lookback())
+    splits(star.incidents, F.col("timestamp") >= lookback())
+    splits(star.telemetry, F.col("speed") > 0)
+    splits(star.telemetry, F.col("vehicle_id") != F.col("driver_id"))
+    splits(star.incidents, F.col("severity") == F.lower("severity"))
+    for column in ("vehicle_id", "driver_id", "speed", "fuel_level"):
+        splits(star.telemetry, F.col(column).isNull())
+    assert star.deliveries.filter("vehicle_id = customer_id").count() == 0
