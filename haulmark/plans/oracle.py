@@ -6,8 +6,105 @@ double, which is what Spark's ROUND does, so both engines give equal digits.
 
 from __future__ import annotations
 
-from haulmark.operators import kpis, models
-from haulmark.operators.quality import FOREIGN_KEYS
+# Fixed values, written out here again so that a slip on one side shows.
+FOREIGN_KEYS = (
+    ("telemetry", "vehicle_id", "vehicles"),
+    ("telemetry", "driver_id", "drivers"),
+    ("deliveries", "vehicle_id", "vehicles"),
+    ("deliveries", "driver_id", "drivers"),
+    ("deliveries", "warehouse_id", "warehouses"),
+    ("deliveries", "customer_id", "customers"),
+    ("incidents", "vehicle_id", "vehicles"),
+    ("incidents", "driver_id", "drivers"),
+)
+KPI_BANDS = (
+    ("total_vehicles", None, "green"),
+    ("total_vehicles", 100.0, "#EAB839"),
+    ("total_vehicles", 400.0, "green"),
+    ("avg_speed_kmh", None, "red"),
+    ("avg_speed_kmh", 10.0, "orange"),
+    ("avg_speed_kmh", 30.0, "yellow"),
+    ("avg_speed_kmh", 50.0, "green"),
+    ("drivers_on_route", None, "#EAB839"),
+    ("drivers_on_route", 20.0, "yellow"),
+    ("drivers_on_route", 50.0, "green"),
+    ("total_incidents", None, "green"),
+    ("total_incidents", 10.0, "yellow"),
+    ("total_incidents", 50.0, "red"),
+    ("avg_fuel_level_percent", None, "red"),
+    ("avg_fuel_level_percent", 30.0, "yellow"),
+    ("avg_fuel_level_percent", 60.0, "green"),
+    ("delivery_success_rate_percent", None, "red"),
+    ("delivery_success_rate_percent", 50.0, "orange"),
+    ("delivery_success_rate_percent", 80.0, "yellow"),
+    ("delivery_success_rate_percent", 95.0, "green"),
+    ("avg_driver_rating", None, "red"),
+    ("avg_driver_rating", 3.0, "yellow"),
+    ("avg_driver_rating", 4.0, "green"),
+    ("total_deliveries", None, "blue"),
+)
+PANELS = (
+    (1, "Total Vehicles", "total_vehicles"),
+    (2, "Average Speed", "avg_speed_kmh"),
+    (3, "Drivers On Route", "drivers_on_route"),
+    (4, "Total Incidents", "total_incidents"),
+    (5, "Average Fuel Level", "avg_fuel_level_percent"),
+    (6, "Delivery Success Rate", "delivery_success_rate_percent"),
+    (7, "Average Driver Rating", "avg_driver_rating"),
+    (8, "Total Deliveries", "total_deliveries"),
+    (9, "Vehicles by Type", "vehicles_by_type"),
+    (10, "Fleet Utilization", "fleet_utilization_percent"),
+)
+SCORE_WEIGHTS = {
+    "rating": 0.5,
+    "incident_rate": -0.3,
+    "over_speed": -0.2,
+}
+RISK = {
+    "experience": {"Novice": 3.0, "Intermediate": 1.5, "Expert": 1.0, "Master": 0.6},
+    "weather": {"clear": 1.0, "rain": 2.0, "fog": 2.5, "dust": 1.8},
+    "traffic": {"light": 0.8, "moderate": 1.0, "heavy": 1.7, "congested": 2.2},
+    "time_of_day": {"morning_rush": 1.5, "midday": 1.0, "evening_rush": 1.6, "night": 1.3},
+    "behaviour": {"aggressive": 2.5, "cautious": 0.7},
+}
+SPEED_MEAN = {
+    "highway": 90.0,
+    "urban": 45.0,
+    "rural": 70.0,
+}
+SPEED_STD = {
+    "highway": 15.0,
+    "urban": 10.0,
+    "rural": 12.0,
+}
+SPEED_TIME = {
+    "morning_rush": 0.7,
+    "midday": 1.0,
+    "evening_rush": 0.65,
+    "night": 1.1,
+}
+SPEED_WEATHER = {
+    "clear": 1.0,
+    "rain": 0.8,
+    "fog": 0.6,
+    "dust": 0.7,
+}
+SPEED_DRIVER = {
+    "cautious": 0.85,
+    "normal": 1.0,
+    "aggressive": 1.25,
+}
+DRIVER_STATES = {
+    "normal": ((0.0, 5.0), (700.0, 100.0)),
+    "aggressive": ((15.0, 8.0), (500.0, 80.0)),
+    "tired": ((-5.0, 5.0), (1200.0, 200.0)),
+}
+ROUTE_MOVES = {
+    "warehouse": {"warehouse": 0.0, "highway": 0.7, "urban": 0.2, "customer": 0.1},
+    "highway": {"warehouse": 0.0, "highway": 0.6, "urban": 0.3, "customer": 0.1},
+    "urban": {"warehouse": 0.0, "highway": 0.2, "urban": 0.6, "customer": 0.2},
+    "customer": {"warehouse": 0.5, "highway": 0.3, "urban": 0.2, "customer": 0.0},
+}
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 HOT = "TIMESTAMP '2024-01-29 00:00:00'"
@@ -397,7 +494,7 @@ SQL["fuel_monotonic"] = f"""SELECT vehicle_id, COUNT(*) FILTER (WHERE fuel_level
     COUNT(*) FILTER (WHERE fuel_level = prev) AS flat, COUNT(*) FILTER (WHERE fuel_level > prev) AS refuels,
     COUNT(*) FILTER (WHERE fuel_level > prev) = 0 AS passed FROM {previous('fuel_level')} GROUP BY vehicle_id"""
 MOVES = "(CASE " + " ".join(
-    f"WHEN prev = '{a}' AND segment = '{b}' THEN {p}::DOUBLE" for (a, b), p in models.route_moves().items()
+    f"WHEN prev = '{a}' AND segment = '{b}' THEN {p}::DOUBLE" for a, row in ROUTE_MOVES.items() for b, p in row.items()
 ) + " END)"
 SQL["transition_matrix"] = f"""SELECT prev AS from_state, segment AS to_state, COUNT(*) AS moves,
     {rnd('COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY prev) AS DOUBLE)', 4)} AS observed,
@@ -642,11 +739,11 @@ SQL["kpi_snapshot"] = f"""SELECT kpi, value, {AS_OF} AS computed_at, TIMESTAMP '
     FROM ({long(FLEET)})"""
 SQL["kpi_lookup"] = f"""SELECT 'total_deliveries' AS kpi, CAST({N['deliveries']} AS DOUBLE) AS value,
     TIMESTAMP '2024-01-30 23:58:00' AS computed_at"""
-BANDS = ", ".join(f"('{k}', {'NULL' if lo is None else lo}::DOUBLE, '{b}')" for k, lo, b in kpis.KPI_BANDS)
+BANDS = ", ".join(f"('{k}', {'NULL' if lo is None else lo}::DOUBLE, '{b}')" for k, lo, b in KPI_BANDS)
 SQL["kpi_bands"] = f"""SELECT f.kpi, f.value, arg_max(b.band, COALESCE(b.low, '-infinity'::DOUBLE)) AS band
     FROM ({long(FLEET)}) f JOIN (VALUES {BANDS}) b(kpi, low, band) ON f.kpi = b.kpi AND (b.low IS NULL OR f.value >= b.low)
     GROUP BY f.kpi, f.value"""
-PANELS = ", ".join(f"({n}, '{t}', '{k}')" for n, t, k in kpis.PANELS)
+PANELS = ", ".join(f"({n}, '{t}', '{k}')" for n, t, k in PANELS)
 SQL["dashboard_feed"] = f"""SELECT p.panel, p.title, p.kpi, f.value, CASE WHEN p.panel = 9 THEN (SELECT
     string_agg(vehicle_type || '=' || n, ', ' ORDER BY vehicle_type) FROM
     (SELECT vehicle_type, COUNT(*) AS n FROM vehicles GROUP BY vehicle_type)) END AS detail
@@ -678,7 +775,7 @@ SQL["kpi_utilization_time"] = f"""SELECT vehicle_id, COUNT(*) AS readings, COUNT
     FROM telemetry GROUP BY vehicle_id"""
 Z = " + ".join(
     f"COALESCE(({t} - (SELECT {davg(t)} FROM terms)) / NULLIF((SELECT stddev_pop({t}) FROM terms), 0), 0) * {w}::DOUBLE"
-    for t, w in kpis.SCORE_WEIGHTS.items()
+    for t, w in SCORE_WEIGHTS.items()
 )
 SQL["kpi_driver_score"] = f"""WITH terms AS (SELECT d.driver_id, d.name, d.rating,
         COALESCE({rnd('CAST(i.n AS DOUBLE) / r.n * 1000', 6)}, 0) AS incident_rate,
@@ -797,7 +894,7 @@ CONDITIONS = f"""(SELECT *, (['clear', 'rain', 'fog', 'dust', 'snow'])[CAST(fuel
     {TIME_CLASS} AS time_of_day FROM telemetry)"""
 LEVEL = "CASE WHEN experience_years < 5 THEN 'Novice' WHEN experience_years < 10 THEN 'Intermediate' " \
     "WHEN experience_years < 15 THEN 'Expert' WHEN experience_years IS NOT NULL THEN 'Master' END"
-RATE = "0.1::DOUBLE * " + " * ".join(case_of(name, table, "1.0::DOUBLE") for name, table in models.RISK.items())
+RATE = "0.1::DOUBLE * " + " * ".join(case_of(name, table, "1.0::DOUBLE") for name, table in RISK.items())
 RISKS = f"""(SELECT *, {rnd(RATE, 6)} AS rate FROM (SELECT t.*, {LEVEL} AS experience FROM {CONDITIONS} t
     LEFT JOIN drivers d ON t.driver_id = d.driver_id))"""
 SQL["time_of_day"] = f"SELECT event_id, {TIME_CLASS} AS time_of_day FROM telemetry"
@@ -808,13 +905,13 @@ SQL["risk_expected"] = f"""SELECT driver_id, hours, expected, COALESCE(n, 0) AS
     GROUP BY driver_id) LEFT JOIN (SELECT driver_id, COUNT(*) AS n FROM incidents GROUP BY 1) USING (driver_id)"""
 MU = " * ".join(
     [
-        case_of("road_type", models.SPEED_MEAN, "45.0::DOUBLE"),
-        case_of("time_of_day", models.SPEED_TIME, "1.0::DOUBLE"),
-        case_of("weather", models.SPEED_WEATHER, "1.0::DOUBLE"),
-        case_of("behaviour", models.SPEED_DRIVER, "1.0::DOUBLE"),
+        case_of("road_type", SPEED_MEAN, "45.0::DOUBLE"),
+        case_of("time_of_day", SPEED_TIME, "1.0::DOUBLE"),
+        case_of("weather", SPEED_WEATHER, "1.0::DOUBLE"),
+        case_of("behaviour", SPEED_DRIVER, "1.0::DOUBLE"),
     ]
 )
-SIGMA = case_of("road_type", models.SPEED_STD, "10.0::DOUBLE") + \
+SIGMA = case_of("road_type", SPEED_STD, "10.0::DOUBLE") + \
     " * (CASE WHEN time_of_day IN ('morning_rush', 'evening_rush') THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END)"
 SQL["speed_zscore"] = f"""SELECT event_id, vehicle_id, speed, {rnd(MU, 4)} AS expected_speed, {rnd(SIGMA, 4)} AS expected_std,
     {rnd(f'(speed - {MU}) / ({SIGMA})', 4)} AS z_score FROM {CONDITIONS}"""
@@ -827,7 +924,7 @@ SQL["fuel_rate"] = f"""SELECT event_id, rpm2 AS rpm, CASE WHEN speed IS NOT NULL
 
 
 def log_density(state: str) -> str:
-    (m1, s1), (m2, s2) = models.DRIVER_STATES[state]
+    (m1, s1), (m2, s2) = DRIVER_STATES[state]
     return (
         f"(-0.5::DOUBLE * power((dev - {m1}::DOUBLE) / {s1}::DOUBLE, 2) - ln({s1}::DOUBLE)"
         f" - 0.5::DOUBLE * power((rea - {m2}::DOUBLE) / {s2}::DOUBLE, 2) - ln({s2}::DOUBLE))"
