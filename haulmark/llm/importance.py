@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm import blocks
-from haulmark.llm.tables import hash_sample, numbered, stored
+from haulmark.llm.tables import guarded, hash_sample, numbered, restored, stored
 
 LABELLED = 200_000
 UNIGRAMS, BIGRAMS = 1 << 20, 1 << 18
@@ -176,13 +176,12 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The kept documents, with their own columns."""
-    names = docs.columns
-    plain = docs.withColumns({"doc_id": F.col("doc_id").cast("bigint")})
+    plain = guarded(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     rows = stored(scored(plain, labels).withColumn("one", F.lit(1)), "importance-docs")
     found, k = ranked(rows.select("doc_id", "log_weight", "key", "one"), labels)
     last = found.filter(F.col("rank") == k - 1).select("at", "doc_id").first()
     if last is None:
-        return rows.select(names).limit(0)
+        return restored(rows.limit(0), docs)
     at = (-F.col("key") * F.lit(float(1 << 32))).cast("bigint")
     tie = (at == last["at"]) & (F.coalesce(F.col("doc_id"), F.lit(-(2**62))) <= (last["doc_id"] if last["doc_id"] is not None else -(2**62)))
-    return rows.filter((at < last["at"]) | tie).select(names)
+    return restored(rows.filter((at < last["at"]) | tie), docs)

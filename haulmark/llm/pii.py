@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import stored, texts_of
+from haulmark.llm.tables import guarded, restored, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
@@ -203,9 +203,9 @@ def redacted(docs: DataFrame) -> DataFrame:
     """Documents with every span replaced by its kind in brackets; rows without spans stay as they are."""
     places = spans(docs).select("doc_id", "h", F.array_sort(F.concat("base", "found")).alias("places"))
     places = places.filter(F.size("places") > 0).dropDuplicates(["doc_id", "h"])
-    rows = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = guarded(docs).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     places = places.select(F.col("doc_id").alias("place_id"), F.col("h").alias("place_h"), "places")
-    same = rows["doc_id"].cast("bigint").eqNullSafe(places["place_id"]) & (rows["h"] == places["place_h"])
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("place_id")) & (F.col("h") == F.col("place_h"))
     text, names = F.col("text"), F.array(*[F.lit(k.upper()) for k in (*KINDS, FOUND)])
 
     def cut(acc: Column, s: Column) -> Column:
@@ -219,11 +219,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         "places", start, cut, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text)))
     )
     joined = rows.join(places, same, "left").withColumn("clean", F.when(F.col("places").isNull(), text).otherwise(clean))
-    return joined.select(
-        *[
-            F.col("clean").alias("text") if c == "text"
-            else F.when(F.col("places").isNull(), F.col(c)).otherwise(F.char_length("clean").cast(rows.schema[c].dataType)).alias(c)
-            if c == "n_chars" else rows[c]
-            for c in docs.columns
-        ]
-    )
+    if "n_chars" in docs.columns:
+        size = F.char_length("clean").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(F.col("places").isNull(), F.col("n_chars")).otherwise(size))
+    return restored(joined.withColumn("text", F.col("clean")), docs)

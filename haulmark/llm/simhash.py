@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.components import roots
-from haulmark.llm.tables import hash_sample, order_key, stored, texts_of
+from haulmark.llm.tables import guarded, hash_sample, order_key, restored, stored, texts_of
 
 WORDS, BITS, SEED = 4, 4, 42
 SHARD = 1 << 14  # fingerprints that live in one shard
@@ -211,5 +211,5 @@ def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFr
     found = near_duplicates(docs, words, bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")).alias("first")
     kept = found.groupBy("root").agg(first).select(order_key("first.doc_id").alias("kept_id"), F.col("first.h").alias("kept_h"))
-    rows = docs.withColumns({"kept_id": order_key(), "kept_h": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return rows.join(kept, ["kept_id", "kept_h"]).dropDuplicates(["kept_id", "kept_h"]).select(docs.columns)
+    rows = guarded(docs).withColumns({"kept_id": order_key(), "kept_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return restored(rows.join(kept, ["kept_id", "kept_h"]).dropDuplicates(["kept_id", "kept_h"]), docs)

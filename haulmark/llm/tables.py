@@ -21,6 +21,16 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def guarded(docs: DataFrame) -> DataFrame:
+    """The documents with extra columns renamed, so that none clashes with a name that an operator uses."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in COLUMNS else f"extra{i}") for i, c in enumerate(docs.columns)])
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents, under their own names."""
+    return rows.select(*[F.col(c if c in COLUMNS else f"extra{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it: what follows survives lost executors and plans anew."""
     spark = df.sparkSession

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import stored, texts_of
+from haulmark.llm.tables import guarded, restored, stored, texts_of
 
 WINDOW, COVER = 8, 0.5
 NUMBER, UNIT, NAME = "0", "0u", "0n"
@@ -138,4 +138,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     leaked = stored(leaked.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")).distinct(), "leaked")
     h = F.xxhash64(F.coalesce("text", F.lit("")))
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("d")) & (F.col("leak_hash") == F.col("dh"))
-    return docs.withColumn("leak_hash", h).join(leaked, same, "left_anti").select(docs.columns)
+    return restored(guarded(docs).withColumn("leak_hash", h).join(leaked, same, "left_anti"), docs)

@@ -99,3 +99,15 @@ def test_run_equals_its_stages(spark):
     base = pii.base_spans
     assert docs.select(base(docs["text"]).alias("s")).filter("size(s) > 0").count() == 0
     assert len(texts["quality"]) > len(texts["near_duplicates"]) >= len(texts["decontamination"]) == len(texts["personal_data"])
+
+
+def test_extra_columns_come_back_as_they_were(spark):
+    text = ["a clean text with words", "write to a@b.co please", None]
+    names = ["h", "key", "places", "clean", "d", "dh", "one", "kept_h", "leak_hash", "noise", "rank", "bucket"]
+    kinds = "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(i, t, 1, *[f"{n}{i}" for n in names]) for i, t in enumerate(text)], kinds)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        for row in out.collect():
+            assert [row[n] for n in names] == [f"{n}{row['doc_id']}" for n in names], name
