@@ -109,6 +109,31 @@ def archive_cold(
     _append_missing(old, cold_root, "orc", codec, MONTH_PARTS, keys)
 
 
+def warm_to_cold(
+    spark: SparkSession, warm_root: str, cold_root: str, cutoff: Column, keys: list[str], codec: str = "zlib"
+) -> None:
+    """Cool old rows, verify that the cold tier holds them, and let them leave the warm tier.
+
+    The cutoff is noted beside the warm tier; ``warm_rows`` leaves out what lies
+    before it, from that moment on and all at once. Files of cooled days may
+    then be deleted at any time.
+    """
+    archive_cold(spark, warm_root, cold_root, cutoff, keys, codec)
+    due = archive_candidates(spark.read.parquet(warm_root), cutoff).drop("day")
+    if not _not_in(due, _same_span(spark.read.orc(cold_root), due, MONTH_PARTS), keys).isEmpty():
+        raise ValueError("rows older than the cutoff are missing in the cold tier; nothing removed")
+    spark.range(1).select(cutoff.alias("cooled_until")).write.mode("append").parquet(f"{warm_root}-cooled")
+
+
+def warm_rows(spark: SparkSession, warm_root: str) -> DataFrame:
+    """The warm tier without the rows that have moved to the cold one."""
+    warm, marks = spark.read.parquet(warm_root), stored(spark, f"{warm_root}-cooled", "parquet")
+    if marks is None:
+        return warm
+    until = marks.agg(F.max("cooled_until")).scalar()
+    return warm.filter(F.col(TIME) >= until)
+
+
 def warm_scan(spark: SparkSession, root: str, year: int, month: int, day: int | None = None) -> DataFrame:
     """One month or day of the warm tier; only its folders are read."""
     wanted = (F.col("year") == year) & (F.col("month") == month)

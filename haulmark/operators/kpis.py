@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,21 +103,30 @@ def kpi_realtime(s, as_of: str) -> DataFrame:
     return _long(row.drop("completed"))
 
 
+def _figures(s, entity: str, **figures: Column) -> DataFrame:
+    """Figures of one table, 0 for all if the table does not exist."""
+    try:
+        table = getattr(s, entity)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return s.spark.range(1).select(*[F.lit(0).alias(name) for name in figures])
+    return table.agg(*[c.alias(name) for name, c in figures.items()])
+
+
 def kpi_sql(s) -> DataFrame:
-    """9 totals and means over the registered views."""
-    speed = F.col("speed")
+    """9 totals and means over the registered views; a missing table counts 0."""
+    speed, rows = F.col("speed"), F.count("*")
     return _long(
         _one_row(
             [
-                s.vehicles.agg(F.count("*").alias("total_vehicles")),
-                s.drivers.agg(F.count("*").alias("total_drivers"), _mean(F.col("rating")).alias("avg_driver_rating")),
-                s.warehouses.agg(F.count("*").alias("total_warehouses")),
-                s.customers.agg(F.count("*").alias("total_customers")),
-                s.telemetry.agg(
-                    _mean(F.when(speed > 0, speed)).alias("avg_speed"), _mean(F.col("fuel_level")).alias("avg_fuel")
-                ),
-                s.deliveries.agg(F.count("*").alias("total_deliveries")),
-                s.incidents.agg(F.count("*").alias("total_incidents")),
+                _figures(s, "vehicles", total_vehicles=rows),
+                _figures(s, "drivers", total_drivers=rows, avg_driver_rating=_mean(F.col("rating"))),
+                _figures(s, "warehouses", total_warehouses=rows),
+                _figures(s, "customers", total_customers=rows),
+                _figures(s, "telemetry", avg_speed=_mean(F.when(speed > 0, speed)), avg_fuel=_mean(F.col("fuel_level"))),
+                _figures(s, "deliveries", total_deliveries=rows),
+                _figures(s, "incidents", total_incidents=rows),
             ]
         )
     )

@@ -132,9 +132,11 @@ def normality_check(df: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
-def incident_dispersion(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
+def incident_dispersion(df: DataFrame, key: str = "vehicle_id", keys: DataFrame | None = None) -> DataFrame:
     """Mean and variance of daily incident counts per key, days without incidents included.
 
+    With a dimension as ``keys``, its keys without any incident are reported too.
+
     Empty days add nothing to the sums, so only the length of the calendar
     enters as a number and no (key, day) grid is built.
     """
@@ -148,6 +150,9 @@ def incident_dispersion(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
         F.min("n").alias("low"),
         F.max("n").alias("max"),
     )
+    if keys is not None:
+        known = keys.select(key).distinct().withColumns({c: F.lit(0).cast("bigint") for c in sums.columns if c != key})
+        sums = sums.unionByName(known).groupBy(key).agg(*[F.max(c).alias(c) for c in sums.columns if c != key])
     days = F.col("days")
     mean = F.col("s") / days
     moments = sums.withColumn("days", calendar.scalar()).withColumns(

@@ -256,6 +256,12 @@ SQL["partition_stats"] = " UNION ALL ".join(
     COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls FROM telemetry WHERE "timestamp" < {HOT}"""
     for c in ("vehicle_id", "speed", "fuel_level")
 )
+SQL["tier_inventory_rows"] = f"""SELECT {PARTS}, {DAY_PART}, COUNT(*) AS rows FROM telemetry WHERE "timestamp" < {HOT}
+    GROUP BY ALL"""
+SQL["table_stats_rows"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, COUNT(*) AS rows FROM {t}"
+    for e, t in (("vehicles", "part"), ("drivers", "supplier"), ("customers", "customer"), ("telemetry", "events"), ("deliveries", "orders"))
+)
 SQL["tier_assign"] = f"""SELECT {TIER} AS tier, COUNT(*) AS rows, MIN("timestamp") AS oldest, MAX("timestamp") AS newest
     FROM telemetry GROUP BY 1"""
 
@@ -442,14 +448,15 @@ SQL["normality_check"] = f"""SELECT t.vehicle_id, {WITHIN[1]} BETWEEN 0.6 AND 0.
     GROUP BY vehicle_id) s ON t.vehicle_id IS NOT DISTINCT FROM s.vehicle_id WHERE t.speed IS NOT NULL GROUP BY t.vehicle_id"""
 SQL["incident_dispersion"] = f"""WITH days AS (SELECT UNNEST(generate_series(MIN(CAST("timestamp" AS DATE)),
         MAX(CAST("timestamp" AS DATE)), INTERVAL 1 DAY)) AS day FROM incidents),
-    grid AS (SELECT v.vehicle_id, d.day, COUNT(i.incident_id) AS n FROM (SELECT DISTINCT vehicle_id FROM incidents) v
+    grid AS (SELECT v.vehicle_id, d.day, COUNT(i.incident_id) AS n
+        FROM (SELECT vehicle_id FROM incidents UNION SELECT vehicle_id FROM vehicles) v
         CROSS JOIN days d LEFT JOIN incidents i ON i.vehicle_id IS NOT DISTINCT FROM v.vehicle_id AND CAST(i."timestamp" AS DATE) = d.day
         GROUP BY 1, 2),
     moments AS (SELECT vehicle_id, CAST(COUNT(*) AS INTEGER) AS days, avg(n) AS m, var_pop(n) AS v, MIN(n) AS lo, MAX(n) AS hi
         FROM grid GROUP BY vehicle_id)
     SELECT vehicle_id, days, {rnd('m', 3)} AS mean, {rnd('v', 3)} AS variance,
-        {rnd('v / m', 3)} AS variance_to_mean_ratio, {rnd('sqrt(v)', 3)} AS std, lo AS min, hi AS max,
-        {rnd('v / m', 8)} BETWEEN 0.8 AND 1.2 AS follows_poisson FROM moments"""
+        {rnd('COALESCE(v / NULLIF(m, 0), 0)', 3)} AS variance_to_mean_ratio, {rnd('sqrt(v)', 3)} AS std, lo AS min, hi AS max,
+        {rnd('COALESCE(v / NULLIF(m, 0), 0)', 8)} BETWEEN 0.8 AND 1.2 AS follows_poisson FROM moments"""
 SQL["state_share"] = f"""SELECT vehicle_id, segment, COUNT(*) AS rows,
     {rnd('COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (PARTITION BY vehicle_id)', 2)} AS share_percent
     FROM telemetry GROUP BY vehicle_id, segment"""
@@ -564,6 +571,14 @@ VALID = "vehicle_id IS NOT NULL AND speed BETWEEN 0 AND 200 AND fuel_level BETWE
 SQL["stream_multi"] = f"""SELECT 'valid' AS output, COUNT(*) AS rows FROM telemetry WHERE {VALID}
     UNION ALL SELECT 'anomalies', COUNT(*) FROM telemetry WHERE {VALID} AND {ANOMALY}
     UNION ALL SELECT 'incidents', COUNT(*) FROM incidents"""
+SQL["stream_pipeline"] = f"""SELECT 'telemetry' AS output, COUNT(*) AS rows FROM telemetry
+    UNION ALL SELECT 'windows', COUNT(*) FROM (SELECT DISTINCT window_start, vehicle_id FROM {SLIDING} WHERE {VALID})
+    UNION ALL SELECT 'window_records', COUNT(*) FROM {SLIDING} WHERE {VALID}
+    UNION ALL SELECT 'anomalies', COUNT(*) FROM telemetry WHERE {VALID} AND {ANOMALY}
+    UNION ALL SELECT 'deliveries', COUNT(*) FROM deliveries
+        WHERE delivery_id IS NOT NULL AND vehicle_id IS NOT NULL AND status IS NOT NULL
+    UNION ALL SELECT 'incidents', COUNT(*) FROM incidents
+        WHERE incident_id IS NOT NULL AND vehicle_id IS NOT NULL AND incident_type IS NOT NULL"""
 SQL["stream_dedup"] = "SELECT event_id, ts, user_id, value FROM events"
 SQL["stream_progress"] = """SELECT 'telemetry' AS query, COUNT(*) AS input_rows, 0::BIGINT AS late_rows FROM events"""
 FRESH = "COUNT(*) FILTER (WHERE \"timestamp\" >= TIMESTAMP '2024-01-30 23:53:00')"

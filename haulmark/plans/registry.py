@@ -185,8 +185,9 @@ def warm_scan(spark, sf_dir):
 def tiered_read(spark, sf_dir):
     warm_root = f"{run_dir(spark, 'warm')}/telemetry"
     kept = archive.hot_to_warm(_hot(spark, sf_dir), warm_root, hot_from(), ARCHIVE_KEYS)
-    cold = spark.read.orc(_cooled(spark, warm_root))
-    return archive.tiered_read(kept, spark.read.parquet(warm_root).filter(F.col("timestamp") >= warm_from()), cold)
+    cold_root = f"{run_dir(spark, 'cold')}/telemetry"
+    archive.warm_to_cold(spark, warm_root, cold_root, warm_from(), ARCHIVE_KEYS)
+    return archive.tiered_read(kept, archive.warm_rows(spark, warm_root), spark.read.orc(cold_root))
 
 
 @star("archive_candidates")
@@ -216,6 +217,12 @@ def tier_inventory(spark, sf_dir):
     return archive.tier_inventory(spark.read.parquet(_archived(spark, sf_dir)), archive.DAY_PARTS)
 
 
+@query("tier_inventory_rows")
+def tier_inventory_rows(spark, sf_dir):
+    """The part of the inventory that does not depend on the files."""
+    return tier_inventory(spark, sf_dir).select("year", "month", "day", "rows")
+
+
 @query("partition_stats")
 def partition_stats(spark, sf_dir):
     return archive.column_stats(spark.read.parquet(_archived(spark, sf_dir)), ["vehicle_id", "speed", "fuel_level"])
@@ -576,7 +583,7 @@ def normality_check(s):
 
 @star("incident_dispersion")
 def incident_dispersion(s):
-    return statistics.incident_dispersion(s.incidents)
+    return statistics.incident_dispersion(s.incidents, keys=s.vehicles)
 
 
 @star("state_share")
@@ -590,6 +597,11 @@ def table_stats(spark, sf_dir):
     return statistics.table_stats({e: read_table(spark, sf_dir, t) for e, t in stored.items()})
 
 
+@query("table_stats_rows")
+def table_stats_rows(spark, sf_dir):
+    return table_stats(spark, sf_dir).select("entity", "rows")
+
+
 # --- ordered rows ----------------------------------------------------------------
 
 star("route_distance")(lambda s: ordered.route_distance(s.telemetry))
@@ -730,6 +742,7 @@ QUERIES["stream_late_data"] = jobs.late_data
 QUERIES["stream_append_vs_update"] = jobs.append_vs_update
 QUERIES["stream_anomalies"] = jobs.stream_anomalies
 QUERIES["stream_multi"] = jobs.several_outputs
+QUERIES["stream_pipeline"] = jobs.complete_pipeline
 QUERIES["stream_dedup"] = jobs.dedup_stream
 QUERIES["stream_progress"] = jobs.progress
 

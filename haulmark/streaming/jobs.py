@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.timing import iso_text, parse_ts
 from haulmark.operators.checks import anomalies, validate
+from haulmark.operators.joins import union_all
 from haulmark.operators.rollups import sliding_rollup
 from haulmark.schemas import schema_for
 from haulmark.session import run_dir
 from haulmark.sources.envelopes import decode, encode_envelope, publish, read_stream
-from haulmark.sources.tables import TELEMETRY, load, read_table, table_schema
+from haulmark.sources.tables import DELIVERIES, INCIDENTS, TELEMETRY, load, read_table, table_schema
 from haulmark.streaming import sinks
 
 
@@ -196,6 +197,41 @@ def several_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def complete_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five streams side by side: raw telemetry, its rollup, anomalies, valid deliveries and valid incidents.
+
+    Tables with a key are upserted; every window is upserted as it grows.
+    """
+    root = run_dir(spark, "complete")
+    raw = telemetry_stream(spark, sf_dir).select(
+        "event_id", "vehicle_id", "driver_id", "timestamp", "speed", "fuel_level", "engine_temp"
+    )
+    valid = validate(raw, "telemetry")
+    windows = sliding_rollup(valid).withColumn("seen", F.col("record_count"))
+    orders = f"{sf_dir}/orders.parquet"
+    deliveries = spark.readStream.schema(table_schema(spark, orders)).parquet(f"{sf_dir}/order[s].parquet").selectExpr(*DELIVERIES)
+    incidents = event_stream(spark, sf_dir).filter("event_type = 'error'").selectExpr(*INCIDENTS)
+    checkpoints = f"{root}/checkpoints"
+    keyed = {  # stream, keys, order, output mode
+        "telemetry": (raw, ["event_id"], ["timestamp"], "append"),
+        "windows": (windows, ["window_start", "window_end", "vehicle_id"], ["seen"], "update"),
+        "deliveries": (validate(deliveries, "delivery"), ["delivery_id"], ["pickup_time"], "append"),
+        "incidents": (validate(incidents, "incident"), ["incident_id"], ["timestamp"], "append"),
+    }
+    running = [
+        sinks.per_batch(df, sinks.upsert_batch(f"{root}/{name}", keys, order), name, checkpoints, mode=mode)
+        for name, (df, keys, order, mode) in keyed.items()
+    ]
+    found = anomalies(valid)
+    running.append(sinks.start(found, "anomalies", f"{root}/anomalies", checkpoints))
+    sinks.await_all(*running)
+    out = {name: sinks.read_upserted(spark, f"{root}/{name}", keys) for name, (_, keys, _, _) in keyed.items()}
+    out["anomalies"] = _read(spark, found, f"{root}/anomalies")
+    rows = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("output"), "rows") for name, df in out.items()]
+    records = out["windows"].agg(F.sum("record_count").alias("rows")).select(F.lit("window_records").alias("output"), "rows")
+    return union_all([*rows, records])
+
+
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of which a third is sent a second time, each kept once."""
     root = run_dir(spark, "dedup")

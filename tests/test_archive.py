@@ -122,3 +122,14 @@ def test_missing_keys_and_corrected_rows(spark, tmp_path):
 def test_a_row_without_time_is_hot(spark):
     df = spark.createDataFrame([(None,)], "timestamp timestamp")
     assert df.select(checks.tier(F.col("timestamp"), at(CUT), at(CUT))).first()[0] == "hot"
+
+
+def test_cooled_rows_leave_the_warm_tier(spark, tmp_path):
+    warm, cold = str(tmp_path / "warm"), str(tmp_path / "cold")
+    df = telemetry(spark, range(16))
+    archive.archive_warm(df, warm, at("2024-03-01 00:00:00"), KEYS)
+    assert ids(archive.warm_rows(spark, warm)) == list(range(16))
+    for cut, left in ((CUT, 10), ("2024-02-01 00:00:00", 10), ("2024-02-03 00:00:00", 12)):
+        archive.warm_to_cold(spark, warm, cold, at(cut), KEYS)
+        assert ids(archive.warm_rows(spark, warm)) == list(range(left, 16))
+        assert ids(spark.read.orc(cold)) == list(range(left))

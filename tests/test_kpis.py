@@ -64,3 +64,11 @@ def test_unmatched_drivers_can_be_named(star):
 
 def test_default_limits_filter_small_data(star):
     assert reports.driver_performance(star, reports.last_hours("2024-01-31 00:00:00", 24)).count() == 0
+
+
+def test_a_missing_table_counts_zero(spark, tmp_path):
+    from haulmark.operators import kpis
+    from haulmark.sources.tables import Star
+
+    found = {r["kpi"]: r["value"] for r in kpis.kpi_sql(Star(spark, str(tmp_path))).collect()}
+    assert len(found) == 9 and set(found.values()) == {0.0}
