@@ -34,6 +34,13 @@ DRIVER_STATES = {
     "tired": ((-5.0, 5.0), (1200.0, 200.0)),
 }
 
+# Configured changes of the driver state.
+DRIVER_MOVES = {
+    "normal": {"normal": 0.85, "aggressive": 0.1, "tired": 0.05},
+    "aggressive": {"normal": 0.3, "aggressive": 0.6, "tired": 0.1},
+    "tired": {"normal": 0.2, "aggressive": 0.05, "tired": 0.75},
+}
+
 # Configured route changes.
 ROUTE_MOVES = {
     "warehouse": {"warehouse": 0.0, "highway": 0.7, "urban": 0.2, "customer": 0.1},
@@ -46,8 +53,12 @@ ROUTE_MOVES = {
 RISK_EXPERIENCE = ((5, "Novice"), (10, "Intermediate"), (15, "Expert"), (None, "Master"))
 
 
+def pairs_of(moves: dict[str, dict[str, float]]) -> dict[tuple[str, str], float]:
+    return {(a, b): p for a, row in moves.items() for b, p in row.items()}
+
+
 def route_moves() -> dict[tuple[str, str], float]:
-    return {(a, b): p for a, row in ROUTE_MOVES.items() for b, p in row.items()}
+    return pairs_of(ROUTE_MOVES)
 
 
 def conditions(readings: DataFrame) -> DataFrame:

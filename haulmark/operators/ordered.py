@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.geo import haversine_km
 from haulmark.functions.numeric import ratio, sample_corr, steady_avg, steady_sum
+from haulmark.operators.joins import join_same
 from haulmark.functions.timing import slice_of
 
 HOUR = 3600
@@ -50,6 +51,29 @@ def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id",
     return with_previous(df, key, ["timestamp", "event_id"], columns, slice_of(F.col("timestamp"), seconds))
 
 
+def hourly_aggregations(readings: DataFrame, incidents: DataFrame, key: str = "vehicle_id") -> DataFrame:
+    """Per vehicle and hour: mean and top speed, distance, fuel used and incidents.
+
+    Distance and fuel belong to the hour of the later reading; a rise of the
+    fuel level is a refuel and uses none.
+    """
+    columns = ["latitude", "longitude", "fuel_level"]
+    steps = previous_reading(readings.select(key, "timestamp", "event_id", "speed", *columns), columns, key)
+    km = haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))
+    used = F.greatest(F.col("prev_fuel_level") - F.col("fuel_level"), F.lit(0.0))
+    used = F.when(F.col("prev_fuel_level").isNotNull() & F.col("fuel_level").isNotNull(), used)
+    hour = F.date_trunc("hour", "timestamp").alias("time_bucket")
+    hours = steps.groupBy(key, hour).agg(
+        F.round(steady_avg(F.col("speed")), 2).alias("avg_speed"),
+        F.round(F.max("speed"), 2).alias("max_speed"),
+        F.coalesce(F.round(steady_sum(km), 3), F.lit(0.0)).alias("distance_km"),
+        F.coalesce(F.round(steady_sum(used), 2), F.lit(0.0)).alias("fuel_used"),
+    )
+    seen = incidents.groupBy(key, hour).agg(F.count("*").alias("n"))
+    joined = join_same(hours, seen, [key, "time_bucket"], "left")
+    return joined.withColumn("incident_count", F.coalesce("n", F.lit(0))).drop("n")
+
+
 def route_distance(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Kilometres along the GPS points of each vehicle."""
     place = ["latitude", "longitude"]

@@ -957,6 +957,32 @@ SQL["driver_state"] = f"""SELECT event_id, p_normal, p_aggressive, p_tired,
     SELECT event_id, speed - 50 AS dev, fuel_level * 12 + 300 AS rea FROM telemetry))))"""
 
 
+DRIVER_MOVES = {
+    "normal": {"normal": 0.85, "aggressive": 0.1, "tired": 0.05},
+    "aggressive": {"normal": 0.3, "aggressive": 0.6, "tired": 0.1},
+    "tired": {"normal": 0.2, "aggressive": 0.05, "tired": 0.75},
+}
+CHANGES = "(CASE " + " ".join(
+    f"WHEN prev = '{a}' AND state = '{b}' THEN {p}::DOUBLE" for a, row in DRIVER_MOVES.items() for b, p in row.items()
+) + " END)"
+SQL["driver_transitions"] = f"""SELECT prev AS from_state, state AS to_state, COUNT(*) AS moves,
+    {rnd('COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY prev) AS DOUBLE)', 4)} AS observed, ANY_VALUE({CHANGES}) AS configured
+    FROM (SELECT state, lag(state) OVER (PARTITION BY driver_id ORDER BY "timestamp", event_id) AS prev
+          FROM ({SQL['driver_state']}) JOIN telemetry USING (event_id) WHERE state IS NOT NULL)
+    WHERE prev IS NOT NULL GROUP BY prev, state"""
+SQL["hourly_aggregations"] = f"""SELECT h.*, COALESCE(i.n, 0) AS incident_count FROM (
+    SELECT vehicle_id, date_trunc('hour', "timestamp") AS time_bucket, {rnd(davg('speed'), 2)} AS avg_speed,
+        {rnd('MAX(speed)', 2)} AS max_speed, COALESCE({rnd(dsum('km'), 3)}, 0.0) AS distance_km,
+        COALESCE({rnd(dsum('used'), 2)}, 0.0) AS fuel_used
+    FROM (SELECT *, {haversine('plat', 'plon', 'latitude', 'longitude')} AS km,
+              CASE WHEN pfuel IS NOT NULL AND fuel_level IS NOT NULL THEN GREATEST(pfuel - fuel_level, 0) END AS used
+          FROM (SELECT *, lag(latitude) {BY_TIME} AS plat, lag(longitude) {BY_TIME} AS plon,
+                    lag(fuel_level) {BY_TIME} AS pfuel FROM telemetry))
+    GROUP BY ALL) h
+    LEFT JOIN (SELECT vehicle_id, date_trunc('hour', "timestamp") AS time_bucket, COUNT(*) AS n FROM incidents GROUP BY ALL) i
+    ON i.vehicle_id IS NOT DISTINCT FROM h.vehicle_id AND i.time_bucket = h.time_bucket"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in SQL.items():

@@ -866,14 +866,28 @@ def fuel_rate(s):
     )
 
 
-@star("driver_state")
-def driver_state(s):
+def _driver_states(s):
     observed = s.telemetry.select(
-        "event_id",
+        "event_id", "driver_id", "timestamp",
         (F.col("speed") - 50.0).alias("speed_deviation"),
         (F.col("fuel_level") * 12 + 300.0).alias("reaction_time_ms"),
-    )
-    return models.driver_state(observed).select("event_id", "p_normal", "p_aggressive", "p_tired", "state")
+    )
+    return models.driver_state(observed)
+
+
+@star("driver_state")
+def driver_state(s):
+    return _driver_states(s).select("event_id", "p_normal", "p_aggressive", "p_tired", "state")
+
+
+@star("driver_transitions")
+def driver_transitions(s):
+    """Changes of the inferred state from reading to reading of a driver, beside the configured ones."""
+    states = _driver_states(s).filter(F.col("state").isNotNull())
+    return ordered.transition_matrix(states, "state", models.pairs_of(models.DRIVER_MOVES), key="driver_id")
+
+
+star("hourly_aggregations")(lambda s: ordered.hourly_aggregations(s.telemetry, s.incidents))
 
 
 def queries() -> dict[str, Query]:
