@@ -3,12 +3,15 @@
 Two generative models over hashed n-grams are counted: one on the target, the
 documents labelled good and not toxic, one on the raw text, all documents. The
 log importance of a document is the sum over its n-grams of the log ratio of
-the two; an n-gram counts only if its two rates differ by more than chance
-(SIGMAS) and by more than EFFECT, and never more than 0: a document can't make up for bad passages by
+the two. The models count an n-gram once per document, so that a repeated word
+is no evidence against others. It counts only if its two rates differ by more than
+chance (SIGMAS) and by more than EFFECT, and if the labelled documents outside
+the target hold it more often than those inside, so that the words of a much
+copied document are no evidence either. It never counts more than 0: a document can't make up for bad passages by
 more good text. Gumbel noise is added and the top k are kept. k is the number of
 documents that score at least what all but LOSS of the labelled good ones do.
 
-Only the ids of good documents are a sample, of about LABELLED rows at most; both
+Only the ids of labelled documents are a sample, of about LABELLED rows at most; both
 models and all scores cover every document. Counts leave a task as SLICES
 arrays of fixed size and are added up slice by slice.
 
@@ -33,11 +36,12 @@ LABELLED = 200_000
 UNIGRAMS, BIGRAMS = 1 << 20, 1 << 18
 BUCKETS = UNIGRAMS + BIGRAMS
 SLICES = 320
-SIGMAS, LOSS = 5.0, 0.005
-EFFECT = np.log(2)  # the rates of an n-gram that counts differ by half at least
+SIGMAS, LOSS = 2.5, 0.002
+EFFECT = np.log(4)  # the target rate of an n-gram that counts is a quarter of the raw rate at most
 SMOOTH = 0.5
 RUN = 4
 SEED = 7
+MODELS = ("raw", "target", "other")  # all documents, good labelled ones, other labelled ones
 SLICE_BYTES = BUCKETS // SLICES
 
 # bytes: 0 blank, 1 part of a word, 2 mark
@@ -49,7 +53,7 @@ LOWER[0x41:0x5B] += 32
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of every word or run of marks, and of every pair of neighbours.
+    """Row and bucket of every word or run of marks, and of every pair of neighbouring words.
 
     The last pair of RUN equal tokens in a row goes to one bucket, whatever the token is.
     """
@@ -71,64 +75,80 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     for back in range(1, RUN - 1):
         run[back:] &= equal[:-back]
         run[:back] = False
-    pair = np.where(run, np.uint64(0), pair)[same_row]
+    word = kind[starts] == 1
+    paired = run | (same_row & word[1:] & word[:-1])
+    pair = np.where(run, np.uint64(0), pair)[paired]
     one = (hashes % np.uint64(UNIGRAMS)).astype(np.int64)
     two = (pair % np.uint64(BIGRAMS)).astype(np.int64) + UNIGRAMS
-    return np.concatenate([row, row[1:][same_row]]), np.concatenate([one, two])
+    return np.concatenate([row, row[1:][paired]]), np.concatenate([one, two])
 
 
-def good_ids(labels: DataFrame) -> np.ndarray:
-    """Sorted ids of about LABELLED labelled documents that are good and not toxic."""
-    good = labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
-    picked = hash_sample(good.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "doc_id", LABELLED)
-    return np.sort(picked.toArrow().column("doc_id").to_numpy().astype(np.int64))
+def once(rows: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each bucket of a row once."""
+    return np.divmod(np.unique(rows * BUCKETS + buckets), BUCKETS)
 
 
-def log_ratios(docs: DataFrame, good: np.ndarray) -> np.ndarray:
+def good_label() -> Column:
+    return F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
+
+
+def labelled_ids(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids of about LABELLED labelled documents: those that are good and not toxic, and the others."""
+    rows = labels.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), good_label().alias("good"))
+    picked = hash_sample(rows.distinct(), "doc_id", LABELLED).toArrow()
+    ids, good = picked.column("doc_id").to_numpy().astype(np.int64), picked.column("good").to_numpy().astype(bool)
+    return np.sort(ids[good]), np.sort(ids[~good])
+
+
+def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
     """Per bucket the capped log ratio of target to raw rate; 0 without evidence."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros((len(MODELS), BUCKETS), np.int64)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            target = np.isin(ids, good)
+            target, other = np.isin(ids, good), np.isin(ids, bad)
             for row, _, data, offsets in blocks.blocks(batch.column("text")):
-                rows, bucket = ngrams(data, offsets)
+                rows, bucket = once(*ngrams(data, offsets))
                 counts[0] += np.bincount(bucket, minlength=BUCKETS)
                 counts[1] += np.bincount(bucket[target[row + rows]], minlength=BUCKETS)
+                counts[2] += np.bincount(bucket[other[row + rows]], minlength=BUCKETS)
         if counts.any():
-            parts = counts.reshape(2, SLICES, -1)
+            parts = counts.reshape(len(MODELS), SLICES, -1)
             kind = np.uint32 if parts.max() < 2**32 else np.uint64
             packed = [[part.astype(kind).tobytes() for part in side] for side in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(SLICES)), pa.array([np.dtype(kind).itemsize] * SLICES), *[pa.array(p, pa.binary()) for p in packed]],
-                ["slice", "width", "raw", "target"],
+                ["slice", "width", *MODELS],
             )
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, SLICE_BYTES), np.int64)
+        total = np.zeros((len(MODELS), SLICE_BYTES), np.int64)
         for batch in batches:
             for row in batch.to_pylist():
                 kind = np.uint32 if row["width"] == 4 else np.uint64
-                total += np.stack([np.frombuffer(row[c], kind).astype(np.int64) for c in ("raw", "target")])
+                total += np.stack([np.frombuffer(row[c], kind).astype(np.int64) for c in MODELS])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()]), *[pa.array([t.tobytes()], pa.binary()) for t in total]], ["slice", "raw", "target"]
+            [pa.array([key[0].as_py()]), *[pa.array([t.tobytes()], pa.binary()) for t in total]], ["slice", *MODELS]
         )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    local = texts.mapInArrow(count, "slice bigint, width bigint, raw binary, target binary")
-    summed = local.groupBy("slice").applyInArrow(add, "slice bigint, raw binary, target binary")
-    raw, target = np.zeros((SLICES, SLICE_BYTES)), np.zeros((SLICES, SLICE_BYTES))
+    kinds = ", ".join(f"{m} binary" for m in MODELS)
+    local = texts.mapInArrow(count, f"slice bigint, width bigint, {kinds}")
+    summed = local.groupBy("slice").applyInArrow(add, f"slice bigint, {kinds}")
+    counts = np.zeros((len(MODELS), SLICES, SLICE_BYTES))
     for row in summed.toArrow().to_pylist():  # BUCKETS counters, whatever the input
-        raw[row["slice"]], target[row["slice"]] = (np.frombuffer(row[c], np.int64) for c in ("raw", "target"))
-    raw, target = raw.ravel(), target.ravel()
+        counts[:, row["slice"]] = [np.frombuffer(row[m], np.int64) for m in MODELS]
+    raw, target, other = counts.reshape(len(MODELS), -1)
     out = np.zeros(BUCKETS)
     for part in (slice(0, UNIGRAMS), slice(UNIGRAMS, BUCKETS)):
-        r, t = raw[part], target[part]
+        r, t, b = raw[part], target[part], other[part]
         if t.sum():
             expected = r * (t.sum() / r.sum())
             ratio = np.log((t + SMOOTH) / t.sum()) - np.log((r + SMOOTH) / r.sum())
             sure = (expected - t > SIGMAS * np.sqrt(expected + 1)) & (ratio < -EFFECT)
+            by_chance = (t + b) * (b.sum() / (t.sum() + b.sum()))
+            sure &= b - by_chance > SIGMAS * np.sqrt(by_chance + 1)
             out[part] = np.where(sure, ratio, 0)
     return out.astype(np.float32)
 
@@ -142,7 +162,7 @@ def gumbel() -> Column:
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with log_weight and key (log_weight with Gumbel noise)."""
     spark = docs.sparkSession
-    ratios = spark.sparkContext.broadcast(log_ratios(docs, good_ids(labels)))
+    ratios = spark.sparkContext.broadcast(log_ratios(docs, *labelled_ids(labels)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +179,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def ranked(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     """Stored scores with their rank by key, and k."""
-    good = labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0)).select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    good = labels.filter(good_label()).select(F.col("doc_id").cast("bigint").alias("doc_id"))
     floor = rows.join(good.distinct(), "doc_id").agg(F.expr(f"approx_percentile(log_weight, {LOSS}, 100000)")).first()[0]
     k = rows.count() if floor is None else rows.filter(F.col("log_weight") >= floor).count()
     order = (-F.col("key") * F.lit(float(1 << 32))).cast("bigint")

@@ -51,10 +51,12 @@ def test_ngrams_equal_a_plain_count():
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0, *[len(t.encode()) for t in texts]])
     row, bucket = importance.ngrams(data, offsets)
-    # words and marks, and their pairs: The|the|,|a_b|!!|x  -  a*5  -  é|-|é|é
-    assert np.bincount(row, minlength=4).tolist() == [6 + 5, 0, 5 + 4, 4 + 3]
+    # words and marks, and pairs of words: The the , a_b !! x  -  a*5  -  é - é é
+    assert np.bincount(row, minlength=4).tolist() == [6 + 1, 0, 5 + 4, 4 + 1]
     assert bucket[:2].tolist() == [bucket[0]] * 2 and bucket.max() < importance.BUCKETS
     assert (bucket[row == 2] == importance.UNIGRAMS).sum() == 2  # the pairs that end runs of four
+    row, bucket = importance.once(row, bucket)
+    assert np.bincount(row, minlength=4).tolist() == [5 + 1, 0, 1 + 2, 2 + 1]
 
 
 def test_classifier_hard_rows(spark, frame):
