@@ -3,8 +3,8 @@
 Two generative models over hashed n-grams are counted: one on the target, the
 documents labelled good and not toxic, one on the raw text, all documents. The
 log importance of a document is the sum over its n-grams of the log ratio of
-the two. The models count an n-gram once per document, so that a repeated word
-is no evidence against others. It counts only if its two rates differ by more than
+the two. Within a document, the models count an n-gram once more for each
+doubling, so that a repeated word is little evidence against others. It counts only if its two rates differ by more than
 chance (SIGMAS) and by more than EFFECT, and if the labelled documents outside
 the target hold it more often than those inside, so that the words of a much
 copied document are no evidence either. It never counts more than 0: a document can't make up for bad passages by
@@ -83,9 +83,10 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([row, row[1:][paired]]), np.concatenate([one, two])
 
 
-def once(rows: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each bucket of a row once."""
-    return np.divmod(np.unique(rows * BUCKETS + buckets), BUCKETS)
+def damped(rows: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each bucket of a row with its count, which grows by one for each doubling."""
+    pairs, n = np.unique(rows * BUCKETS + buckets, return_counts=True)
+    return *np.divmod(pairs, BUCKETS), 1 + np.floor(np.log2(n))
 
 
 def good_label() -> Column:
@@ -100,6 +101,11 @@ def labelled_ids(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(ids[good]), np.sort(ids[~good])
 
 
+def sigmas(more: np.ndarray, less: np.ndarray) -> np.ndarray:
+    """Distance of two counts in standard deviations; the square root of a count has the same one for all sizes."""
+    return 2 * (np.sqrt(more + 0.375) - np.sqrt(less + 0.375))
+
+
 def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
     """Per bucket the capped log ratio of target to raw rate; 0 without evidence."""
 
@@ -109,10 +115,10 @@ def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             target, other = np.isin(ids, good), np.isin(ids, bad)
             for row, _, data, offsets in blocks.blocks(batch.column("text")):
-                rows, bucket = once(*ngrams(data, offsets))
-                counts[0] += np.bincount(bucket, minlength=BUCKETS)
-                counts[1] += np.bincount(bucket[target[row + rows]], minlength=BUCKETS)
-                counts[2] += np.bincount(bucket[other[row + rows]], minlength=BUCKETS)
+                rows, bucket, n = damped(*ngrams(data, offsets))
+                for model, held in enumerate((np.ones(len(ids), bool), target, other)):
+                    own = held[row + rows]
+                    counts[model] += np.bincount(bucket[own], n[own], BUCKETS).astype(np.int64)
         if counts.any():
             parts = counts.reshape(len(MODELS), SLICES, -1)
             kind = np.uint32 if parts.max() < 2**32 else np.uint64
@@ -146,9 +152,9 @@ def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray
         if t.sum():
             expected = r * (t.sum() / r.sum())
             ratio = np.log((t + SMOOTH) / t.sum()) - np.log((r + SMOOTH) / r.sum())
-            sure = (expected - t > SIGMAS * np.sqrt(expected + 1)) & (ratio < -EFFECT)
+            sure = (sigmas(expected, t) > SIGMAS) & (ratio < -EFFECT)
             by_chance = (t + b) * (b.sum() / (t.sum() + b.sum()))
-            sure &= b - by_chance > SIGMAS * np.sqrt(by_chance + 1)
+            sure &= sigmas(b, by_chance) > SIGMAS
             out[part] = np.where(sure, ratio, 0)
     return out.astype(np.float32)
 

@@ -55,8 +55,9 @@ def test_ngrams_equal_a_plain_count():
     assert np.bincount(row, minlength=4).tolist() == [6 + 1, 0, 5 + 4, 4 + 1]
     assert bucket[:2].tolist() == [bucket[0]] * 2 and bucket.max() < importance.BUCKETS
     assert (bucket[row == 2] == importance.UNIGRAMS).sum() == 2  # the pairs that end runs of four
-    row, bucket = importance.once(row, bucket)
+    row, bucket, n = importance.damped(row, bucket)
     assert np.bincount(row, minlength=4).tolist() == [5 + 1, 0, 1 + 2, 2 + 1]
+    assert sorted(n[row == 2].tolist()) == [2, 2, 3]  # two and two pairs, five words
 
 
 def test_classifier_hard_rows(spark, frame):
