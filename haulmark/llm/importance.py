@@ -36,6 +36,7 @@ LABELLED = 200_000
 UNIGRAMS, BIGRAMS = 1 << 20, 1 << 18
 BUCKETS = UNIGRAMS + BIGRAMS
 SLICES = 320
+BLOCK = 2 << 20  # bytes of text that a task works on at once
 SIGMAS, LOSS = 2.5, 0.002
 EFFECT = np.log(4)  # the target rate of an n-gram that counts is a quarter of the raw rate at most
 SMOOTH = 0.5
@@ -114,7 +115,7 @@ def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             target, other = np.isin(ids, good), np.isin(ids, bad)
-            for row, _, data, offsets in blocks.blocks(batch.column("text")):
+            for row, _, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 rows, bucket, n = damped(*ngrams(data, offsets))
                 for model, held in enumerate((np.ones(len(ids), bool), target, other)):
                     own = held[row + rows]
@@ -173,7 +174,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weight = np.zeros(batch.num_rows)
-            for row, end, data, offsets in blocks.blocks(batch.column("text")):
+            for row, end, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 rows, bucket = ngrams(data, offsets)
                 weight[row:end] = np.bincount(rows, ratios.value[bucket], end - row)
             yield batch.append_column("log_weight", pa.array(weight))
