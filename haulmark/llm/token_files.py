@@ -173,7 +173,10 @@ def encode(path: str, text: str) -> np.ndarray:
     slow, quick = encoders(path)
     if text and ord(max(text)) >= LATIN:
         return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    return np.array(quick.encode(text, allowed_special="all"), np.uint32)
+    try:
+        return np.array(quick.encode(text, allowed_special="all"), np.uint32)
+    except ValueError:  # its regex runs out of stack in a run of a million blanks
+        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:

@@ -46,6 +46,15 @@ def test_files_round_trip(frame, texts):
     assert token_files.round_trip(frame([]), files=3).count() == 0
 
 
+def test_files_hold_texts_with_a_million_blanks(frame):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "ab cd\n" + " " * 1_050_000 + "x"), (2, "\n" * 1_200_000), (3, "short")]
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_files.round_trip(frame(rows), files=2).collect()}
+    for i, t in rows:
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 class Source(io.BytesIO):
     def size(self):
         return len(self.getvalue())
