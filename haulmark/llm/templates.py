@@ -7,8 +7,12 @@ one window of their own length. A document holds an item if the windows found
 cover COVER of the item and its slots agree: along the alignment with most
 windows, equal values of the item stand against equal values of the document.
 So a question with other numbers or names is caught, and one whose numbers do
-not fit together is not. An item's first word may also stand as a name, as it
-does where the item follows on another text's sentence.
+not fit together is not.
+
+A capitalised word that starts a sentence, a line or a quotation may be a name or
+not. Windows of items and documents are hashed in all readings of such words. Two
+that differ are a slot, unless that contradicts another slot: then they are
+different words, and the windows that hold them do not count.
 
 Missing texts count as empty and hold nothing; items without words are in no
 document; missing ids are ids of their own; equal rows give one result row; an
@@ -24,6 +28,7 @@ from haulmark.llm.tables import guarded, restored, stored, texts_of
 
 WINDOW, COVER = 8, 0.5
 NUMBER, UNIT, NAME = "0", "0u", "0n"
+MAYBE = NAME + "_"  # before a word that may be a name
 UNITS = (
     "mm|cm|dm|m|km|in|ft|yd|mi|miles?|meters?|metres?|inch|inches|feet|mg|g|kg|t|lb|lbs|oz|pounds?|grams?|kilograms?|tons?|"
     "ms|s|sec|secs|seconds?|min|mins|minutes?|h|hr|hrs|hours?|days?|weeks?|months?|years?|ml|cl|l|litres?|liters?|"
@@ -37,8 +42,9 @@ def values(text: Column) -> Column:
 
 
 def template(text: Column) -> Column:
-    """The same words in lower case, with placeholders; words stay in their places."""
-    named = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:]\s)\p{Lu}\p{Ll}+(?![\p{L}\p{N}_])", NAME)
+    """The same words in lower case, with placeholders and marks before possible names; words stay in their places."""
+    sure = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:]\s)\p{Lu}\p{Ll}+(?![\p{L}\p{N}_])", NAME)
+    named = F.regexp_replace(sure, r"(?<![\p{L}\p{N}_])(?<![0-9]-)(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}_])", f"{MAYBE}$1")
     numbered = F.regexp_replace(named, r"(?<![\p{L}\p{N}_])[0-9]++(?:_[0-9]++)*+(?![n0-9])", NUMBER)
     measured = F.regexp_replace(numbered, rf"(?i)(?<![\p{{L}}\p{{N}}_])(0[ -]?)(?:{UNITS})(?![\p{{L}}\p{{N}}_])", f"$1{UNIT}")
     return F.lower(F.when(text.rlike("[0-9]"), measured).otherwise(named))
@@ -48,12 +54,36 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}_]+"), "")
 
 
+def plain(word: Column) -> Column:
+    return F.when(word.startswith(MAYBE), F.substring(word, len(MAYBE) + 1, 1 << 30)).otherwise(word)
+
+
+def masked(word: Column) -> Column:
+    return F.when(word.startswith(MAYBE), F.lit(NAME)).otherwise(word)
+
+
+def readings(window: list[Column]) -> Column:
+    """Hashes of a window's words in all readings of the possible names: one, two, or two for each of them."""
+
+    def add(acc: Column, word: Column) -> Column:
+        both = F.concat(
+            F.transform(acc, lambda r: F.concat(r, F.array(plain(word)))), F.transform(acc, lambda r: F.concat(r, F.array(F.lit(NAME))))
+        )
+        return F.when(word.startswith(MAYBE), both).otherwise(F.transform(acc, lambda r: F.concat(r, F.array(word))))
+
+    open_words = sum((w.startswith(MAYBE).cast("int") for w in window), F.lit(0))
+    start = F.array(F.array().cast("array<string>"))
+    every = F.transform(F.aggregate(F.array(*window), start, add), lambda r: F.xxhash64(*[r[i] for i in range(len(window))]))
+    two = F.array(F.xxhash64(*map(plain, window)), F.xxhash64(*map(masked, window)))
+    return F.when(open_words == 0, F.array(F.xxhash64(*window))).when(open_words == 1, two).otherwise(every)
+
+
 def windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """keys, at, window: a hash of every `size` words in a row of the array column words."""
+    """keys, at, window: the hashes of every `size` words in a row of the array column words."""
     n = F.greatest(F.size("words") - (size - 1), F.lit(0))
     shifted = F.arrays_zip(*[F.slice("words", i + 1, n).alias(f"w{i}") for i in range(size)])
     each = rows.select(*keys, F.posexplode(shifted).alias("at", "w"))
-    return each.select(*keys, "at", F.xxhash64(*[F.col(f"w.w{i}") for i in range(size)]).alias("window"))
+    return each.select(*keys, "at", F.explode(readings([F.col(f"w.w{i}") for i in range(size)])).alias("window"))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -71,9 +101,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = None
     for size in sorted(r["size"] for r in items.select("size").distinct().collect()):  # at most WINDOW values
         of_size = items.filter(F.col("size") == size)
-        led = F.concat(F.array(F.lit(NAME)), F.slice("words", 2, F.size("words") - 1))
-        named = of_size.filter(F.col("vals")[0].rlike(r"^\p{Lu}\p{Ll}+$")).withColumn("words", led)
-        wanted = windows(of_size.unionByName(named), ["item_id"], size).distinct()
+        wanted = windows(of_size, ["item_id"], size).distinct()
         wanted = stored(wanted, "template-windows").select("item_id", F.col("at").alias("item_at"), "window")
         # Spark broadcasts the benchmark's windows if they are small and shuffles both sides otherwise.
         here = windows(texts, ["doc_id", "h"], size).join(wanted, "window")
@@ -82,6 +110,63 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found
 
 
+def ways(runs: Column, n_windows: Column, cover: float) -> Column:
+    """shift, at (windows found along it), more (windows found along others) of the alignments to be checked."""
+    top = F.array_max(F.transform(runs, lambda r: F.struct(F.size(r["at"]).alias("n"), (-r["shift"]).alias("back"))))
+    others = F.array_distinct(F.flatten(F.filter(runs, lambda r: r["shift"] != -top["back"])["at"]))
+    most = F.transform(
+        F.filter(runs, lambda r: r["shift"] == -top["back"]),
+        lambda r: F.struct(r["shift"].alias("shift"), r["at"].alias("at"), others.alias("more")),
+    )
+    return most
+
+
+def with_slots(way: Column) -> Column:
+    """The alignment with its slots: place, values on both sides, sure (both are placeholders)."""
+
+    def slot(i: Column) -> Column:
+        item, doc = F.get("iw", i), F.get("dw", i + way["shift"])
+        same = plain(item).eqNullSafe(plain(doc))
+        name = F.coalesce(item.startswith(NAME) & (masked(item) == NAME) & (masked(doc) == NAME), F.lit(False))
+        return F.struct(
+            i.alias("place"), F.lower(F.get("iv", i)).alias("item"), F.lower(F.get("dv", i + way["shift"])).alias("doc"),
+            same.alias("sure"), ((same & item.startswith(NUMBER) & ~item.startswith(MAYBE)) | (name & ~same)).alias("is_slot"),
+        )
+
+    slots = F.filter(F.transform(F.sequence(F.lit(0), F.size("iw") - 1), slot), lambda s: s["is_slot"])
+    return F.struct(way["shift"].alias("shift"), way["at"].alias("at"), way["more"].alias("more"), slots.alias("slots"))
+
+
+def with_broken(way: Column) -> Column:
+    """The alignment with the places whose words are no names after all, as another slot contradicts."""
+    pairs = F.array_distinct(F.transform(way["slots"], lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    once = F.size(pairs) == F.size(F.array_distinct(pairs["item"]))
+    against = F.filter(
+        way["slots"],
+        lambda s: ~s["sure"] & F.exists(pairs, lambda p: (p["item"] == s["item"]) & (p["doc"] != s["doc"])),
+    )
+    broken = F.when(once, F.array().cast("array<int>")).otherwise(against["place"])
+    return F.struct(
+        way["shift"].alias("shift"), way["at"].alias("at"), way["more"].alias("more"), way["slots"].alias("slots"), broken.alias("broken")
+    )
+
+
+def judged(way: Column, cover: float) -> Column:
+    """Result columns of the alignment, in the order in which alignments are preferred."""
+    broken = way["broken"]
+    whole = F.filter(way["at"], lambda a: ~F.exists(broken, lambda i: (i >= a) & (i < a + F.col("size"))))
+    found = F.size(F.array_union(whole, way["more"]))
+    slots = F.filter(way["slots"], lambda s: ~F.array_contains(broken, s["place"]))
+    pairs = F.array_distinct(F.transform(slots, lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    consistent = F.size(pairs) == F.size(F.array_distinct(pairs["item"]))
+    coverage = found / F.col("n_windows")
+    return F.struct(
+        (consistent & (coverage >= cover)).alias("leaked"), found.alias("windows"), (-way["shift"]).alias("back"),
+        coverage.alias("coverage"), F.size(slots).alias("n_slots"),
+        F.size(F.filter(slots, lambda s: s["item"] != s["doc"])).alias("n_changed"), consistent.alias("consistent"),
+    )
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """doc_id, h, item_id, windows, coverage, n_slots, n_changed, consistent, leaked: items found in documents."""
     items = stored(items_of(benchmark), "template-items")
@@ -93,14 +178,14 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
             F.lit(0).alias("n_slots"), F.lit(0).alias("n_changed"), F.lit(True).alias("consistent"), F.lit(True).alias("leaked"),
         )
     per_shift = found.groupBy("doc_id", "h", "item_id", "shift").agg(F.collect_set("at").alias("at"))  # windows of one item
-    pairs = per_shift.groupBy("doc_id", "h", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("windows"),
-        F.max_by("shift", F.struct(F.size("at"), -F.col("shift"))).alias("shift"),
-    )
-    items = items.select(F.col("item_id").alias("i"), F.col("words").alias("iw"), F.col("vals").alias("iv"), "n_windows")
+    runs = F.sort_array(F.collect_list(F.struct("shift", "at")))  # at most as many as the document has windows
+    pairs = per_shift.groupBy("doc_id", "h", "item_id").agg(runs.alias("runs"))
+    items = items.select(F.col("item_id").alias("i"), F.col("words").alias("iw"), F.col("vals").alias("iv"), "size", "n_windows")
     pairs = pairs.join(items, F.col("item_id").eqNullSafe(F.col("i")))
-    pairs = pairs.withColumn("coverage", F.col("windows") / F.col("n_windows")).filter(F.col("coverage") >= cover)
-    pairs = stored(pairs.drop("i"), "template-pairs")
+    union = F.size(F.array_distinct(F.flatten("runs.at")))
+    pairs = pairs.filter(union / F.col("n_windows") >= cover)
+    pairs = pairs.withColumn("ways", ways(F.col("runs"), F.col("n_windows"), cover))
+    pairs = stored(pairs.drop("i", "runs"), "template-pairs")
 
     held = pairs.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")).distinct()
     texts = texts_of(docs).withColumn("h", F.xxhash64("text"))
@@ -110,26 +195,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
         F.col("doc_id").alias("d"), F.col("h").alias("dh"), words(template(F.col("v"))).alias("dw"), words(F.col("v")).alias("dv")
     )
     joined = pairs.join(texts, same)
-    place = F.filter(
-        F.sequence(F.lit(1), F.size("iw")),
-        lambda i: F.substring(F.get("iw", i - 1), 1, 1).eqNullSafe(NUMBER)
-        & F.get("iw", i - 1).eqNullSafe(F.get("dw", i - 1 + F.col("shift"))),
-    )
-    slots = F.transform(
-        place,
-        lambda i: F.struct(
-            F.lower(F.get("iv", i - 1)).alias("item"), F.lower(F.get("dv", i - 1 + F.col("shift"))).alias("doc")
-        ),
+    joined = joined.withColumn("ways", F.transform("ways", with_slots)).withColumn("ways", F.transform("ways", with_broken))
+    best = F.array_max(F.transform("ways", lambda w: judged(w, cover)))  # a leak if there is one, else most windows
+    return joined.withColumn("best", best).select(
+        "doc_id", "h", "item_id", "best.windows", "best.coverage", "best.n_slots", "best.n_changed", "best.consistent", "best.leaked"
     )
-    joined = joined.withColumn("slots", slots)
-    kinds = F.size(F.array_distinct("slots"))
-    consistent = kinds == F.size(F.array_distinct("slots.item"))
-    return joined.select(
-        "doc_id", "h", "item_id", "windows", "coverage",
-        F.size("slots").alias("n_slots"),
-        F.size(F.filter("slots", lambda s: ~s["item"].eqNullSafe(s["doc"]))).alias("n_changed"),
-        consistent.alias("consistent"), consistent.alias("leaked"),
-    )
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:

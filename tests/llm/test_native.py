@@ -137,6 +137,19 @@ def test_copies_new_slots_and_inconsistent_slots(spark, frame):
     assert got[(10, 1)]["n_changed"] == 0 and got[(11, 1)]["n_changed"] > 3
 
 
+def test_names_at_the_start_of_sentences(spark, frame):
+    items = [(1, "Tom has 5 apples. Tom gives 2 to Ann. How many apples does Tom have?"), (2, "Every week a man walks 3 miles. He rests. Then he goes on.")]
+    rows = [
+        (1, "Mia has 7 apples. Mia gives 3 to Bob. How many apples does Mia have?"),
+        (2, "Now think: Mia has 7 apples. Mia gives 3 to Bob, how many apples does Mia have?"),
+        (3, "mia has 7 apples. tom gives 3 to Bob. How many pears does Mia have?"),
+        (4, "Mia has 7 apples. Zoe gives 3 to Bob. How many apples does Mia have?"),
+        (7, "Some say: every week a man walks 4 miles. he rests. Then he goes on."),
+    ]
+    found = templates.contaminations(frame(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found if r["leaked"]} == {(1, 1), (2, 1), (7, 2)}
+
+
 def test_decontamination_drops_documents_that_hold_an_item(spark, frame):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = frame([(1, ITEMS[0][1]), (1, "clean text of the same id"), (2, ITEMS[1][1]), (2, ITEMS[1][1]), (None, None), (3, "")])
