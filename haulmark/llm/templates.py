@@ -4,8 +4,9 @@ A text is cut into words; numbers, units after numbers and capitalised words
 inside a sentence become typed placeholders. Windows of WINDOW template words of
 the documents are hash-joined to those of the benchmark items; shorter items are
 one window of their own length. A document holds an item if the windows found
-cover COVER of the item and its slots agree: along the alignment with most
-windows, equal values of the item stand against equal values of the document.
+cover COVER of the item and its slots agree: along one alignment, equal values of
+the item stand against equal values of the document. Each alignment that reaches
+COVER by its own windows is checked, and one of them is enough.
 So a question with other numbers or names is caught, and one whose numbers do
 not fit together is not.
 
@@ -21,6 +22,8 @@ empty table on either side gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,28 +65,33 @@ def masked(word: Column) -> Column:
     return F.when(word.startswith(MAYBE), F.lit(NAME)).otherwise(word)
 
 
-def readings(window: list[Column]) -> Column:
-    """Hashes of a window's words in all readings of the possible names: one, two, or two for each of them."""
+def xor(numbers: list[Column]) -> Column:
+    return reduce(lambda a, b: a.bitwiseXOR(b), numbers)
 
-    def add(acc: Column, word: Column) -> Column:
-        both = F.concat(
-            F.transform(acc, lambda r: F.concat(r, F.array(plain(word)))), F.transform(acc, lambda r: F.concat(r, F.array(F.lit(NAME))))
-        )
-        return F.when(word.startswith(MAYBE), both).otherwise(F.transform(acc, lambda r: F.concat(r, F.array(word))))
 
-    open_words = sum((w.startswith(MAYBE).cast("int") for w in window), F.lit(0))
-    start = F.array(F.array().cast("array<string>"))
-    every = F.transform(F.aggregate(F.array(*window), start, add), lambda r: F.xxhash64(*[r[i] for i in range(len(window))]))
-    two = F.array(F.xxhash64(*map(plain, window)), F.xxhash64(*map(masked, window)))
-    return F.when(open_words == 0, F.array(F.xxhash64(*window))).when(open_words == 1, two).otherwise(every)
+def readings(word: list[Column], name: list[Column]) -> Column:
+    """Hashes of a window in all readings: one, or two for each word whose hash as a name is not 0."""
+    as_words = [F.xxhash64(w, F.lit(i)) for i, w in enumerate(word)]
+    turns = [F.when(n != 0, F.xxhash64(n, F.lit(i)).bitwiseXOR(w)).otherwise(F.lit(0).cast("bigint")) for i, (n, w) in enumerate(zip(name, as_words, strict=True))]
+    one = sum(((n != 0).cast("int") for n in name), F.lit(0))
+    whole = F.array(xor(as_words))
+    every = F.aggregate(
+        F.filter(F.array(*turns), lambda t: t != 0), whole, lambda acc, t: F.concat(acc, F.transform(acc, lambda h: h.bitwiseXOR(t)))
+    )
+    return F.when(one == 0, whole).when(one == 1, F.array(xor(as_words), xor(as_words + turns))).otherwise(every)
 
 
 def windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     """keys, at, window: the hashes of every `size` words in a row of the array column words."""
     n = F.greatest(F.size("words") - (size - 1), F.lit(0))
-    shifted = F.arrays_zip(*[F.slice("words", i + 1, n).alias(f"w{i}") for i in range(size)])
+    rows = rows.select(
+        *keys, n.alias("n"), F.transform("words", lambda w: F.xxhash64(plain(w))).alias("p"),
+        F.transform("words", lambda w: F.when(w.startswith(MAYBE), F.xxhash64(F.lit(NAME))).otherwise(F.lit(0).cast("bigint"))).alias("m"),
+    )
+    shifted = F.arrays_zip(*[F.slice(c, i + 1, F.col("n")).alias(f"{c}{i}") for c in ("p", "m") for i in range(size)])
     each = rows.select(*keys, F.posexplode(shifted).alias("at", "w"))
-    return each.select(*keys, "at", F.explode(readings([F.col(f"w.w{i}") for i in range(size)])).alias("window"))
+    hashes = readings([F.col(f"w.p{i}") for i in range(size)], [F.col(f"w.m{i}") for i in range(size)])
+    return each.select(*keys, "at", F.explode(hashes).alias("window"))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -111,14 +119,22 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def ways(runs: Column, n_windows: Column, cover: float) -> Column:
-    """shift, at (windows found along it), more (windows found along others) of the alignments to be checked."""
+    """shift, at (windows found along it), more (windows found along others) of the alignments to be checked.
+
+    These are all that reach the cover by their own windows, and, for copies with
+    insertions, the one with most windows together with those of others.
+    """
     top = F.array_max(F.transform(runs, lambda r: F.struct(F.size(r["at"]).alias("n"), (-r["shift"]).alias("back"))))
     others = F.array_distinct(F.flatten(F.filter(runs, lambda r: r["shift"] != -top["back"])["at"]))
     most = F.transform(
         F.filter(runs, lambda r: r["shift"] == -top["back"]),
         lambda r: F.struct(r["shift"].alias("shift"), r["at"].alias("at"), others.alias("more")),
     )
-    return most
+    alone = F.transform(
+        F.filter(runs, lambda r: F.size(r["at"]) / n_windows >= cover),
+        lambda r: F.struct(r["shift"].alias("shift"), r["at"].alias("at"), F.array().cast("array<int>").alias("more")),
+    )
+    return F.concat(alone, F.when((F.size(alone) > 0) & (F.size(others) == 0), F.slice(most, 1, 0)).otherwise(most))
 
 
 def with_slots(way: Column) -> Column:
@@ -161,7 +177,7 @@ def judged(way: Column, cover: float) -> Column:
     consistent = F.size(pairs) == F.size(F.array_distinct(pairs["item"]))
     coverage = found / F.col("n_windows")
     return F.struct(
-        (consistent & (coverage >= cover)).alias("leaked"), found.alias("windows"), (-way["shift"]).alias("back"),
+        (consistent & (coverage >= cover)).alias("leaked"), (F.size(way["more"]) == 0).alias("alone"), found.alias("windows"), (-way["shift"]).alias("back"),
         coverage.alias("coverage"), F.size(slots).alias("n_slots"),
         F.size(F.filter(slots, lambda s: s["item"] != s["doc"])).alias("n_changed"), consistent.alias("consistent"),
     )
@@ -185,18 +201,19 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
     union = F.size(F.array_distinct(F.flatten("runs.at")))
     pairs = pairs.filter(union / F.col("n_windows") >= cover)
     pairs = pairs.withColumn("ways", ways(F.col("runs"), F.col("n_windows"), cover))
-    pairs = stored(pairs.drop("i", "runs"), "template-pairs")
+    pairs = stored(pairs.select("doc_id", "h", "item_id", "ways"), "template-pairs")
 
-    held = pairs.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")).distinct()
+    # two numbers a row, so that Spark broadcasts it unless a great many documents hold items
+    held = stored(pairs.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")).distinct(), "template-held")
     texts = texts_of(docs).withColumn("h", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh"))
     texts = texts.join(held, same, "left_semi").dropDuplicates(["doc_id", "h"])
     texts = texts.withColumn("v", values(F.col("text"))).select(
         F.col("doc_id").alias("d"), F.col("h").alias("dh"), words(template(F.col("v"))).alias("dw"), words(F.col("v")).alias("dv")
     )
-    joined = pairs.join(texts, same)
+    joined = pairs.join(texts, same).join(items, F.col("item_id").eqNullSafe(F.col("i")))
     joined = joined.withColumn("ways", F.transform("ways", with_slots)).withColumn("ways", F.transform("ways", with_broken))
-    best = F.array_max(F.transform("ways", lambda w: judged(w, cover)))  # a leak if there is one, else most windows
+    best = F.array_max(F.transform("ways", lambda w: judged(w, cover)))  # a leak if there is one, then alone, then most windows
     return joined.withColumn("best", best).select(
         "doc_id", "h", "item_id", "best.windows", "best.coverage", "best.n_slots", "best.n_changed", "best.consistent", "best.leaked"
     )

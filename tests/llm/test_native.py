@@ -150,6 +150,16 @@ def test_names_at_the_start_of_sentences(spark, frame):
     assert {(r["doc_id"], r["item_id"]) for r in found if r["leaked"]} == {(1, 1), (2, 1), (7, 2)}
 
 
+def test_every_alignment_is_checked(spark, frame):
+    item = "Every day Tom pays 5 dollars and 5 cents for a cup of tea"
+    other = item.replace("5 dollars", "3 dollars").replace("5 cents", "7 cents")
+    broken = "Every day Tom pays 5 dollars and then, all of a sudden, 5 cents for a cup of tea"
+    rows = [(1, f"{other}. {item}."), (2, f"{item}. {other}."), (3, f"{other}. " * 40), (4, f"{other}. " * 40 + item), (5, broken)]
+    found = templates.contaminations(frame(rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["leaked"] for r in found} == {1: True, 2: True, 3: False, 4: True}
+    assert {r["doc_id"]: (r["n_changed"], r["coverage"]) for r in found if r["leaked"]} == {1: (0, 1.0), 2: (0, 1.0), 4: (0, 1.0)}
+
+
 def test_decontamination_drops_documents_that_hold_an_item(spark, frame):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = frame([(1, ITEMS[0][1]), (1, "clean text of the same id"), (2, ITEMS[1][1]), (2, ITEMS[1][1]), (None, None), (3, "")])
