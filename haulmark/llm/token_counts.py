@@ -2,7 +2,8 @@
 
 Pieces of the tokenizer never hold a blank after another character, so no merge
 crosses the start of a run of blanks: a text's count is the sum over its
-pre-tokens, each a run of blanks and what follows. A blank is put before each
+pre-tokens, each a run of blanks and what follows. U+2581 is the tokenizer's own
+sign for a blank, so a blank after it continues the run. A blank is put before each
 text, as the tokenizer does. The pieces of each distinct pre-token of the corpus
 are counted once; the counts are joined to the frequencies of pre-tokens per
 document and summed. The join with the HEAVY most frequent pre-tokens, a table
@@ -29,6 +30,7 @@ from haulmark.llm.tables import stored, texts_of
 HEAVY = 1 << 18
 HEAVY_BYTES = 64  # longer pre-tokens are never in the bounded table
 SPACE = 0x20
+SIGN = "\u2581".encode()
 
 
 @lru_cache(maxsize=2)
@@ -39,9 +41,11 @@ def processor(path: str):
 
 
 def pre_token_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A text's first byte, and each blank after another character."""
+    """A text's first byte, and each blank after another character than a blank or U+2581."""
     start = data == SPACE
     start[1:] &= data[:-1] != SPACE
+    late = np.flatnonzero(start[3:] & (data[2:-1] == SIGN[2])) + 3
+    start[late[(data[late - 2] == SIGN[1]) & (data[late - 3] == SIGN[0])]] = False
     start[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(start)
 

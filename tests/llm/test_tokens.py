@@ -1,5 +1,6 @@
 import hashlib
 import io
+import random
 import zlib
 
 import numpy as np
@@ -33,6 +34,17 @@ def test_counts_equal_the_library(frame, texts):
     assert token_counts.token_counts(frame([])).count() == 0
 
 
+def test_counts_of_texts_with_the_sign_for_blanks(frame):
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(6)
+    parts = ["\u2581", " ", "\n", "\u200b", "a", "the", "\u2581 ", "\u2580", "\u3000", "\t", "é", "."]
+    rows = [(0, "\u2581 \n\u200ba"), (1, "\u2581"), (2, "\u2581 "), (3, " \u2581 x")]
+    rows += [(4 + i, "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))) for i in range(5000)]
+    for heavy in (token_counts.HEAVY, 0):
+        got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(frame(rows), heavy=heavy).collect()}
+        assert got == {i: len(sp.encode(t)) for i, t in rows}
+
+
 def test_files_round_trip(frame, texts):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = token_files.round_trip(frame(texts), files=3).collect()
