@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import bpe, fingerprints, importance, pii, sharding, simhash, suffix_dedup, templates, token_counts, token_files
+from haulmark.llm import (
+    bpe, conversations, fingerprints, importance, pii, sharding, simhash, spelling, suffix_dedup, templates, token_counts,
+    token_files,
+)
 from haulmark.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,11 +77,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.cleaned(table(spark, sf_dir, "conversations"))
+    return conversations.repaired(conversations.damaged(rows))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(spelling.word_counts(table(spark, sf_dir, "documents"), shortest=5, least=3, every=97))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_simhash, op3_importance, op4_token_counts, op5_token_files, op6_templates, op7_sharding,
-        op8_fingerprints, op9_bpe, op10_pii,
+        op8_fingerprints, op9_bpe, op10_pii, op11_conversation_repair, op12_spelling_variants,
     )
 }
 ORACLE: dict[str, str] = {}
