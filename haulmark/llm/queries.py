@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.llm import (
-    bpe, conversations, fingerprints, importance, pii, sharding, simhash, spelling, suffix_dedup, templates, token_counts,
+    bpe, conversations, extraction, fingerprints, importance, pii, sharding, simhash, spelling, suffix_dedup, templates, token_counts,
     token_files,
 )
 from haulmark.llm.tables import table
@@ -86,11 +86,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(spelling.word_counts(table(spark, sf_dir, "documents"), shortest=5, least=3, every=97))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_simhash, op3_importance, op4_token_counts, op5_token_files, op6_templates, op7_sharding,
-        op8_fingerprints, op9_bpe, op10_pii, op11_conversation_repair, op12_spelling_variants,
+        op8_fingerprints, op9_bpe, op10_pii, op11_conversation_repair, op12_spelling_variants, op13_main_text,
+        op13_main_text,
     )
 }
 ORACLE: dict[str, str] = {}
