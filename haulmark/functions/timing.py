@@ -65,8 +65,3 @@ def time_of_day(c: Column) -> Column:
         .when(hour.between(17, 19), "evening_rush")
         .otherwise("night")
     )
-
-
-def slice_of(c: Column, seconds: int) -> Column:
-    """Number of the fixed time slice a timestamp falls in."""
-    return F.floor(F.unix_micros(c) / F.lit(seconds * 1_000_000)).cast("long")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 TIME = "timestamp"
@@ -159,17 +161,74 @@ def tier_inventory(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     )
 
 
-def register_warm_table(spark: SparkSession, name: str, root: str, columns: list[str]) -> None:
-    """External table over the warm folder with its partitions and column statistics."""
-    ddl = spark.read.parquet(root).schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ddl)
+def create_warm_table(spark: SparkSession, name: str, root: str) -> None:
+    """External table over the warm folder, unless there is one; its partitions are added by the archive job."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema)
     spark.sql(
-        f"CREATE TABLE {name} ({fields}) USING PARQUET PARTITIONED BY ({', '.join(DAY_PARTS)}) LOCATION '{root}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING PARQUET PARTITIONED BY ({', '.join(DAY_PARTS)}) LOCATION '{root}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _partition(day: Row) -> str:
+    return f"PARTITION ({', '.join(f'{p}={day[p]}' for p in DAY_PARTS)})"
+
+
+def keep_statistics(spark: SparkSession, name: str, days: list[Row], columns: list[str]) -> None:
+    """Add the days as partitions and count them; other partitions keep their figures. Columns are analysed over the table."""
+    if not days:
+        return
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(map(_partition, days))}")
+    spark.catalog.refreshTable(name)
+    for day in days:
+        spark.sql(f"ANALYZE TABLE {name} {_partition(day)} COMPUTE STATISTICS")
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
 
 
+def register_warm_table(spark: SparkSession, name: str, root: str, columns: list[str]) -> None:
+    """External table over a warm folder that is there already, with its partitions and column statistics."""
+    create_warm_table(spark, name, root)
+    days = spark.read.parquet(root).select(*DAY_PARTS).distinct().collect()  # one row per day
+    keep_statistics(spark, name, days, columns)
+
+
+def archive_to_catalog(df: DataFrame, name: str, root: str, cutoff: Column, keys: list[str], columns: list[str]) -> DataFrame:
+    """Archive, verify, bring the catalog up to date for the days written, and return the rows that stay hot.
+
+    Hot rows leave only after the archive holds them, so the days of what is due are the days that this run writes.
+    """
+    days = _with_parts(archive_candidates(df, cutoff)).select(*DAY_PARTS).distinct().collect()  # one row per day
+    kept = hot_to_warm(df, root, cutoff, keys)
+    if days:
+        create_warm_table(df.sparkSession, name, root)
+        keep_statistics(df.sparkSession, name, days, columns)
+    return kept
+
+
+def _described(spark: SparkSession, what: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {what}").collect()}
+
+
+def catalog_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """Partitions with the rows that the catalog states; no file of the table is read."""
+    rows = []
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        parts = [int(p.split("=")[1]) for p in spec.split("/")]
+        day = ", ".join(spec.split("/"))
+        stated = re.search(r"(\d+) rows", _described(spark, f"{name} PARTITION ({day})").get("Partition Statistics", ""))
+        rows.append((*parts, int(stated.group(1)) if stated else None))
+    return spark.createDataFrame(rows, "year int, month int, day int, rows bigint")
+
+
+def catalog_columns(spark: SparkSession, name: str, columns: list[str]) -> DataFrame:
+    """Range, missing and distinct values per column as the catalog states them; distinct is an estimate."""
+    rows = []
+    for column in columns:
+        stated = _described(spark, f"{name} {column}")
+        rows.append((column, *[None if stated[k] == "NULL" else float(stated[k]) for k in ("min", "max", "num_nulls", "distinct_count")]))
+    found = spark.createDataFrame(rows, "column string, min_value double, max_value double, nulls double, distinct_values double")
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("nulls", "distinct_values")})
+
+
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows, range and distinct values per column, as the catalog statistics hold them."""
     row = df.agg(

@@ -1,58 +1,98 @@
 """Operators over ordered readings.
 
-A window per vehicle would put every row of one vehicle in one task. Here rows
-are ordered inside (vehicle, slice) groups and only the last row of each slice
-travels on to the next one, so a vehicle with a third of all rows is spread
-over as many tasks as it has slices.
+A window per vehicle would put every row of one vehicle in one task. Here all
+rows are cut into ranges of (vehicle, order) of about equal size, so a vehicle
+with a third of all rows fills a third of the ranges. Rows are ordered inside
+each range, and a table of one row per range carries the last row on to the
+next range.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from haulmark.functions.geo import haversine_km
 from haulmark.functions.numeric import ratio, sample_corr, steady_avg, steady_sum
-from haulmark.operators.joins import join_same
-from haulmark.functions.timing import slice_of
 
-HOUR = 3600
+SAMPLED = 20  # rows that the cuts are chosen from, for each range
+MOST_SAMPLED = 1_000_000
+FEW = 32  # cuts that are compared one by one instead of by binary search
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    return F.unix_micros(name) if isinstance(df.schema[name].dataType, TimestampType) else F.col(name)
+
+
+def range_cuts(df: DataFrame, columns: list[str], ranges: int) -> list[tuple]:
+    """Values of the columns that cut the rows into ranges of about equal size, from a bounded sample by hash."""
+    wanted = min(MOST_SAMPLED, SAMPLED * ranges)
+    values = df.select(*[_comparable(df, c).alias(c) for c in columns])
+    sample = values.orderBy(F.xxhash64(*columns)).limit(wanted).collect() if ranges > 1 else []
+    rows = sorted((tuple(r) for r in sample), key=lambda r: [(v is not None, v) for v in r])
+    cuts = [rows[i * len(rows) // ranges] for i in range(1, ranges)] if rows else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def range_of(df: DataFrame, columns: list[str], cuts: list[tuple]) -> Column:
+    """Number of cuts at or below a row, by binary search in a constant array; missing values come first."""
+    if not cuts:
+        return F.lit(0)
+    place = [_comparable(df, c) for c in columns]
+    kinds = [t.dataType for t in df.select(*place).schema]
+    here = F.struct(*[p.alias(c) for c, p in zip(columns, place, strict=True)])
+    bounds = [F.struct(*[F.lit(v).cast(k).alias(c) for c, v, k in zip(columns, cut, kinds, strict=True)]) for cut in cuts]
+    if len(bounds) <= FEW:  # stays inside generated code
+        return reduce(add, [(bound <= here).cast("int") for bound in bounds])
+    array = F.array(*bounds)
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= F.lit(len(cuts))) & (F.get(array, F.least(at + step, F.lit(len(cuts))) - 1) <= here), at + step
+        ).otherwise(at),
+    )
 
 
-def with_previous(df: DataFrame, key: str, order: list[str], columns: list[str], slice: Column) -> DataFrame:
+def with_previous(df: DataFrame, key: str, order: list[str], columns: list[str], ranges: int | None = None) -> DataFrame:
     """Adds ``prev_<column>`` from the preceding row of the same key.
 
-    ``slice`` must not decrease along ``order``. The last row of every slice is
-    found by an aggregate and put in front of the key's next slice as a marker;
-    a lag inside each slice then sees across the border.
+    The rows are shuffled once, by range; the last rows of the ranges come from
+    the same shuffle. There are as many ranges as shuffle partitions.
     """
-    row = F.struct(*columns)
-    sliced = df.withColumn("_slice", slice)
-    # One row per slice: the number of slices is bounded by time, not by readings.
-    next_slice = F.lead("_slice").over(Window.partitionBy(key).orderBy("_slice"))
-    markers = (
-        sliced.groupBy(key, "_slice")
-        .agg(F.max_by(row, F.struct(*order)).alias("_last"))
-        .select(key, next_slice.alias("_slice"), "_last", F.lit(0).alias("_mark"))
-        .filter(F.col("_slice").isNotNull())
-        .select(key, "_slice", "_mark", "_last.*")
-    )
-    in_slice = Window.partitionBy(key, "_slice").orderBy("_mark", *order)
-    linked = (
-        sliced.withColumn("_mark", F.lit(1))
-        .unionByName(markers, allowMissingColumns=True)
-        .withColumn("_prev", F.lag(row).over(in_slice))
-        .filter(F.col("_mark") == 1)
-    )
-    return linked.withColumns({f"prev_{c}": F.col(f"_prev.{c}") for c in columns}).drop("_slice", "_prev", "_mark")
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = [key, *order]
+    placed = df.withColumn("_range", range_of(df, place, range_cuts(df, place, ranges))).repartitionById(ranges, "_range")
+    row = F.struct(key, *columns)
+    # Rows in the same place are told apart by their values, so that both sides agree on the last one.
+    rest = [c for c in columns if c not in place]
+    inside = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in (*place, *rest)])
+    # All columns are named, so that both sides read one exchange.
+    last = F.max_by(F.struct(*df.columns), F.struct(*place, *rest)).alias("_last")
+    borders = placed.groupBy("_range").agg(last)
+    next_range = F.lead("_range").over(Window.orderBy("_range"))  # of one row per range
+    borders = borders.select(next_range.alias("_range"), "_last").filter(F.col("_range").isNotNull())
+    linked = placed.withColumn("_before", F.lag(row).over(inside)).join(F.broadcast(borders), "_range", "left")
 
+    def previous(c: str) -> Column:
+        in_range = F.when(F.col(f"_before.{key}").eqNullSafe(F.col(key)), F.col(f"_before.{c}"))
+        across = F.when(F.col("_last").isNotNull() & F.col(f"_last.{key}").eqNullSafe(F.col(key)), F.col(f"_last.{c}"))
+        return F.when(F.col("_before").isNotNull(), in_range).otherwise(across)
 
-def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id", seconds: int = HOUR) -> DataFrame:
-    return with_previous(df, key, ["timestamp", "event_id"], columns, slice_of(F.col("timestamp"), seconds))
+    return linked.withColumns({f"prev_{c}": previous(c) for c in columns}).drop("_range", "_before", "_last")
+
+
+def previous_reading(df: DataFrame, columns: list[str], key: str = "vehicle_id", ranges: int | None = None) -> DataFrame:
+    return with_previous(df, key, ["timestamp", "event_id"], columns, ranges)
 
 
 def hourly_aggregations(readings: DataFrame, incidents: DataFrame, key: str = "vehicle_id") -> DataFrame:
-    """Per vehicle and hour: mean and top speed, distance, fuel used and incidents.
+    """Per vehicle and hour with readings or incidents: mean and top speed, distance, fuel used and incidents.
 
     Distance and fuel belong to the hour of the later reading; a rise of the
     fuel level is a refuel and uses none.
@@ -70,8 +110,14 @@ def hourly_aggregations(readings: DataFrame, incidents: DataFrame, key: str = "v
         F.coalesce(F.round(steady_sum(used), 2), F.lit(0.0)).alias("fuel_used"),
     )
     seen = incidents.groupBy(key, hour).agg(F.count("*").alias("n"))
-    joined = join_same(hours, seen, [key, "time_bucket"], "left")
-    return joined.withColumn("incident_count", F.coalesce("n", F.lit(0))).drop("n")
+    # Both sides are one row per vehicle and hour; a union and a second aggregate keep the hours of either.
+    measures = ["avg_speed", "max_speed", "distance_km", "fuel_used"]
+    both = hours.withColumn("n", F.lit(0).cast("bigint")).unionByName(seen, allowMissingColumns=True)
+    return both.groupBy(key, "time_bucket").agg(
+        *[F.max(c).alias(c) for c in measures[:2]],
+        *[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in measures[2:]],
+        F.sum("n").alias("incident_count"),
+    )
 
 
 def route_distance(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
@@ -137,10 +183,9 @@ def speed_jump(df: DataFrame, limit: float = 15, key: str = "vehicle_id") -> Dat
     )
 
 
-def ts_monotonic(df: DataFrame, arrivals_per_slice: int = 100_000, key: str = "vehicle_id") -> DataFrame:
+def ts_monotonic(df: DataFrame, key: str = "vehicle_id", ranges: int | None = None) -> DataFrame:
     """Per vehicle, readings that arrive with an earlier time than the one before."""
-    slice = F.floor(F.col("event_id") / arrivals_per_slice).cast("long")
-    steps = with_previous(df.select(key, "timestamp", "event_id"), key, ["event_id"], ["timestamp"], slice)
+    steps = with_previous(df.select(key, "timestamp", "event_id"), key, ["event_id"], ["timestamp"], ranges)
     late = F.count_if(F.col("timestamp") < F.col("prev_timestamp"))
     return steps.groupBy(key).agg(
         F.count("*").alias("readings"), late.alias("out_of_order"), (late == 0).alias("passed")

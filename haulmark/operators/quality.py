@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.operators.joins import union_all
+from haulmark.sources.versioned import VersionedTable
 
 REPORT = "check string, entity string, column string, violations bigint, total bigint, passed boolean"
 
@@ -255,6 +256,11 @@ def dq_summary(report: DataFrame, counts: DataFrame, as_of: Column) -> DataFrame
     )
 
 
+def record_run(history: VersionedTable, summary: DataFrame, run: str) -> bool:
+    """Append the line of a run to the stored history; a run that is repeated leaves its first line."""
+    return history.append(summary, run)
+
+
 def expect(df: DataFrame, rules: list[Rule], strict: bool = False) -> DataFrame:
     """Rows with the rules they break; ``strict`` stops the job at the first broken row."""
     tagged = df.withColumn("broken_rules", broken_rules(rules))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.timing import at
 from haulmark.sources.envelopes import extract_dimension
+from haulmark.sources.versioned import VersionedTable
 
 DIMENSION_TTL = 3600
 FACT_TTL = 1800
@@ -64,6 +65,18 @@ def clear_staging(staged: DataFrame, prefixes: tuple[str, ...] = ("staging:", "c
     return staged.filter(~hit), removed
 
 
+def clear_stored(table: VersionedTable, run: str, prefixes: tuple[str, ...] = ("staging:", "cache:")) -> DataFrame:
+    """Remove all keys with a prefix from a stored table at once; returns the number removed per prefix, 0 in a repeated run.
+
+    Sessions that read the table see it before the clear or after it.
+    """
+    before = table.rewrite(lambda staged: clear_staging(staged, prefixes)[0], run)
+    rows = table.read().limit(0) if before is None else before
+    removed = clear_staging(rows, prefixes)[1]
+    wanted = rows.sparkSession.createDataFrame([(p,) for p in prefixes], "prefix string")
+    return wanted.join(removed, "prefix", "left").select("prefix", F.coalesce("removed", F.lit(0)).alias("removed"))
+
+
 def export_json(df: DataFrame, path: str) -> None:
     """A table as JSON lines, times as ISO text."""
     extract_dimension(df).write.mode("overwrite").json(path)

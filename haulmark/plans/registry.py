@@ -6,6 +6,7 @@ functions' own defaults are the published ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,7 @@ from haulmark.schemas import DIMENSIONS, ENTITIES, KEYS
 from haulmark.session import run_dir
 from haulmark.sources import envelopes
 from haulmark.sources.tables import AS_OF, Star, load, read_table
+from haulmark.sources.versioned import VersionedTable
 from haulmark.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +230,39 @@ def partition_stats(spark, sf_dir):
     return archive.column_stats(spark.read.parquet(_archived(spark, sf_dir)), ["vehicle_id", "speed", "fuel_level"])
 
 
+CATALOG_COLUMNS = ["vehicle_id", "speed", "fuel_level"]
+
+
+def _catalogued(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a catalog table over the warm tier after two archive runs, the second over what the first kept."""
+    name, root = f"warm_{uuid.uuid4().hex}", f"{run_dir(spark, 'warm')}/telemetry"
+    kept = archive.archive_to_catalog(_hot(spark, sf_dir), name, root, warm_from(), ARCHIVE_KEYS, CATALOG_COLUMNS)
+    archive.archive_to_catalog(kept, name, root, hot_from(), ARCHIVE_KEYS, CATALOG_COLUMNS)
+    return name
+
+
+@query("catalog_partitions")
+def catalog_partitions(spark, sf_dir):
+    name = _catalogued(spark, sf_dir)
+    return archive.catalog_partitions(spark, name)
+
+
+@query("catalog_columns")
+def catalog_columns(spark, sf_dir):
+    """What the catalog states, beside the exact number of distinct values, which its estimate must be near to."""
+    name = _catalogued(spark, sf_dir)
+    stated = archive.catalog_columns(spark, name, CATALOG_COLUMNS)
+    exact = archive.column_stats(spark.table(name), CATALOG_COLUMNS).select("column", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.15 * F.col("exact")
+    return stated.join(exact, "column").select("column", "min_value", "max_value", "nulls", near.alias("distinct_near"))
+
+
+@query("catalog_scan")
+def catalog_scan(spark, sf_dir):
+    """One day by the table's name: the partition comes from the catalog."""
+    return spark.table(_catalogued(spark, sf_dir)).filter("year = 2024 AND month = 1 AND day = 15")
+
+
 @star("tier_assign")
 def tier_assign(s):
     tier = archive_tier()
@@ -334,10 +369,15 @@ def staging_clear(s):
         F.lit("kpi").alias("entity"), F.concat(F.lit("cache:kpi:"), "kpi").alias("key"), F.col("value").cast("string").alias("payload"),
         timing.at(AS_OF).alias("written_at"), timing.at(AS_OF).alias("expires_at"),
     )
-    everything = _staged(s).unionByName(cached)
-    left, removed = staging.clear_staging(everything, ("staging:",))
+    store = VersionedTable(s.spark, f"{run_dir(s.spark, 'staging')}/records")
+    store.append(_staged(s).unionByName(cached), "stage")
+    removed = staging.clear_stored(store, "clear-1", ("staging:",))
+    again = staging.clear_stored(store, "clear-1", ("staging:",))
+    total = removed.unionByName(again).groupBy("prefix").agg(F.sum("removed").alias("removed"))
+    # What another reader of the store finds afterwards.
+    left = VersionedTable(s.spark, store.root).read()
     rest = left.agg(F.count("*").alias("n")).select(F.lit("left").alias("prefix"), F.col("n").alias("removed"))
-    return removed.unionByName(rest)
+    return total.unionByName(rest)
 
 
 @star("staging_counts")
@@ -791,6 +831,18 @@ def dq_summary(s):
     return quality.dq_summary(report, statistics.table_counts(t), timing.at(AS_OF))
 
 
+@star("dq_history")
+def dq_history(s):
+    """The stored lines of two runs, of which the first ran twice."""
+    t = views(s)
+    report = quality.dq_nulls(t)
+    counts = statistics.table_counts(t)
+    history = VersionedTable(s.spark, f"{run_dir(s.spark, 'dq-history')}/runs")
+    for as_of in ("2024-01-30 00:00:00", "2024-01-30 00:00:00", "2024-01-31 00:00:00"):
+        quality.record_run(history, quality.dq_summary(report, counts, timing.at(as_of)), as_of)
+    return VersionedTable(s.spark, history.root).read()
+
+
 @star("dq_expect")
 def dq_expect(s):
     rules = [quality.required("vehicle_id"), quality.within("speed", 0, 120), quality.within("fuel_level", 5, 95)]

@@ -20,6 +20,7 @@ from haulmark.session import run_dir
 from haulmark.sources.envelopes import decode, encode_envelope, publish, read_stream
 from haulmark.sources.tables import DELIVERIES, INCIDENTS, TELEMETRY, load, read_table, table_schema
 from haulmark.streaming import sinks
+from haulmark.streaming.keyed import read_upserted, upsert_batch
 
 
 def _read(spark: SparkSession, like: DataFrame, path: str) -> DataFrame:
@@ -67,6 +68,7 @@ def _delivery_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
         "delivery_id", "vehicle_id", "driver_id", F.lit("InProgress").alias("status"), "pickup_time",
         "distance_km", F.lit(None).cast("timestamp").alias("completion_time"),
         F.lit(None).cast("int").alias("delivery_minutes"), F.col("pickup_time").alias("event_time"),
+        (2 * F.col("delivery_id")).alias("offset"),
     )
     closed = d.filter(F.col("completion_time").isNotNull()).select(
         "delivery_id",
@@ -74,6 +76,7 @@ def _delivery_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
         F.lit("Completed").alias("status"),
         *[F.lit(None).cast(opened.schema[c].dataType).alias(c) for c in ("pickup_time", "distance_km")],
         "completion_time", "delivery_minutes", F.col("completion_time").alias("event_time"),
+        (2 * F.col("delivery_id") + 1).alias("offset"),
     )
     return opened, closed
 
@@ -90,10 +93,10 @@ def upsert_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = sinks.phase_stream(spark, f"{root}/src", opened).drop("phase")
         sinks.await_all(
             sinks.start_upsert(
-                stream, f"{root}/target", "upsert", f"{root}/checkpoints", ["delivery_id"], ["event_time"]
+                stream, f"{root}/target", "upsert", f"{root}/checkpoints", ["delivery_id"], ["event_time", "offset"]
             )
         )
-    return sinks.read_upserted(spark, f"{root}/target", ["delivery_id"])
+    return read_upserted(spark, f"{root}/target", ["delivery_id"])
 
 
 def checkpoint_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,20 +215,25 @@ def complete_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = spark.readStream.schema(table_schema(spark, orders)).parquet(f"{sf_dir}/order[s].parquet").selectExpr(*DELIVERIES)
     incidents = event_stream(spark, sf_dir).filter("event_type = 'error'").selectExpr(*INCIDENTS)
     checkpoints = f"{root}/checkpoints"
+
+    def numbered(df: DataFrame, key: str) -> DataFrame:
+        """The key stands for the offset that a broker would give."""
+        return df.withColumn("offset", F.col(key))
+
     keyed = {  # stream, keys, order, output mode
-        "telemetry": (raw, ["event_id"], ["timestamp"], "append"),
+        "telemetry": (numbered(raw, "event_id"), ["event_id"], ["timestamp", "offset"], "append"),
         "windows": (windows, ["window_start", "window_end", "vehicle_id"], ["seen"], "update"),
-        "deliveries": (validate(deliveries, "delivery"), ["delivery_id"], ["pickup_time"], "append"),
-        "incidents": (validate(incidents, "incident"), ["incident_id"], ["timestamp"], "append"),
+        "deliveries": (numbered(validate(deliveries, "delivery"), "delivery_id"), ["delivery_id"], ["pickup_time", "offset"], "append"),
+        "incidents": (numbered(validate(incidents, "incident"), "incident_id"), ["incident_id"], ["timestamp", "offset"], "append"),
     }
     running = [
-        sinks.per_batch(df, sinks.upsert_batch(f"{root}/{name}", keys, order), name, checkpoints, mode=mode)
+        sinks.per_batch(df, upsert_batch(f"{root}/{name}", keys, order), name, checkpoints, mode=mode)
         for name, (df, keys, order, mode) in keyed.items()
     ]
     found = anomalies(valid)
     running.append(sinks.start(found, "anomalies", f"{root}/anomalies", checkpoints))
     sinks.await_all(*running)
-    out = {name: sinks.read_upserted(spark, f"{root}/{name}", keys) for name, (_, keys, _, _) in keyed.items()}
+    out = {name: read_upserted(spark, f"{root}/{name}", keys) for name, (_, keys, _, _) in keyed.items()}
     out["anomalies"] = _read(spark, found, f"{root}/anomalies")
     rows = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("output"), "rows") for name, df in out.items()]
     records = out["windows"].agg(F.sum("record_count").alias("rows")).select(F.lit("window_records").alias("output"), "rows")

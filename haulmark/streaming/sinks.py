@@ -5,11 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from haulmark.streaming.keyed import upsert_batch
+
 
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -62,92 +63,14 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-FOLD_EVERY = 16  # batches between snapshots of an upsert target
-
-
-def _upsert_folder(target: str, kind: str, batch_id: int) -> str:
-    return f"{target}/kind={kind}/batch_id={batch_id}"
-
-
-def _versions(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Per key and field the newest non-NULL value with its order columns.
-
-    The newest is the greatest (order, value), so the result does not depend on
-    how messages are split into batches or how often they are repeated.
-    """
-    fields = [c for c in batch.columns if c not in keys and c not in order]
-    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("value")))).alias(c) for c in fields]
-    return batch.groupBy(*keys).agg(*newest)
-
-
-def live_versions(spark: SparkSession, target: str, upto: int | None = None) -> DataFrame | None:
-    """Rows of the last snapshot and the batches after it; None before the first batch."""
-    try:
-        stored = spark.read.parquet(target)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    if upto is not None:
-        stored = stored.filter(F.col("batch_id") <= upto)
-    # Folder names alone tell the last snapshot; older folders are not read.
-    last = stored.filter(F.col("kind") == "snapshot").agg(F.max("batch_id")).first()[0]
-    if last is not None:
-        snapshot = (F.col("kind") == "snapshot") & (F.col("batch_id") == last)
-        stored = stored.filter(snapshot | ((F.col("kind") == "batch") & (F.col("batch_id") > last)))
-    return stored
-
-
-def _current(spark: SparkSession, target: str, keys: list[str], upto: int | None = None) -> DataFrame | None:
-    stored = live_versions(spark, target, upto)
-    if stored is None:
-        return None
-    fields = [c for c in stored.columns if c not in keys and c not in ("kind", "batch_id")]
-    return stored.groupBy(*keys).agg(*[F.max(c).alias(c) for c in fields])
-
-
-def upsert_batch(
-    target: str, keys: list[str], order: list[str], fold_every: int = FOLD_EVERY
-) -> Callable[[DataFrame, int], None]:
-    """Callback that stores the newest versions of a batch; a repeated batch replaces itself.
-
-    Every ``fold_every`` batches all versions are folded into a snapshot, so a
-    read merges one snapshot and fewer than ``fold_every`` batches.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _versions(batch, keys, order).write.mode("overwrite").parquet(_upsert_folder(target, "batch", batch_id))
-        if (batch_id + 1) % fold_every == 0:
-            fold(batch.sparkSession, target, keys, batch_id)
-
-    return write
-
-
-def fold(spark: SparkSession, target: str, keys: list[str], batch_id: int) -> None:
-    """Snapshot of all versions up to a batch."""
-    versions = _current(spark, target, keys, batch_id)
-    if versions is not None:
-        versions.write.mode("overwrite").parquet(_upsert_folder(target, "snapshot", batch_id))
-
-
 def start_upsert(
     df: DataFrame, target: str, name: str, checkpoint_root: str, keys: list[str], order: list[str],
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keyed upsert of partial rows: the latest by the order columns wins, NULL never overwrites."""
+    """Keyed upsert of partial rows: the latest by the order columns (time, offset) wins, NULL never overwrites."""
     return per_batch(df, upsert_batch(target, keys, order), name, checkpoint_root, every=every)
 
 
-def read_upserted(spark: SparkSession, target: str, keys: list[str], like: DataFrame | None = None) -> DataFrame:
-    """Current rows of an upsert target; before the first batch an empty table like the given one."""
-    versions = _current(spark, target, keys)
-    if versions is None:
-        if like is None:
-            raise ValueError(f"nothing has been written to {target}")
-        return spark.createDataFrame([], like.schema)
-    return versions.select(*keys, *[F.col(f"{c}.value").alias(c) for c in versions.columns if c not in keys])
-
-
 def append_counted(df: DataFrame, path: str) -> int:
     """Append rows and return how many were written, counted on the way."""
     counter = Observation()

@@ -96,6 +96,25 @@ def test_external_table(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_the_catalog_follows_the_archive(spark, tmp_path, rows):
+    root, name = str(tmp_path / "warm"), f"warm_{uuid.uuid4().hex}"
+    df = telemetry(spark, range(40))
+    everything = [(r["day"], r["count"]) for r in df.groupBy(F.dayofmonth("timestamp").alias("day")).count().collect()]
+    try:
+        kept = archive.archive_to_catalog(df, name, root, at("2024-02-03 12:00:00"), KEYS, ["speed"])
+        assert rows(archive.catalog_partitions(spark, name), "month", "day", "rows") == [(1, 31, 4), (2, 1, 4), (2, 2, 4), (2, 3, 2)]
+        for _ in range(2):  # a repeated run changes nothing
+            kept = archive.archive_to_catalog(kept, name, root, at("2030-01-01 00:00:00"), KEYS, ["speed"])
+        found = archive.catalog_partitions(spark, name)
+        assert sorted(rows(found, "day", "rows")) == sorted(everything)
+        assert kept.count() == 0
+        exact = archive.column_stats(spark.table(name), ["speed"]).select("column", "min_value", "max_value", "nulls")
+        assert rows(archive.catalog_columns(spark, name, ["speed"]), *exact.columns) == rows(exact)
+        assert "PartitionFilters" in spark.table(name).filter("day = 31")._jdf.queryExecution().toString()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_tier_of_a_row(spark):
     df = telemetry(spark, range(3), hours=24).withColumn(
         "tier", checks.tier(F.col("timestamp"), at("2024-02-02"), at("2024-02-01"))

@@ -38,9 +38,9 @@ def by_vehicle(readings):
     return groups
 
 
-@pytest.mark.parametrize("seconds", [60, 3600, 10**9])
-def test_previous_reading(frame, readings, rows, seconds):
-    found = ordered.previous_reading(frame, ["speed"], seconds=seconds)
+@pytest.mark.parametrize("ranges", [1, 2, 7, 60])
+def test_previous_reading(frame, readings, rows, ranges):
+    found = ordered.previous_reading(frame, ["speed"], ranges=ranges)
     wanted = []
     for group in by_vehicle(readings).values():
         before = None
@@ -77,7 +77,7 @@ def test_transition_shares_sum_to_one(frame):
 def test_arrival_order(spark, rows):
     data = [(i, 1, START + dt.timedelta(minutes=m)) for i, m in enumerate([0, 5, 3, 4, 9])]
     df = spark.createDataFrame(data, "event_id long, vehicle_id long, timestamp timestamp")
-    assert rows(ordered.ts_monotonic(df, arrivals_per_slice=2)) == [(1, 5, 1, False)]
+    assert rows(ordered.ts_monotonic(df, ranges=4)) == [(1, 5, 1, False)]
 
 
 def test_fuel_rises_are_refuels(spark, rows):
@@ -100,3 +100,47 @@ def test_latest_per_key(frame, readings, rows):
     out = ordered.latest_per_key(frame, "vehicle_id", ["timestamp", "event_id"], ["event_id", "speed"])
     wanted = [(v, g[-1][0], g[-1][3]) for v, g in by_vehicle(readings).items()]
     assert rows(out) == sorted(wanted, key=repr)
+
+
+def test_one_scan_one_row_shuffle_and_few_markers(spark, frame):
+    plan = ordered.previous_reading(frame.select("vehicle_id", "timestamp", "event_id", "speed"), ["speed"], ranges=50)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shuffles = [line for line in text.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    rows = [line for line in shuffles if "Reused" not in line and "SinglePartition" not in line]
+    # the frame's own repartition, then one of the rows; the borders read the same one
+    assert len(rows) == 2 and sum("Reused" in line for line in shuffles) == 1, text
+
+
+def test_ranges_are_even_whatever_the_keys(spark):
+    hot = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, id, 7) vehicle_id", "timestamp_seconds(id div 50) timestamp", "id event_id", "0.0D speed"
+    )
+    place = ["vehicle_id", "timestamp", "event_id"]
+    cuts = ordered.range_cuts(hot, place, 20)
+    sizes = [r["count"] for r in hot.groupBy(ordered.range_of(hot, place, cuts).alias("r")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3 * 20_000 / 20
+
+
+def test_equal_places_and_empty_tables(spark, rows):
+    schema = "event_id long, vehicle_id long, timestamp timestamp, speed double"
+    same = spark.createDataFrame([(1, 1, START, float(v)) for v in range(9)] + [(None, None, None, None)] * 3, schema)
+    for ranges in (1, 5, 40):
+        found = ordered.previous_reading(same, ["speed"], ranges=ranges)
+        assert rows(found.filter("vehicle_id = 1"), "speed", "prev_speed") == sorted(
+            [(float(v), float(v - 1) if v else None) for v in range(9)], key=repr
+        )
+    assert ordered.previous_reading(same.limit(0), ["speed"]).count() == 0
+
+
+def test_hours_with_incidents_only(spark, rows):
+    readings = spark.createDataFrame(
+        [(1, 1, START, 10.0, 24.0, 67.0, 50.0)],
+        "event_id long, vehicle_id long, timestamp timestamp, speed double, latitude double, longitude double, fuel_level double",
+    )
+    late = START + dt.timedelta(hours=5)
+    incidents = spark.createDataFrame([(1, START), (1, late), (2, late), (2, late)], "vehicle_id long, timestamp timestamp")
+    out = ordered.hourly_aggregations(readings, incidents)
+    assert rows(out) == sorted(
+        [(1, START, 10.0, 10.0, 0.0, 0.0, 1), (1, late, None, None, 0.0, 0.0, 1), (2, late, None, None, 0.0, 0.0, 2)], key=repr
+    )

@@ -61,3 +61,15 @@ def test_summary_fails_when_a_check_fails(spark):
         report = spark.createDataFrame([("c", "e", "x", 0, 1, True), ("d", "e", "x", 1, 1, passed)], line)
         row = quality.dq_summary(report, counts, F.lit("now")).first()
         assert (row.vehicles, row.drivers, row.checks, row.quality_check) == (3, 2, 2, verdict)
+
+
+def test_a_run_is_recorded_once(spark):
+    from haulmark.session import run_dir
+    from haulmark.sources.versioned import VersionedTable
+
+    history = VersionedTable(spark, f"{run_dir(spark, 't-runs')}/runs")
+    line = spark.createDataFrame([("2024-01-01", 3)], "run_at string, failed int")
+    assert quality.record_run(history, line, "2024-01-01")
+    assert not quality.record_run(history, line.withColumn("failed", F.lit(9)), "2024-01-01")
+    assert quality.record_run(VersionedTable(spark.newSession(), history.root), line, "2024-01-02")
+    assert [r["failed"] for r in history.read().collect()] == [3, 3]

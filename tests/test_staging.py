@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 
 from haulmark.operators import staging
+from haulmark.session import run_dir
+from haulmark.sources.versioned import VersionedTable
 
 NOW = "2024-01-01 12:00:00"
 
@@ -51,3 +53,33 @@ def test_staging_a_key_again_replaces_it(spark, rows):
     assert rows(staging.get_staged(both, "deliveries", NOW, text), "delivery_id", "status") == [(1, "Done"), (2, "Done")]
     assert rows(staging.staging_counts(both, ["deliveries"], NOW), "records") == [(2,)]
     assert rows(staging.clear_staging(both, ("staging:",))[1]) == [("staging:", 2)]
+
+
+def test_a_stored_clear_is_seen_elsewhere_and_happens_once(spark, staged, rows):
+    store = VersionedTable(spark, f"{run_dir(spark, 't-clear')}/records")
+    store.append(staged, "stage-1")
+    held = store.read()
+    assert rows(staging.clear_stored(store, "clear-1", ("staging:telemetry", "cache:"))) == [("cache:", 0), ("staging:telemetry", 2)]
+    assert rows(VersionedTable(spark.newSession(), store.root).read(), "key") == [("staging:drivers:A",)]
+    assert held.count() == 3  # a reader that began before
+    store.append(staged, "stage-2")
+    assert rows(staging.clear_stored(store, "clear-1", ("staging:telemetry",))) == [("staging:telemetry", 0)]
+    assert rows(staging.clear_stored(store, "clear-2", ("staging:",)), "removed") == [(3,)]
+    assert VersionedTable(spark.newSession(), store.root).read().count() == 0
+
+
+def test_a_clear_starts_over_when_rows_arrive(spark, staged, rows, monkeypatch):
+    store = VersionedTable(spark, f"{run_dir(spark, 't-clear')}/records")
+    store.append(staged, "stage-1")
+    write, arrived = VersionedTable.write, []
+
+    def slow(self, df, by_bucket=False):
+        commit = write(self, df, by_bucket)
+        if not arrived:
+            arrived.append(True)
+            VersionedTable(spark, store.root).append(staged.filter("entity = 'drivers'"), "stage-2")
+        return commit
+
+    monkeypatch.setattr(VersionedTable, "write", slow)
+    assert rows(staging.clear_stored(store, "clear-1", ("staging:telemetry",)), "removed") == [(2,)]
+    assert rows(store.read(), "entity") == [("drivers",), ("drivers",)]

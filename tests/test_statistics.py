@@ -22,9 +22,9 @@ def frame(spark, samples):
     return spark.createDataFrame(data, "k long, x double").repartition(5)
 
 
-@pytest.mark.parametrize("width", [0.01, 1.0, 1000.0])
-def test_quantiles(frame, samples, width):
-    found = statistics.exact_quantiles(frame, "k", "x", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}, width)
+@pytest.mark.parametrize("fit", [100_000, 300, 5])
+def test_quantiles(frame, samples, fit):
+    found = statistics.exact_quantiles(frame, "k", "x", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}, fit=fit, parts=16)
     out = {r.k: r[1:] for r in found.collect()}
     assert set(out) == set(samples)
     for k, values in samples.items():
@@ -98,3 +98,25 @@ def test_merged_sums_lose_nothing(spark):
 def test_quantiles_put_nan_last(spark):
     df = spark.createDataFrame([("a", v) for v in (-5.0, 5.0, float("nan"))], "k string, v double")
     assert statistics.exact_quantiles(df, "k", "v", {"median": 0.5}).first()["median"] == 5.0
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e9])
+def test_quantiles_of_any_range(spark, scale):
+    """A hot key, mostly equal values, infinities and NaN, at scales that no fixed bins would suit."""
+    rng = np.random.default_rng(8)
+    values = {
+        1: rng.uniform(0, 1, 6000) * scale,
+        2: np.where(rng.uniform(0, 1, 2000) < 0.7, 0.5, rng.normal(0, 1, 2000)) * scale,
+        3: np.concatenate([rng.uniform(-1, 1, 900) * scale, [np.inf] * 90, [-np.inf] * 10]),
+        4: np.concatenate([rng.uniform(-1, 1, 60) * scale, [np.nan] * 60]),
+    }
+    data = [(k, float(v)) for k, vs in values.items() for v in vs]
+    df = spark.createDataFrame(data, "k long, x double").repartition(4)
+    wanted = {"a": 0.01, "b": 0.5, "c": 0.77, "d": 0.999}
+    for r in statistics.exact_quantiles(df, "k", "x", wanted, fit=200).collect():
+        ordered = np.sort(values[r.k])
+        for name, p in wanted.items():
+            at = (len(ordered) - 1) * p
+            low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+            expected = low if low == high else low + (high - low) * (at - np.floor(at))
+            assert r[name] == expected or np.isclose(r[name], expected, rtol=1e-12, equal_nan=True), (r, name)

@@ -46,54 +46,6 @@ def test_append_holds_back_open_windows_and_late_rows_are_dropped(spark, rows):
     assert late == [0, 0, 1]
 
 
-def test_upsert_replay_and_partial_rows(spark, rows):
-    root = run_dir(spark, "t-upsert")
-    text = "id string, status string, km double, at int"
-    write = sinks.upsert_batch(f"{root}/target", ["id"], ["at"])
-    write(spark.createDataFrame([("a", "Open", 5.0, 1), ("b", "Open", 6.0, 1)], text), 0)
-    second = spark.createDataFrame([("a", "Done", None, 3), ("a", "Moving", None, 2)], text)
-    for _ in range(2):  # the same batch after a failure
-        write(second, 1)
-    write(second.limit(0), 2)
-    wanted = [("a", "Done", 5.0), ("b", "Open", 6.0)]
-    assert rows(sinks.read_upserted(spark, f"{root}/target", ["id"])) == wanted
-    sinks.fold(spark, f"{root}/target", ["id"], 2)
-    assert rows(sinks.read_upserted(spark, f"{root}/target", ["id"])) == wanted
-
-
-def test_upsert_does_not_depend_on_batch_borders(spark, rows):
-    """Out of order, repeated and tied messages, split in several ways, with and without snapshots."""
-    text = "id string, status string, km double, at int, seen int"
-    messages = [("a", "Done", None, 9, 1), ("a", "Open", 5.0, 1, 2), ("b", "Open", 1.0, 4, 3), ("b", "Late", 2.0, 4, 4),
-                ("a", "Moving", 6.0, 3, 5), ("a", "Done", None, 9, 1), ("c", None, None, None, 6)]
-    results = []
-    for n, splits in enumerate(([7], [1] * 7, [3, 4], [2, 2, 3])):
-        for fold_every in (100, 2):
-            target, at = f"{run_dir(spark, 't-split')}/target", 0
-            write = sinks.upsert_batch(target, ["id"], ["at", "seen"], fold_every)
-            for batch_id, size in enumerate(splits):
-                part = messages[at : at + size] if n % 2 else messages[::-1][at : at + size]
-                write(spark.createDataFrame(part, text), batch_id)
-                at += size
-            results.append(rows(sinks.read_upserted(spark, target, ["id"])))
-    assert results == [[("a", "Done", 6.0), ("b", "Late", 2.0), ("c", None, None)]] * 8
-
-
-def test_reading_merges_the_last_snapshot_only(spark):
-    target = f"{run_dir(spark, 't-fold')}/target"
-    write = sinks.upsert_batch(target, ["id"], ["at"], 4)
-    for batch_id in range(11):
-        write(spark.createDataFrame([(batch_id % 3, batch_id, batch_id)], "id int, v int, at int"), batch_id)
-    read = {(r.kind, r.batch_id) for r in sinks.live_versions(spark, target).select("kind", "batch_id").collect()}
-    assert read == {("snapshot", 7), ("batch", 8), ("batch", 9), ("batch", 10)}
-    assert "PartitionFilters: [" in sinks.live_versions(spark, target)._jdf.queryExecution().toString()
-
-
-def test_upsert_target_before_the_first_batch(spark):
-    like = spark.createDataFrame([], "id int, v int")
-    assert sinks.read_upserted(spark, f"{run_dir(spark, 't-none')}/target", ["id"], like).schema == like.schema
-
-
 def test_progress_is_complete_beyond_the_recent_entries(spark, tmp_path):
     src = str(tmp_path / "src")
     for i in range(115):
