@@ -100,6 +100,24 @@ def interval_counts(
     )
 
 
+def interval_pairs(
+    readings: DataFrame, incidents: DataFrame, key: str = "driver_id", seconds: int = HOUR, delay: str = "10 minutes"
+) -> DataFrame:
+    """Readings with each incident of the same key within ``seconds`` up to and including them, and readings without any.
+
+    Works on two tables and on two streams. On streams the watermarks of both
+    sides and the width of the interval bound the state: an incident is kept
+    until no reading within its interval can come, a reading without incident is
+    given out once none can come for it. Rows later than ``delay`` are dropped.
+    """
+    right = incidents.select(F.col(key).alias("_key"), F.col("timestamp").alias("incident_time"), "incident_id")
+    if readings.isStreaming:
+        readings, right = readings.withWatermark("timestamp", delay), right.withWatermark("incident_time", delay)
+    span = F.expr(f"INTERVAL {seconds} SECONDS")
+    within = (F.col("incident_time") >= F.col("timestamp") - span) & (F.col("incident_time") <= F.col("timestamp"))
+    return readings.join(right, (F.col(key) == F.col("_key")) & within, "left_outer").drop("_key")
+
+
 def _mark(us: Column, step: int, change: int, slice: Column) -> Column:
     return F.struct(us.alias("us"), F.lit(step).alias("step"), F.lit(change).alias("change"), slice.alias("slice"))
 

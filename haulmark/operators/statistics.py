@@ -23,6 +23,22 @@ def counts_by(df: DataFrame, column: str, entity: str) -> DataFrame:
     )
 
 
+def daily_sketches(df: DataFrame, columns: list[str], keys: list[str], time: str = "timestamp", lg_k: int = 14) -> DataFrame:
+    """Per day and keys, a sketch of the distinct values of each column; days merge into any span without reading rows again.
+
+    A sketch of 2^lg_k registers has a relative standard error of about 1.04 / 2^(lg_k / 2).
+    Numbers are sketched as their text, as a sketch takes integers and text only.
+    """
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(c) for c in columns]
+    return df.groupBy(F.to_date(time).alias("day"), *keys).agg(*sketches)
+
+
+def distinct_over(sketches: DataFrame, columns: list[str], keys: list[str], first: str, last: str) -> DataFrame:
+    """Estimated distinct values of each column over the days from first to last, out of stored daily sketches."""
+    span = sketches.filter(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return span.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 

@@ -407,6 +407,7 @@ INTERVAL = """incidents i ON i.driver_id = t.driver_id
     AND i."timestamp" BETWEEN t."timestamp" - INTERVAL 1 HOUR AND t."timestamp\""""
 SQL["join_interval"] = f"""SELECT t.driver_id, t.event_id, t."timestamp", t.vehicle_id, COUNT(i.incident_id) AS incidents
     FROM telemetry t LEFT JOIN {INTERVAL} GROUP BY ALL"""
+SQL["stream_join_interval"] = SQL["join_interval"]
 SQL["fk_orphans"] = " UNION ALL ".join(
     f"""SELECT '{fact}' AS entity, '{c}' AS "column", CAST(f.{c} AS BIGINT) AS fk, COUNT(*) AS rows FROM {fact} f
     WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{c} = f.{c}) GROUP BY f.{c}"""
@@ -420,6 +421,12 @@ SQL["stream_enrich"] = """SELECT t.driver_id, t.event_id, t.speed, d.name, d.rat
 SQL["table_counts"] = " UNION ALL ".join(f"SELECT '{e}' AS entity, COUNT(*) AS rows FROM {e}" for e in VIEWS)
 SQL["count_distincts"] = """SELECT road_type, COUNT(DISTINCT vehicle_id) AS vehicles,
     COUNT(DISTINCT CAST("timestamp" AS DATE)) AS days, COUNT(DISTINCT speed) AS speeds FROM telemetry GROUP BY road_type"""
+SQL["distinct_estimates"] = " UNION ALL ".join(
+    f"""SELECT road_type, '{first}' AS first_day, COUNT(DISTINCT vehicle_id) AS vehicles, COUNT(DISTINCT speed) AS speeds,
+    TRUE AS vehicle_id_near, TRUE AS speed_near FROM telemetry WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'
+    GROUP BY road_type"""
+    for first, last in (("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-01", "2024-01-31"))
+)
 SQL["counts_by_category"] = " UNION ALL ".join(
     f"""SELECT '{e}' AS entity, '{c}' AS "column", {c} AS category, COUNT(*) AS rows FROM {e} GROUP BY {c}"""
     for e, c in (("vehicles", "vehicle_type"), ("drivers", "status"), ("customers", "customer_type"))
@@ -571,9 +578,11 @@ SQL["stream_append_vs_update"] = f"""SELECT 'append' AS mode, COUNT(*) AS window
     (SELECT window_start, vehicle_id, COUNT(*) AS n FROM {SLIDING} GROUP BY 1, 2) WHERE {CLOSED}
     UNION ALL SELECT 'update', COUNT(*), CAST(SUM(n) AS BIGINT) FROM
     (SELECT window_start, vehicle_id, COUNT(*) AS n FROM {SLIDING} GROUP BY 1, 2)"""
-SQL["stream_late_data"] = f"""SELECT COUNT(*) AS windows, CAST(SUM(n) AS BIGINT) AS records, TRUE AS late_dropped FROM
-    (SELECT window_start, vehicle_id, COUNT(*) AS n FROM {TUMBLING}
-    WHERE NOT ("timestamp" < TIMESTAMP '2024-01-16' AND event_id % 10 = 0) GROUP BY 1, 2) WHERE {CLOSED}"""
+STRAGGLER = "\"timestamp\" < TIMESTAMP '2024-01-16' AND event_id % 10 = 0"
+SQL["stream_late_data"] = f"""SELECT COUNT(*) AS windows, CAST(SUM(n) AS BIGINT) AS records,
+    (SELECT COUNT(*) FROM {TUMBLING} WHERE {STRAGGLER} AND window_start + INTERVAL 5 MINUTES <=
+        (SELECT MAX("timestamp") - INTERVAL 10 MINUTES FROM telemetry WHERE NOT ({STRAGGLER}))) AS late_rows FROM
+    (SELECT window_start, vehicle_id, COUNT(*) AS n FROM {TUMBLING} WHERE NOT ({STRAGGLER}) GROUP BY 1, 2) WHERE {CLOSED}"""
 VALID = "vehicle_id IS NOT NULL AND speed BETWEEN 0 AND 200 AND fuel_level BETWEEN 0 AND 100"
 SQL["stream_multi"] = f"""SELECT 'valid' AS output, COUNT(*) AS rows FROM telemetry WHERE {VALID}
     UNION ALL SELECT 'anomalies', COUNT(*) FROM telemetry WHERE {VALID} AND {ANOMALY}

@@ -541,6 +541,9 @@ def join_interval(s):
     return joins.interval_counts(s.telemetry, s.incidents, columns=["vehicle_id"])
 
 
+QUERIES["stream_join_interval"] = jobs.interval_stream
+
+
 @star("fk_orphans")
 def fk_orphans(s):
     return quality.fk_orphans(views(s))
@@ -571,6 +574,24 @@ def count_distincts(s):
     )
 
 
+@star("distinct_estimates")
+def distinct_estimates(s):
+    """Distinct counts of three spans merged from stored daily sketches, beside the exact ones they must be near to."""
+    columns, road = ["vehicle_id", "speed"], labels.road_type(F.col("segment")).alias("road_type")
+    t = s.telemetry.withColumn("road_type", road)
+    path = run_dir(s.spark, "sketches")
+    statistics.daily_sketches(t, columns, ["road_type"]).write.parquet(path)
+    out = []
+    for first, last in (("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-01", "2024-01-31")):
+        near = statistics.distinct_over(s.spark.read.parquet(path), columns, ["road_type"], first, last)
+        days = t.filter((F.col("timestamp") >= F.lit(first).cast("timestamp")) & (F.to_date("timestamp") <= F.lit(last).cast("date")))
+        exact = days.groupBy("road_type").agg(*[F.count_distinct(c).alias(f"{c}_exact") for c in columns])
+        close = [(F.abs(F.col(c) - F.col(f"{c}_exact")) <= 0.04 * F.col(f"{c}_exact")).alias(f"{c}_near") for c in columns]
+        out.append(near.join(exact, "road_type").select("road_type", F.lit(first).alias("first_day"), F.col("vehicle_id_exact").alias("vehicles"),
+                                                        F.col("speed_exact").alias("speeds"), *close))
+    return joins.union_all(out)
+
+
 @star("counts_by_category")
 def counts_by_category(s):
     out = joins.union_all(

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.timing import iso_text, parse_ts
 from haulmark.operators.checks import anomalies, validate
-from haulmark.operators.joins import union_all
+from haulmark.operators.joins import interval_pairs, union_all
 from haulmark.operators.rollups import sliding_rollup
 from haulmark.schemas import schema_for
 from haulmark.session import run_dir
 from haulmark.sources.envelopes import decode, encode_envelope, publish, read_stream
 from haulmark.sources.tables import DELIVERIES, INCIDENTS, TELEMETRY, load, read_table, table_schema
-from haulmark.streaming import sinks
+from haulmark.streaming import lateness, sinks
 from haulmark.streaming.keyed import read_upserted, upsert_batch
 
 
@@ -125,28 +125,58 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-minute windows per vehicle when every tenth early reading arrives last.
 
     Three runs share one checkpoint: early readings, later readings, and the
-    stragglers. The watermark has passed the stragglers by then, so they are
-    dropped. Spark counts them after partial aggregation, so the number depends
-    on the file layout and only its presence is reported.
+    stragglers. The watermark has passed the windows of most stragglers by then.
     """
     root = run_dir(spark, "late")
     t = load(spark, sf_dir, "telemetry").select("event_id", "vehicle_id", "timestamp", "speed", "fuel_level", "engine_temp")
     early, straggler = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"), F.col("event_id") % 10 == 0
     parts = (t.filter(early & ~straggler), t.filter(~early), t.filter(early & straggler))
-    late = 0
-    log = sinks.watch(spark)
+    log, arrivals = sinks.watch(spark), lateness.Arrivals()
     for phase, part in enumerate(parts):
         sinks.lit_phase(part, f"{root}/src", phase)
         stream = sinks.phase_stream(spark, f"{root}/src", t)
-        windows = sliding_rollup(stream, slide=None)
-        query = sinks.start(windows, "late", f"{root}/out", f"{root}/checkpoints")
+        query = lateness.start_counted_windows(stream, f"{root}/windows", "late", f"{root}/checkpoints")
         sinks.await_all(query)
-        late += sum(row[3] for row in log.of(query))
+        arrivals.add(log, query)
     spark.streams.removeListener(log)
-    done = _read(spark, windows, f"{root}/out")
-    return done.agg(F.count("*").alias("windows"), F.sum("record_count").alias("records")).withColumn(
-        "late_dropped", F.lit(late > 0)
-    )
+    return lateness.late_report(spark, f"{root}/windows", arrivals)
+
+
+def interval_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents of a driver in the hour before each reading, both read as streams in three parts of the month.
+
+    Closing readings and incidents of no real driver, weeks later, let the
+    watermark pass all others; they are left out of the result.
+    """
+    root = run_dir(spark, "interval")
+    readings = load(spark, sf_dir, "telemetry").select("event_id", "driver_id", "vehicle_id", "timestamp")
+    incidents = load(spark, sf_dir, "incidents").select("incident_id", "driver_id", "timestamp")
+    # A driver of their own: incidents without driver are filtered out before they could move the watermark.
+    kinds = {name: F.lit(-1).cast(readings.schema[name].dataType).alias(name) for name in ("driver_id", "vehicle_id")}
+
+    def closing(day: str) -> tuple[DataFrame, DataFrame]:
+        one, time = spark.range(1), F.lit(day).cast("timestamp").alias("timestamp")
+        none = F.lit(-1).cast("bigint")
+        return (
+            one.select(none.alias("event_id"), kinds["driver_id"], kinds["vehicle_id"], time),
+            one.select(none.alias("incident_id"), kinds["driver_id"], time),
+        )
+
+    borders = [F.lit(f"2024-{day}").cast("timestamp") for day in ("01-01", "01-11", "01-21", "03-01")]
+    within = [(F.col("timestamp") >= a) & (F.col("timestamp") < b) for a, b in zip(borders, borders[1:], strict=False)]
+    parts = [(readings.filter(w), incidents.filter(w)) for w in within]
+    # The first moves the watermark, and the batch of the second uses it.
+    parts += [closing("2024-03-01"), closing("2024-03-02")]
+    for phase, (some_readings, some_incidents) in enumerate(parts):
+        sinks.lit_phase(some_readings, f"{root}/readings", phase)
+        sinks.lit_phase(some_incidents, f"{root}/incidents", phase)
+        pairs = interval_pairs(
+            sinks.phase_stream(spark, f"{root}/readings", readings).drop("phase"),
+            sinks.phase_stream(spark, f"{root}/incidents", incidents).drop("phase"),
+        )
+        sinks.await_all(sinks.start(pairs, "interval", f"{root}/pairs", f"{root}/checkpoints"))
+    found = _read(spark, pairs, f"{root}/pairs").filter(F.col("event_id") >= 0)
+    return found.groupBy("driver_id", "event_id", "timestamp", "vehicle_id").agg(F.count("incident_id").alias("incidents"))
 
 
 def append_vs_update(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,10 +93,14 @@ def append_batches(*outputs: tuple[str, Callable[[DataFrame], DataFrame]]) -> Ca
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the progress of every batch: name, batch, input rows and late rows, one tuple each."""
+    """Keeps the progress of every batch: name, batch, input rows and late rows, one tuple each.
+
+    details: by run and batch, the observed metrics and the watermark that the batch used.
+    """
 
     def __init__(self):
         self.rows: dict[str, list[tuple[str, int, int, int]]] = {}
+        self.details: dict[str, dict[int, tuple[dict[str, dict], str | None]]] = {}
         self.ended: set[str] = set()
 
     def onQueryStarted(self, event):
@@ -106,6 +110,8 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
         self.rows.setdefault(str(p.runId), []).append((p.name, p.batchId, p.numInputRows, late))
+        metrics = {name: row.asDict() for name, row in p.observedMetrics.items()}
+        self.details.setdefault(str(p.runId), {})[p.batchId] = metrics, p.eventTime.get("watermark")
 
     def onQueryIdle(self, event):
         pass

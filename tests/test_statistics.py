@@ -120,3 +120,18 @@ def test_quantiles_of_any_range(spark, scale):
             low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
             expected = low if low == high else low + (high - low) * (at - np.floor(at))
             assert r[name] == expected or np.isclose(r[name], expected, rtol=1e-12, equal_nan=True), (r, name)
+
+
+def test_daily_sketches_merge_into_spans(spark):
+    data = [(dt.datetime(2024, 1, 1 + i % 10), i % 2, i % 3000, None if i % 7 == 0 else i / 4) for i in range(20_000)]
+    df = spark.createDataFrame(data, "timestamp timestamp, k int, a long, b double")
+    sketches = statistics.daily_sketches(df, ["a", "b"], ["k"])
+    assert sketches.count() == 10
+    for first, last in ((1, 10), (2, 4), (9, 9)):
+        span = df.filter(F.dayofmonth("timestamp").between(first, last))
+        exact = {r.k: r[1:] for r in span.groupBy("k").agg(F.count_distinct("a"), F.count_distinct("b")).collect()}
+        found = statistics.distinct_over(sketches, ["a", "b"], ["k"], f"2024-01-{first:02}", f"2024-01-{last:02}")
+        near = {r.k: r[1:] for r in found.collect()}
+        assert set(near) == set(exact)
+        # three standard errors
+        assert all(abs(a - b) <= 3 * 1.04 / 2**7 * b for k in exact for a, b in zip(near[k], exact[k]))

@@ -5,11 +5,11 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from haulmark.operators import checks, rollups
+from haulmark.operators import checks, joins, rollups
 from haulmark.schemas import schema_for
 from haulmark.session import run_dir
 from haulmark.sources import envelopes
-from haulmark.streaming import sinks
+from haulmark.streaming import lateness, sinks
 
 START = dt.datetime(2024, 1, 1)
 
@@ -46,6 +46,49 @@ def test_append_holds_back_open_windows_and_late_rows_are_dropped(spark, rows):
     assert late == [0, 0, 1]
 
 
+@pytest.mark.parametrize("files", [1, 6])
+def test_late_rows_are_counted_one_by_one(spark, files):
+    """The same figure however the rows are dealt over files, where Spark's own counts rows after partial aggregation."""
+    root = run_dir(spark, "t-counted")
+    log, arrivals = sinks.watch(spark), lateness.Arrivals()
+    for phase, minutes in enumerate(([0, 1, 2], [60], [2, 2, 3, 4, 58, 61])):
+        part = readings(spark, minutes, 10 * phase).repartition(files)
+        sinks.lit_phase(part, f"{root}/src", phase)
+        query = lateness.start_counted_windows(sinks.phase_stream(spark, f"{root}/src", part), f"{root}/out", "late", f"{root}/ckpt")
+        sinks.await_all(query)
+        arrivals.add(log, query)
+    spark.streams.removeListener(log)
+    assert arrivals.rows == 10
+    # 50 minutes is the watermark: the window of the first minutes is closed with its three readings, four came later
+    assert lateness.late_report(spark, f"{root}/out", arrivals).first()[:] == (1, 3, 4)
+
+
+def test_interval_join_of_two_streams(spark, rows):
+    root = run_dir(spark, "t-interval")
+    kinds = ("event_id long, driver_id long, timestamp timestamp", "incident_id long, driver_id long, timestamp timestamp")
+    at = lambda m: START + dt.timedelta(minutes=m)
+    steps = (
+        ([(1, 1, at(0)), (2, 1, at(30)), (3, 2, at(30)), (4, None, at(31))], [(1, 1, at(0)), (2, 1, at(29)), (3, None, at(30))]),
+        ([(5, 1, at(60)), (6, 1, at(90)), (7, 2, at(95))], [(4, 2, at(94)), (5, 2, at(96))]),
+        ([(8, 9, at(9000))], [(9, 9, at(9000))]),
+        ([(9, 9, at(20000))], [(10, 9, at(20000))]),
+    )
+    tables = [[], []]
+    for phase, parts in enumerate(steps):
+        streams = []
+        for side, (part, kind, all_rows) in enumerate(zip(parts, kinds, tables, strict=True)):
+            df = spark.createDataFrame(part, kind)
+            all_rows += part
+            sinks.lit_phase(df, f"{root}/{side}", phase)
+            streams.append(sinks.phase_stream(spark, f"{root}/{side}", df).drop("phase"))
+        sinks.await_all(sinks.start(joins.interval_pairs(*streams), "pairs", f"{root}/out", f"{root}/ckpt"))
+    streamed = spark.read.parquet(f"{root}/out").filter("event_id < 8").select("event_id", "incident_id")
+    batch = joins.interval_pairs(*(spark.createDataFrame(t, k) for t, k in zip(tables, kinds, strict=True)))
+    wanted = [(1, 1), (2, 1), (2, 2), (3, None), (4, None), (5, 1), (5, 2), (6, None), (7, 4)]
+    assert sorted(rows(streamed), key=repr) == sorted(wanted, key=repr)
+    assert rows(batch.filter("event_id < 8"), "event_id", "incident_id") == sorted(wanted, key=repr)
+
+
 def test_progress_is_complete_beyond_the_recent_entries(spark, tmp_path):
     src = str(tmp_path / "src")
     for i in range(115):
