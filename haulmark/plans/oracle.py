@@ -658,6 +658,44 @@ LIMITS = [
     ("enum", "incidents", "severity", "severity NOT IN ('Low', 'Medium', 'High')"),
 ]
 SQL["dq_schema_rules"] = checks([("required", e, c, f"{c} IS NULL") for e, cs in REQUIRED.items() for c in cs] + LIMITS)
+PLANTED = {  # entity: key, path whose value has the wrong type in every fiftieth document
+    "vehicles": ("vehicle_id", "year"), "drivers": ("driver_id", "rating"), "warehouses": ("warehouse_id", "location"),
+    "customers": ("customer_id", "name"), "telemetry": ("event_id", "speed"), "deliveries": ("delivery_id", "driver_id"),
+    "incidents": ("incident_id", "timestamp"),
+}
+TYPED = {
+    "vehicles": "vehicle_id make model year capacity_kg fuel_capacity",
+    "drivers": "driver_id name license_number experience_years rating",
+    "warehouses": "warehouse_id name location location.latitude location.longitude city capacity_sqft",
+    "customers": "customer_id name location location.latitude location.longitude city",
+    "telemetry": "vehicle_id timestamp latitude longitude speed fuel_level odometer engine_temp",
+    "deliveries": "delivery_id vehicle_id driver_id warehouse_id customer_id",
+    "incidents": "incident_id vehicle_id timestamp",
+}
+
+
+def raw_rules() -> list[tuple[str, str, str, str]]:
+    """(check, entity, path, condition) over the views, with the planted faults."""
+    out = []
+    for e, (key, path) in PLANTED.items():
+        whole, hurt = f"COALESCE({key} % 70 <> 9, TRUE)", f"COALESCE({key} % 50 = 3, FALSE)"
+        out.append(("json", e, "$", f"NOT {whole}"))
+        for c in REQUIRED[e]:
+            lost = f"({c} IS NULL OR {hurt})" if path == "location" and c.startswith("location.") else f"{c} IS NULL"
+            out.append(("required", e, c, f"{whole} AND {lost}"))
+        out += [("type", e, c, f"{whole} AND {hurt} AND {c} IS NOT NULL" if c == path else "FALSE") for c in TYPED[e].split()]
+        for check, entity, c, bad in LIMITS:
+            if entity == e:
+                out.append((check, e, c, f"{whole} AND {bad}" + (f" AND NOT {hurt}" if c == path else "")))
+    return out
+
+
+SQL["dq_raw_rules"] = checks(raw_rules())
+SQL["dq_quarantine"] = " UNION ALL ".join(
+    f"""SELECT '{e}' AS entity, COUNT(*) FILTER (WHERE NOT bad) AS passed, COUNT(*) FILTER (WHERE bad) AS quarantined FROM
+    (SELECT {' OR '.join(f'COALESCE({bad}, FALSE)' for _, entity, _, bad in raw_rules() if entity == e)} AS bad FROM {e})"""
+    for e in PLANTED
+)
 UNIQUE = [("vehicles", "vehicle_id"), ("drivers", "driver_id"), ("drivers", "license_number"),
           ("warehouses", "warehouse_id"), ("customers", "customer_id"), ("deliveries", "delivery_id"),
           ("incidents", "incident_id")]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from haulmark.functions import geo, labels, numeric, timing
-from haulmark.operators import archive, checks, joins, kpis, models, ordered, quality, rollups, staging, statistics
+from haulmark.operators import archive, checks, joins, kpis, models, ordered, quality, rollups, staging, statistics, typed
 from haulmark.plans import reports
 from haulmark.schemas import DIMENSIONS, ENTITIES, KEYS
 from haulmark.session import run_dir
@@ -833,6 +833,45 @@ star("dq_nulls")(lambda s: quality.dq_nulls(views(s)))
 star("dq_missing")(lambda s: quality.dq_missing(views(s)))
 star("dq_outliers")(lambda s: quality.dq_outliers(views(s)))
 star("dq_ranges")(lambda s: quality.dq_ranges(views(s)))
+# Of every fiftieth document the value of one path is replaced by one of another type.
+PLANTED = {
+    "vehicles": ("vehicle_id", "year", '"new"'), "drivers": ("driver_id", "rating", "true"),
+    "warehouses": ("warehouse_id", "location", '"here"'), "customers": ("customer_id", "name", "7"),
+    "telemetry": ("event_id", "speed", '"fast"'), "deliveries": ("delivery_id", "driver_id", "12"),
+    "incidents": ("incident_id", "timestamp", '"soon"'),
+}
+
+
+def _raw_documents(s: Star) -> DataFrame:
+    """The tables as JSON documents with text ids, some with a value of the wrong type, some cut off."""
+    out = []
+    for entity, (key, path, wrong) in PLANTED.items():
+        df = envelopes.extract_dimension(getattr(s, entity))
+        names = {p.name.split(".")[0] for p in typed.DOCUMENTS[entity]} & set(df.columns)
+        fields = [F.col(c).cast("string").alias(c) if c.endswith("_id") else F.col(c) for c in sorted(names)]
+        value = F.to_json(F.struct(*fields))
+        hurt = F.regexp_replace(value, f'"{path}":(\\{{[^}}]*\\}}|"[^"]*"|[^,}}]*)', f'"{path}":{wrong}')
+        value = F.when(F.col(key) % 50 == 3, hurt).otherwise(value)
+        value = F.when(F.col(key) % 70 == 9, F.substring(value, 1, 12)).otherwise(value)
+        out.append(df.select(F.lit(entity).alias("entity"), value.alias("value")))
+    return joins.union_all(out)
+
+
+star("dq_raw_rules")(lambda s: typed.rule_counts(typed.tagged(_raw_documents(s))))
+
+
+@star("dq_quarantine")
+def dq_quarantine(s):
+    """Documents per entity that passed, and that the stored quarantine holds after a run that was repeated."""
+    table = VersionedTable(s.spark, f"{run_dir(s.spark, 'quarantine')}/documents")
+    for _ in range(2):
+        passed = typed.quarantine(typed.tagged(_raw_documents(s)), table, "2024-01-31")
+    held = table.read().groupBy("entity").agg(F.count("*").alias("quarantined"))
+    left = passed.groupBy("entity").agg(F.count("*").alias("passed"))
+    counts = left.join(held, "entity", "full")
+    return counts.select("entity", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("passed", "quarantined")])
+
+
 star("dq_schema_rules")(lambda s: quality.dq_schema_rules(views(s)))
 star("dq_duplicates")(lambda s: quality.dq_duplicates(views(s), UNIQUE))
 star("dq_foreign_keys")(lambda s: quality.dq_foreign_keys(views(s)))
