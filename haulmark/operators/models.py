@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.labels import bucket, lookup
 from haulmark.functions.numeric import clip, gaussian_pdf, steady_avg, steady_sum
-from haulmark.functions.timing import time_of_day
 
 # Multipliers of the incident rate.
 BASE_RATE = 0.1
@@ -61,23 +60,6 @@ def route_moves() -> dict[tuple[str, str], float]:
     return pairs_of(ROUTE_MOVES)
 
 
-def conditions(readings: DataFrame) -> DataFrame:
-    """Weather, traffic, behaviour and time class of readings that carry none of their own.
-
-    Fuel and event number stand in for the missing sensors.
-    """
-    pick = lambda c, names: F.element_at(F.array(*[F.lit(x) for x in names]), (c % len(names) + 1).cast("int"))
-    fuel, event = F.col("fuel_level").cast("int"), F.col("event_id")
-    return readings.withColumns(
-        {
-            "weather": F.when(fuel.isNotNull(), pick(fuel, ["clear", "rain", "fog", "dust", "snow"])),
-            "traffic": pick(event, ["light", "moderate", "heavy", "congested"]),
-            "behaviour": F.when(F.col("speed") > 100, "aggressive").when(F.col("speed") < 20, "cautious").otherwise("normal"),
-            "time_of_day": time_of_day(F.col("timestamp")),
-        }
-    )
-
-
 def risk_rate(base: float = BASE_RATE, **factors: Column) -> Column:
     """Incidents per hour: the base rate times one multiplier per factor, unknown values count 1."""
     rate = F.lit(float(base))
@@ -88,10 +70,10 @@ def risk_rate(base: float = BASE_RATE, **factors: Column) -> Column:
 
 
 def with_risk(readings: DataFrame, drivers: DataFrame) -> DataFrame:
-    """Readings with their conditions, driver experience and incident rate."""
+    """Readings, which carry weather, traffic, behaviour and time_of_day, with driver experience and incident rate."""
     years = drivers.select("driver_id", bucket(F.col("experience_years"), RISK_EXPERIENCE).alias("experience"))
     factors = {name: F.col(name) for name in RISK}
-    return conditions(readings).join(years, "driver_id", "left").withColumn("rate", F.round(risk_rate(**factors), 6))
+    return readings.join(years, "driver_id", "left").withColumn("rate", F.round(risk_rate(**factors), 6))
 
 
 def expected_speed(road: Column, when: Column, weather: Column, behaviour: Column) -> Column:
@@ -107,10 +89,10 @@ def speed_std(road: Column, when: Column) -> Column:
 
 
 def speed_zscore(readings: DataFrame) -> DataFrame:
-    """Distance of each reading from the expected speed in standard deviations."""
+    """Distance of each reading, with road type, time of day, weather and behaviour, from the expected speed in standard deviations."""
     road, when = F.col("road_type"), F.col("time_of_day")
     mean = expected_speed(road, when, F.col("weather"), F.col("behaviour"))
-    return conditions(readings).select(
+    return readings.select(
         "event_id",
         "vehicle_id",
         "speed",

@@ -82,6 +82,6 @@ def export_json(df: DataFrame, path: str) -> None:
     extract_dimension(df).write.mode("overwrite").json(path)
 
 
-def json_document(top: DataFrame) -> DataFrame:
-    """A short, already limited result as one JSON array."""
-    return top.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*top.columns)))).alias("document"))
+def json_document(top: DataFrame, rows: int = 10_000) -> DataFrame:
+    """The first rows of a result as one JSON array."""
+    return top.limit(rows).agg(F.to_json(F.sort_array(F.collect_list(F.struct(*top.columns)))).alias("document"))

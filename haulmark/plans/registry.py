@@ -19,7 +19,7 @@ from haulmark.plans import reports
 from haulmark.schemas import DIMENSIONS, ENTITIES, KEYS
 from haulmark.session import run_dir
 from haulmark.sources import envelopes
-from haulmark.sources.tables import AS_OF, Star, load, read_table
+from haulmark.sources.tables import AS_OF, Star, conditions, load, observed_drivers, read_table, with_throttle
 from haulmark.sources.versioned import VersionedTable
 from haulmark.streaming import jobs, sinks
 
@@ -949,17 +949,17 @@ star("incidents_formatted")(reports.incidents_formatted)
 
 @star("risk_rate")
 def risk_rate(s):
-    return models.with_risk(s.telemetry, s.drivers).select(
+    return models.with_risk(conditions(s.telemetry), s.drivers).select(
         "event_id", "experience", "weather", "traffic", "time_of_day", "behaviour", "rate"
     )
 
 
 @star("risk_expected")
 def risk_expected(s):
-    return models.risk_expected(s.telemetry, s.drivers, s.incidents)
+    return models.risk_expected(conditions(s.telemetry), s.drivers, s.incidents)
 
 
-star("speed_zscore")(lambda s: models.speed_zscore(s.telemetry))
+star("speed_zscore")(lambda s: models.speed_zscore(conditions(s.telemetry)))
 
 
 @star("time_of_day")
@@ -970,21 +970,12 @@ def time_of_day(s):
 @star("fuel_rate")
 def fuel_rate(s):
     rpm = models.rpm_from_speed(F.col("speed"))
-    throttle = F.least(F.lit(100.0), F.col("fuel_level"))
-    return s.telemetry.select(
-        "event_id",
-        rpm.alias("rpm"),
-        models.fuel_rate(F.col("speed"), rpm, throttle, F.col("engine_temp")).alias("litres_per_hour"),
-    )
+    litres = models.fuel_rate(F.col("speed"), rpm, F.col("throttle"), F.col("engine_temp"))
+    return with_throttle(s.telemetry).select("event_id", rpm.alias("rpm"), litres.alias("litres_per_hour"))
 
 
 def _driver_states(s):
-    observed = s.telemetry.select(
-        "event_id", "driver_id", "timestamp",
-        (F.col("speed") - 50.0).alias("speed_deviation"),
-        (F.col("fuel_level") * 12 + 300.0).alias("reaction_time_ms"),
-    )
-    return models.driver_state(observed)
+    return models.driver_state(observed_drivers(s.telemetry))
 
 
 @star("driver_state")

@@ -254,7 +254,8 @@ def fuel_pattern(
             F.round(fuel, 2).alias("avg_fuel_level"),
             F.round(speed, 2).alias("avg_speed"),
             F.round(merged_avg("engine_temp", weight), 2).alias("avg_engine_temp"),
-            F.round(F.try_divide(span, F.count_distinct("day")), 2).alias("avg_daily_fuel_consumption"),
+            # a set of days, bounded by the lookback; a second distinct count would copy every row once more
+            F.round(F.try_divide(span, F.size(F.collect_set("day"))), 2).alias("avg_daily_fuel_consumption"),
             F.round(F.try_divide(speed, fuel) * 100, 2).alias("fuel_efficiency_index"),
             _merged_count("low_fuel", weight).alias("low_fuel_instances"),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -46,7 +48,10 @@ def shared_root(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=1)
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="haulmark-")
+    """Scratch space of a local session, removed when its process ends."""
+    root = tempfile.mkdtemp(prefix="haulmark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

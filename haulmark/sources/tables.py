@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haulmark.functions.timing import time_of_day
 from haulmark.schemas import ENTITIES
 
 EPOCH = "2024-01-01 00:00:00"
@@ -208,3 +210,31 @@ class Star:
         if entity not in self._loaded:
             self._loaded[entity] = load(self.spark, self.sf_dir, entity)
         return self._loaded[entity]
+
+
+def conditions(readings: DataFrame) -> DataFrame:
+    """Readings with weather, traffic, behaviour and time class. The given tables have no such sensors; fuel and event number stand in."""
+    pick = lambda c, names: F.element_at(F.array(*[F.lit(x) for x in names]), (c % len(names) + 1).cast("int"))
+    fuel, event = F.col("fuel_level").cast("int"), F.col("event_id")
+    return readings.withColumns(
+        {
+            "weather": F.when(fuel.isNotNull(), pick(fuel, ["clear", "rain", "fog", "dust", "snow"])),
+            "traffic": pick(event, ["light", "moderate", "heavy", "congested"]),
+            "behaviour": F.when(F.col("speed") > 100, "aggressive").when(F.col("speed") < 20, "cautious").otherwise("normal"),
+            "time_of_day": time_of_day(F.col("timestamp")),
+        }
+    )
+
+
+def observed_drivers(readings: DataFrame) -> DataFrame:
+    """Speed deviation and reaction time of drivers. The given tables have neither; speed and fuel stand in."""
+    return readings.select(
+        "event_id", "driver_id", "timestamp",
+        (F.col("speed") - 50.0).alias("speed_deviation"),
+        (F.col("fuel_level") * 12 + 300.0).alias("reaction_time_ms"),
+    )
+
+
+def with_throttle(readings: DataFrame) -> DataFrame:
+    """Readings with a throttle position, for which the fuel level stands in."""
+    return readings.withColumn("throttle", F.least(F.lit(100.0), F.col("fuel_level")))

@@ -39,9 +39,12 @@ def to_console(df: DataFrame, name: str, mode: str = "append", every: str | None
     return _trigger(writer, every).start()
 
 
-def to_memory(df: DataFrame, name: str, mode: str = "complete", every: str | None = None) -> StreamingQuery:
-    """Small results as an in-memory table of that name; the rows live on the driver."""
-    writer = df.writeStream.format("memory").outputMode(mode).queryName(name)
+def to_memory(
+    df: DataFrame, name: str, mode: str = "complete", every: str | None = None, rows: int | None = 10_000
+) -> StreamingQuery:
+    """The first rows of a result as an in-memory table of that name; they live on the driver, so their number is bounded."""
+    shown = df if rows is None else df.limit(rows)
+    writer = shown.writeStream.format("memory").outputMode(mode).queryName(name)
     return _trigger(writer, every).start()
 
 

@@ -95,7 +95,7 @@ def test_progress_is_complete_beyond_the_recent_entries(spark, tmp_path):
         spark.range(i, i + 3).coalesce(1).write.mode("append").parquet(src)
     log = sinks.watch(spark)
     stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
-    query = sinks.to_memory(stream, "many", "append")
+    query = sinks.to_memory(stream, "many", "append", rows=None)
     sinks.await_all(query)
     table = sinks.progress_table(spark, log, query)
     assert table.agg(F.sum("input_rows"), F.count_distinct("batch_id")).first()[:] == (345, 115)
@@ -127,11 +127,20 @@ def test_json_folder_as_a_topic(spark, tmp_path, rows):
     assert rows(spark.table("tagged")) == [("a", "OVER_SPEED")]
     # Progress counts rows that leave the scan, so it is read off a query without filters to push down.
     log = sinks.watch(spark)
-    plain = sinks.to_memory(stream, "plain", "append")
+    plain = sinks.to_memory(stream, "plain", "append", rows=None)
     sinks.await_all(plain)
     assert rows(sinks.progress_table(spark, log, plain), "query", "input_rows") == [("plain", 2)]
 
 
+def test_the_memory_sink_is_bounded(spark):
+    root = run_dir(spark, "t-memory")
+    sinks.lit_phase(readings(spark, range(50)), f"{root}/src", 0)
+    stream = sinks.phase_stream(spark, f"{root}/src", readings(spark, [0]))
+    sinks.await_all(sinks.to_memory(stream, "few", "append", rows=7))
+    sinks.await_all(sinks.to_memory(stream.groupBy("event_id").count(), "groups", "complete", rows=9))
+    assert (spark.table("few").count(), spark.table("groups").count()) == (7, 9)
+
+
 def test_console_runs(spark, tmp_path):
     root = run_dir(spark, "t-console")
     sinks.lit_phase(readings(spark, [0]), f"{root}/src", 0)
