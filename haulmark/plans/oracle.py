@@ -954,6 +954,30 @@ SQL["doc_q5"] = f"""SELECT {levels('r.experience_years', *EXP3S)} AS experience_
     COUNT(d.delivery_id) AS total_deliveries, {rnd(davg('d.delivery_minutes'), 4)} AS avg_delivery_time,
     {rnd('COUNT(*) FILTER (WHERE d.on_time) * 100.0::DOUBLE / COUNT(*)', 4)} AS success_rate FROM deliveries d
     JOIN drivers r ON d.driver_id = r.driver_id WHERE d.pickup_time > {LOOKBACK} GROUP BY 1 HAVING COUNT(d.delivery_id) > 10"""
+
+
+def published(name: str, days: int, limits: dict[str, str]) -> str:
+    """A report at its published span and limits: each lowered limit stands once in the twin above."""
+    out = SQL[name].replace(LOOKBACK, f"TIMESTAMP '2024-01-31 00:00:00' - INTERVAL {days} DAYS")
+    for lowered, limit in limits.items():
+        assert out.count(lowered) == 1, (name, lowered)
+        out = out.replace(lowered, limit)
+    return out
+
+
+for name, days, limits in (
+    ("showcase_q1", 1, {"COUNT(t.vehicle_id) > 5": "COUNT(t.vehicle_id) > 100"}),
+    ("showcase_q2", 7, {}),
+    ("showcase_q3", 30, {}),
+    ("showcase_q4", 14, {"COUNT(d.delivery_id) >= 2": "COUNT(d.delivery_id) >= 10"}),
+    ("showcase_q5", 7, {"COUNT(*) >= 5": "COUNT(*) >= 100", "COUNT(DISTINCT t.vehicle_id) >= 1": "COUNT(DISTINCT t.vehicle_id) >= 2"}),
+    ("doc_q1", 1, {"> 30 AND": "> 60 AND", "COUNT(i.incident_id) < 30": "COUNT(i.incident_id) < 3"}),
+    ("doc_q2", 7, {}),
+    ("doc_q3", 30, {}),
+    ("doc_q4", 1, {"< 55": "< 30"}),
+    ("doc_q5", 30, {}),
+):
+    SQL[f"{name}_published"] = published(name, days, limits)
 SQL["incidents_formatted"] = f"""SELECT incident_id, strftime("timestamp", '%H:%M:%S') AS time,
     CAST(vehicle_id AS VARCHAR) AS vehicle, {TITLE} AS type,
     upper(severity[1]) || lower(severity[2:]) AS severity FROM incidents
