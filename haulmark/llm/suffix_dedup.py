@@ -421,7 +421,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, size: int = ANCHOR, crowd:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also kept, the bytes that stay."""
     texts = texts_of(docs).withColumn("h", F.xxhash64("text"))
     ranges = repeats(texts, width, size, crowd)
-    ranges = ranges.groupBy("doc_id", "h").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))  # of one text
+    ranges = ranges.groupBy("doc_id", "h").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))  # of one text, once for equal rows
     ranges = ranges.select(F.col("doc_id").alias("d"), F.col("h").alias("dh"), "ranges")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh"))
     joined = texts.join(ranges, same, "left").select("doc_id", "text", "ranges")
