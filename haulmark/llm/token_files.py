@@ -72,12 +72,14 @@ class Writer:
 
     def __init__(self, out):
         self.out, self.at, self.starts, self.docs, self.held, self.n = out, 0, [], [], [], 0
+        self.waiting = 0  # ids in held
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.docs.append((NO_ID if doc_id is None else doc_id, len(ids)))
         self.held.append(ids)
         self.n += len(ids)
-        if sum(map(len, self.held)) >= 64 * BLOCK_IDS:
+        self.waiting += len(ids)
+        if self.waiting >= 64 * BLOCK_IDS:
             self.flush(BLOCK_IDS)
 
     def flush(self, least: int) -> None:
@@ -89,7 +91,7 @@ class Writer:
             self.out.write(body)
             self.at += len(body)
             done += min(BLOCK_IDS, len(ids) - done)
-        self.held = [ids[done:]]
+        self.held, self.waiting = [ids[done:]], len(ids) - done
 
     def close(self) -> None:
         self.flush(1)

@@ -123,3 +123,20 @@ def test_merge_order_of_ties_and_long_words():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     words = ["a", "aa", "aaa", "aaaaaaa", "abababab", "th" * 700, "zzzzzzzzz", "hellohellohello"]
     assert table.encode([w.encode() for w in words]) == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_many_short_documents_take_linear_time():
+    import io
+    import time
+
+    import numpy as np
+
+    from haulmark.llm.token_files import Writer
+
+    began, out = time.perf_counter(), io.BytesIO()
+    writer = Writer(out)
+    for i in range(300_000):
+        writer.add(i, np.array([2], np.uint32))
+    writer.close()
+    assert time.perf_counter() - began < 30
+    assert writer.n == 300_000
