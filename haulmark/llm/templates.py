@@ -8,7 +8,13 @@ cover COVER of the item and its slots agree: along one alignment, equal values o
 the item stand against equal values of the document. Each alignment that reaches
 COVER by its own windows is checked, and one of them is enough.
 So a question with other numbers or names is caught, and one whose numbers do
-not fit together is not.
+not fit together is not. An item with fewer than LEAST_PLAIN words that are no
+placeholders, as `42` or `3 km`, says nothing as a template; it is compared word
+by word, its case aside.
+
+A window can only match if each of its words occurs in the benchmark. A filter of
+FILTER_BITS bits over the benchmark's words tells the runs of such words in a
+document; only their windows are hashed. What passes by mistake finds no partner.
 
 A capitalised word that starts a sentence, a line or a quotation may be a name or
 not. Windows of items and documents are hashed in all readings of such words. Two
@@ -27,9 +33,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import guarded, restored, stored, texts_of
+from haulmark.llm.tables import guarded, literal, restored, stored, texts_of
 
 WINDOW, COVER = 8, 0.5
+LEAST_PLAIN = 3
+FILTER_BITS = 1 << 18
 NUMBER, UNIT, NAME = "0", "0u", "0n"
 MAYBE = NAME + "_"  # before a word that may be a name
 UNITS = (
@@ -95,26 +103,74 @@ def windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, words, vals (words before they became placeholders), size (words of a window), n_windows."""
+    """item_id, verbatim, words, vals (words before they became placeholders), size (words of a window), n_windows."""
     text = values(F.coalesce("text", F.lit("")))
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text.alias("v")).distinct()
     rows = rows.select("item_id", words(template(F.col("v"))).alias("words"), words(F.col("v")).alias("vals")).filter(F.size("words") > 0)
+    is_plain = lambda w: ~w.isin(NUMBER, UNIT, NAME) & ~w.startswith(MAYBE)
+    rows = rows.withColumn("verbatim", F.size(F.filter("words", is_plain)) < LEAST_PLAIN)
+    rows = rows.withColumn("words", F.when(F.col("verbatim"), F.transform("vals", F.lower)).otherwise(F.col("words")))
     rows = rows.withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
     return rows.withColumn("n_windows", F.size("words") - F.col("size") + 1)
 
 
+def bit(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def word_filter(items: DataFrame) -> list[int]:
+    """The filter as numbers of 64 bits; of fixed size, whatever the number of words."""
+    word = items.select(F.explode("words").alias("w"))
+    bits = word.select(F.explode(F.array(bit(plain(F.col("w"))), bit(masked(F.col("w"))))).alias("bit")).distinct()
+    mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    held = dict(bits.groupBy(F.expr("cast(bit div 64 as int)").alias("at")).agg(F.bit_or(mask)).collect())
+    return [held.get(i, 0) for i in range(FILTER_BITS // 64)]
+
+
+def runs_of(texts: DataFrame, keys: list[str], items: DataFrame) -> DataFrame:
+    """keys, start, words: runs of words that all occur in the items, of the least window's length or longer."""
+    held = word_filter(items)
+    array = literal(held)
+
+    def known(word: Column) -> Column:
+        return F.bit_get(F.get(array, F.floor(bit(word) / 64).cast("int")), bit(word).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    least = items.agg(F.min("size")).first()[0]
+    name = F.col("name_known")
+    flag = lambda w: F.when(known(plain(w)) | (w.startswith(MAYBE) & name), "1").otherwise("0")
+    rows = texts.withColumn("name_known", known(F.lit(NAME)))
+    rows = rows.withColumn("flags", F.array_join(F.transform("words", flag), "")).filter(F.col("flags").contains("1" * least))
+    runs = F.array().cast("array<struct<start:int,n:int>>")
+    found = F.aggregate(
+        F.transform(F.split("flags", "0"), F.length),
+        F.struct(F.lit(0).alias("at"), runs.alias("runs")),
+        lambda acc, n: F.struct(
+            (acc["at"] + n + 1).alias("at"),
+            F.when(n >= least, F.concat(acc["runs"], F.array(F.struct(acc["at"].alias("start"), n.alias("n"))))).otherwise(acc["runs"]).alias("runs"),
+        ),
+        lambda acc: acc["runs"],
+    )
+    rows = rows.select(*keys, "words", F.explode(found).alias("run"))
+    return rows.select(*keys, F.col("run.start").alias("start"), F.slice("words", F.col("run.start") + 1, F.col("run.n")).alias("words"))
+
+
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, h, item_id, at (window of the item), shift (place in the document less place in the item)."""
-    texts = texts_of(docs).select("doc_id", F.xxhash64("text").alias("h"), words(template(values(F.col("text")))).alias("words"))
+    texts = texts_of(docs).select("doc_id", F.xxhash64("text").alias("h"), values(F.col("text")).alias("v"))
+    sizes = items.select("verbatim", "size").distinct().collect()  # at most 2 * WINDOW rows
     found = None
-    for size in sorted(r["size"] for r in items.select("size").distinct().collect()):  # at most WINDOW values
-        of_size = items.filter(F.col("size") == size)
-        wanted = windows(of_size, ["item_id"], size).distinct()
-        wanted = stored(wanted, "template-windows").select("item_id", F.col("at").alias("item_at"), "window")
-        # Spark broadcasts the benchmark's windows if they are small and shuffles both sides otherwise.
-        here = windows(texts, ["doc_id", "h"], size).join(wanted, "window")
-        here = here.select("doc_id", "h", "item_id", F.col("item_at").alias("at"), (F.col("at") - F.col("item_at")).alias("shift"))
-        found = here if found is None else found.union(here)
+    for verbatim in sorted({r["verbatim"] for r in sizes}):
+        own = items.filter(F.col("verbatim") == verbatim)
+        body = words(F.lower("v")) if verbatim else words(template(F.col("v")))
+        runs = stored(runs_of(texts.select("doc_id", "h", body.alias("words")), ["doc_id", "h"], own), "template-runs")
+        for size in sorted(r["size"] for r in sizes if r["verbatim"] == verbatim):
+            wanted = windows(own.filter(F.col("size") == size), ["item_id"], size).distinct()
+            wanted = stored(wanted, "template-windows").select("item_id", F.col("at").alias("item_at"), "window")
+            # Spark broadcasts the benchmark's windows if they are small and shuffles both sides otherwise.
+            here = windows(runs, ["doc_id", "h", "start"], size).join(wanted, "window")
+            shift = F.col("start") + F.col("at") - F.col("item_at")
+            here = here.select("doc_id", "h", "item_id", F.col("item_at").alias("at"), shift.alias("shift"))
+            found = here if found is None else found.union(here)
     return found
 
 

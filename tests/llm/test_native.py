@@ -177,3 +177,31 @@ def test_planted_passages_are_found(spark):
     items = spark.read.parquet(f"{folder}/benchmark.parquet").collect()
     holds = {(i, b["item_id"]) for i, t in documents(spark) for b in items if b["text"] in t}
     assert holds and holds <= found
+
+
+def test_items_without_plain_words_are_compared_verbatim(spark, frame):
+    items = spark.createDataFrame([(1, "42"), (2, "Paris"), (3, "3 km"), (4, "1 2 3 4 5 6 7 8 9")], "item_id bigint, text string")
+    docs = [(1, "There are 17 of them in Rome."), (2, "We went 5 km and saw 12 34 56 78 90 11 12 13 14 birds."), (3, "The answer is 42."),
+            (4, "They met in paris, they say."), (5, "It is 3 km away."), (6, "x 1 2 3 4 5 6 7 8 9 y"), (7, "")]
+    found = templates.contaminations(frame(docs), items).filter("leaked").select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == [(3, 1), (4, 2), (5, 3), (6, 4)]
+    kept = templates.decontaminated(frame(docs), items).select("doc_id").collect()
+    assert sorted(r[0] for r in kept) == [1, 2, 7]
+
+
+def test_the_word_filter_loses_no_window(spark, frame):
+    """Runs of known words hold every window of the items, wherever it stands in a text."""
+    item = "Tom buys seven green apples and gives nine of them to Ann every day"
+    items = spark.createDataFrame([(1, item), (2, "a short one here")], "item_id bigint, text string")
+    docs = [(1, item), (2, "zzz " * 50 + item), (3, item + " zzz" * 50), (4, f"zzz {item} zzz a short one here zzz"),
+            (5, "zzz " * 20), (6, "Ann buys seven zzz green apples and zzz gives nine of them zzz to Tom"), (7, "one here a short")]
+    found = templates.contaminations(frame(docs), items).filter("leaked").select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 1), (4, 1), (4, 2)]
+
+
+def test_a_very_long_text(spark, frame):
+    item = "Tom buys seven green apples and gives nine of them to Ann every day"
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = [(1, "some other words stand in this text. " * 300_000 + item), (2, "some other words. " * 300_000)]
+    found = templates.contaminations(frame(docs), items).filter("leaked").select("doc_id").collect()
+    assert [r[0] for r in found] == [1]
