@@ -129,17 +129,18 @@ def word_filter(items: DataFrame) -> list[int]:
 
 def runs_of(texts: DataFrame, keys: list[str], items: DataFrame) -> DataFrame:
     """keys, start, words: runs of words that all occur in the items, of the least window's length or longer."""
-    held = word_filter(items)
-    array = literal(held)
+    array = literal(word_filter(items))
 
-    def known(word: Column) -> Column:
-        return F.bit_get(F.get(array, F.floor(bit(word) / 64).cast("int")), bit(word).bitwiseAND(F.lit(63)).cast("int")) == 1
+    def known(number: Column) -> Column:
+        return F.bit_get(F.get(array, F.shiftright(number, 6)), number.bitwiseAND(F.lit(63))) == 1
 
     least = items.agg(F.min("size")).first()[0]
-    name = F.col("name_known")
-    flag = lambda w: F.when(known(plain(w)) | (w.startswith(MAYBE) & name), "1").otherwise("0")
-    rows = texts.withColumn("name_known", known(F.lit(NAME)))
-    rows = rows.withColumn("flags", F.array_join(F.transform("words", flag), "")).filter(F.col("flags").contains("1" * least))
+    # each word is hashed once; -1 stands for a possible name, which any name of the items may match
+    rows = texts.withColumn("name_known", known(bit(F.lit(NAME)).cast("int")))
+    number = lambda w: F.when(w.startswith(MAYBE) & F.col("name_known"), F.lit(-1)).otherwise(bit(plain(w)).cast("int"))
+    flag = lambda n: F.when(n < 0, "1").when(known(n), "1").otherwise("0")
+    rows = rows.withColumn("numbers", F.transform("words", number))
+    rows = rows.withColumn("flags", F.array_join(F.transform("numbers", flag), "")).filter(F.col("flags").contains("1" * least))
     runs = F.array().cast("array<struct<start:int,n:int>>")
     found = F.aggregate(
         F.transform(F.split("flags", "0"), F.length),
