@@ -1,12 +1,15 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapping from their contexts.
 
 Base entities (email, ip, card, phone) are found by pattern. They seed the
-bootstrapping: the two words before an entity are a lexical pattern, the
-identifier-like token after a pattern is an instance. Round by round, a pattern
-is scored by how often it is followed by a known instance, over all its
-occurrences in the corpus, and an instance by the patterns that lead to it;
-instances of trusted patterns become known. What is known in the end and was
-not a base entity is reported as kind "id", wherever it occurs.
+bootstrapping on a graph of lexical patterns and the words in their slots. A
+pattern is the two words or the one word before a slot, or the one after it;
+the edges of a text count as words. Round by round, a pattern is scored by the
+share of known instances among all its occurrences in the corpus, and a word in
+the slot of a trusted pattern by the share of its own occurrences that lie in
+such slots. Any word can become known, whatever its letters; its contexts then
+count for further patterns. What is known in the end is reported as kind "id",
+wherever it occurs. Patterns are named by 64-bit hashes; the name of a seed is
+its text without the first character.
 
 SQL functions only. Positions are code points, ends are exclusive. Missing
 texts count as empty and have no spans; missing ids stay missing; repeated rows
@@ -15,7 +18,7 @@ each get their spans; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.llm.tables import guarded, restored, stored, texts_of
@@ -32,10 +35,10 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"\+[0-9]"}
-TOKEN = r"(?<![A-Za-z0-9_@.+-])(?=[A-Za-z_@.+-]*+[0-9])[A-Za-z0-9_@.+-]{4,}[A-Za-z0-9]"
+EDGES = ".,;:!?()[]{}<>\"'"  # not part of an instance where they begin or end a word
 OCTET = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 
-REACH = 64  # characters before an entity in which its two words are looked for
+MARK = "\ue000"  # first character of a base entity in masked texts
 SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
 PART = 16
 
@@ -101,95 +104,128 @@ def of_kind(places: str, no: int) -> Column:
     return F.filter(places, lambda s: s["kind_no"] == no)
 
 
-def before(text: Column, start: Column) -> Column:
-    """The two words before a place, in lower case; null if there are fewer or one holds a digit."""
-    reach = F.least(start, F.lit(REACH).cast("bigint"))
-    left = F.lower(F.substring(text, (start - reach + 1).cast("int"), reach.cast("int")))
-    pair = r"(?:^|\s)([^\s0-9]+)\s+([^\s0-9]+)\s+\S*$"
-    first, second = F.regexp_extract(left, pair, 1), F.regexp_extract(left, pair, 2)
-    return F.when(first != "", F.concat_ws(" ", first, second))
+def masked(text: Column, base: Column) -> Column:
+    """The text with MARK as first character of each base span and no blanks inside; places stay as they are."""
+    text = F.translate(text, MARK, " ")
+
+    def part(start: Column, end: Column) -> Column:
+        return F.substring(text, (start + 1).cast("int"), F.greatest(end - start, F.lit(0).cast("bigint")).cast("int"))
+
+    def cut(acc: Column, s: Column) -> Column:
+        at = F.greatest(s["start"], acc["at"])
+        body = F.translate(part(at, s["end"]), " ", "_")
+        body = F.when(s["start"] >= acc["at"], F.concat(F.lit(MARK), F.substring(body, F.lit(2), F.char_length(body)))).otherwise(body)
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(part(acc["at"], s["start"]), body)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+    whole = F.aggregate(base, start, cut, lambda acc: F.concat(F.array_join(acc["out"], ""), part(acc["at"], F.char_length(text).cast("bigint"))))
+    return F.when(F.size(base) == 0, text).otherwise(whole)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text), base spans, and instances with the pattern before them; no texts."""
+    """doc_id, h (hash of the text), places of the base spans, masked text."""
     rows = docs.withColumn("h", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
-    rows = rows.withColumn("tokens", matches(F.col("text"), TOKEN, "[0-9]"))
-    base, text = F.col("base"), F.col("text")
-    free = F.filter("tokens", lambda t: ~F.exists(base, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
+    places = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end")))
+    return rows.select("doc_id", "h", places.alias("base"), masked(F.col("text"), F.col("base")).alias("masked"))
 
-    def instance(s: Column, seed: bool) -> Column:
-        return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), F.lower(s["value"]).alias("value"),
-            before(text, s["start"]).alias("pattern"), F.lit(seed).alias("seed"),
-        )
 
-    cases = F.concat(F.transform(base, lambda s: instance(s, True)), F.transform(free, lambda s: instance(s, False)))
-    places = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end")))
-    return rows.select("doc_id", "h", places.alias("base"), cases.alias("cases"))
+def instance(word: Column) -> Column:
+    return F.btrim(F.lower(word), F.lit(EDGES))
+
+
+def slots(scan: DataFrame) -> DataFrame:
+    """value, patterns: each word of the texts, and the hashes of the patterns around it (two before, one before, one after)."""
+    rows = scan.select(F.array_remove(F.split(F.lower("masked"), r"\s+"), "").alias("w"))
+    rows = rows.select("w", F.transform("w", lambda x: F.when(x.contains(MARK), F.lit(MARK)).otherwise(x)).alias("c"))
+
+    def word(at: Column, edge: str) -> Column:
+        return F.coalesce(F.get("c", at), F.lit(edge))
 
+    def slot(x: Column, i: Column) -> Column:
+        left, right = word(i - 1, "^"), word(i + 1, "$")
+        hashes = [F.xxhash64(F.lit(2), word(i - 2, "^"), left), F.xxhash64(F.lit(1), left), F.xxhash64(F.lit(0), right)]
+        return F.struct(instance(x).alias("value"), F.array(*hashes).alias("patterns"))
 
-def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How often each pattern (two words) is followed by a word, over all texts."""
-    words = docs.select(F.array_remove(F.split(F.lower("text"), r"\s+"), "").alias("w"))
-    rest = F.greatest(F.size("w") - 2, F.lit(0))
-    pairs = F.arrays_zip(F.slice("w", 1, rest).alias("a"), F.slice("w", 2, rest).alias("b"))
-    each = words.select(F.explode(pairs).alias("p")).select(F.xxhash64("p.a", "p.b").alias("ph"))
-    wanted = patterns.select("pattern", F.split("pattern", " ").alias("ab"))
-    wanted = wanted.select("pattern", F.xxhash64(F.col("ab")[0], F.col("ab")[1]).alias("ph"))
+    return rows.select(F.explode(F.transform("w", slot)).alias("s")).select("s.value", "s.patterns")
+
+
+def edges_of(slot_rows: DataFrame) -> DataFrame:
+    """pattern, kind, value, n: how often each value stands in each pattern."""
+    each = slot_rows.select("value", F.posexplode("patterns").alias("kind", "pattern"))
+    return each.groupBy("pattern", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def occurrences(scan: DataFrame, patterns: DataFrame) -> DataFrame:
+    """pattern, total: how often each pattern has a word in its slot, over the texts given."""
+    each = slots(scan).select(F.explode("patterns").alias("pattern"))
     # Spark broadcasts the wanted patterns if they are small and shuffles both sides otherwise.
-    return each.join(wanted, "ph").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    return each.join(patterns.select("pattern"), "pattern").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
 
 
-def counted(docs: DataFrame, patterns: DataFrame, trust: float) -> DataFrame:
-    """pattern, total: exact for every pattern that can be trusted, others are left out.
+def counted(scan: DataFrame, patterns: DataFrame, trust: float) -> DataFrame:
+    """pattern, hits, total: exact for every pattern that can be trusted, others are left out.
 
     A pattern that occurs too often for its hits in one PART-th of the texts can
     never reach the trust, so only the rest is counted in the other texts.
     """
-    part = F.pmod(F.xxhash64("text"), F.lit(PART)) == 0
+    part = F.pmod("h", F.lit(PART)) == 0
     patterns = stored(patterns, "pii-wanted")
-    few = patterns.join(occurrences(docs.filter(part), patterns), "pattern", "left").fillna(0, ["total"])
+    few = patterns.join(occurrences(scan.filter(part), patterns), "pattern", "left").fillna(0, ["total"])
     few = stored(few.filter(F.col("hits") >= trust * F.col("total")), "pii-few")
-    more = occurrences(docs.filter(~part), few).withColumnRenamed("total", "more")
-    both = few.join(more, "pattern", "left").select("pattern", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
-    return both.filter(F.col("total") > 0)
+    if few.isEmpty():
+        return few
+    more = occurrences(scan.filter(~part), few).withColumnRenamed("total", "more")
+    return few.join(more, "pattern", "left").select("pattern", "hits", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
 
 
-def bootstrap(docs: DataFrame, scan: DataFrame, support: int, trust: float, rounds: int) -> DataFrame:
+def bootstrap(scan: DataFrame, support: int, trust: float, rounds: int) -> DataFrame:
     """Values that trusted patterns have made known, other than the seeds."""
-    cases = scan.select(F.explode("cases").alias("c")).select("c.pattern", "c.value", "c.seed")
-    edges = cases.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
-    edges = stored(edges.filter(F.col("pattern").isNotNull()), "pii-edges")
-    likely = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("values")).filter(F.col("values") >= support), "pii-patterns")
-    hits = edges.groupBy("pattern").agg(F.sum("n").alias("hits"))
-    totals = counted(docs, likely.join(hits, "pattern").select("pattern", "hits"), trust)
-    graph = stored(edges.join(totals, "pattern"), "pii-graph")
-    known = graph.filter("seed").select("value").distinct()
+    seed_rows = slots(scan.filter(F.col("masked").contains(MARK))).filter(F.col("value").contains(MARK))
+    seeds = stored(edges_of(seed_rows), "pii-seeds")
+    known, edges = seeds.select("value").limit(0), seeds
     for _ in range(rounds):
-        scored = (
-            graph.join(known.withColumn("known", F.lit(1)), "value", "left")
-            .groupBy("pattern", "total")
-            .agg(F.sum("known").alias("support"), F.sum(F.when(F.col("known") == 1, F.col("n"))).alias("hits"))
-            .withColumn("score", F.least(F.col("hits") / F.col("total"), F.lit(0.999)))
-        )
-        trusted = scored.filter((F.col("support") >= support) & (F.col("score") >= trust)).select("pattern", "score")
-        doubt = graph.join(trusted, "pattern").groupBy("value").agg(F.sum(F.log1p(-F.col("score"))).alias("doubt"))
-        reached = doubt.filter(1 - F.exp("doubt") >= trust).select("value")
-        known = stored(known.union(reached).distinct(), "pii-known")
-    return known.join(graph.filter("seed").select("value").distinct(), "value", "left_anti")
+        likely = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("hits")).filter(F.col("support") >= support)
+        trusted = stored(counted(scan, likely.select("pattern", "hits"), trust).filter(F.col("hits") >= trust * F.col("total")), "pii-trusted")
+        if trusted.isEmpty():
+            break
+        free = slots(scan).filter((F.col("value") != "") & ~F.col("value").contains(MARK))
+        inside = edges_of(free).join(trusted.select("pattern"), "pattern").groupBy("value", "kind").agg(F.sum("n").alias("n"))
+        inside = stored(inside.groupBy("value").agg(F.max("n").alias("inside")), "pii-inside")
+        graph = stored(edges_of(free.join(inside.select("value").union(known).distinct(), "value")), "pii-graph")
+        total = graph.filter("kind = 1").groupBy("value").agg(F.sum("n").alias("total"))  # each word has one word before it
+        reached = inside.join(total, "value").filter(F.col("inside") >= trust * F.col("total")).select("value")
+        before, known = known, stored(known.union(reached).distinct(), "pii-known")
+        if known.count() == before.count():
+            break
+        edges = seeds.union(graph.join(known, "value", "left_semi").select(*seeds.columns))
+    return known
+
+
+def located(scan: DataFrame, new: DataFrame) -> DataFrame:
+    """doc_id, h, found: the places of known values, once for equal rows."""
+    words = scan.select("doc_id", "h", F.explode(F.split("masked", r"\s")).alias("word"))
+    texts = words.select("doc_id", "h", instance(F.col("word")).alias("value")).join(new, "value").select("doc_id", "h").distinct()
+    texts = texts.withColumnsRenamed({"doc_id": "d", "h": "dh"})
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh"))
+    rows = scan.join(texts, same, "left_semi").dropDuplicates(["doc_id", "h"])
+    rows = rows.select("doc_id", "h", F.posexplode(F.split("masked", r"\s")).alias("no", "word"))
+    ahead = Window.partitionBy("doc_id", "h").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.char_length("word") + 1).over(ahead), F.lit(0)) + F.char_length("word") - F.char_length(F.ltrim("word", F.lit(EDGES)))
+    size = F.char_length(F.btrim("word", F.lit(EDGES)))
+    rows = rows.select("doc_id", "h", instance(F.col("word")).alias("value"), at.alias("start"), (at + size).alias("end"))
+    place = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end")
+    return rows.join(new, "value").groupBy("doc_id", "h").agg(F.collect_list(place).alias("found"))
 
 
 def spans(docs: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, h, base and found spans: arrays of (start, kind_no, end); kind_no counts KINDS, then FOUND."""
-    docs = texts_of(docs)
-    scan = stored(scanned(docs), "pii-scan")
-    new = bootstrap(docs, scan, support, trust, rounds)
-    cases = scan.select("doc_id", "h", F.explode("cases").alias("c")).select("doc_id", "h", "c.start", "c.end", "c.value")
-    place = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end")
-    found = cases.join(new, "value").groupBy("doc_id", "h").agg(F.collect_set(place).alias("found"))  # spans of one text
-    found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"), "found")
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
+    scan = stored(scanned(texts_of(docs)), "pii-scan")
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")
+    new = bootstrap(scan, support, trust, rounds)
+    if new.isEmpty():
+        return scan.select("doc_id", "h", "base", none.alias("found"))
+    found = located(scan, new).withColumnsRenamed({"doc_id": "found_id", "h": "found_h"})
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
     return scan.join(found, same, "left").select("doc_id", "h", "base", F.array_sort(F.coalesce("found", none)).alias("found"))
 
 

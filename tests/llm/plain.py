@@ -31,6 +31,52 @@ def pii(text):
     return sorted((m.start(), no, m.end()) for no, (rx, ok) in enumerate(checks) for m in rx.finditer(text or "") if ok(m))
 
 
+def found_pii(texts, support=3, trust=0.5, rounds=3):
+    """Per text the places of identifiers that bootstrapping finds: all words and patterns in plain dictionaries."""
+    edge, words = ".,;:!?()[]{}<>\"'", []
+    for text in texts:
+        text, at = text.replace("\ue000", " "), 0
+        for start, _, end in pii(text):
+            a = max(start, at)
+            body = text[a:end].replace(" ", "_")
+            text = text[:a] + ("\ue000" + body[1:] if start >= at else body) + text[max(a, end) :]
+            at = max(at, end)
+        words.append([(m.start(), m.group()) for m in re.finditer(r"[^ \t\n\x0b\f\r]+", text)])
+    slots = []  # value, text number, start, end, patterns
+    for no, row in enumerate(words):
+        near = ["^", "^", *["\ue000" if "\ue000" in w else w.lower() for _, w in row], "$"]
+        for i, (start, w) in enumerate(row):
+            core, lead = w.strip(edge), len(w) - len(w.lstrip(edge))
+            patterns = [(2, near[i], near[i + 1]), (1, near[i + 1]), (0, near[i + 3])]
+            slots.append((core.lower(), no, start + lead, start + lead + len(core), patterns))
+    totals, of_value = {}, {}
+    for value, *_, patterns in slots:
+        of_value[value] = of_value.get(value, 0) + 1
+        for p in patterns:
+            totals[p] = totals.get(p, 0) + 1
+    seeds = {s[0] for s in slots if "\ue000" in s[0]}
+    known = set()
+    for _ in range(rounds):
+        hits, values = {}, {}
+        for value, *_, patterns in slots:
+            if value in seeds or value in known:
+                for p in patterns:
+                    hits[p] = hits.get(p, 0) + 1
+                    values.setdefault(p, set()).add(value)
+        trusted = {p for p in hits if len(values[p]) >= support and hits[p] >= trust * totals[p]}
+        inside = {}
+        for value, *_, patterns in slots:
+            for p in patterns:
+                if p in trusted and value and "\ue000" not in value:
+                    inside[value, p[0]] = inside.get((value, p[0]), 0) + 1
+        known |= {v for (v, _), n in inside.items() if n >= trust * of_value[v]}
+    out = [[] for _ in texts]
+    for value, no, start, end, _ in slots:
+        if value in known:
+            out[no].append((start, end))
+    return out
+
+
 def sharded(rows, n):
     """(doc_id, size, crc, shard, slot) in the order of ids."""
     sized = sorted(

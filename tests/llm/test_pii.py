@@ -37,6 +37,45 @@ def test_contexts_of_known_entities_find_new_identifiers(frame):
     assert [len(found[i][0]) for i in range(5)] == [1] * 5
 
 
+def planted():
+    """Cues of one word, two words, a word after, a text's start; names, letters and numbers in their slots; and free text."""
+    rng = random.Random(8)
+    free = ["river", "stone", "walks", "over", "green", "hill", "cloud", "bridge", "market", "winter", "4711", "0815-x"]
+
+    def some(n):
+        return " ".join(rng.choice(free) for _ in range(n))
+
+    def case(slot, cue, after=""):
+        return f"{some(rng.randint(1, 9))} {cue} {slot}{after} {some(rng.randint(1, 5))}"
+
+    def name():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+
+    seeds = [case(f"{name()}@b{i}.org", "Email:") for i in range(20)] + [case(f"+1 (017) 555-{1000 + i}", "call me") for i in range(9)]
+    seeds += [f"login {name()}@c.org, {some(4)}" for _ in range(9)] + [f"{some(3)} {name()}@d.org replied" for _ in range(9)]
+    hidden = [case(name(), "Email:", ",") for _ in range(12)] + [case(f"123-45-{6000 + i}", "call me") for i in range(5)]
+    hidden += [f"login {name().title()} {some(4)}" for _ in range(6)] + [f"{some(3)} {name()} replied" for _ in range(5)]
+    clean = [some(rng.randint(5, 60)) for _ in range(60)]
+    return seeds, hidden, clean
+
+
+def test_contexts_of_every_kind_find_what_was_planted(frame):
+    seeds, hidden, clean = planted()
+    found = {r["doc_id"]: r["found"] for r in pii.spans(frame(list(enumerate(seeds + hidden + clean)))).collect()}
+    assert all(len(found[len(seeds) + i]) == 1 for i in range(len(hidden)))
+    assert not any(found[len(seeds) + len(hidden) + i] for i in range(len(clean)))
+
+
+def test_bootstrapping_equals_a_plain_version(frame):
+    seeds, hidden, clean = planted()
+    again = [f"{h} {c}" for h, c in zip(hidden[::4], clean, strict=False)] + ["İx \ue000 a@b.co 1.2.3.4@x.y call me  (Anna)\n\tİx call me anna"]
+    texts = seeds + hidden + clean + again + [t for _, t in HARD if t] + ["", "Email: ab", "Email: ab"]
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["found"]] for r in pii.spans(frame(list(enumerate(texts)))).collect()}
+    want = plain.found_pii(texts)
+    assert sum(map(len, want)) > 30
+    assert found == dict(enumerate(want))
+
+
 def test_hard_rows(frame):
     found = pii.spans(frame(HARD)).collect()
     assert len(found) == len(HARD)
