@@ -4,7 +4,8 @@ The leaves of a word's tree hold the ranks of its adjacent pairs, an inner node
 the least rank below it. The root tells whether a merge is left; going down to
 the left child on ties finds the leftmost pair of that rank. A merge changes
 three leaves and the nodes above them. Words of like length are rows of one
-array, so each step runs for all of them together.
+array, so each step runs for all of them together. In a word of more than LONG
+bytes all places of the least rank that do not touch are merged in one step.
 
 Distinct words of a block of texts are encoded once. Missing and empty texts
 have no ids; missing ids stay missing; repeated rows are encoded each; an empty
@@ -31,6 +32,7 @@ from haulmark.llm.token_files import LATIN, byte_letters
 
 NONE = np.int32(2**31 - 1)
 ROWS = 1 << 19  # leaves of the trees held at once
+LONG = 2048
 
 
 class Merges:
@@ -53,6 +55,11 @@ class Merges:
         self.made = np.empty(len(pairs), np.int32)
         self.made[self.ranks] = made
         self.ranks = self.ranks.astype(np.int32)
+        lowest = np.full(int(self.made.max()) + 1, NONE)  # least rank of a pair that holds the symbol
+        for side in (self.keys >> 17, self.keys & ((1 << 17) - 1)):
+            held = side < len(lowest)
+            np.minimum.at(lowest, side[held], self.ranks[held])
+        self.alone = lowest[self.made] < np.arange(len(self.made))  # a merge of this rank may make way for a lower one
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 17 | b
@@ -108,10 +115,55 @@ class Merges:
             busy = busy[tree[busy, 1] != NONE]
         return symbols, left
 
+    def encode_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Symbols of one word of two or more after all merges."""
+        n = len(symbols)
+        leaves = 1 << (n - 2).bit_length()
+        tree = np.full(2 * leaves, NONE, np.int32)
+        tree[leaves : leaves + n - 1] = self.rank(symbols[:-1], symbols[1:])
+        level = leaves
+        while level > 1:
+            np.minimum(tree[level : 2 * level : 2], tree[level + 1 : 2 * level : 2], out=tree[level // 2 : level])
+            level //= 2
+        after, before, left = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32), np.ones(n, bool)
+        while tree[1] != NONE:
+            best, node = tree[1], np.ones(1, np.int64)
+            while node[0] < leaves:
+                node = (2 * node[:, None] + np.arange(2)).ravel()
+                node = node[tree[node] == best]
+            i = node[:1] - leaves if self.alone[best] else node - leaves
+            # of places that touch, every second one from the left is merged
+            number = np.arange(len(i))
+            first = np.append(True, after[i[:-1]] != i[1:])
+            i = i[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+            j = after[i]
+            k = after[j]
+            symbols[i], left[j], after[i] = self.made[best], False, k
+            more = k < n
+            before[k[more]] = i[more]
+            fresh = np.full(len(i), NONE, np.int32)
+            fresh[more] = self.rank(symbols[i[more]], symbols[k[more]])
+            began = j[j < leaves]  # the pairs that began there are gone
+            tree[leaves + began] = NONE
+            tree[leaves + i] = fresh
+            p = before[i]
+            has = p >= 0
+            tree[leaves + p[has]] = self.rank(symbols[p[has]], symbols[i[has]])
+            node = np.sort(np.concatenate([i, began, p[has]]).astype(np.int64) + leaves)
+            while node[0] > 1:
+                node >>= 1
+                node = node[np.append(True, node[1:] != node[:-1])]
+                tree[node] = np.minimum(tree[2 * node], tree[2 * node + 1])
+        return symbols[left]
+
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
         out: list[list[int]] = [[]] * len(words)
         sizes = np.array([len(w) for w in words], np.int64)
+        for k in np.flatnonzero(sizes > LONG).tolist():
+            text = np.frombuffer(words[k], np.uint8)
+            out[k] = self.encode_long(np.append(self.inner[text[:-1]], self.last[text[-1]])).tolist()
+        sizes[sizes > LONG] = 0
         classes = np.array([max(0, int(n) - 2).bit_length() for n in sizes])
         for c in np.unique(classes):
             members = np.flatnonzero((classes == c) & (sizes > 0))

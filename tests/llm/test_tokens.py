@@ -1,6 +1,7 @@
 import hashlib
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -127,7 +128,6 @@ def test_merge_order_of_ties_and_long_words():
 
 def test_many_short_documents_take_linear_time():
     import io
-    import time
 
     import numpy as np
 
@@ -140,3 +140,29 @@ def test_many_short_documents_take_linear_time():
     writer.close()
     assert time.perf_counter() - began < 30
     assert writer.n == 300_000
+
+
+def test_long_words(monkeypatch):
+    rng = random.Random(4)
+    table = bpe.merges(public_tokenizers.path("word_bpe_49k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["a" * n for n in (2, 3, 7, 4097)] + ["".join(rng.choice(c) for _ in range(n)) for c in ("ab", "theanrsi", "aé") for n in (3, 50, 9000)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert table.encode([w.encode() for w in words]) == want
+    monkeypatch.setattr(bpe, "LONG", 1)
+    assert table.encode([w.encode() for w in words]) == want
+    table.alone[:] = True
+    try:
+        assert table.encode([w.encode() for w in words[:6]]) == want[:6]
+    finally:
+        bpe.merges.cache_clear()
+
+
+def test_word_of_two_million_letters():
+    rng = random.Random(5)
+    word = "".join(rng.choices("etaoinshrdlu", k=2_000_000))
+    table = bpe.merges(public_tokenizers.path("word_bpe_49k.json"))
+    began = time.monotonic()
+    ids = table.encode([word.encode()])[0]
+    assert time.monotonic() - began < 60
+    assert b"".join(table.names[i].removesuffix(table.end).encode() for i in ids).decode() == word
