@@ -28,10 +28,12 @@ from haulmark.llm.tables import guarded, hash_sample, order_key, restored, store
 
 WORDS, BITS, SEED = 4, 4, 42
 SHARD = 1 << 14  # fingerprints that live in one shard
-DEEPEST = 12  # levels of the shared tree, so at most 4096 shards
+DEEPEST = 20  # levels of the shared tree: a million shards, for 17 billion fingerprints
 PER_LEAF = 64  # sample points for each leaf of the shared tree
+SAMPLE = 1 << 22  # at most
 BRUTE = 128
-CHUNK = 1 << 16
+CHUNK = 1 << 14
+HELD = 1 << 21  # pairs held before they are merged into labels
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -111,7 +113,7 @@ def placed(points: np.ndarray, vantage: np.ndarray, middle: np.ndarray, bits: in
     return node, index, home
 
 
-def search(home: np.ndarray, guests: np.ndarray, points: np.ndarray, bits: int, out: list[np.ndarray]) -> None:
+def search(home: np.ndarray, guests: np.ndarray, points: np.ndarray, bits: int, out: Forest | list[np.ndarray]) -> None:
     """Link home points to each other and to guests; index arrays into points, pairs are appended to out."""
     stack = [(home, guests)]
     while stack:
@@ -170,11 +172,30 @@ def forest(n: int, pairs: np.ndarray) -> np.ndarray:
         label = new
 
 
+class Forest:
+    """Labels of the points of a shard; pairs are held up to a bound and then merged into the labels."""
+
+    def __init__(self, n: int):
+        self.label, self.held, self.size = np.arange(n), [], 0
+
+    def append(self, pairs: np.ndarray) -> None:
+        self.held.append(pairs)
+        self.size += pairs.shape[1]
+        if self.size >= HELD:
+            self.merge()
+
+    def merge(self) -> np.ndarray:
+        own = np.stack([np.arange(len(self.label)), self.label])
+        self.label = forest(len(self.label), np.concatenate([own, *self.held], 1))
+        self.held, self.size = [], 0
+        return self.label
+
+
 def links(fps: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
     """a, b: links that join the same fingerprints as all pairs within the distance do. fps: distinct, column fp."""
     n = fps.count()
     depth = min(DEEPEST, max(0, (-(-n // shard) - 1).bit_length()))
-    sample = hash_sample(fps.select("fp"), "fp", PER_LEAF << depth).toArrow().column("fp").to_numpy()  # bounded by DEEPEST
+    sample = hash_sample(fps.select("fp"), "fp", min(SAMPLE, PER_LEAF << depth)).toArrow().column("fp").to_numpy()
     vantage, middle = shared_tree(np.sort(sample.astype(np.int64).view(np.uint64)), depth)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,9 +206,9 @@ def links(fps: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
 
     def within(frame: pd.DataFrame) -> pd.DataFrame:
         fp, home = frame["fp"].to_numpy().astype(np.int64), frame["home"].to_numpy().astype(bool)
-        out: list[np.ndarray] = []
+        out = Forest(len(fp))
         search(np.flatnonzero(home), np.flatnonzero(~home), fp.view(np.uint64), bits, out)
-        root = forest(len(fp), np.concatenate(out, 1)) if out else np.arange(len(fp))
+        root = out.merge()
         linked = root != np.arange(len(fp))
         return pd.DataFrame({"a": fp[linked], "b": fp[root[linked]]})
 

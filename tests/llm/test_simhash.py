@@ -72,6 +72,18 @@ def test_trees_find_all_components(flips, depth):
     assert plain.components(len(points), links) == want
 
 
+def test_pairs_are_merged_when_many_are_held(monkeypatch):
+    monkeypatch.setattr(simhash, "HELD", 500)
+    rng = np.random.default_rng(6)
+    points = np.unique(np.concatenate([near(rng, np.uint64(rng.integers(0, 2**63)), 700, f) for f in (3, 5, 8)]))
+    own = rng.random(len(points)) < 0.7
+    out = simhash.Forest(len(points))
+    simhash.search(np.flatnonzero(own), np.flatnonzero(~own), points, 4, out)
+    assert out.size < 500
+    linked = np.triu(simhash.apart(points[:, None], points) <= 4, 1) & (own[:, None] | own)
+    assert out.merge().tolist() == plain.components(len(points), np.argwhere(linked))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(40)] + [(-5, 100), (300, 300), (61, 60), (7, 3)]
     got = {r["node"]: r["root"] for r in components.roots(spark.createDataFrame(links, "a long, b long")).collect()}
