@@ -7,13 +7,15 @@ window, so equal windows have equal anchors in equal places. The windows of one
 anchor are neighbours; together they are its context.
 
 1. Anchors that occur once are left out (their counts are aggregated).
-2. Contexts that occur twice as a whole are repeated in all their windows.
+2. Contexts that occur twice as a whole are repeated in all their windows;
+   they are named by 128 bits.
 3. The others lie on the border of a repeated passage. The contexts of one
    anchor are brought together and the suffixes that start at equal places are
    sorted: prefix hashes and binary search give the common extension of two
    suffixes, mergesort orders them by it, and neighbours that agree over WIDTH
    bytes, compared byte by byte, are repeated windows. An anchor with more than
-   CROWD contexts is not brought together; its windows are counted by hash.
+   CROWD contexts is not brought together: its windows are dealt out by hash,
+   sorted by their bytes in every task, and neighbours compared.
 
 Two filters of fixed size (FILTER_BITS) tell the tasks that read the texts which
 anchors and contexts matter; what passes by mistake is sorted out later.
@@ -37,10 +39,12 @@ from haulmark.llm import blocks
 from haulmark.llm.tables import stored, texts_of
 
 WIDTH, ANCHOR = 200, 50
-CROWD = 1 << 15
+CROWD = 1 << 12
 FILTER_BITS, PROBES = 1 << 27, 3
-PLACE = np.uint64((1 << 27) - 1)
+PIECE = 1 << 20  # windows whose anchors are sought at once
+PLACE = np.uint64((1 << 21) - 1)  # holds any place in a piece and its last window
 BLOCK, SORT_BYTES = 1 << 20, 2 << 20  # bytes of text and of contexts that a task works on at once
+CONTEXT = ["anchor", "context", "second"]  # a context is named by its anchor and 128 bits
 _inverse: dict[int, np.ndarray] = {}
 
 
@@ -65,11 +69,8 @@ def range_hashes(prefix: np.ndarray, inverse: np.ndarray, start: np.ndarray, siz
     return (prefix[start + size] - prefix[start]) * inverse[start]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """row, anchor, first and last window start, hash; places count from the start of the data."""
-    none = np.zeros(0, np.int64)
-    if len(data) < width:
-        return none, none, none, none, none.astype(np.uint64)
+def least_places(data: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the least string of each window, and the hashes of all strings by place."""
     prefix, inverse = prefix_hashes(data), inverse_powers(len(data) + 1)
     places = len(data) - size + 1
     hashes = blocks.mixed((prefix[size:] - prefix[:places]) * inverse[:places])
@@ -80,18 +81,32 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, size: int
         reach *= 2
     if many > reach:
         least = np.minimum(least[: len(least) - (many - reach)], least[many - reach :])
-    chosen = (PLACE - (least & PLACE)).astype(np.int64)  # by window start
-    long = np.flatnonzero(np.diff(offsets) >= width)
-    change = np.zeros(len(chosen) + 1, np.int32)
-    np.add.at(change, offsets[long], 1)
-    np.add.at(change, offsets[long + 1] - width + 1, -1)
-    starts = np.flatnonzero(np.cumsum(change[:-1]))
-    if not len(starts):
-        return none, none, none, none, none.astype(np.uint64)
-    picked = chosen[starts]
-    cut = np.flatnonzero(np.append(True, picked[1:] != picked[:-1]))
-    first, last, anchor = starts[cut], starts[np.append(cut[1:], len(starts)) - 1], picked[cut]
-    return blocks.rows_of(first, offsets), anchor, first, last, hashes[anchor]
+    return (PLACE - (least & PLACE)).astype(np.int64), hashes
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """row, anchor, first and last window start, hash; places count from the start of the data.
+
+    The data is read in pieces that overlap by a window, so memory does not grow with a text.
+    """
+    runs = [np.zeros((3, 0), np.int64)]
+    names = [np.zeros(0, np.uint64)]
+    ends = np.append(offsets[1:], len(data))
+    for at in range(0, len(data) - width + 1, PIECE):
+        chosen, hashes = least_places(data[at : at + PIECE + width - 1], width, size)
+        start = at + np.arange(len(chosen))
+        starts = np.flatnonzero(start + width <= ends[blocks.rows_of(start, offsets)])  # windows inside one text
+        if len(starts):
+            picked = chosen[starts]
+            cut = np.flatnonzero(np.append(True, picked[1:] != picked[:-1]))
+            last = starts[np.append(cut[1:], len(starts)) - 1]
+            runs.append(np.stack([picked[cut], starts[cut], last]) + at)
+            names.append(hashes[picked[cut]])
+    (anchor, first, last), name = np.concatenate(runs, 1), np.concatenate(names)
+    if len(anchor):
+        cut = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))  # a run may go on in the next piece
+        anchor, first, last, name = anchor[cut], first[cut], last[np.append(cut[1:], len(last)) - 1], name[cut]
+    return blocks.rows_of(first, offsets), anchor, first, last, name
 
 
 def probes(keys: np.ndarray) -> np.ndarray:
@@ -180,19 +195,19 @@ def contexts(texts: DataFrame, repeated, width: int, size: int) -> DataFrame:
     import xxhash
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "context", "key", "n", "doc_id", "h", "low", "high"]
+        names = ["anchor", "context", "second", "key", "n", "doc_id", "h", "low", "high"]
         for batch in batches:
             ids, texts_h = keyed(batch)
             for row0, _, data, offsets in blocks.blocks(batch.column("text"), BLOCK):
                 row, anchor, first, last, hashes = anchors(data, offsets, width, size)
                 keep = passes(repeated.value, hashes)
                 row, anchor, first, last, hashes = (x[keep] for x in (row, anchor, first, last, hashes))
-                whole, digest = data.tobytes(), xxhash.xxh64_intdigest
+                whole, digest = data.tobytes(), xxhash.xxh3_128_digest
                 body = zip(first.tolist(), (last + width).tolist(), (anchor - first).tolist(), strict=True)
-                context = np.array([digest(whole[a:b], at) for a, b, at in body], np.uint64)
+                context, second = np.frombuffer(b"".join([digest(whole[a:b], at) for a, b, at in body]), np.uint64).reshape(-1, 2).T
                 doc, text, start = ids[row0 + row], texts_h[row0 + row], offsets[row]
                 key = occurrence_keys(doc, text, anchor - start)
-                one, kind, n = grouped(hashes, context)
+                one, kind, n = grouped(context, second)
                 low, high = first - start, last - start + width
                 many = np.flatnonzero(n[kind] > 1)
                 r, a, b = merged(row[many], low[many], high[many])
@@ -201,7 +216,7 @@ def contexts(texts: DataFrame, repeated, width: int, size: int) -> DataFrame:
                 where = np.concatenate([row[one], r]) + row0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        signed(hashes[rows]), signed(context[rows]), signed(key[rows]),
+                        signed(hashes[rows]), signed(context[rows]), signed(second[rows]), signed(key[rows]),
                         pa.array(np.where(is_range, 0, np.append(n, np.zeros(len(r), np.int64)))),
                         batch.column("doc_id").take(pa.array(where)), pa.array(texts_h[where]),
                         pa.array(np.append(low[one], a)), pa.array(np.append(high[one], b)),
@@ -209,7 +224,7 @@ def contexts(texts: DataFrame, repeated, width: int, size: int) -> DataFrame:
                     names,
                 )
 
-    kinds = "anchor bigint, context bigint, key bigint, n bigint, doc_id bigint, h bigint, low bigint, high bigint"
+    kinds = "anchor bigint, context bigint, second bigint, key bigint, n bigint, doc_id bigint, h bigint, low bigint, high bigint"
     return texts.mapInArrow(task, kinds)
 
 
@@ -368,24 +383,45 @@ def sorted_borders(rows: DataFrame, width: int) -> DataFrame:
     return ordered.mapInArrow(task, "doc_id bigint, h bigint, low bigint, high bigint")
 
 
-def counted_borders(rows: DataFrame, width: int) -> DataFrame:
-    """The same ranges for crowded anchors: every window is a row, counted by its hashes."""
+def repeated_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose window is that of the row before or after; the windows are sorted."""
+    carried, before = None, None  # last row of the batch before, and the last window that was seen
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = pa.concat_batches([carried, batch]) if carried is not None else batch
+        body = whole.column("window").to_pylist()
+        again = [a == b for a, b in zip([before, *body[:-1]], body, strict=True)]
+        # the last row is judged with the next batch, which shows what follows it
+        hit = [x or y for x, y in zip(again[:-1], again[1:], strict=True)]
+        yield whole.slice(0, len(hit)).filter(pa.array(hit, pa.bool_())).select(["doc_id", "h", "low", "step"])
+        before = body[-2] if len(body) > 1 else before
+        carried = whole.slice(len(hit))
+    if carried is not None and carried.column("window")[0].as_py() == before:
+        yield carried.select(["doc_id", "h", "low", "step"])
+
+
+def crowded_borders(rows: DataFrame, width: int) -> DataFrame:
+    """The same ranges for crowded anchors: every window is a row; windows whose hash occurs again are sorted by their bytes."""
     import xxhash
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 body, n = row["body"], len(row["body"]) - width + 1
-                marks = [xxhash.xxh3_128_digest(body[i : i + width]) for i in range(n)]
-                same = [pa.array([row[c]] * n, pa.int64()) for c in ("anchor", "doc_id", "h", "low")]
+                bodies = [body[i : i + width] for i in range(n)]
+                marks = np.array([xxhash.xxh64_intdigest(w) for w in bodies], np.uint64)
+                same = [pa.array([row[c]] * n, pa.int64()) for c in ("doc_id", "h", "low")]
                 yield pa.RecordBatch.from_arrays(
-                    [*same, pa.array(range(n), pa.int64()), pa.array(marks, pa.binary())],
-                    ["anchor", "doc_id", "h", "low", "step", "mark"],
+                    [*same, pa.array(range(n), pa.int64()), signed(marks), pa.array(bodies, pa.binary())],
+                    ["doc_id", "h", "low", "step", "mark", "window"],
                 )
 
-    windows = rows.mapInArrow(task, "anchor bigint, doc_id bigint, h bigint, low bigint, step bigint, mark binary")
-    often = windows.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    hit = windows.join(often, ["anchor", "mark"]).groupBy("doc_id", "h", "low").agg(F.min("step").alias("a"), F.max("step").alias("b"))
+    each = rows.mapInArrow(windows, "doc_id bigint, h bigint, low bigint, step bigint, mark bigint, window binary")
+    often = each.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    ordered = each.join(often, "mark").repartition("mark").sortWithinPartitions("mark", "window")
+    hit = ordered.select("doc_id", "h", "low", "step", "window").mapInArrow(repeated_windows, "doc_id bigint, h bigint, low bigint, step bigint")
+    hit = hit.groupBy("doc_id", "h", "low").agg(F.min("step").alias("a"), F.max("step").alias("b"))
     return hit.select("doc_id", "h", (F.col("low") + F.col("a")).alias("low"), (F.col("low") + F.col("b") + width).alias("high"))
 
 
@@ -396,15 +432,15 @@ def repeats(texts: DataFrame, width: int = WIDTH, size: int = ANCHOR, crowd: int
     repeated = send(key_filter(counts.filter("n > 1").select("key")))
     found = stored(contexts(texts, repeated, width, size), "contexts")
     single = found.filter("n > 0")
-    per_context = single.groupBy("anchor", "context").agg(F.sum("n").alias("total"), F.min("key").alias("key"))
+    per_context = single.groupBy(*CONTEXT).agg(F.sum("n").alias("total"), F.min("key").alias("key"))
     per_context = stored(per_context, "context-counts")
     per_anchor = per_context.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("contexts"), F.max((F.col("total") == 1).cast("int")).alias("border")
     )
     per_anchor = per_anchor.filter("contexts > 1 AND border = 1")
     known = found.filter("n = 0").select("doc_id", "h", "low", "high")
-    often = per_context.filter("total > 1").select("anchor", "context")
-    whole = single.filter("n = 1").join(often, ["anchor", "context"]).select("doc_id", "h", "low", "high")
+    often = per_context.filter("total > 1").select(*CONTEXT)
+    whole = single.filter("n = 1").join(often, CONTEXT).select("doc_id", "h", "low", "high")
 
     wanted = send(key_filter(per_context.join(per_anchor, "anchor").select("key")))
     rows = border_contexts(texts, wanted, width, size)
@@ -414,7 +450,7 @@ def repeats(texts: DataFrame, width: int = WIDTH, size: int = ANCHOR, crowd: int
         return out.union(sorted_borders(rows, width))
     rows = stored(rows, "border-contexts")
     out = out.union(sorted_borders(rows.join(crowded, "anchor", "left_anti"), width))
-    return out.union(counted_borders(rows.join(crowded, "anchor", "left_semi"), width))
+    return out.union(crowded_borders(rows.join(crowded, "anchor", "left_semi"), width))
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, size: int = ANCHOR, crowd: int = CROWD, keep_text: bool = False) -> DataFrame:
