@@ -8,9 +8,10 @@ number: a date is a text that reads as a time, and an int may stand for a double
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmark.sources.versioned import VersionedTable
@@ -82,8 +83,12 @@ DOCUMENTS: dict[str, list[Path]] = {
 }
 
 
-def _is(kind: str, item: Column) -> Column:
-    written = F.schema_of_variant(item)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed a single time, however often it is named and wherever the plan puts it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _is(kind: str, item: Column, written: Column) -> Column:
     if kind == "int":
         return written == "BIGINT"
     if kind == "number":
@@ -94,14 +99,13 @@ def _is(kind: str, item: Column) -> Column:
     return (written == "STRING") & (F.try_to_timestamp(text).isNotNull() if kind == "date" else F.lit(True))
 
 
-def _broken(document: Column, path: Path) -> dict[str, Column]:
-    item = F.try_variant_get(document, f"$.{path.name}", "variant")
+def _broken(item: Column, written: Column, path: Path) -> dict[str, Column]:
     there = item.isNotNull()
-    number = F.when(_is("number", item), F.try_variant_get(item, "$", "double"))
-    text = F.when(F.schema_of_variant(item) == "STRING", F.try_variant_get(item, "$", "string"))
+    number = F.when(_is("number", item, written), F.try_variant_get(item, "$", "double"))
+    text = F.when(written == "STRING", F.try_variant_get(item, "$", "string"))
     every = {
         "required": ~there,
-        "type": there & ~_is(path.kind, item) if path.kind else None,
+        "type": there & ~_is(path.kind, item, written) if path.kind else None,
         "enum": there & ~F.coalesce(text.isin(*path.values), F.lit(False)) if path.values else None,
         "minimum": number < path.low if path.low is not None else None,
         "maximum": number > path.high if path.high is not None else None,
@@ -109,12 +113,31 @@ def _broken(document: Column, path: Path) -> dict[str, Column]:
     return {check: every[check] for check in path.checks()}
 
 
+def _item(fields: Column, name: str) -> Column:
+    top, _, rest = name.partition(".")
+    return F.try_variant_get(fields[top], f"$.{rest}", "variant") if rest else fields[top]
+
+
+def _broken_fields(fields: Column, paths: list[Path]) -> Column:
+    items = F.array(*[_item(fields, p.name) for p in paths])
+    found = F.transform(items, lambda item: F.struct(item.alias("item"), F.schema_of_variant(item).alias("written")))
+
+    def rules(found: Column) -> Column:
+        out = []
+        for i, p in enumerate(paths):
+            bad = _broken(found[i]["item"], found[i]["written"], p)
+            out += [F.when(hit, F.lit(f"{check}:{p.name}")) for check, hit in bad.items()]
+        return F.array_compact(F.array(*out))
+
+    return F.when(fields.isNotNull(), _once(found, rules)).otherwise(F.array(F.lit("json:$")))
+
+
 def broken_paths(value: Column, paths: list[Path]) -> Column:
     """`check:path` of every rule that a document breaks; `json:$` for a text that is no JSON object."""
-    document = F.try_parse_json(value)
-    rules = [F.when(bad, F.lit(f"{check}:{p.name}")) for p in paths for check, bad in _broken(document, p).items()]
-    is_object = document.isNotNull() & F.schema_of_variant(document).startswith("OBJECT")
-    return F.when(is_object, F.array_compact(F.array(*rules))).otherwise(F.array(F.lit("json:$")))
+    tops = dict.fromkeys(p.name.partition(".")[0] for p in paths)
+    kind = f"struct<{', '.join(f'`{t}`: variant' for t in tops)}>"
+    fields = F.try_variant_get(F.try_parse_json(value), "$", kind)  # NULL unless the text is an object
+    return _once(fields, lambda fields: _broken_fields(fields, paths))
 
 
 def tagged(documents: DataFrame, rules: dict[str, list[Path]] = DOCUMENTS) -> DataFrame:
@@ -128,13 +151,15 @@ def tagged(documents: DataFrame, rules: dict[str, list[Path]] = DOCUMENTS) -> Da
 def rule_counts(checked: DataFrame, rules: dict[str, list[Path]] = DOCUMENTS) -> DataFrame:
     """One line per rule with violations, documents checked and verdict, from one pass over tagged documents."""
     lines = [(e, "json", "$") for e in rules] + [(e, c, p.name) for e, paths in rules.items() for p in paths for c in p.checks()]
-    wanted = checked.sparkSession.createDataFrame(lines, "entity string, check string, path string")
     # The rule "" stands for every document, so totals come out of the same aggregate.
+    lines += [(e, "", "") for e in rules]
+    wanted = checked.sparkSession.createDataFrame(lines, "entity string, check string, path string")
     names = F.explode(F.concat(F.array(F.lit("")), "broken_rules"))
     counts = checked.select("entity", names.alias("rule")).groupBy("entity", "rule").agg(F.count("*").alias("n"))
-    totals = counts.filter("rule = ''").select("entity", F.col("n").alias("total"))
-    rule = F.concat_ws(":", "check", "path")
-    found = wanted.withColumn("rule", rule).join(counts, ["entity", "rule"], "left").join(totals, "entity", "left")
+    every = F.col("check") == ""
+    rule = F.when(every, "").otherwise(F.concat_ws(":", "check", "path"))
+    total = F.max(F.when(every, F.col("n"))).over(Window.partitionBy("entity"))
+    found = wanted.withColumn("rule", rule).join(counts, ["entity", "rule"], "left").withColumn("total", total).filter(~every)
     violations = F.coalesce("n", F.lit(0))
     return found.select(
         "check", "entity", F.col("path").alias("column"), violations.alias("violations"),

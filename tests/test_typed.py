@@ -53,3 +53,9 @@ def test_every_rule_is_counted_and_bad_documents_are_stored_once(spark, rows):
 def test_deep_and_long_documents(spark, value):
     df = spark.createDataFrame([("vehicles", value)], "entity string, value string")
     assert len(typed.tagged(df).first()["broken_rules"]) >= 1
+
+
+def test_documents_are_parsed_once(spark):
+    df = spark.createDataFrame([("vehicles", GOOD["vehicles"])], "entity string, value string")
+    plan = typed.rule_counts(typed.tagged(df, {"vehicles": typed.DOCUMENTS["vehicles"]}))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1
