@@ -190,7 +190,7 @@ def append_vs_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.await_all(sinks.start(append, "append", f"{root}/append", f"{root}/checkpoints"))
     update = sliding_rollup(telemetry_stream(spark, sf_dir))
     write = sinks.append_batches((f"{root}/update", lambda b: b))
-    sinks.await_all(sinks.per_batch(update, write, "update", f"{root}/checkpoints", mode="update"))
+    sinks.await_all(sinks.per_batch(update, write, "update", f"{root}/checkpoints", mode="update", closing=False))
     shown = spark.read.parquet(f"{root}/update")
     keys = ["window_start", "vehicle_id"]
     latest = shown.groupBy(*keys).agg(F.max_by("record_count", "batch_id").alias("record_count"))

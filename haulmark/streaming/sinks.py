@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,32 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from haulmark.streaming.keyed import upsert_batch
 
 
-def _trigger(writer, every: str | None):
-    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+# Large states are not read a second time to count their keys, and a commit writes what changed instead of all files.
+STATE = {
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+CLOSING = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings for the queries that start inside; what the session has set itself stays."""
+    own = {k: v for k, v in wanted.items() if spark.conf.get(k, None) is None or k == CLOSING}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _trigger(spark: SparkSession, writer, every: str | None, closing: bool = True) -> StreamingQuery:
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    with _settings(spark, STATE if closing else STATE | {CLOSING: "false"}):
+        return writer.start()
 
 
 def start(
@@ -30,13 +55,13 @@ def start(
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _trigger(writer, every).start()
+    return _trigger(df.sparkSession, writer, every)
 
 
 def to_console(df: DataFrame, name: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
     """Debug sink with full column width."""
     writer = df.writeStream.format("console").outputMode(mode).option("truncate", "false").queryName(name)
-    return _trigger(writer, every).start()
+    return _trigger(df.sparkSession, writer, every)
 
 
 def to_memory(
@@ -45,21 +70,25 @@ def to_memory(
     """The first rows of a result as an in-memory table of that name; they live on the driver, so their number is bounded."""
     shown = df if rows is None else df.limit(rows)
     writer = shown.writeStream.format("memory").outputMode(mode).queryName(name)
-    return _trigger(writer, every).start()
+    return _trigger(df.sparkSession, writer, every)
 
 
 def per_batch(
     df: DataFrame, fn: Callable[[DataFrame, int], None], name: str, checkpoint_root: str, mode: str = "append",
-    every: str | None = None,
+    every: str | None = None, closing: bool = True,
 ) -> StreamingQuery:
-    """Run a function on every batch. An error fails the query, so no batch is lost."""
+    """Run a function on every batch. An error fails the query, so no batch is lost.
+
+    A last batch without rows drops the states that the watermark has passed. In
+    update mode it delivers nothing; ``closing=False`` leaves it out.
+    """
     writer = (
         df.writeStream.foreachBatch(fn)
         .outputMode(mode)
         .option("checkpointLocation", f"{checkpoint_root}/{name}")
         .queryName(name)
     )
-    return _trigger(writer, every).start()
+    return _trigger(df.sparkSession, writer, every, closing)
 
 
 def batch_folder(path: str, batch_id: int) -> str:
@@ -85,12 +114,15 @@ def append_batches(*outputs: tuple[str, Callable[[DataFrame], DataFrame]]) -> Ca
     """Callback that feeds several outputs from one read of each batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        shared = len(outputs) > 1  # a batch that is read once needs no copy
+        if shared:
+            batch.persist()
         try:
             for path, view in outputs:
                 view(batch).write.mode("overwrite").parquet(batch_folder(path, batch_id))
         finally:
-            batch.unpersist()
+            if shared:
+                batch.unpersist()
 
     return write
 

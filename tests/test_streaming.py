@@ -161,3 +161,32 @@ def test_one_batch_feeds_several_outputs(spark, tmp_path):
         write(readings(spark, [0, 1, 2]), 0)
     assert spark.read.parquet(str(tmp_path / "all")).count() == 3
     assert spark.read.parquet(str(tmp_path / "fast")).count() == 2
+
+
+def test_update_mode_may_leave_out_the_batch_that_only_drops_states(spark, rows):
+    root = run_dir(spark, "t-closing")
+    df = readings(spark, [0, 1, 7, 60])
+    sinks.lit_phase(df, f"{root}/src", 0)
+    batches = {}
+    for closing in (True, False):
+        log = sinks.watch(spark)
+        windows = rollups.sliding_rollup(sinks.phase_stream(spark, f"{root}/src", df))
+        write = sinks.append_batches((f"{root}/out{closing}", lambda b: b))
+        query = sinks.per_batch(windows, write, f"w{closing}", f"{root}/checkpoints", mode="update", closing=closing)
+        sinks.await_all(query)
+        batches[closing] = len([r for r in log.of(query) if r[1] > 0])
+        spark.streams.removeListener(log)
+    assert batches == {True: 1, False: 0}
+    assert rows(spark.read.parquet(f"{root}/outTrue").drop("batch_id")) == rows(spark.read.parquet(f"{root}/outFalse").drop("batch_id"))
+    assert spark.conf.get(sinks.CLOSING) == "true" and all(spark.conf.get(k, None) is None for k in sinks.STATE)
+
+
+def test_a_batch_of_one_output_is_not_copied(spark, monkeypatch):
+    root = run_dir(spark, "t-copies")
+    copies = []
+    kind = type(readings(spark, [0]))
+    monkeypatch.setattr(kind, "persist", lambda self: copies.append(self) or self)
+    monkeypatch.setattr(kind, "unpersist", lambda self: self)
+    for outputs in ([(f"{root}/a", lambda b: b)], [(f"{root}/b", lambda b: b), (f"{root}/c", lambda b: b)]):
+        sinks.append_batches(*outputs)(readings(spark, [0]), 0)
+    assert len(copies) == 1
