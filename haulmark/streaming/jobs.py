@@ -257,7 +257,7 @@ def complete_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         "incidents": (numbered(validate(incidents, "incident"), "incident_id"), ["incident_id"], ["timestamp", "offset"], "append"),
     }
     running = [
-        sinks.per_batch(df, upsert_batch(f"{root}/{name}", keys, order), name, checkpoints, mode=mode)
+        sinks.per_batch(df, upsert_batch(f"{root}/{name}", keys, order), name, checkpoints, mode=mode, closing=mode != "update")
         for name, (df, keys, order, mode) in keyed.items()
     ]
     found = anomalies(valid)
