@@ -107,8 +107,20 @@ def sigmas(more: np.ndarray, less: np.ndarray) -> np.ndarray:
     return 2 * (np.sqrt(more + 0.375) - np.sqrt(less + 0.375))
 
 
+def _evidence(r: np.ndarray, t: np.ndarray, b: np.ndarray, all_r: float, all_t: float, all_b: float) -> np.ndarray:
+    """Log ratios of buckets by their counts in the raw text, the target and the other labelled texts, beside the sums over all."""
+    if not all_t:
+        return np.zeros(len(r))
+    expected = r * (all_t / all_r)
+    ratio = np.log((t + SMOOTH) / all_t) - np.log((r + SMOOTH) / all_r)
+    sure = (sigmas(expected, t) > SIGMAS) & (ratio < -EFFECT)
+    by_chance = (t + b) * (all_b / (all_t + all_b))
+    sure &= sigmas(b, by_chance) > SIGMAS
+    return np.where(sure, ratio, 0)
+
+
 def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    """Per bucket the capped log ratio of target to raw rate; 0 without evidence."""
+    """Per bucket the capped log ratio of target to raw rate; 0 without evidence. The counts stay in tasks, the ratios come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(MODELS), BUCKETS), np.int64)
@@ -135,29 +147,30 @@ def log_ratios(docs: DataFrame, good: np.ndarray, bad: np.ndarray) -> np.ndarray
             for row in batch.to_pylist():
                 kind = np.uint32 if row["width"] == 4 else np.uint64
                 total += np.stack([np.frombuffer(row[c], kind).astype(np.int64) for c in MODELS])
+        at = key[0].as_py()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()]), *[pa.array([t.tobytes()], pa.binary()) for t in total]], ["slice", *MODELS]
+            [pa.array([at]), pa.array([at >= UNIGRAMS // SLICE_BYTES]), *[pa.array([int(t.sum())]) for t in total], *[pa.array([t.tobytes()], pa.binary()) for t in total]],
+            ["slice", "paired", *[f"{m}_n" for m in MODELS], *MODELS],
         )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    kinds = ", ".join(f"{m} binary" for m in MODELS)
+    kinds, sums = (", ".join(f"{m}{end}" for m in MODELS) for end in (" binary", "_n bigint"))
     local = texts.mapInArrow(count, f"slice bigint, width bigint, {kinds}")
-    summed = local.groupBy("slice").applyInArrow(add, f"slice bigint, {kinds}")
-    counts = np.zeros((len(MODELS), SLICES, SLICE_BYTES))
-    for row in summed.toArrow().to_pylist():  # BUCKETS counters, whatever the input
-        counts[:, row["slice"]] = [np.frombuffer(row[m], np.int64) for m in MODELS]
-    raw, target, other = counts.reshape(len(MODELS), -1)
-    out = np.zeros(BUCKETS)
-    for part in (slice(0, UNIGRAMS), slice(UNIGRAMS, BUCKETS)):
-        r, t, b = raw[part], target[part], other[part]
-        if t.sum():
-            expected = r * (t.sum() / r.sum())
-            ratio = np.log((t + SMOOTH) / t.sum()) - np.log((r + SMOOTH) / r.sum())
-            sure = (sigmas(expected, t) > SIGMAS) & (ratio < -EFFECT)
-            by_chance = (t + b) * (b.sum() / (t.sum() + b.sum()))
-            sure &= sigmas(b, by_chance) > SIGMAS
-            out[part] = np.where(sure, ratio, 0)
-    return out.astype(np.float32)
+    summed = stored(local.groupBy("slice").applyInArrow(add, f"slice bigint, paired boolean, {sums}, {kinds}"), "importance-counts")
+    wholes = {r["paired"]: [float(r[m]) for m in MODELS] for r in summed.groupBy("paired").agg(*[F.sum(f"{m}_n").alias(m) for m in MODELS]).collect()}
+
+    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts = [np.frombuffer(row[m], np.int64).astype(np.float64) for m in MODELS]
+                out = _evidence(*counts, *wholes[row["paired"]]).astype(np.float32)
+                if out.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([row["slice"]]), pa.array([out.tobytes()], pa.binary())], ["slice", "ratios"])
+
+    out = np.zeros((SLICES, SLICE_BYTES), np.float32)
+    for row in summed.select("slice", "paired", *MODELS).mapInArrow(ratios, "slice bigint, ratios binary").collect():
+        out[row["slice"]] = np.frombuffer(row["ratios"], np.float32)
+    return out.reshape(-1)
 
 
 def gumbel() -> Column:

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import plain
+import pytest
 from plain import HARD
 from pyspark.sql import functions as F
 
@@ -205,3 +206,16 @@ def test_a_very_long_text(spark, frame):
     docs = [(1, "some other words stand in this text. " * 300_000 + item), (2, "some other words. " * 300_000)]
     found = templates.contaminations(frame(docs), items).filter("leaked").select("doc_id").collect()
     assert [r[0] for r in found] == [1]
+
+
+def test_importance_counts_stay_in_tasks(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from haulmark.llm import importance
+
+    docs = spark.createDataFrame([(i, "alpha beta gamma" if i % 2 else "buy now cheap") for i in range(400)], "doc_id long, text string")
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: pytest.fail("counts were collected"))
+    odd = np.arange(1, 400, 2)
+    ratios = importance.log_ratios(docs, odd, np.arange(0, 400, 2))
+    assert ratios.shape == (importance.BUCKETS,) and ratios.dtype == np.float32
+    assert ratios.min() < -importance.EFFECT and ratios.max() == 0
