@@ -15,6 +15,8 @@ by word, its case aside.
 A window can only match if each of its words occurs in the benchmark. A filter of
 FILTER_BITS bits over the benchmark's words tells the runs of such words in a
 document; only their windows are hashed. What passes by mistake finds no partner.
+Of the hashes of a window only those go on that a second filter, over the hashes of
+the benchmark's windows, lets pass.
 
 A capitalised word that starts a sentence, a line or a quotation may be a name or
 not. Windows of items and documents are hashed in all readings of such words. Two
@@ -89,8 +91,8 @@ def readings(word: list[Column], name: list[Column]) -> Column:
     return F.when(one == 0, whole).when(one == 1, F.array(xor(as_words), xor(as_words + turns))).otherwise(every)
 
 
-def windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """keys, at, window: the hashes of every `size` words in a row of the array column words."""
+def windows(rows: DataFrame, keys: list[str], size: int, held: list[int] | None = None) -> DataFrame:
+    """keys, at, window: the hashes of every `size` words in a row of the array column words, only those in the filter if there is one."""
     n = F.greatest(F.size("words") - (size - 1), F.lit(0))
     rows = rows.select(
         *keys, n.alias("n"), F.transform("words", lambda w: F.xxhash64(plain(w))).alias("p"),
@@ -99,6 +101,9 @@ def windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     shifted = F.arrays_zip(*[F.slice(c, i + 1, F.col("n")).alias(f"{c}{i}") for c in ("p", "m") for i in range(size)])
     each = rows.select(*keys, F.posexplode(shifted).alias("at", "w"))
     hashes = readings([F.col(f"w.p{i}") for i in range(size)], [F.col(f"w.m{i}") for i in range(size)])
+    if held is not None:
+        array = literal(held)
+        hashes = F.filter(hashes, lambda h: reduce(lambda a, b: a & b, [known(array, place) for place in places(h)]))
     return each.select(*keys, "at", F.explode(hashes).alias("window"))
 
 
@@ -118,27 +123,40 @@ def bit(word: Column) -> Column:
     return F.xxhash64(word).bitwiseAND(F.lit(FILTER_BITS - 1))
 
 
-def word_filter(items: DataFrame) -> list[int]:
-    """The filter as numbers of 64 bits; of fixed size, whatever the number of words."""
-    word = items.select(F.explode("words").alias("w"))
-    bits = word.select(F.explode(F.array(bit(plain(F.col("w"))), bit(masked(F.col("w"))))).alias("bit")).distinct()
+def places(window: Column) -> list[Column]:
+    """Three bits of the filter for the hash of a window, from parts of it that do not overlap."""
+    width = FILTER_BITS.bit_length() - 1
+    return [F.shiftrightunsigned(window, i * width).bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int") for i in range(3)]
+
+
+def known(array: Column, number: Column) -> Column:
+    return F.bit_get(F.get(array, F.shiftright(number, 6)), number.bitwiseAND(F.lit(63))) == 1
+
+
+def filter_of(bits: DataFrame) -> list[int]:
+    """The filter with the bits of the column bit as numbers of 64 bits; of fixed size, whatever the number of rows."""
     mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
-    held = dict(bits.groupBy(F.expr("cast(bit div 64 as int)").alias("at")).agg(F.bit_or(mask)).collect())
+    held = dict(bits.distinct().groupBy(F.expr("cast(bit div 64 as int)").alias("at")).agg(F.bit_or(mask)).collect())
     return [held.get(i, 0) for i in range(FILTER_BITS // 64)]
 
 
+def word_filter(items: DataFrame) -> list[int]:
+    word = items.select(F.explode("words").alias("w"))
+    return filter_of(word.select(F.explode(F.array(bit(plain(F.col("w"))), bit(masked(F.col("w"))))).alias("bit")))
+
+
+def window_filter(wanted: DataFrame) -> list[int]:
+    return filter_of(wanted.select(F.explode(F.array(*places(F.col("window")))).alias("bit")))
+
+
 def runs_of(texts: DataFrame, keys: list[str], items: DataFrame) -> DataFrame:
     """keys, start, words: runs of words that all occur in the items, of the least window's length or longer."""
     array = literal(word_filter(items))
-
-    def known(number: Column) -> Column:
-        return F.bit_get(F.get(array, F.shiftright(number, 6)), number.bitwiseAND(F.lit(63))) == 1
-
     least = items.agg(F.min("size")).first()[0]
     # each word is hashed once; -1 stands for a possible name, which any name of the items may match
-    rows = texts.withColumn("name_known", known(bit(F.lit(NAME)).cast("int")))
+    rows = texts.withColumn("name_known", known(array, bit(F.lit(NAME)).cast("int")))
     number = lambda w: F.when(w.startswith(MAYBE) & F.col("name_known"), F.lit(-1)).otherwise(bit(plain(w)).cast("int"))
-    flag = lambda n: F.when(n < 0, "1").when(known(n), "1").otherwise("0")
+    flag = lambda n: F.when(n < 0, "1").when(known(array, n), "1").otherwise("0")
     rows = rows.withColumn("numbers", F.transform("words", number))
     rows = rows.withColumn("flags", F.array_join(F.transform("numbers", flag), "")).filter(F.col("flags").contains("1" * least))
     runs = F.array().cast("array<struct<start:int,n:int>>")
@@ -168,7 +186,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
             wanted = windows(own.filter(F.col("size") == size), ["item_id"], size).distinct()
             wanted = stored(wanted, "template-windows").select("item_id", F.col("at").alias("item_at"), "window")
             # Spark broadcasts the benchmark's windows if they are small and shuffles both sides otherwise.
-            here = windows(runs, ["doc_id", "h", "start"], size).join(wanted, "window")
+            here = windows(runs, ["doc_id", "h", "start"], size, window_filter(wanted)).join(wanted, "window")
             shift = F.col("start") + F.col("at") - F.col("item_at")
             here = here.select("doc_id", "h", "item_id", F.col("item_at").alias("at"), shift.alias("shift"))
             found = here if found is None else found.union(here)

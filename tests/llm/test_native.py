@@ -208,6 +208,45 @@ def test_a_very_long_text(spark, frame):
     assert [r[0] for r in found] == [1]
 
 
+def generated(df):
+    """The most rows that one Generate of the plan made."""
+    df.collect()
+    plans, made = [df._jdf.queryExecution().executedPlan()], [0]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "Generate":
+            made.append(plan.metrics().get("numOutputRows").get().value())
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return max(made)
+
+
+def test_readings_that_no_item_has_make_no_rows(spark, frame):
+    """Eight words that may all be names have 256 readings; only those of a window of the items become rows."""
+    names = ["Tom", "Ann", "Bob", "Eve", "Kim", "Leo", "Max", "Zoe"]
+    question = "They bought seven green apples and gave nine of them away every day"
+    item = "we know that tom and ann and bob met eve and kim and leo and max and zoe. Tom. Ann. Bob. " + question
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    held = ". ".join(names * 40)
+    docs = [(i, held) for i in range(20)] + [(20, f"{held}. {item}"), (21, f"{held}. Tom. Ann. Bob. {question}"), (22, f"Mia. Ida. Ugo. {question}"), (23, None)]
+    found = templates.contaminations(frame(docs), items).filter("leaked").select("doc_id").collect()
+    assert sorted(r[0] for r in found) == [20]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan that ran, with its counts
+    try:
+        hits = templates.hits(frame(docs), templates.items_of(items))
+        assert 0 < generated(hits) < 22 * 330  # places, not readings
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_the_window_filter_loses_no_hit(spark, frame, monkeypatch):
+    items = [(1, ITEMS[0][1]), (2, ITEMS[3][1]), (3, "Tom. Ann. Bob. Eve. Kim. Leo. Max. Zoe. Tom. Who was not there?"), (4, "Short one here"), (5, "42")]
+    docs = [(i, f"Yes. {t} Mia. Tom. Zoe. Ann. Bob. Eve. Kim. Leo. Max. Tom. {t.lower()}") for i, t in items] + [(9, items[2][1].replace("Tom", "Ida"))]
+    items = templates.items_of(spark.createDataFrame(items, "item_id bigint, text string"))
+    got = sorted(map(tuple, templates.hits(frame(docs), items).collect()))
+    monkeypatch.setattr(templates, "window_filter", lambda wanted: None)
+    assert got and got == sorted(map(tuple, templates.hits(frame(docs), items).collect()))
+
+
 def test_importance_counts_stay_in_tasks(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
 
