@@ -11,6 +11,12 @@ count for further patterns. What is known in the end is reported as kind "id",
 wherever it occurs. Patterns are named by 64-bit hashes; the name of a seed is
 its text without the first character.
 
+The words of the texts are never all shuffled. What is counted over the corpus, a
+pattern or a word, must reach a share: it is counted in growing parts of the texts,
+and what occurs too often for its hits is left out of the next part. Of the words
+and patterns of a text only those become rows that a filter of FILTER numbers over
+the wanted ones lets pass. What a round has found or refuted is not counted again.
+
 SQL functions only. Positions are code points, ends are exclusive. Missing
 texts count as empty and have no spans; missing ids stay missing; repeated rows
 each get their spans; an empty table gives an empty result.
@@ -18,7 +24,10 @@ each get their spans; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.tables import guarded, restored, stored, texts_of
@@ -35,17 +44,22 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"\+[0-9]"}
+NUMBERS = r"[0-9](?:\.[0-9]|(?:[ -]?[0-9]){11})"  # the hints of ip and card in one
 EDGES = ".,;:!?()[]{}<>\"'"  # not part of an instance where they begin or end a word
 OCTET = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 
 MARK = "\ue000"  # first character of a base entity in masked texts
+BLANKS = rf"[\t\n\x0B\f\r{MARK}]"  # become single blanks in masked texts
 SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
-PART = 16
+PART, PARTS = 16, (1, 4, 16)  # so many PART-ths of the texts are counted after each step
+FILTER = 1 << 15  # numbers of 64 bits
+BLOCK = 1024
 
 SPAN = "struct<start:bigint,end:bigint,value:string>"
+Rows = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def matches(text: Column, pattern: str, hint: str) -> Column:
+def matches(text: Column, pattern: str, hint: Column) -> Column:
     """All matches with their places, from the lengths of the pieces between them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), found.alias("value"))
@@ -62,7 +76,7 @@ def matches(text: Column, pattern: str, hint: str) -> Column:
         step,
         lambda acc: acc["out"],
     )
-    return F.when(text.rlike(hint), walked).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(hint, walked).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def luhn(value: Column) -> Column:
@@ -88,16 +102,15 @@ def valid(kind: str, value: Column) -> Column:
 def base_spans(text: Column) -> Column:
     """Array of (start, kind_no, end, value), by start and then kind."""
 
-    def of(no: int, kind: str) -> Column:
-        held = F.filter(matches(text, PATTERNS[kind], HINTS[kind]), lambda s: valid(kind, s["value"]))
-        return F.transform(
-            held,
-            lambda s: F.struct(
-                s["start"].alias("start"), F.lit(no).alias("kind_no"), s["end"].alias("end"), s["value"].alias("value")
-            ),
-        )
+    def of(kind: str) -> Column:
+        hint = {"email": text.contains("@"), "phone": text.contains("+") & text.rlike(HINTS["phone"])}.get(kind, text.rlike(HINTS[kind]))
+        held = F.filter(matches(text, PATTERNS[kind], hint), lambda s: valid(kind, s["value"]))
+        no = F.lit(KINDS.index(kind)).alias("kind_no")
+        return F.transform(held, lambda s: F.struct(s["start"].alias("start"), no, s["end"].alias("end"), s["value"].alias("value")))
 
-    return F.array_sort(F.concat(*[of(no, kind) for no, kind in enumerate(KINDS)]))
+    none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,value:string>>")
+    numbers = F.when(text.rlike(NUMBERS), F.concat(of("ip"), of("card"))).otherwise(none)
+    return F.array_sort(F.concat(of("email"), numbers, of("phone")))
 
 
 def of_kind(places: str, no: int) -> Column:
@@ -105,8 +118,8 @@ def of_kind(places: str, no: int) -> Column:
 
 
 def masked(text: Column, base: Column) -> Column:
-    """The text with MARK as first character of each base span and no blanks inside; places stay as they are."""
-    text = F.translate(text, MARK, " ")
+    """The text with MARK as first character of each base span and no blanks inside; places stay as they are, all white space is blanks."""
+    text = F.regexp_replace(text, BLANKS, " ")
 
     def part(start: Column, end: Column) -> Column:
         return F.substring(text, (start + 1).cast("int"), F.greatest(end - start, F.lit(0).cast("bigint")).cast("int"))
@@ -129,102 +142,180 @@ def scanned(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", places.alias("base"), masked(F.col("text"), F.col("base")).alias("masked"))
 
 
+def trimmed(word: Column) -> Column:
+    at_edge = [F.lit(EDGES).contains(F.substring(word, i, 1)) for i in (1, -1)]  # trimming is slow, and few words need it
+    return F.when(at_edge[0] | at_edge[1], F.btrim(word, F.lit(EDGES))).otherwise(word)
+
+
 def instance(word: Column) -> Column:
-    return F.btrim(F.lower(word), F.lit(EDGES))
+    return trimmed(F.lower(word))
 
 
-def slots(scan: DataFrame) -> DataFrame:
-    """value, patterns: each word of the texts, and the hashes of the patterns around it (two before, one before, one after)."""
-    rows = scan.select(F.array_remove(F.split(F.lower("masked"), r"\s+"), "").alias("w"))
-    rows = rows.select("w", F.transform("w", lambda x: F.when(x.contains(MARK), F.lit(MARK)).otherwise(x)).alias("c"))
+def words(scan: DataFrame) -> Column:
+    return F.array_remove(F.split(F.lower("masked"), " "), "")
 
-    def word(at: Column, edge: str) -> Column:
-        return F.coalesce(F.get("c", at), F.lit(edge))
 
-    def slot(x: Column, i: Column) -> Column:
-        left, right = word(i - 1, "^"), word(i + 1, "$")
-        hashes = [F.xxhash64(F.lit(2), word(i - 2, "^"), left), F.xxhash64(F.lit(1), left), F.xxhash64(F.lit(0), right)]
-        return F.struct(instance(x).alias("value"), F.array(*hashes).alias("patterns"))
+def slots(scan: DataFrame) -> DataFrame:
+    """doc_id, h, word, far, left, right: each word of the texts in lower case, and the hashes of the words two and one before it and of the one after it."""
+    rows = scan.select("doc_id", "h", words(scan).alias("w"), F.col("masked").contains(MARK).alias("marked"))
+    hidden = F.transform("w", lambda x: F.xxhash64(F.when(x.contains(MARK), F.lit(MARK)).otherwise(x)))
+    rows = rows.select("doc_id", "h", "w", F.when(F.col("marked"), hidden).otherwise(F.transform("w", lambda x: F.xxhash64(x))).alias("c"))
+    edge = F.array(F.xxhash64(F.lit("^")))
+    near = {"word": F.col("w"), "far": F.concat(edge, edge, "c"), "left": F.concat(edge, "c"), "right": F.slice("c", 2, F.size("c"))}
+    rows = rows.select("doc_id", "h", F.explode(F.arrays_zip(*[c.alias(name) for name, c in near.items()])).alias("s"))
+    return rows.filter(F.col("s.word").isNotNull()).select("doc_id", "h", "s.word", "s.far", "s.left", F.coalesce("s.right", F.xxhash64(F.lit("$"))).alias("right"))
 
-    return rows.select(F.explode(F.transform("w", slot)).alias("s")).select("s.value", "s.patterns")
+
+def each_pattern(slot_rows: DataFrame, *columns: str) -> DataFrame:
+    """The columns given, kind, pattern: a row for each pattern of a slot (two words before, one before, one after)."""
+    hashes = F.array(F.xxhash64(F.lit(2), "far", "left"), F.xxhash64(F.lit(1), "left"), F.xxhash64(F.lit(0), "right"))
+    return slot_rows.select(*columns, F.posexplode(hashes).alias("kind", "pattern"))
 
 
 def edges_of(slot_rows: DataFrame) -> DataFrame:
     """pattern, kind, value, n: how often each value stands in each pattern."""
-    each = slot_rows.select("value", F.posexplode("patterns").alias("kind", "pattern"))
-    return each.groupBy("pattern", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    return each_pattern(slot_rows, "value").groupBy("pattern", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sieve(keys: DataFrame) -> Callable[[Column], Column]:
+    """Whether a hash may be one of those in the only column; from a filter of fixed size, with three bits of one number for each hash."""
+    one = F.lit(1).cast("bigint")
+
+    def at(key: Column) -> Column:
+        return key.bitwiseAND(F.lit(FILTER - 1)).cast("int")
+
+    def bits(key: Column) -> Column:
+        parts = [F.shiftrightunsigned(key, i).bitwiseAND(F.lit(63)).cast("int") for i in (32, 40, 48)]
+        return reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", one, part) for part in parts])
 
+    key = F.col(keys.columns[0])
+    held = dict(keys.select(at(key).alias("at"), bits(key).alias("bits")).groupBy("at").agg(F.bit_or("bits")).collect())
+    array = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(FILTER))), ",").cast("array<bigint>")
+    return lambda key: F.get(array, at(key)).bitwiseAND(bits(key)) == bits(key)
 
-def occurrences(scan: DataFrame, patterns: DataFrame) -> DataFrame:
-    """pattern, total: how often each pattern has a word in its slot, over the texts given."""
-    each = slots(scan).select(F.explode("patterns").alias("pattern"))
-    # Spark broadcasts the wanted patterns if they are small and shuffles both sides otherwise.
-    return each.join(patterns.select("pattern"), "pattern").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
 
+def of_values(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of the rows with other values than the wanted ones only what the filter lets pass."""
+    passes = sieve(wanted.select(F.xxhash64("value")))
+    # What a generator makes is computed once; the filter would compute another column for each of its uses.
+    return rows.select("*", F.explode(F.array(F.xxhash64("value"))).alias("named")).filter(passes(F.col("named"))).drop("named")
 
-def counted(scan: DataFrame, patterns: DataFrame, trust: float) -> DataFrame:
-    """pattern, hits, total: exact for every pattern that can be trusted, others are left out.
 
-    A pattern that occurs too often for its hits in one PART-th of the texts can
-    never reach the trust, so only the rest is counted in the other texts.
+def pattern_rows(scan: DataFrame, wanted: DataFrame) -> DataFrame:
+    """pattern, kind, word: the slots of patterns, of others than the wanted ones only what the filter lets pass."""
+    passes = sieve(wanted.select("pattern"))
+    return each_pattern(slots(scan), "word").filter(passes(F.col("pattern")))
+
+
+def value_rows(scan: DataFrame, wanted: DataFrame) -> DataFrame:
+    """value, doc_id, h, far, left, right: the slots that hold values, of others than the wanted ones only what the filter lets pass."""
+    return of_values(slots(scan).select(trimmed(F.col("word")).alias("value"), "doc_id", "h", "far", "left", "right"), wanted)
+
+
+def counted(scan: DataFrame, wanted: DataFrame, rows_of: Rows, trust: float) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Those of the wanted (key, hits) whose share of hits in all their rows reaches the trust; the others with what was counted; all rows of the first.
+
+    What occurs too often for its hits in a part of the texts can never reach the
+    trust, so only the rest is counted in the other texts. The last step meets a few
+    rows for each hit only and keeps them.
     """
-    part = F.pmod("h", F.lit(PART)) == 0
-    patterns = stored(patterns, "pii-wanted")
-    few = patterns.join(occurrences(scan.filter(part), patterns), "pattern", "left").fillna(0, ["total"])
-    few = stored(few.filter(F.col("hits") >= trust * F.col("total")), "pii-few")
-    if few.isEmpty():
-        return few
-    more = occurrences(scan.filter(~part), few).withColumnRenamed("total", "more")
-    return few.join(more, "pattern", "left").select("pattern", "hits", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
-
-
-def bootstrap(scan: DataFrame, support: int, trust: float, rounds: int) -> DataFrame:
-    """Values that trusted patterns have made known, other than the seeds."""
-    seed_rows = slots(scan.filter(F.col("masked").contains(MARK))).filter(F.col("value").contains(MARK))
-    seeds = stored(edges_of(seed_rows), "pii-seeds")
-    known, edges = seeds.select("value").limit(0), seeds
+    key, part = wanted.columns[0], F.pmod("h", F.lit(PART))
+    left = stored(wanted.select(key, "hits", F.lit(0).cast("bigint").alias("total")), f"pii-{key}-wanted")
+    refuted, rows = left.limit(0), None
+    for start, end in zip((0, *PARTS), PARTS, strict=False):
+        if left.isEmpty():
+            break
+        rows = rows_of(scan.filter((part >= start) & (part < end)), left)
+        if end == PART:
+            rows = stored(rows.join(left.select(key), key, "left_semi"), f"pii-{key}-rows")
+        more = rows.groupBy(key).agg(F.count(F.lit(1)).alias("more"))
+        total = (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")
+        seen = stored(left.join(more, key, "left").select(key, "hits", total), f"pii-{key}-counted")
+        reaches = F.col("hits") >= trust * F.col("total")
+        left, refuted = seen.filter(reaches), refuted.union(seen.filter(~reaches))
+    held, refuted = left.select(key), refuted.select(key, "total")
+    if held.isEmpty():
+        return held, refuted, None
+    before = stored(rows_of(scan.filter(part < start), left).join(held, key, "left_semi"), f"pii-{key}-rows")
+    return held, refuted, rows.join(held, key, "left_semi").union(before)
+
+
+def joint(one: DataFrame | None, other: DataFrame) -> DataFrame:
+    return other if one is None else one.union(other)
+
+
+def open_ones(wanted: DataFrame, found: DataFrame, refuted: DataFrame, trust: float) -> DataFrame:
+    """The wanted (key, hits) that are not found yet and that the totals counted so far do not refute."""
+    key = wanted.columns[0]
+    least = refuted.groupBy(key).agg(F.max("total").alias("least"))
+    rows = wanted.join(found, key, "left_anti").join(least, key, "left")
+    return rows.filter(F.col("least").isNull() | (F.col("hits") >= trust * F.col("least"))).select(key, "hits")
+
+
+def bootstrap(scan: DataFrame, support: int, trust: float, rounds: int) -> DataFrame | None:
+    """value, doc_id, h: the values that trusted patterns have made known, other than the seeds, and their texts; None if there are none."""
+    marked = slots(scan.filter(F.col("masked").contains(MARK))).filter(F.col("word").contains(MARK))
+    edges = stored(edges_of(marked.withColumn("value", trimmed(F.col("word")))), "pii-seeds")
+    trusted = inside = poor = known = common = None
     for _ in range(rounds):
         likely = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("hits")).filter(F.col("support") >= support)
-        trusted = stored(counted(scan, likely.select("pattern", "hits"), trust).filter(F.col("hits") >= trust * F.col("total")), "pii-trusted")
-        if trusted.isEmpty():
+        likely = likely.select("pattern", "hits")
+        new, refuted, rows = counted(scan, likely if trusted is None else open_ones(likely, trusted, poor, trust), pattern_rows, trust)
+        if rows is None:
             break
-        free = slots(scan).filter((F.col("value") != "") & ~F.col("value").contains(MARK))
-        inside = edges_of(free).join(trusted.select("pattern"), "pattern").groupBy("value", "kind").agg(F.sum("n").alias("n"))
-        inside = stored(inside.groupBy("value").agg(F.max("n").alias("inside")), "pii-inside")
-        graph = stored(edges_of(free.join(inside.select("value").union(known).distinct(), "value")), "pii-graph")
-        total = graph.filter("kind = 1").groupBy("value").agg(F.sum("n").alias("total"))  # each word has one word before it
-        reached = inside.join(total, "value").filter(F.col("inside") >= trust * F.col("total")).select("value")
-        before, known = known, stored(known.union(reached).distinct(), "pii-known")
-        if known.count() == before.count():
+        trusted, poor = joint(trusted, new), joint(poor, refuted)
+        free = rows.select(trimmed(F.col("word")).alias("value"), "kind").filter((F.col("value") != "") & ~F.col("value").contains(MARK))
+        inside = joint(inside, stored(free.groupBy("value", "kind").agg(F.count(F.lit(1)).alias("n")), "pii-inside"))
+        hits = inside.groupBy("value", "kind").agg(F.sum("n").alias("n")).groupBy("value").agg(F.max("n").alias("hits"))
+        reached, refuted, rows = counted(scan, hits if known is None else open_ones(hits, known.select("value"), common, trust), value_rows, trust)
+        common = joint(common, refuted)
+        if rows is None:
             break
-        edges = seeds.union(graph.join(known, "value", "left_semi").select(*seeds.columns))
+        known = joint(known, rows.select("value", "doc_id", "h").distinct())
+        edges = edges.union(edges_of(rows))
     return known
 
 
-def located(scan: DataFrame, new: DataFrame) -> DataFrame:
-    """doc_id, h, found: the places of known values, once for equal rows."""
-    words = scan.select("doc_id", "h", F.explode(F.split("masked", r"\s")).alias("word"))
-    texts = words.select("doc_id", "h", instance(F.col("word")).alias("value")).join(new, "value").select("doc_id", "h").distinct()
-    texts = texts.withColumnsRenamed({"doc_id": "d", "h": "dh"})
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh"))
-    rows = scan.join(texts, same, "left_semi").dropDuplicates(["doc_id", "h"])
-    rows = rows.select("doc_id", "h", F.posexplode(F.split("masked", r"\s")).alias("no", "word"))
-    ahead = Window.partitionBy("doc_id", "h").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.coalesce(F.sum(F.char_length("word") + 1).over(ahead), F.lit(0)) + F.char_length("word") - F.char_length(F.ltrim("word", F.lit(EDGES)))
+def starts(sizes: str) -> Column:
+    """The places of pieces of these sizes that lie one blank apart; summed in blocks, so that long texts take linear time."""
+
+    def step(acc: Column, size: Column) -> Column:
+        return F.struct((acc["at"] + size + 1).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def block(acc: Column, first: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            F.slice(sizes, first + 1, BLOCK), start, step,
+            lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], F.array(x["out"])).alias("out")),
+        )
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(BLOCK)), start, block, lambda x: F.flatten(x["out"]))
+
+
+def located(scan: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, h, found: the places of known values, once for equal rows. Only the texts that hold some, by a filter of fixed size, are cut into words."""
+    new, passes = known.select("value").distinct(), sieve(known.select(F.xxhash64("doc_id", "h")))
+    rows = scan.select("doc_id", "h", "masked", F.explode(F.array(F.xxhash64("doc_id", "h"))).alias("named")).filter(passes(F.col("named")))
+    rows = rows.select("doc_id", "h", F.split("masked", " ").alias("w"))
+    rows = rows.select("doc_id", "h", "w", F.transform("w", lambda x: F.char_length(x).cast("bigint")).alias("sizes"))
+    rows = rows.select("doc_id", "h", F.explode(F.arrays_zip(F.col("w").alias("word"), starts("sizes").alias("at"))).alias("s"))
+    rows = rows.select("doc_id", "h", "s.word", "s.at", instance(F.col("s.word")).alias("value"))
+    rows = of_values(rows, new).join(new, "value")
+    at = F.col("at") + F.char_length("word") - F.char_length(F.ltrim("word", F.lit(EDGES)))
     size = F.char_length(F.btrim("word", F.lit(EDGES)))
-    rows = rows.select("doc_id", "h", instance(F.col("word")).alias("value"), at.alias("start"), (at + size).alias("end"))
-    place = F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end")
-    return rows.join(new, "value").groupBy("doc_id", "h").agg(F.collect_list(place).alias("found"))
+    place = F.struct(at.alias("start"), F.lit(len(KINDS)).alias("kind_no"), (at + size).alias("end"))
+    return rows.groupBy("doc_id", "h").agg(F.collect_set(place).alias("found"))
 
 
 def spans(docs: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, h, base and found spans: arrays of (start, kind_no, end); kind_no counts KINDS, then FOUND."""
     scan = stored(scanned(texts_of(docs)), "pii-scan")
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")
-    new = bootstrap(scan, support, trust, rounds)
-    if new.isEmpty():
+    known = bootstrap(scan, support, trust, rounds)
+    if known is None:
         return scan.select("doc_id", "h", "base", none.alias("found"))
-    found = located(scan, new).withColumnsRenamed({"doc_id": "found_id", "h": "found_h"})
+    found = located(scan, known).withColumnsRenamed({"doc_id": "found_id", "h": "found_h"})
     same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
     return scan.join(found, same, "left").select("doc_id", "h", "base", F.array_sort(F.coalesce("found", none)).alias("found"))
 
