@@ -156,14 +156,14 @@ def words(scan: DataFrame) -> Column:
 
 
 def slots(scan: DataFrame) -> DataFrame:
-    """doc_id, h, word, far, left, right: each word of the texts in lower case, and the hashes of the words two and one before it and of the one after it."""
-    rows = scan.select("doc_id", "h", words(scan).alias("w"), F.col("masked").contains(MARK).alias("marked"))
+    """word, far, left, right: each word of the texts in lower case, and the hashes of the words two and one before it and of the one after it."""
+    rows = scan.select(words(scan).alias("w"), F.col("masked").contains(MARK).alias("marked"))
     hidden = F.transform("w", lambda x: F.xxhash64(F.when(x.contains(MARK), F.lit(MARK)).otherwise(x)))
-    rows = rows.select("doc_id", "h", "w", F.when(F.col("marked"), hidden).otherwise(F.transform("w", lambda x: F.xxhash64(x))).alias("c"))
+    rows = rows.select("w", F.when(F.col("marked"), hidden).otherwise(F.transform("w", lambda x: F.xxhash64(x))).alias("c"))
     edge = F.array(F.xxhash64(F.lit("^")))
     near = {"word": F.col("w"), "far": F.concat(edge, edge, "c"), "left": F.concat(edge, "c"), "right": F.slice("c", 2, F.size("c"))}
-    rows = rows.select("doc_id", "h", F.explode(F.arrays_zip(*[c.alias(name) for name, c in near.items()])).alias("s"))
-    return rows.filter(F.col("s.word").isNotNull()).select("doc_id", "h", "s.word", "s.far", "s.left", F.coalesce("s.right", F.xxhash64(F.lit("$"))).alias("right"))
+    rows = rows.select(F.explode(F.arrays_zip(*[c.alias(name) for name, c in near.items()])).alias("s")).filter(F.col("s.word").isNotNull())
+    return rows.select("s.word", "s.far", "s.left", F.coalesce("s.right", F.xxhash64(F.lit("$"))).alias("right"))
 
 
 def each_pattern(slot_rows: DataFrame, *columns: str) -> DataFrame:
@@ -208,8 +208,15 @@ def pattern_rows(scan: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def value_rows(scan: DataFrame, wanted: DataFrame) -> DataFrame:
-    """value, doc_id, h, far, left, right: the slots that hold values, of others than the wanted ones only what the filter lets pass."""
-    return of_values(slots(scan).select(trimmed(F.col("word")).alias("value"), "doc_id", "h", "far", "left", "right"), wanted)
+    """value, doc_id, h: the words of all texts as instances, of others than the wanted ones only what the filter lets pass."""
+    rows = scan.select("doc_id", "h", F.explode(words(scan)).alias("word"))
+    return of_values(rows.select(trimmed(F.col("word")).alias("value"), "doc_id", "h"), wanted)
+
+
+def texts_with(scan: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of the rows (doc_id, h), and the few others that a filter of fixed size lets pass."""
+    passes = sieve(rows.select(F.xxhash64("doc_id", "h")))
+    return scan.select("*", F.explode(F.array(F.xxhash64("doc_id", "h"))).alias("named")).filter(passes(F.col("named"))).drop("named")
 
 
 def counted(scan: DataFrame, wanted: DataFrame, rows_of: Rows, trust: float) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -271,8 +278,10 @@ def bootstrap(scan: DataFrame, support: int, trust: float, rounds: int) -> DataF
         common = joint(common, refuted)
         if rows is None:
             break
-        known = joint(known, rows.select("value", "doc_id", "h").distinct())
-        edges = edges.union(edges_of(rows))
+        rows = rows.distinct()
+        known = joint(known, rows)
+        near = of_values(slots(texts_with(scan, rows)).withColumn("value", trimmed(F.col("word"))), reached)
+        edges = edges.union(stored(edges_of(near.join(reached, "value", "left_semi")), "pii-graph"))
     return known
 
 
@@ -294,10 +303,9 @@ def starts(sizes: str) -> Column:
 
 
 def located(scan: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, h, found: the places of known values, once for equal rows. Only the texts that hold some, by a filter of fixed size, are cut into words."""
-    new, passes = known.select("value").distinct(), sieve(known.select(F.xxhash64("doc_id", "h")))
-    rows = scan.select("doc_id", "h", "masked", F.explode(F.array(F.xxhash64("doc_id", "h"))).alias("named")).filter(passes(F.col("named")))
-    rows = rows.select("doc_id", "h", F.split("masked", " ").alias("w"))
+    """doc_id, h, found: the places of known values, once for equal rows."""
+    new = known.select("value").distinct()
+    rows = texts_with(scan, known).select("doc_id", "h", F.split("masked", " ").alias("w"))
     rows = rows.select("doc_id", "h", "w", F.transform("w", lambda x: F.char_length(x).cast("bigint")).alias("sizes"))
     rows = rows.select("doc_id", "h", F.explode(F.arrays_zip(F.col("w").alias("word"), starts("sizes").alias("at"))).alias("s"))
     rows = rows.select("doc_id", "h", "s.word", "s.at", instance(F.col("s.word")).alias("value"))
